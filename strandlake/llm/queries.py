@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_store
+from . import decontamination, language, packing, simhash, token_store
 from .common import table
 
 
@@ -25,5 +25,42 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_token_store": op1_token_store, "op10_packing": op10_packing}
-ORACLE_SQL: dict[str, str] = {}
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_items, digest = F.size("items").cast("long"), F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return marked.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), digest.alias("items_sha256"), "contaminated")
+
+
+_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+OP8_SQL = f"""
+WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+wins AS (SELECT DISTINCT item_id, n, w[s:s + n - 1] AS g FROM (
+  SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM b WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+pos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+spans AS (SELECT doc_id, i, n, w[i:i + n - 1] AS g FROM pos, (SELECT DISTINCT n FROM wins) l),
+hit AS (SELECT doc_id, i, n, item_id FROM spans JOIN wins USING (n, g)),
+cover AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS l FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+QUERIES = {
+    "op1_token_store": op1_token_store,
+    "op5_language_id": op5_language_id,
+    "op7_simhash": op7_simhash,
+    "op8_decontamination": op8_decontamination,
+    "op10_packing": op10_packing,
+}
+ORACLE_SQL: dict[str, str] = {"op8_decontamination": OP8_SQL}
