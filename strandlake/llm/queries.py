@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, packing, simhash, token_store
+from . import decontamination, language, packing, simhash, token_store, vector_file
 from .common import table
 
 
@@ -30,6 +30,21 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_file.top_k(vector_file.build(table(spark, sf_dir, "embeddings")), k=20, every=20)
+
+
+OP6_SQL = """
+WITH ok AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT * FROM ok WHERE vec_id % 20 = 0),
+s AS (SELECT q.vec_id AS query_id, ok.vec_id, CAST(list_sum(list_transform(list_zip(q.v, ok.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM q JOIN ok ON ok.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -59,8 +74,9 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op5_language_id": op5_language_id,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {"op8_decontamination": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_exact_top_k": OP6_SQL, "op8_decontamination": OP8_SQL}
