@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, packing, simhash, token_store, vector_file
+from . import decontamination, language, packing, pii, simhash, token_store, vector_file
 from .common import table
 
 
@@ -25,6 +25,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    counts = [f"n_{k}" for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.learn(docs))
@@ -73,6 +79,7 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op3_pii": op3_pii,
     "op5_language_id": op5_language_id,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_simhash": op7_simhash,
