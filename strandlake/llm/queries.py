@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, packing, pii, simhash, token_store, vector_file
+from . import decontamination, language, lines, packing, pii, simhash, token_counts, token_store, vector_file
 from .common import table
 
 
@@ -20,6 +20,21 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def redactions(text: str) -> list[tuple[int, int, str]]:
+    """Edits that replace the base spans of personal data, the first of any that overlap."""
+    out, end = [], 0
+    for kind, a, b in sorted(pii.base_spans(text), key=lambda s: (s[1], -s[2])):
+        if a >= end:
+            out.append((a, b, f"<{kind}>"))
+            end = b
+    return out
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after the redaction of personal data."""
+    return token_counts.edited_counts(table(spark, sf_dir, "documents"), tokenizer_path(), rule=redactions)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -31,6 +46,27 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+_LINE_SETS = """SELECT doc_id, i, list_sort(list_distinct(list_filter(regexp_split_to_array(translate(lines[i + 1], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x09-\\x0D\\x20]+'), lambda x: x <> ''))) AS w
+  FROM (SELECT doc_id, lines, unnest(range(0, len(lines))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))"""
+OP4_SQL = f"""
+WITH s AS MATERIALIZED (SELECT doc_id, i, w, len(w) AS n FROM ({_LINE_SETS}) WHERE len(w) > 0),
+c AS MATERIALIZED (SELECT w, n, min({{'d': doc_id, 'i': i}}) AS f, row_number() OVER () AS id FROM s GROUP BY w, n),
+t AS MATERIALIZED (SELECT id, n, f, unnest(w) AS x FROM c),
+o AS (SELECT a.id, a.n, b.n AS m, count(*) AS k FROM t a JOIN t b ON a.x = b.x AND b.f < a.f AND 4 * a.n <= 5 * b.n AND 4 * b.n <= 5 * a.n GROUP BY a.id, b.id, a.n, b.n),
+near AS (SELECT DISTINCT id FROM o WHERE 5 * k >= 4 * (n + m - k)),
+gone AS (SELECT s.doc_id, s.i FROM s JOIN c USING (w) WHERE c.f <> {{'d': s.doc_id, 'i': s.i}} OR c.id IN (SELECT id FROM near)),
+l AS (SELECT doc_id, lines[i + 1] AS line, i FROM (SELECT doc_id, lines, unnest(range(0, len(lines))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)))
+SELECT l.doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(gone.i) AS BIGINT) AS n_removed,
+  sha256(coalesce(string_agg(CASE WHEN gone.i IS NULL THEN line END, chr(10) ORDER BY l.i), '')) AS kept_sha256
+FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id
+"""
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.learn(docs))
@@ -80,10 +116,12 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op3_pii": op3_pii,
+    "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
+    "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {"op6_exact_top_k": OP6_SQL, "op8_decontamination": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op6_exact_top_k": OP6_SQL, "op8_decontamination": OP8_SQL}
