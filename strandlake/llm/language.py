@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import batches, column, tuned
 
@@ -149,3 +150,20 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(fold(F.col(id_col)) == 0, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def judged(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with lang_pred and score; any columns are taken along, one batch after another."""
+    shared = tuned(docs.sparkSession).sparkContext.broadcast(model)
+    if clash := {"lang_pred", "score"} & set(docs.columns):
+        raise ValueError(f"columns {sorted(clash)} are there already")
+
+    def run(it) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches(it):
+            found = [known.predict(t) for t in column(batch, text_col)]
+            cols = [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, "lang_pred", "score"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(run, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, lines, packing, pii, simhash, token_counts, token_store, vector_file
+from . import decontamination, language, lines, packing, pii, simhash, suffixes, token_counts, token_store, vector_file
 from .common import table
 
 
@@ -40,6 +40,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(table(spark, sf_dir, "documents"))
     counts = [f"n_{k}" for k in pii.KINDS]
@@ -115,6 +119,7 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_pii": op3_pii,
     "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,

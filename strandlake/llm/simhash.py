@@ -132,3 +132,14 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
     ids = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     of = labelled.join(ids, "root").select("fp", "component_id")
     return prints.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def first_of_groups(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group: the one of least id (of rows that repeat it, any one).
+
+    A document whose id is null goes only if its group has another.
+    """
+    labels = near_duplicates(docs, radius, id_col, text_col)
+    keep = labels.groupBy("component_id").agg(F.min("doc_id").alias("_first")).select("_first").distinct()
+    one = docs.dropDuplicates([id_col])
+    return one.join(keep, one[id_col].cast("long").eqNullSafe(F.col("_first"))).drop("_first")
