@@ -1,0 +1 @@
+"""Strandlake: episodes of multi-rate sensor streams on Spark DataFrames."""
