@@ -40,7 +40,8 @@ def neighbours(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, va
         back = Window.partitionBy(*by).orderBy(F.desc("_b"))
         before = F.last("hi", True).over(w.rowsBetween(Window.unboundedPreceding, -1))
         behind = F.last("lo", True).over(back.rowsBetween(Window.unboundedPreceding, -1))
-        carried = spine.select(*part, F.explode(F.array(before, behind)).alias("_r")).filter("_r IS NOT NULL")
+        ends = spine.select(*part, before.alias("_before"), behind.alias("_behind"))
+        carried = ends.select(*part, F.explode(F.array("_before", "_behind")).alias("_r")).filter("_r IS NOT NULL")
         r = r.unionByName(carried.select(*by, F.col("_r.t").alias(on), "_r", "_b"))
     null_l, null_r = F.lit(None).cast(one.schema["_l"].dataType), F.lit(None).cast(r.schema["_r"].dataType)
     both = one.withColumn("_r", null_r).unionByName(r.withColumn("_l", null_l))
