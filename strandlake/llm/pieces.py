@@ -53,7 +53,7 @@ def _keys(text: str) -> list[str]:
 class PieceEncoder:
     """Encodes lists of texts.  The cache holds ``limit`` pieces at most."""
 
-    def __init__(self, path: str, limit: int = 600_000) -> None:
+    def __init__(self, path: str, limit: int = 1_500_000) -> None:
         self.tok = load_tokenizer(path)
         self.vocab = self.tok.get_vocab_size()
         self.n_bytes = np.zeros(self.vocab, np.int64)  # a byte-level token has a character for each byte
@@ -65,14 +65,14 @@ class PieceEncoder:
     def _clear(self) -> None:
         self.index = _Index()
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.first, self.count = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.first, self.count = np.empty(1 << 14, np.int32), np.empty(1 << 14, np.int32)
 
     def _learn(self) -> None:
         new, self.index.new = self.index.new, []
         if len(self.index) > len(self.first):
             grow = max(len(self.index), 2 * len(self.first)) - len(self.first)
-            self.first = np.concatenate([self.first, np.empty(grow, np.int64)])
-            self.count = np.concatenate([self.count, np.empty(grow, np.int64)])
+            self.first = np.concatenate([self.first, np.empty(grow, np.int32)])
+            self.count = np.concatenate([self.count, np.empty(grow, np.int32)])
         plain = [k for k in new if k and " " not in k and not (k[0].isspace() or k[-1].isspace())]
         odd = [k for k in new if not k or " " in k or k[0].isspace() or k[-1].isspace()]
         for i in range(0, len(plain), 64):  # such pieces stay apart when put one after another
@@ -103,7 +103,7 @@ class PieceEncoder:
         for i, text in enumerate(texts):
             starts[i] = len(keys)
             keys += _keys(text)
-        rows = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
+        rows = np.fromiter(map(self.index.__getitem__, keys), np.int32, len(keys))
         if self.index.new:
             self._learn()
         return rows, starts
@@ -113,7 +113,7 @@ class PieceEncoder:
         if not texts:
             return np.zeros(0, np.int64)
         rows, starts = self._rows(texts)
-        return np.add.reduceat(self.count[rows], starts)
+        return np.add.reduceat(self.count[rows], starts, dtype=np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of each text's."""
@@ -121,10 +121,10 @@ class PieceEncoder:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         rows, starts = self._rows(texts)
         n = self.count[rows]
-        ends = np.cumsum(n)
+        ends = np.cumsum(n, dtype=np.int32)  # a batch has fewer than 2**31 ids
         at = np.repeat(self.first[rows] - (ends - n), n)
-        at += np.arange(len(at))
-        return self.flat[at], np.add.reduceat(n, starts)
+        at += np.arange(len(at), dtype=np.int32)
+        return self.flat[at], np.add.reduceat(n, starts, dtype=np.int64)
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
