@@ -87,7 +87,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     buckets = entries.groupBy("seg", "value").agg(F.count("*").alias("n"), F.min("fp").alias("fp"))
     # Inside a bucket the segment is equal: its members differ in the other one alone.
     crowded = buckets.filter("n > 1").select("seg", "value")
-    inside = _bucket_links(entries.join(crowded, ["seg", "value"]), radius)
+    inside = _bucket_links(entries.hint("merge").join(crowded, ["seg", "value"]), radius)
     # Across buckets one bit of the segment differs, so the other segments differ in two at most.
     across = _across(entries, radius)
     return inside.unionByName(across).distinct()
@@ -107,13 +107,14 @@ def _bucket_links(members: DataFrame, radius: int) -> DataFrame:
     m = members.select("fp", "seg", "value", _other("fp", "seg").alias("o"))
     m = m.select("fp", "seg", "value", F.posexplode(F.array(*(F.shiftrightunsigned("o", 8 * i).bitwiseAND(F.lit(255)) for i in range(4)))).alias("lane", "byte"))
     a, b = m.withColumnRenamed("fp", "a"), m.withColumnRenamed("fp", "b")
-    near = a.join(b, ["seg", "value", "lane", "byte"]).filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
+    # Sizes are estimated from before the explosion, so a broadcast could be far too large.
+    near = a.hint("merge").join(b, ["seg", "value", "lane", "byte"]).filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
     return near.select("a", "b")
 
 
 def _across(entries: DataFrame, radius: int) -> DataFrame:
     probes = entries.select(F.col("fp").alias("a"), "seg", "value", F.explode(F.slice(_ball(), 2, 32)).alias("mask")).select("a", "seg", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-    found = probes.join(entries.withColumnRenamed("fp", "b"), ["seg", "value"])
+    found = probes.hint("merge").join(entries.withColumnRenamed("fp", "b"), ["seg", "value"])
     return found.filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b")
 
 
