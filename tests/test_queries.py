@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import same_rows
+from .conftest import same_rows
 
 from strandlake.plans import queries
 
