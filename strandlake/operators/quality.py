@@ -109,3 +109,35 @@ def sampled_frames(df: DataFrame, by, on, ratio: float = 0.05, least: int = 5, o
     d = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", n).withColumn("_k", k)
     at = F.when(F.col("_k") <= 1, F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1), lambda i: F.floor(i * (F.col("_n") - 1) / (F.col("_k") - 1))))
     return d.filter(F.array_contains(at, F.col("_i").cast("long"))).drop("_i", "_n", "_k")
+
+
+def inspect(lines: DataFrame, cameras: Sequence[str], base: str, color: str, depth: str, gap_ns: int = 15_000_000, least_ratio: float = 0.99, gripper: bool = False) -> DataFrame:
+    """Pass or fail of whole recordings (episode, stream, value as text): the first check that fails, in a fixed order.
+
+    Camera counts, colour against depth, missing joint files, unreadable lines,
+    joint gaps; with ``gripper`` also the grippers' values.
+    """
+    arms = ("left", "right")
+    counts = stream_counts(lines, ["episode"], "stream", [*cameras, *arms])
+    out = depth_check(camera_check(counts, base, [c for c in cameras if c not in (base, depth)]), color, depth)
+    missing = F.lit(None).cast("string")
+    for a in reversed(arms):
+        missing = F.when(F.col(f"n_{a}") == 0, F.lit(f"{a}: no joint data")).otherwise(missing)
+    out = out.withColumn("joint_missing", missing)
+    joints = strict_line_errors(lines.filter(F.col("stream").isin(*arms)), "value")
+    bad = joints.groupBy("episode").agg(F.min("error").alias("line_error"))
+    ok = joints.filter("error IS NULL").withColumn("t", F.split("value", " ")[0].cast("long")).withColumn("v", F.split(F.split("value", " ")[1], ",").cast("array<double>"))
+    gaps = gap_ratio(ok, ["episode", "stream"], "t", gap_ns).groupBy("episode").agg(F.min("ok_ratio").alias("_r"))
+    gaps = gaps.select("episode", F.when(F.col("_r") < least_ratio, "joint gaps").alias("gap_error"))
+    out = out.join(bad, "episode", "left").join(gaps, "episode", "left")
+    checks = ["camera_error", "depth_error", "joint_missing", "line_error", "gap_error"]
+    if gripper:
+        g = gripper_errors(ok.withColumn("_a", F.get("v", F.lit(7))).withColumn("_w", F.get("v", F.lit(8))), ["episode", "stream"], "t", "_a", "_w")
+        out = out.join(g.groupBy("episode").agg(F.min("error").alias("gripper_error")), "episode", "left")
+        checks.append("gripper_error")
+    return report(out, "episode", checks)
+
+
+def parquet_report(spark, paths: Sequence[str], expected: dict[str, str]) -> list[tuple[str, list[str]]]:
+    """Schema errors of each file, from its footer alone."""
+    return [(p, schema_errors(spark.read.parquet(p), expected)) for p in paths]

@@ -372,3 +372,55 @@ def stream_align(spark, sf):
     a, b = (local.as_stream(spark, e.filter(F.col("event_type") == k).drop("event_type"), 1) for k in ("click", "view"))
     out = live.run_once(live.aligned(a, b, "user_id", "2 HOURS", "60 days"), local.name("align"), "append", local.folder())
     return out.select("user_id", "l_event_id", "r_event_id")
+
+
+# -- records ------------------------------------------------------------------------------------------
+
+
+@query("""WITH $EVENTS, q AS (SELECT event_id, user_id, t FROM e WHERE event_type = 'click'), p AS (SELECT q.event_id, r.t AS r_t, r.value AS r_value, row_number() OVER (PARTITION BY q.event_id ORDER BY abs(r.t - q.t), r.t DESC) AS rn FROM q JOIN (SELECT * FROM e WHERE event_type = 'view') r USING (user_id))
+SELECT q.event_id, r_t, r_value, abs(r_t - t) > 3600000000 AS is_pad FROM q LEFT JOIN (SELECT * FROM p WHERE rn = 1) p USING (event_id)""")
+def nearest_pad_mask(spark, sf):
+    from ..operators import records
+
+    e = events(spark, sf)
+    q = e.filter("event_type = 'click'").select("event_id", "user_id", "t")
+    r = e.filter("event_type = 'view'").select("user_id", "t", "value")
+    return records.nearest_with_mask(q, r, ["user_id"], "t", "value", 3_600_000_000).select("event_id", "r_t", "r_value", "is_pad")
+
+
+@query("""SELECT conv_id AS episode_index, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS "order", role AS names, turn * 1.5e0 AS start_times, turn * 1.5e0 + 1 AS end_times, CAST(floor(turn * 1.5e0 * 30) AS BIGINT) AS start_frames, CAST(floor((turn * 1.5e0 + 1) * 30) AS BIGINT) AS end_frames FROM conversations""")
+def subtask_annotations(spark, sf):
+    """Stored on the episodes as arrays, and read back."""
+    from ..operators import records
+
+    c = table(spark, sf, "conversations")
+    marks = c.select(F.col("conv_id").alias("episode_index"), (F.col("turn") * F.lit(1.5)).cast("double").alias("start"), (F.col("turn") * F.lit(1.5) + 1).cast("double").alias("end"), F.col("role").alias("name"))
+    eps = marks.select("episode_index").distinct()
+    return records.annotations(records.annotate(eps, marks, 30.0, "sparse"), "sparse")
+
+
+@query("""WITH $EVENTS, n AS (SELECT event_id, user_id, t, CASE WHEN (row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) - 1) % 4 = 0 THEN value END AS v FROM e),
+p AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER a AS pt, last_value(v IGNORE NULLS) OVER a AS pv, first_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER b AS nt, first_value(v IGNORE NULLS) OVER b AS nv FROM n
+  WINDOW a AS (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT event_id, round(coalesce(v, pv + (nv - pv) * (t - pt) / nullif(nt - pt, 0), pv, nv), 4) AS progress FROM p""")
+def strided_progress(spark, sf):
+    from ..operators import records
+
+    p = records.strided_progress(events(spark, sf), ["user_id"], "t", "value", 4, ["event_id"])
+    return p.select("event_id", F.round("progress_filled", 4).alias("progress"))
+
+
+@query("""WITH $EVENTS SELECT event_id, coalesce(lag(value, 5) OVER w, first_value(value) OVER w) AS value FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)""")
+def delayed_gripper(spark, sf):
+    from ..operators import records
+
+    return records.key_frames(events(spark, sf), ["user_id"], "t", "value", "delayed", ["event_id"]).select("event_id", "value")
+
+
+@query("""WITH p AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(greatest(0, least(255, round_even(CAST(v AS DOUBLE) * 255 * 4, 0))) AS INTEGER)) AS p FROM embeddings)
+SELECT vec_id, CASE WHEN len(list_filter(p, lambda x: x <= 10)) / 64.0 > 0.5 THEN 'black' WHEN len(list_filter(p, lambda x: x >= 245)) / 64.0 > 0.5 THEN 'white' END AS empty FROM p""")
+def image_empty(spark, sf):
+    from ..functions import image
+
+    im = image.from_vector(V.scale(F.col("v"), 4.0), 8, 8)
+    return _vectors(spark, sf).select("vec_id", image.empty(0.5)(im).alias("empty"))

@@ -115,3 +115,42 @@ def test_stateful_streams(spark, tmp_path):
     assert sorted(r.v for r in kept.collect()) == [0, 5, 9]
     buf = live.run_once(live.newest(s, "k", "t", "v", 2), local.name("buf"), "update", str(tmp_path / "c2"))
     assert buf.collect()[-1].buffer == [5.2, 9.0]
+
+
+def test_faulty_recordings(spark):
+    from strandlake.operators import quality
+    from strandlake.sources import faults
+
+    rows = faults.recordings(spark)
+    got = {r.sub_task_id: (r.result, r.fail_error) for r in quality.inspect(rows, faults.CAMERAS, "head_color", "head_color", "head_depth").collect()}
+    failed = {k for k, v in got.items() if v[0] == "failed"}
+    assert failed == {1, 6, 8, 10, 11, 12, 13, 14, 15, 16}, got
+    assert got[12][1] == "bad timestamp" and got[10][1] == "left: no joint data"
+    more = {r.sub_task_id for r in quality.inspect(rows, faults.CAMERAS, "head_color", "head_color", "head_depth", gripper=True).collect() if r.result == "failed"}
+    assert more == failed | {20, 21}
+
+
+def test_images(spark):
+    import numpy as np
+
+    from strandlake.functions import image
+
+    flat = [i / 63 for i in range(64)]
+    df = spark.createDataFrame([(1, flat), (2, [0.0] * 64)], "id long, v array<double>").withColumn("im", image.from_vector(F.col("v"), 8, 8))
+    r = df.select("id", image.resize_with_pad(4, 8)(F.col("im")).alias("small"), image.crop(1, 2, 3, 4)(F.col("im")).alias("cut"), image.random_crop(F.col("im"), F.col("id"), 5, 5, 1).alias("part"), image.to_float()(F.col("im")).alias("f"), image.empty()(F.col("im")).alias("e"), image.jitter(F.col("im"), F.col("id"), 3).alias("j")).orderBy("id").collect()
+    assert (r[0].small.height, r[0].small.width) == (4, 8) and (r[0].cut.height, r[0].cut.width) == (3, 4) and r[0].part.height == 5
+    assert np.allclose(r[0].f, np.rint(np.array(flat) * 255) / 255, atol=1e-6) and [x.e for x in r] == [None, "black"]
+    assert image.channel_last(np.zeros((3, 8, 9))).shape == (8, 9, 3)
+
+
+def test_records(spark):
+    from strandlake.operators import records
+
+    f = spark.createDataFrame([(1, 0, 1.0), (1, 10, 2.0)], "k long, t long, v double")
+    q = spark.createDataFrame([(1, 2), (1, 30)], "k long, t long")
+    assert [r.is_pad for r in records.nearest_with_mask(q, f, ["k"], "t", "v", 3).orderBy("t").collect()] == [False, True]
+    with pytest.raises(Exception, match="no frame near"):
+        records.nearest_or_error(q, f, ["k"], "t", "v", 3).collect()
+    t = spark.createDataFrame([(1, [1.0], True), (2, [float("nan")], True), (3, [2.0], False)], "i long, s array<double>, human boolean")
+    ok, human = records.split_transitions(t, ["s"], "human")
+    assert ok.count() == 2 and human.count() == 1
