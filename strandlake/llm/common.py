@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +60,20 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 
 def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in it if b.num_rows)
+
+
+def packed(rows: np.ndarray) -> bytes:
+    """Column after column, so that the exchange's compression finds what repeats."""
+    return b"".join(np.ascontiguousarray(rows[f]).tobytes() for f in rows.dtype.names)
+
+
+def unpacked(blobs: list[bytes], kind: np.dtype) -> np.ndarray:
+    out = np.empty(sum(len(b) for b in blobs) // kind.itemsize, kind)
+    at = 0
+    for b in blobs:
+        n, skip = len(b) // kind.itemsize, 0
+        for f in kind.names:
+            out[f][at : at + n] = np.frombuffer(b, kind[f], n, skip)
+            skip += n * kind[f].itemsize
+        at += n
+    return out

@@ -9,9 +9,10 @@ if an anchor's seed repeats, and only the suffixes at anchors (one in about 70)
 need be sorted.  An anchor stands for the strings that hold its seed: those
 that start up to 136 bytes before it.  Its *context* is all that they cover.
 
-*Counting.*  Seeds are counted first; those that occur once are done with.
-Anchors whose whole context occurs again are done with too: all their strings
-repeat.  What is left are the edges of repeated passages.
+*Counting.*  Anchors meet by seed, as packed arrays: one for each task and
+receiver.  Seeds that occur once are done with.  Anchors whose whole context
+occurs again are done with too: all their strings repeat.  What is left are the
+edges of repeated passages.
 
 *Merge sort.*  Their suffixes, once for each distinct context, are sorted by
 the tasks that read the texts, front-coded (length of the prefix shared with
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import batches, column, kept, tuned
+from .common import batches, column, kept, packed, tuned, unpacked
 
 WIDTH, SEED = 200, 64
 #: Strings that hold a seed start so far before it, at most.
@@ -95,21 +96,117 @@ def described(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return at, right, rolling.stretches(sums, at, at + SEED).view(np.int64), context.view(np.int64)
 
 
-def _anchor_rows(whole: bool):
+_ANCHOR = np.dtype([("seed", "<i8"), ("context", "<i8"), ("doc", "<i8"), ("hash", "<i8"), ("pos", "<i4"), ("right", "<i4"), ("done", "u1")])
+_COVER = np.dtype([("doc", "<i8"), ("hash", "<i8"), ("lo", "<i8"), ("hi", "<i8")])
+#: A null doc_id in packed arrays.
+_NULL = np.iinfo(np.int64).min
+FLUSH = 1 << 19
+
+
+def _groups(e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows by seed and context, where each pair begins, and how many rows it has."""
+    e = e[np.lexsort((e["context"], e["seed"]))]
+    new = np.ones(len(e), bool)
+    new[1:] = (e["seed"][1:] != e["seed"][:-1]) | (e["context"][1:] != e["context"][:-1])
+    first = np.flatnonzero(new)
+    return e, first, np.diff(np.append(first, len(e)))
+
+
+def covers(e: np.ndarray) -> np.ndarray:
+    """Ranges of bytes that the anchors' strings cover, united where they meet."""
+    e = e[np.lexsort((e["pos"], e["hash"], e["doc"]))]
+    lo, hi = np.maximum(0, e["pos"] - REACH), e["pos"] + e["right"]  # both grow with the position
+    new = np.ones(len(e), bool)
+    new[1:] = (e["doc"][1:] != e["doc"][:-1]) | (e["hash"][1:] != e["hash"][:-1]) | (lo[1:] > hi[:-1])
+    first = np.flatnonzero(new)
+    out = np.empty(len(first), _COVER)
+    out["doc"], out["hash"], out["lo"] = e["doc"][first], e["hash"][first], lo[first]
+    out["hi"] = hi[np.append(first[1:], len(e)) - 1] if len(e) else 0
+    return out
+
+
+def _anchor_runs(parts: int):
+    """Anchors as packed arrays for the receivers of their seeds (kind 1).
+
+    Contexts that repeat within a task are done there: what they cover goes out
+    as ranges (kind 0), and one anchor stands for them from then on.  So a
+    passage of any number of documents reaches a receiver once from each task.
+    """
+
     def run(it) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            e, first, n = _groups(np.concatenate(held))
+            held.clear()
+            many = np.repeat(n > 1, n)
+            found, e = covers(e[many]), e[first]
+            e["done"] = n > 1
+            rows = []
+            for kind, (every, by) in enumerate(((found, found["hash"]), (e, e["seed"]))):
+                part = rolling.mixed(by.astype(np.uint64)) % np.uint64(parts)
+                order = np.argsort(part, kind="stable")
+                used, at = np.unique(part[order], return_index=True)
+                rows += [(kind, int(p), packed(x)) for p, x in zip(used, np.split(every[order], at[1:]))]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["kind", "part", "blob"])
+
         for batch in batches(it):
-            found = [described(t or "") for t in column(batch, "text")]
-            n = np.array([len(f[0]) for f in found])
-            at, right, seed, context = (np.concatenate([f[i] for f in found]) for i in range(4))
-            cols = {"seed": pa.array(seed), "context": pa.array(context)}
-            if whole:
-                rows = pa.array(np.repeat(np.arange(len(n)), n))
-                cols |= {"doc_id": batch.column(0).take(rows), "text_hash": batch.column(1).take(rows), "pos": pa.array(at), "right": pa.array(right.astype(np.int32))}
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+            for doc, h, text in zip(*(column(batch, c) for c in ("doc_id", "text_hash", "text"))):
+                at, right, seed, context = described(text)
+                if len(at):
+                    e = np.empty(len(at), _ANCHOR)
+                    e["seed"], e["context"], e["doc"], e["hash"], e["pos"], e["right"], e["done"] = seed, context, _NULL if doc is None else doc, h, at, right, 0
+                    held.append(e)
+                    size += len(e)
+            if size > FLUSH:
+                size = 0
+                yield flush()
+        if held:
+            yield flush()
 
     return run
 
 
+_FOUND = "doc_id long, text_hash long, lo long, hi long, pos long, right int, seed long, n long, members long"
+_FOUND_NAMES = [x.split()[0] for x in _FOUND.split(", ")]
+
+
+def _found_rows(doc, h, rest: dict) -> pa.RecordBatch:
+    doc = np.ascontiguousarray(doc)
+    cols = {"doc_id": pa.array(doc, pa.int64(), mask=doc == _NULL), "text_hash": pa.array(np.ascontiguousarray(h))} | {k: pa.array(np.ascontiguousarray(v)) for k, v in rest.items()}
+    kinds = dict.fromkeys(_FOUND_NAMES, pa.int64()) | {"right": pa.int32()}
+    return pa.RecordBatch.from_arrays([cols.get(k, pa.nulls(len(doc), t)).cast(t) for k, t in kinds.items()], names=_FOUND_NAMES)
+
+
+def _repeated(it) -> Iterator[pa.RecordBatch]:
+    """Covered ranges, and of seeds that repeat with an open context one anchor for each of their contexts."""
+    blobs: list[bytes] = []
+    for batch in batches(it):
+        for kind, blob in zip(column(batch, "kind"), column(batch, "blob")):
+            if kind:
+                blobs.append(blob)
+            else:
+                c = unpacked([blob], _COVER)
+                yield _found_rows(c["doc"], c["hash"], {"lo": c["lo"], "hi": c["hi"]})
+    e, first, n = _groups(unpacked(blobs, _ANCHOR))
+    if not len(e):
+        return
+    blobs.clear()
+    again = (n > 1) | (e["done"][first] > 0)
+    c = covers(e[np.repeat(again, n) & (e["done"] == 0)])
+    yield _found_rows(c["doc"], c["hash"], {"lo": c["lo"], "hi": c["hi"]})
+    one = e[first]  # a row for each context, by seed
+    new = np.ones(len(one), bool)
+    new[1:] = one["seed"][1:] != one["seed"][:-1]
+    start = np.flatnonzero(new)
+    members = np.diff(np.append(start, len(one)))
+    want = np.repeat((members > 1) & np.logical_or.reduceat(~again, start), members)
+    one, again, members = one[want], again[want], np.repeat(members, members)[want]
+    for i in range(0, len(one), 50_000):
+        x = one[i : i + 50_000]
+        yield _found_rows(x["doc"], x["hash"], {"pos": x["pos"], "right": x["right"], "seed": x["seed"], "n": 1 + again[i : i + 50_000].astype(np.int64), "members": members[i : i + 50_000]})
+
+
 # ------------------------------------------------------------------ front-coded runs
 
 
@@ -354,31 +451,22 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """doc_id, text_hash, spans (start, end, start, end ... in bytes) of the documents of ``texts`` that lose any."""
     spark = texts.sparkSession
     rows = texts.select("doc_id", "text_hash", "text")
-    counted = rows.mapInArrow(_anchor_rows(False), "seed long, context long").groupBy("seed").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
-    seeds = kept(counted.filter("n > 1").select("seed", (F.col("a") != F.col("b")).alias("mixed")), "repeated-seeds")
-    every = rows.mapInArrow(_anchor_rows(True), "seed long, context long, doc_id long, text_hash long, pos long, right int")
-    found = kept(every.join(seeds, "seed"), "repeated-anchors")
-    span = [F.greatest(F.lit(0), F.col("pos") - REACH).alias("lo"), (F.col("pos") + F.col("right")).alias("hi")]
-    same = found.filter("NOT mixed").select("doc_id", "text_hash", *span)
-
-    mixed = found.filter("mixed")
-    contexts = kept(mixed.groupBy("seed", "context").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("doc_id", "text_hash", "pos", "right"))), "contexts")
-    again = mixed.join(contexts.filter("n > 1").select("seed", "context"), ["seed", "context"], "left_semi").select("doc_id", "text_hash", *span)
-    open_ = contexts.groupBy("seed").agg(F.min("n").alias("least"), F.count("*").alias("members")).filter("least = 1 AND members > 1").select("seed", "members")
-    wanted = contexts.join(open_, "seed").select("doc_id", "text_hash", F.struct("pos", "right", "seed", "n").alias("w"), "members")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = rows.mapInArrow(_anchor_runs(parts), "kind int, part int, blob binary").repartition(parts, "part")
+    found = kept(runs.mapInArrow(_repeated, _FOUND), "repeated-anchors")
+    wanted = found.filter("pos IS NOT NULL").select("doc_id", "text_hash", F.struct("pos", "right", "seed", "n").alias("w"), "members")
 
     by_doc = kept(wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.when(F.col("members") <= HOT, F.col("w"))).alias("wanted"), F.collect_list(F.when(F.col("members") > HOT, F.col("w"))).alias("hot")), "contexts-wanted")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     runs = _to_texts(rows, by_doc.filter(F.size("wanted") > 0).drop("hot"), "inner").dropDuplicates(["doc_id", "text_hash"]).mapInArrow(_runs(parts), "part int, run binary")
     edges = runs.repartition(parts, "part").mapInArrow(_merge, "doc_id long, text_hash long, lo long, hi long")
-    covers = same.unionByName(again).unionByName(edges)
+    every = found.filter("pos IS NULL").select("doc_id", "text_hash", "lo", "hi").unionByName(edges)
 
     hot = by_doc.filter(F.size("hot") > 0).select("doc_id", "text_hash", F.col("hot").alias("wanted"))
     if not hot.isEmpty():
         strings = kept(_to_texts(rows, hot, "inner").dropDuplicates(["doc_id", "text_hash"]).mapInArrow(_strings, "doc_id long, text_hash long, lo long, h1 long, h2 long").distinct(), "hot-strings")
         repeated = strings.groupBy("h1", "h2").agg(F.count("*").alias("k")).filter("k > 1").select("h1", "h2")
-        covers = covers.unionByName(strings.join(repeated, ["h1", "h2"], "left_semi").select("doc_id", "text_hash", "lo", (F.col("lo") + WIDTH).alias("hi")))
-    ranges = covers.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+        every = every.unionByName(strings.join(repeated, ["h1", "h2"], "left_semi").select("doc_id", "text_hash", "lo", (F.col("lo") + WIDTH).alias("hi")))
+    ranges = every.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     return kept(ranges.mapInArrow(_covered, "doc_id long, text_hash long, spans array<long>"), "repeated-spans")
 
 
