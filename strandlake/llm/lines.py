@@ -8,15 +8,22 @@ order of removals.  Blank lines stay.
 1. Words are counted over all documents in 65,536 hash buckets.  Tokens are
    ordered by their bucket's count, rarest first: the order only steers the
    filters, any total order is exact.
-2. Lines with equal sets meet by a 128-bit hash of the set; their earliest line
-   stands for the class, all others go.
+2. Lines with equal sets meet by a 128-bit hash of the set; the earliest of
+   them stands for all, the others go.
 3. Two sets of n and m words with similarity t share ceil(t / (1 + t) (n + m))
-   words, so both have a common word among their n - ceil(t n) + 1 rarest.  The
-   classes meet by those words, and length and position filters apply.
-4. First each class is compared with the earliest class of each of its runs
-   only, which settles groups of near copies in linear work; the classes that
-   stay are then compared with every earlier class of their runs.
-5. Pairs are verified on the lines' words themselves.
+   words, so both have a common word among their n - ceil(t n) + 1 rarest.  Lines
+   meet by those words, as packed arrays: one for each task and receiver.
+   In a word's run equal sets count once.
+4. Length, position and bitmap filters bound the overlap of each pair of a run.
+   The bitmap has the parity of the words in each of 128 hash cells: two sets
+   differ in at least as many words as their bitmaps in bits.
+5. Pairs that pass are verified on the lines' words, for each line the most
+   promising first, the others only if that one fails.
+6. Runs over ``SHORT`` sets, as of groups of near copies, give each line's few
+   most promising partners only; in runs over ``LONG`` it is first held against
+   the earliest ``HEADS`` sets, and against all others if none of them passes.
+   A line whose partners all fail their verification, and that has more, is held
+   against all.  So such groups give linearly many pairs, and no match is lost.
 
 Cases: null and empty texts have no line to lose; repeated rows (equal doc_id
 and text) are one document, each copy keeps what the first keeps; a null
@@ -25,26 +32,23 @@ doc_id comes first in the order; other columns stay as they are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import batches, column, kept, texts_of, tuned
+from .common import batches, column, kept, packed, texts_of, tuned, unpacked
 
 #: Similarity as a fraction.
 UP, DOWN = 4, 5
 BUCKET_BITS = 16
-#: Line numbers are broadcast up to so many rows, and exchanged beyond.
-BROADCAST_ROWS = 1_000_000
+#: Tables of one row a document or line go to the texts by broadcast up to so many rows, and by exchange beyond.
+BROADCAST_ROWS = 500_000
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_LINES = "doc_id long, line_no int, n int, h1 long, h2 long, prefix array<long>"
-
-
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of every word, the line that it is in, and the number of lines of each text (lines counted through)."""
     coded = [t.encode().lower() for t in texts]
@@ -86,7 +90,11 @@ def ordered(h: np.ndarray, rank: np.ndarray) -> np.ndarray:
 def sets(h: np.ndarray, line: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lines that have words, their sets one after another in rarity order, first entry and size of each."""
     key = ordered(h, rank)
-    order = np.lexsort((key, line))
+    order = np.argsort(key)
+    if len(line) and line[-1] < 1 << 16:  # then the second sort is a radix sort
+        order = order[np.argsort(line[order].astype(np.uint16), kind="stable")]
+    else:
+        order = np.lexsort((key, line))
     key, line = key[order], line[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
@@ -95,104 +103,342 @@ def sets(h: np.ndarray, line: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray,
     return lines, key, first, np.diff(np.append(first, len(key)))
 
 
-def _describe(shared):
+#: Columns of the packed arrays: a null doc_id is the least number.
+_ENTRY = np.dtype([("token", "<u8"), ("set", "<u8"), ("bitmap", "<u8"), ("bitmap2", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("n", "<i4"), ("pos", "<i4")])
+_CLASS = np.dtype([("set", "<u8"), ("second", "<u8"), ("doc", "<i8"), ("line", "<i4")])
+_NULL = np.iinfo(np.int64).min
+FLUSH = 1 << 19
+#: Runs up to ``SHORT`` sets give all pairs that pass, up to ``LONG`` each line's ``NEAREST`` partners, longer ones the best among the heads.
+SHORT, NEAREST = 32, 3
+LONG, HEADS = 2048, 64
+HOT_PIVOT = 4096
+_PAIR = "doc_id long, line_no int, e_doc long, e_line int, bits int, more boolean"
+_PAIR_NAMES = [x.split()[0] for x in _PAIR.split(", ")]
+
+
+def entries(texts: list[str], doc_ids: list, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class rows of all lines with words, and prefix rows (a set's first of the batch only)."""
+    h, line, n_lines = tokens(texts)
+    if not len(h):
+        return np.zeros(0, _CLASS), np.zeros(0, _ENTRY)
+    lines, key, first, n = sets(h, line, rank)
+    begins = np.cumsum(n_lines) - n_lines
+    at_doc = np.searchsorted(begins, lines, side="right") - 1
+    doc = np.array([_NULL if d is None else d for d in doc_ids], np.int64)[at_doc]
+    cls = np.empty(len(lines), _CLASS)
+    cls["set"] = np.add.reduceat(rolling.mixed(key), first)
+    cls["second"] = np.add.reduceat(rolling.mixed(key * np.uint64(rolling.BASE) + np.uint64(1)), first)
+    cls["doc"], cls["line"] = doc, lines - begins[at_doc]
+    cell, upper = np.uint64(1) << (key & np.uint64(63)), (key >> np.uint64(6) & np.uint64(1)).astype(bool)
+    bitmap, second = (np.bitwise_xor.reduceat(np.where(upper == u, cell, np.uint64(0)), first) for u in (False, True))
+    size = np.where(n > 3, n + (-UP * n // DOWN) + 1, 0)  # below four words only equal sets are similar enough
+    one = np.zeros(len(lines), bool)  # the batch's earliest line of each set
+    order = np.lexsort((cls["line"], doc, cls["set"]))
+    one[order[np.concatenate([[True], cls["set"][order][1:] != cls["set"][order][:-1]])]] = True
+    size[~one] = 0
+    ends = np.cumsum(size)
+    of = np.repeat(np.arange(len(lines)), size)
+    pos = np.arange(ends[-1]) - np.repeat(ends - size, size)
+    out = np.empty(len(of), _ENTRY)
+    out["token"], out["set"], out["bitmap"], out["bitmap2"] = key[first[of] + pos], cls["set"][of], bitmap[of], second[of]
+    out["doc"], out["line"], out["n"], out["pos"] = doc[of], cls["line"][of], n[of], pos
+    return cls, out
+
+
+def _describe(shared, parts: int):
+    """Packed class rows (kind 0) and prefix rows (kind 1) for each receiver."""
+
     def run(it) -> Iterator[pa.RecordBatch]:
-        rank = shared.value
+        rank, held, size = shared.value, ([], []), 0
+
+        def flush() -> pa.RecordBatch:
+            rows = []
+            for kind, (arrays, by) in enumerate(zip(held, ("set", "token"))):
+                every = np.concatenate(arrays)
+                part = rolling.mixed(every[by].copy()) % np.uint64(parts)
+                order = np.argsort(part, kind="stable")
+                every, part = every[order], part[order]
+                used, first = np.unique(part, return_index=True)
+                rows += [(kind, int(p), packed(x)) for p, x in zip(used, np.split(every, first[1:]))]
+                arrays.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["kind", "part", "blob"])
+
         for batch in batches(it):
-            h, line, n_lines = tokens(texts_of(batch))
-            if not len(h):
-                continue
-            lines, key, first, n = sets(h, line, rank)
-            begins = np.cumsum(n_lines) - n_lines
-            doc = np.searchsorted(begins, lines, side="right") - 1
-            h1 = np.add.reduceat(rolling.mixed(key), first)
-            h2 = np.add.reduceat(rolling.mixed(key * np.uint64(rolling.BASE) + np.uint64(1)), first)
-            size = np.where(n > 3, n + (-UP * n // DOWN) + 1, 0)  # below four words only equal sets are similar enough
-            ends = np.cumsum(size)
-            at = np.repeat(first - (ends - size), size) + np.arange(ends[-1])
-            prefix = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(key[at].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array((lines - begins[doc]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), prefix], names=["doc_id", "line_no", "n", "h1", "h2", "prefix"])
+            found = entries(texts_of(batch), column(batch, "doc_id"), rank)
+            for h, x in zip(held, found):
+                h.append(x)
+            size += len(found[1])
+            if size > FLUSH:
+                size = 0
+                yield flush()
+        if held[0]:
+            yield flush()
 
     return run
 
 
-def _words(it) -> Iterator[pa.RecordBatch]:
-    """The sorted words of the wanted lines."""
-    for batch in batches(it):
-        docs, numbers, words = [], [], []
-        for doc, text, wanted in zip(column(batch, "doc_id"), texts_of(batch), column(batch, "wanted")):
-            lines = text.encode().lower().split(b"\n")
-            for i in wanted:
-                if i < len(lines):
-                    docs.append(doc)
-                    numbers.append(i)
-                    words.append(sorted({w.decode() for w in lines[i].split()}))
-        if docs:
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(words, pa.list_(pa.string()))], names=["doc_id", "line_no", "words"])
+Rows = Mapping[str, np.ndarray]  # columns of prefix rows, or a structured array
+
+
+def _passed(e: Rows, late: np.ndarray, early: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Length and position filters, for the pairs that the bitmaps let pass."""
+    n, m = e["n"][late].astype(np.int64), e["n"][early].astype(np.int64)
+    need = -(-UP * (n + m) // (UP + DOWN))
+    return (UP * n <= DOWN * m) & (UP * m <= DOWN * n) & (np.minimum(n - e["pos"][late], m - e["pos"][early]) >= need)
+
+
+def _differ(n: np.ndarray) -> np.ndarray:
+    """Most bits in which two sets with n words together may differ."""
+    return n - 2 * (-(-UP * n // (UP + DOWN)))
+
+
+def passing(e: Rows, early: np.ndarray, late: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all pairs (early, late) of rows of a run, those that the filters let pass, and the bits that differ."""
+    bits = sum(np.bitwise_count(e[f][late][:, None] ^ e[f][early][None, :]) for f in ("bitmap", "bitmap2"))
+    i, j = np.nonzero((bits <= _differ(e["n"][late][:, None] + e["n"][early][None, :])) & (early[None, :] < late[:, None]))
+    a, b, bits = late[i], early[j], bits[i, j].astype(np.int32)
+    ok = _passed(e, a, b, bits)
+    return a[ok], b[ok], bits[ok]
+
+
+def short_runs(e: Rows, starts: np.ndarray, m: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(late, early, bits, more) of all runs of m rows, many runs at a time."""
+    i, j = np.tril_indices(m, -1)
+    step = max(1, 500_000 // len(i))
+    for k in range(0, len(starts), step):
+        rows = starts[k : k + step, None] + np.arange(m)
+        bitmap, other, n = e["bitmap"][rows], e["bitmap2"][rows], e["n"][rows]
+        bits = np.bitwise_count(bitmap[:, i] ^ bitmap[:, j])
+        bits += np.bitwise_count(other[:, i] ^ other[:, j])
+        r, x = np.nonzero(bits <= _differ(n[:, i] + n[:, j]))
+        late, early, bits = rows[r, i[x]], rows[r, j[x]], bits[r, x].astype(np.int32)
+        ok = _passed(e, late, early, bits)
+        late, early, bits = late[ok], early[ok], bits[ok]
+        yield (late, early, bits, np.zeros(len(late), bool)) if m <= SHORT else _best(late, early, bits, NEAREST)
+
+
+def run_pairs(e: Rows, only: np.ndarray | None = None, long: int = LONG, heads_: int = HEADS) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(late, early, bits, more) of one run, whose rows are in the order of lines.
+
+    ``more`` says that the line may have further partners here.  With ``only``
+    all partners of the marked rows are given.
+    """
+    m = len(e["n"])
+    every = np.arange(m)
+    out = []
+    if only is not None:
+        late = np.flatnonzero(only)
+        for i in range(0, len(late), 256):
+            for j in range(0, m, 4096):
+                a, b, bits = passing(e, every[j : j + 4096], late[i : i + 256])
+                out.append((a, b, bits, np.zeros(len(a), bool)))
+        return out
+    if m <= long:
+        return list(short_runs(e, np.zeros(1, np.int64), m))
+    heads, open_ = every[:heads_], []
+    for i in range(0, m, 4096):
+        a, b, bits = passing(e, heads, every[i : i + 4096])
+        out.append(_best(a, b, bits))
+        open_.append(np.setdiff1d(every[i : i + 4096], a))
+    late = np.concatenate(open_)
+    for i in range(0, len(late), 256):
+        found = [passing(e, every[j : j + 4096], late[i : i + 256]) for j in range(heads_, m, 4096)]
+        if found:
+            out.append(_best(*(np.concatenate(x) for x in zip(*found))))
+    return out
+
+
+def _best(a: np.ndarray, b: np.ndarray, bits: np.ndarray, k: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The k most promising partners of each line, and whether it has more."""
+    order = np.lexsort((b, bits, a))
+    a, b, bits = a[order], b[order], bits[order]
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] != a[:-1]
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(a)))
+    keep = np.arange(len(a)) - np.repeat(first, n) < k
+    return a[keep], b[keep], bits[keep], np.repeat(n > k, n)[keep] if k > 1 else np.ones(int(keep.sum()), bool)
+
+
+def _met(long: int, heads: int, failed=None):
+    """Lines that copy an earlier set (without a partner), and the pairs of each receiver's runs, every pair once.
+
+    With ``failed`` only all partners of those lines.
+    """
+
+    def run(it) -> Iterator[pa.RecordBatch]:
+        blobs: tuple[list, list] = ([], [])
+        for batch in batches(it):
+            for kind, blob in zip(column(batch, "kind"), column(batch, "blob")):
+                blobs[kind].append(blob)
+        if failed is None:
+            yield _copies(unpacked(blobs[0], _CLASS))
+        e = unpacked(blobs[1], _ENTRY)
+        blobs[1].clear()
+        e = e[np.lexsort((e["line"], e["doc"], e["set"], e["token"]))]
+        new = np.ones(len(e), bool)  # equal sets of a run count once, as their earliest line
+        new[1:] = (e["token"][1:] != e["token"][:-1]) | (e["set"][1:] != e["set"][:-1])
+        e = e[new]
+        e = e[np.lexsort((e["line"], e["doc"], e["token"]))]
+        starts = np.flatnonzero(np.concatenate([[True], e["token"][1:] != e["token"][:-1]])) if len(e) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(e))
+        wanted = None
+        if failed is not None:
+            lines = failed.value
+            key = np.empty(len(e), lines.dtype)
+            key["doc"], key["line"] = e["doc"], e["line"]
+            wanted = np.isin(key, lines)
+        e = {f: np.ascontiguousarray(e[f]) for f in _ENTRY.names}
+        out, size = [], 0
+        for found in _all_pairs(e, starts, ends - starts, long, heads, wanted):
+            if len(found[0]):
+                out.append(found)
+                size += len(found[0])
+            if size > 500_000:
+                yield _pair_rows(e, out)
+                out, size = [], 0
+        if out:
+            yield _pair_rows(e, out)
+
+    return run
 
 
-def _of_lines(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``texts`` with the line numbers of ``wanted`` (doc_id, line_no, a kept table), if a document has any."""
-    by_doc = wanted.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("wanted")).withColumnRenamed("doc_id", "w_id")
-    if wanted.count() <= BROADCAST_ROWS:
+def _all_pairs(e: Rows, starts: np.ndarray, sizes: np.ndarray, long: int, heads: int, wanted: np.ndarray | None) -> Iterator[tuple]:
+    for m in np.unique(sizes[sizes > 1]).tolist():
+        of = starts[sizes == m]
+        if wanted is None and m <= long:
+            yield from short_runs(e, of, m)
+            continue
+        for a in of.tolist():
+            if wanted is None or wanted[a : a + m].any():
+                for late, early, bits, more in run_pairs({f: x[a : a + m] for f, x in e.items()}, None if wanted is None else wanted[a : a + m], long, heads):
+                    yield late + a, early + a, bits, more
+
+
+def _pair_rows(e: Rows, found: list) -> pa.RecordBatch:
+    late, early, bits, more = (np.concatenate(x) for x in zip(*found))
+    rows = np.unique(np.rec.fromarrays([e["doc"][late], e["line"][late], e["doc"][early], e["line"][early], bits.astype(np.int32), more]))
+    null = lambda c: pa.array(c, pa.int64(), mask=c == _NULL)
+    cols = [np.ascontiguousarray(rows[f]) for f in rows.dtype.names]
+    return pa.RecordBatch.from_arrays([null(cols[0]), pa.array(cols[1]), null(cols[2]), *map(pa.array, cols[3:])], names=_PAIR_NAMES)
+
+
+def _copies(e: np.ndarray) -> pa.RecordBatch:
+    """Lines whose set an earlier line has."""
+    e = e[np.lexsort((e["line"], e["doc"], e["second"], e["set"]))]
+    later = np.zeros(len(e), bool)
+    later[1:] = (e["set"][1:] == e["set"][:-1]) & (e["second"][1:] == e["second"][:-1])
+    head = np.maximum.accumulate(np.where(later, 0, np.arange(len(e))))
+    e = e[later & ((e["doc"] != e["doc"][head]) | (e["line"] != e["line"][head]))]
+    doc, n = np.ascontiguousarray(e["doc"]), len(e)
+    cols = [pa.array(doc, pa.int64(), mask=doc == _NULL), pa.array(np.ascontiguousarray(e["line"])), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(np.full(n, -1, np.int32)), pa.array(np.zeros(n, bool))]
+    return pa.RecordBatch.from_arrays(cols, names=_PAIR_NAMES)
+
+
+def _of_lines(texts: DataFrame, by_doc: DataFrame, how: str = "inner") -> DataFrame:
+    """``texts`` with a table of one row a document, which is broadcast while it is small."""
+    by_doc = by_doc.withColumnRenamed("doc_id", "w_id")
+    if by_doc.count() <= BROADCAST_ROWS:
         by_doc = F.broadcast(by_doc)
-    return texts.join(by_doc, texts.doc_id.eqNullSafe(by_doc.w_id)).drop("w_id")
+    return texts.join(by_doc, texts.doc_id.eqNullSafe(by_doc.w_id), how).drop("w_id")
 
 
-def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc_id, line_no) of the pairs' later lines that are similar enough to their earlier ones."""
-    pairs = kept(pairs, "line-pairs")
-    ends = kept(pairs.select("doc_id", "line_no").unionByName(pairs.select(F.col("e_doc").alias("doc_id"), F.col("e_line").alias("line_no"))).distinct(), "line-ends")
-    words = kept(_of_lines(texts, ends).select("doc_id", "text", "wanted").mapInArrow(_words, "doc_id long, line_no int, words array<string>").dropDuplicates(["doc_id", "line_no"]), "line-words")
-    a, b = words.alias("a"), words.select(F.col("doc_id").alias("e_doc"), F.col("line_no").alias("e_line"), F.col("words").alias("e_words")).alias("b")
-    both = pairs.alias("p").join(a, F.col("p.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("p.line_no") == F.col("a.line_no"))).select("p.*", "a.words")
-    both = both.alias("p").join(b, F.col("p.e_doc").eqNullSafe(F.col("b.e_doc")) & (F.col("p.e_line") == F.col("b.e_line"))).select("p.doc_id", "p.line_no", "words", "e_words")
-    common, total = F.size(F.array_intersect("words", "e_words")), F.size("words") + F.size("e_words")
-    return both.filter(DOWN * common >= UP * (total - common)).select("doc_id", "line_no").distinct()
+def _lines_out(it) -> Iterator[pa.RecordBatch]:
+    """Text of each wanted line, for each pivot that it is to meet."""
+    for batch in batches(it):
+        rows = []
+        for doc, text, wanted in zip(column(batch, "doc_id"), texts_of(batch), column(batch, "wanted")):
+            lines = text.encode().lower().split(b"\n")
+            rows += [(w["e_doc"], w["e_line"], w["salt"], w["late"], doc, w["line_no"], lines[w["line_no"]]) for w in wanted if w["line_no"] < len(lines)]
+        if rows:
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["e_doc", "e_line", "salt", "late", "doc_id", "line_no", "words"])
 
 
-def _may_be_similar(n, pos, m, at):
-    """Length and position filters of two sets that share a prefix word."""
-    need = F.ceil((n + m) * float(UP) / (UP + DOWN) - 1e-9)
-    return (UP * n <= DOWN * m) & (UP * m <= DOWN * n) & (1 + F.least(n - pos, m - at) - 1 >= need)
+def _similar(it) -> Iterator[pa.RecordBatch]:
+    """Lines that are similar enough to their pivot, which comes before them; one pivot in memory at a time."""
+    at, pivot = None, frozenset()
+    for batch in batches(it):
+        docs, numbers = [], []
+        for e_doc, e_line, salt, late, doc, line, words in zip(*(c.to_pylist() for c in batch.columns)):
+            own = frozenset(words.split())
+            if not late:
+                at, pivot = (e_doc, e_line, salt), own
+            elif at == (e_doc, e_line, salt):
+                common = len(own & pivot)
+                if DOWN * common >= UP * (len(own) + len(pivot) - common):
+                    docs.append(doc)
+                    numbers.append(line)
+        if docs:
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(numbers, pa.int32())], names=["doc_id", "line_no"])
 
 
-def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(doc_id, line_no) of all lines that go, and the table of all lines that have words."""
+def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(doc_id, line_no) of the pairs' later lines that are similar enough to their earlier ones.
+
+    A pivot with many lines is sent out once for every ``HOT_PIVOT`` of them.
+    """
+    hot = pairs.groupBy("e_doc", "e_line").agg(F.count("*").alias("k")).filter(F.col("k") > HOT_PIVOT).select(F.col("e_doc").alias("h_doc"), F.col("e_line").alias("h_line"), F.ceil(F.col("k") / HOT_PIVOT).cast("int").alias("copies"))
+    p = pairs.join(hot, pairs.e_doc.eqNullSafe(F.col("h_doc")) & (pairs.e_line == F.col("h_line")), "left")
+    p = p.select("doc_id", "line_no", "e_doc", "e_line", F.coalesce(F.pmod(F.xxhash64("doc_id", "line_no"), F.col("copies")).cast("int"), F.lit(0)).alias("salt"))
+    late = p.select("doc_id", F.struct("line_no", "e_doc", "e_line", "salt", F.lit(True).alias("late")).alias("w"))
+    early = p.select("e_doc", "e_line", "salt").distinct().select(F.col("e_doc").alias("doc_id"), F.struct(F.col("e_line").alias("line_no"), "e_doc", "e_line", "salt", F.lit(False).alias("late")).alias("w"))
+    by_doc = kept(late.unionByName(early).groupBy("doc_id").agg(F.collect_list("w").alias("wanted")), "line-wanted")
+    rows = _of_lines(texts, by_doc).select("doc_id", "text", "wanted").mapInArrow(_lines_out, "e_doc long, e_line int, salt int, late boolean, doc_id long, line_no int, words binary")
+    met = rows.repartition("e_doc", "e_line", "salt").sortWithinPartitions("e_doc", "e_line", "salt", "late")
+    return met.mapInArrow(_similar, "doc_id long, line_no int").distinct()
+
+
+def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, line_no) of all lines that go."""
     spark = tuned(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rank = spark.sparkContext.broadcast(rarity(texts))
-    lines = kept(texts.mapInArrow(_describe(rank), _LINES), "lines")
-    firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("f"), F.count("*").alias("lines"))
-    classes = kept(firsts.select("h1", "h2", "f.*", "lines"), "line-classes")
-    copies = lines.join(classes.filter("lines > 1").select("h1", "h2", F.col("doc_id").alias("f_doc"), F.col("line_no").alias("f_line")), ["h1", "h2"])
-    copies = copies.filter(~(F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("line_no") == F.col("f_line")))).select("doc_id", "line_no")
-
-    entry = classes.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("pos", "token"))
-    run = Window.partitionBy("token")
-    runs = entry.select("*", F.count("*").over(run).alias("size"), F.min(F.struct("doc_id", "line_no", "n", "pos")).over(run).alias("e")).filter("size > 1").drop("size")
-    runs = kept(runs, "line-runs")
-    near = runs.filter(_may_be_similar(F.col("n"), F.col("pos"), F.col("e.n"), F.col("e.pos")))
-    first = near.select("doc_id", "line_no", F.col("e.doc_id").alias("e_doc"), F.col("e.line_no").alias("e_line")).filter(~(F.col("doc_id").eqNullSafe(F.col("e_doc")) & (F.col("line_no") == F.col("e_line")))).distinct()
-    settled = kept(_verified(texts, first), "line-settled")
-
-    a = runs.drop("e").alias("a")
-    s = settled.alias("s")
-    open_ = a.join(s, F.col("a.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("a.line_no") == F.col("s.line_no")), "left_anti").alias("a")
-    b = runs.select(F.col("token").alias("b_token"), F.col("doc_id").alias("e_doc"), F.col("line_no").alias("e_line"), F.col("n").alias("m"), F.col("pos").alias("at"), F.struct(F.col("e.doc_id"), F.col("e.line_no")).alias("least")).alias("b")
-    earlier = F.struct("e_doc", "e_line") < F.struct("a.doc_id", "a.line_no")
-    not_seen = ~F.struct("e_doc", "e_line").eqNullSafe(F.col("least"))
-    rest = open_.join(b, (F.col("token") == F.col("b_token")) & earlier & not_seen & _may_be_similar(F.col("n"), F.col("pos"), F.col("m"), F.col("at")))
-    rest = rest.select("a.doc_id", "a.line_no", "e_doc", "e_line").distinct()
-    return copies.unionByName(settled).unionByName(_verified(texts, rest)), lines
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = texts.mapInArrow(_describe(rank, parts), "kind int, part int, blob binary")
+    met = met.repartition(parts, "part")
+    found = kept(met.mapInArrow(_met(LONG, HEADS), _PAIR), "lines-met")
+    key = ["doc_id", "line_no"]
+    copies = found.filter("bits < 0").select(*key)
+    pairs = found.filter("bits >= 0").groupBy(*key, "e_doc", "e_line").agg(F.min("bits").alias("bits"), F.max("more").alias("more"))
+    pairs = kept(pairs, "line-pairs")
+    best = pairs.groupBy(*key).agg(F.min(F.struct("bits", "e_doc", "e_line")).alias("b"), F.count("*").alias("k"), F.max("more").alias("more"))
+    best = kept(best.select(*key, "b.e_doc", "b.e_line", "k", "more"), "line-best")
+    settled = kept(_verified(texts, best), "line-settled")
+    failed = kept(_without(best, settled).filter("k > 1 OR more"), "line-failed")
+    rest = pairs.alias("p").join(failed.select(F.col("doc_id").alias("f_doc"), F.col("line_no").alias("f_line"), F.col("e_doc").alias("t_doc"), F.col("e_line").alias("t_line")).alias("f"), F.col("p.doc_id").eqNullSafe(F.col("f_doc")) & (F.col("p.line_no") == F.col("f_line")))
+    rest = rest.filter(~(F.col("e_doc").eqNullSafe(F.col("t_doc")) & (F.col("e_line") == F.col("t_line")))).select(*key, "e_doc", "e_line")
+    second = kept(_verified(texts, kept(rest, "line-rest")), "line-second")
+    gone = copies.unionByName(settled).unionByName(second)
+    last = kept(_without(failed.filter("more"), second).select(*key), "line-last")
+    for chunk in _chunks(last):
+        lines = spark.sparkContext.broadcast(chunk)
+        again = kept(met.mapInArrow(_met(LONG, HEADS, lines), _PAIR).select(*key, "e_doc", "e_line").distinct(), "line-again")
+        gone = gone.unionByName(kept(_verified(texts, again), "line-third"))
+    return gone
+
+
+def _without(lines: DataFrame, done: DataFrame) -> DataFrame:
+    d = done.select(F.col("doc_id").alias("d_doc"), F.col("line_no").alias("d_line"))
+    return lines.join(d, lines.doc_id.eqNullSafe(F.col("d_doc")) & (lines.line_no == F.col("d_line")), "left_anti")
+
+
+def _chunks(lines: DataFrame) -> Iterator[np.ndarray]:
+    """The lines as arrays of ``BROADCAST_ROWS`` at most; nothing if there are none."""
+    n = lines.count()
+    parts = -(-n // BROADCAST_ROWS)
+    for i in range(parts):
+        rows = lines.filter(F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(parts)) == i).collect() if parts > 1 else lines.collect()
+        out = np.empty(len(rows), [("doc", "<i8"), ("line", "<i4")])
+        out["doc"], out["line"] = [_NULL if r.doc_id is None else r.doc_id for r in rows], [r.line_no for r in rows]
+        yield out
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines that repeat earlier ones, and n_lines, n_removed of each document."""
-    gone, _ = later_matches(docs, id_col, text_col)
-    gone = kept(gone.distinct(), "lines-gone")
-    by_doc = gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone")).withColumnRenamed("doc_id", "_gone_id")
-    if gone.count() <= BROADCAST_ROWS:
+    gone = later_matches(docs, id_col, text_col)
+    by_doc = kept(gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone")).withColumnRenamed("doc_id", "_gone_id"), "lines-gone")
+    if by_doc.count() <= BROADCAST_ROWS:
         by_doc = F.broadcast(by_doc)
     joined = docs.join(by_doc, docs[id_col].cast("long").eqNullSafe(F.col("_gone_id")), "left").drop("_gone_id")
     none = F.array().cast("array<int>")
