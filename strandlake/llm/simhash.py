@@ -26,6 +26,8 @@ from .common import batches, column, kept, texts_of, tuned
 from .components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
+#: Ids of documents that go are broadcast up to so many, and exchanged beyond.
+BROADCAST_IDS = 1_000_000
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LANES = np.arange(8, dtype=np.int64) * 256
 
@@ -140,7 +142,21 @@ def first_of_groups(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
 
     A document whose id is null goes only if its group has another.
     """
-    labels = near_duplicates(docs, radius, id_col, text_col)
-    keep = labels.groupBy("component_id").agg(F.min("doc_id").alias("_first")).select("_first").distinct()
-    one = docs.dropDuplicates([id_col])
-    return one.join(keep, one[id_col].cast("long").eqNullSafe(F.col("_first"))).drop("_first")
+    labels = kept(near_duplicates(docs, radius, id_col, text_col).select("doc_id", "component_id"), "labels")
+    firsts = labels.groupBy("component_id").agg(F.min("doc_id").alias("_first"))
+    first_ids = firsts.select(F.col("_first").alias("_gone")).distinct()
+    ids = labels.select(F.col("doc_id").alias("_gone")).distinct()
+    gone = kept(_outside(ids, first_ids), "not-first")
+    out = _outside(docs.withColumn("_gone", F.col(id_col).cast("long")), F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone)
+    again = kept(labels.groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("doc_id").alias("_again")), "repeated-ids")
+    if not again.isEmpty():
+        more = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
+        marked = out.join(more, out["_gone"].eqNullSafe(F.col("_again")), "left_semi").dropDuplicates(["_gone"])
+        out = out.join(more, out["_gone"].eqNullSafe(F.col("_again")), "left_anti").unionByName(marked)
+    return out.drop("_gone")
+
+
+def _outside(rows: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows whose ``_gone`` isn't in the other table; null counts as a value."""
+    other = other.withColumnRenamed("_gone", "_other")
+    return rows.join(other, rows["_gone"].eqNullSafe(F.col("_other")), "left_anti")
