@@ -58,7 +58,15 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in column(batch, name)]
 
 
-def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: Caches that outlive a task in its Python worker.
+CACHES: list[dict] = []
+
+
+def batches(it: Iterable[pa.RecordBatch], caches: bool = False) -> Iterator[pa.RecordBatch]:
+    """Batches that have rows.  An operator that doesn't use the worker's caches frees them."""
+    if not caches:
+        for c in CACHES:
+            c.clear()
     return (b for b in it if b.num_rows)
 
 

@@ -7,7 +7,7 @@ escape probability d / (n + d) (n: occurrences, d: distinct symbols, the
 estimator called C) leads to the next shorter one, whose symbols seen above are
 excluded.  Statistics are frozen after learning, so a symbol's code length is a
 function of it and the three before: the trees of all languages are flattened
-into one table of code lengths in 1/4096 bit, and a text's exact code length in
+into one table of code lengths in 1/512 bit, and a text's exact code length in
 each language is a sum of table rows.  The shortest code names the language.
 
 Symbols: A-Z count as a-z; the most frequent bytes of the sample are symbols
@@ -29,9 +29,9 @@ from .common import batches, column, tuned
 UNKNOWN = "und"
 #: Learn from at most so many documents of a language, those of the least hash of their id.
 SAMPLE_DOCS = 400
-SYMBOLS, ORDER, UNIT = 48, 3, 4096
+SYMBOLS, ORDER, UNIT = 40, 3, 512
 #: The table's size bound; more languages get a shorter context.
-TABLE_BYTES = 160 << 20
+TABLE_BYTES = 64 << 20
 CHUNK = 1 << 20
 
 
@@ -44,7 +44,7 @@ class Model:
 
     def __init__(self, samples: dict[str, list[str]], symbols: int = SYMBOLS, order: int = ORDER) -> None:
         self.languages = sorted(samples)
-        while order > 1 and symbols ** (order + 1) * 4 * max(1, len(self.languages)) > TABLE_BYTES:
+        while order > 1 and symbols ** (order + 1) * 2 * max(1, len(self.languages)) > TABLE_BYTES:
             order -= 1
         self.order, self.symbols = order, symbols
         data = {k: [t.encode().lower() for t in samples[k]] for k in self.languages}
@@ -75,9 +75,9 @@ class Model:
         """Code length in bits of every symbol after every context."""
         a = self.symbols
         codes, counts = self.grams[language]
-        full = np.zeros(a ** (self.order + 1))
+        full = np.zeros(a ** (self.order + 1), np.float32)
         full[codes] = counts
-        p = np.full((1, a), 1.0 / a)
+        p = np.full((1, a), 1.0 / a, np.float32)
         for k in range(self.order + 1):
             c = full.reshape(-1, a**k, a).sum(axis=0)
             n, d = c.sum(axis=1, keepdims=True), (c > 0).sum(axis=1, keepdims=True)
@@ -90,13 +90,13 @@ class Model:
     @property
     def table(self) -> np.ndarray:
         if self._table is None:
-            self._table = np.empty((self.symbols ** (self.order + 1), len(self.languages)), np.int32)
+            self._table = np.empty((self.symbols ** (self.order + 1), len(self.languages)), np.uint16)
             for i, k in enumerate(self.languages):
                 self._table[:, i] = np.rint(self.lengths(k) * UNIT)
         return self._table
 
     def code_lengths(self, text: str) -> np.ndarray:
-        """Units of 1/4096 bit that the whole text takes in each language."""
+        """Units of 1/512 bit that the whole text takes in each language."""
         codes = self.codes(text.encode().lower())
         total = np.zeros(len(self.languages), np.int64)
         for i in range(0, len(codes), CHUNK):

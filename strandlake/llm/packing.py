@@ -123,7 +123,7 @@ def _base(round_: int) -> int:
 def _pack_texts(path: str, end_id: int, capacity: int):
     def pack(it) -> Iterator[pa.RecordBatch]:
         enc, bins, known = encoder(path), _Bins(capacity, _base(0)), {}
-        for batch in batches(it):
+        for batch in batches(it, caches=True):
             flat, n = enc.encode(texts_of(batch))
             at = 0
             for doc, k in zip(column(batch, "doc_id"), n.tolist()):

@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+from .common import CACHES
+
 #: A space next to other white space: there the plain split is not safe.
 _WS_SPACE, _SPACE_WS = re.compile(r"[^\S ] "), re.compile(r" [^\S ]")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -128,10 +130,11 @@ class PieceEncoder:
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
+CACHES.append(_ENCODERS)
 
 
 def encoder(path: str) -> PieceEncoder:
-    """One encoder for each Python worker; its cache outlives a task."""
+    """One encoder for each Python worker; its cache outlives a task, but not one of another kind."""
     if path not in _ENCODERS:
         _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]

@@ -114,7 +114,7 @@ def edited_counts(docs: DataFrame, tokenizer: str, rule: Callable[[str], list[Ed
 
     def run(it) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for batch in batches(it):
+        for batch in batches(it, caches=True):
             texts = texts_of(batch)
             given = [[(e["start"], e["end"], e["replacement"] or "") for e in x or []] for x in column(batch, "edits")] if "edits" in batch.schema.names else [rule(t) if rule else [] for t in texts]
             cut = [leaves(t) for t in texts]

@@ -133,7 +133,7 @@ def _shards(path: str, end_id: int, shard_ids: int):
                 x.clear()
             return out
 
-        for batch in batches(it):
+        for batch in batches(it, caches=True):
             flat, n = enc.encode(texts_of(batch))
             at = 0
             for doc, k in zip(column(batch, "doc_id"), n.tolist()):
