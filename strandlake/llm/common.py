@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch: whole texts travel in it, so it is kept short.
 BATCH_ROWS = 512
@@ -27,16 +28,22 @@ def tuned(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path in ``spark.checkpoint.dir``, which all executors share.
 
-    Where the session has none (local tests), a temporary folder is set once
-    for the session's life.
+    Where a local session (tests) has none, a temporary folder stands for it;
+    a cluster must name one, since its machines don't share theirs.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="strandlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        if "path" not in _LOCAL:
+            _LOCAL["path"] = tempfile.mkdtemp(prefix="strandlake-")
+        base = _LOCAL["path"]
     return f"{base.rstrip('/')}/strandlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again.
 
@@ -49,6 +56,20 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(name: str, *taken: list[str]) -> str:
+    """``name``, with as many underscores behind it as it takes to clash with no column."""
+    have = {c.lower() for cols in taken for c in cols}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
+def fits(df: DataFrame, row_bytes: int, list_col: str | None = None, item_bytes: int = 0, limit: int = 64 << 20) -> bool:
+    """Whether a table may be broadcast: its rows, and the items of a list column, take ``limit`` bytes at most."""
+    size = F.lit(row_bytes) + (F.size(list_col) * item_bytes if list_col else 0)
+    return (df.agg(F.sum(size.cast("long")).alias("n")).first().n or 0) <= limit
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, column, kept, texts_of, tuned
+from .common import batches, column, kept, tuned
 from .pieces import encoder
 
 CAPACITY = 2048
@@ -124,7 +124,7 @@ def _pack_texts(path: str, end_id: int, capacity: int):
     def pack(it) -> Iterator[pa.RecordBatch]:
         enc, bins, known = encoder(path), _Bins(capacity, _base(0)), {}
         for batch in batches(it, caches=True):
-            flat, n = enc.encode(texts_of(batch))
+            flat, n = enc.encode(batch.column(batch.schema.get_field_index("text")))
             at = 0
             for doc, k in zip(column(batch, "doc_id"), n.tolist()):
                 ids = np.append(flat[at : at + k], np.uint32(end_id)).astype("<u4").tobytes()

@@ -48,3 +48,18 @@ def windows(sums: np.ndarray, width: int, base: int = BASE) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     return mixed((sums[width:] - sums[:n]) * powers(len(sums), base)[1][:n])
+
+
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def eight(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from any position on, as a number; ``words`` is the data as 64-bit numbers."""
+    i, s = at >> 3, ((at & 7) << 3).astype(np.uint64)
+    return (words[i] >> s) | ((words[i + 1] << (np.uint64(63) - s)) << np.uint64(1))
+
+
+def ends(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First eight bytes of stretches, and the last eight of those that are longer; with the size they tell up to 16 bytes exactly."""
+    n = end - start
+    return eight(words, start) & _MASKS[np.minimum(n, 8)], np.where(n > 8, eight(words, end - 8), np.uint64(0))

@@ -18,7 +18,9 @@ Cases: a null text is empty and holds the end id alone; a null ``doc_id``
 comes first; repeated rows are documents of their own, in any order among
 themselves; an empty table gives an empty store; columns other than the two
 named ones are left out.  Long texts are encoded whole, a shard then holds
-one document.
+one document.  Spark bounds a value at 2 GB: a text is below that, and a
+document of 2^29 ids or more raises an error in the reader, which returns rows.
+An added token of the tokenizer that stands in a text becomes its id.
 """
 
 from __future__ import annotations
@@ -32,12 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, column, shared_folder, texts_of, tuned
+from .common import batches, column, shared_folder, tuned
 from .pieces import encoder
 
 MAGIC, HEAD = b"TKS1", "<4sBIQQ"
 SHARD_IDS = 1 << 20
 BLOCK_IDS = 4096
+#: A row's binary holds less than 2 GB (Spark's and Arrow's bound), so fewer ids than this.
+ROW_IDS = 1 << 29
 SHARD_SCHEMA = "part int, seq int, part_start long, n_docs long, n_ids long, first_doc long, last_doc long, blob binary"
 
 
@@ -119,28 +123,29 @@ def _shards(path: str, end_id: int, shard_ids: int):
     def write(it) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         bits, part = bits_for(enc.vocab), TaskContext.get().partitionId()
-        docs, lengths, ids, seq, start = [], [], [], 0, 0
+        docs, lengths, ids, seq, start, held = [], [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal seq, start
+            nonlocal seq, start, held
             every = np.concatenate(ids)
             known = [d for d in docs if d is not None]
             row = [part, seq, start, len(docs), len(every), min(known, default=None), max(known, default=None), shard_image(docs, lengths, every, bits)]
             kinds = [pa.int32(), pa.int32(), *[pa.int64()] * 5, pa.binary()]
             out = pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=["part", "seq", "part_start", "n_docs", "n_ids", "first_doc", "last_doc", "blob"])
-            seq, start = seq + 1, start + len(every)
+            seq, start, held = seq + 1, start + len(every), 0
             for x in (docs, lengths, ids):
                 x.clear()
             return out
 
         for batch in batches(it, caches=True):
-            flat, n = enc.encode(texts_of(batch))
+            flat, n = enc.encode(batch.column(batch.schema.get_field_index("text")))
             at = 0
             for doc, k in zip(column(batch, "doc_id"), n.tolist()):
-                if docs and sum(lengths) + k + 1 > shard_ids:
+                if docs and held + k + 1 > shard_ids:
                     yield flush()
                 docs.append(doc)
                 lengths.append(k + 1)
+                held += k + 1
                 ids += [flat[at : at + k], np.array([end_id], np.uint32)]
                 at += k
         if docs:
@@ -168,6 +173,8 @@ def _documents(it) -> Iterator[pa.RecordBatch]:
             shard = Shard(blob.as_py())
             flat = shard.ids(0, shard.n_ids).astype("<u4")
             n = np.diff(shard.starts)
+            if shard.n_ids >= ROW_IDS:
+                raise ValueError(f"a document of {shard.n_ids} ids doesn't fit a row; read it by Shard.ids")
             ends = pa.array(np.concatenate([[0], shard.starts[1:] * 4]).astype(np.int32))
             ids = pa.Array.from_buffers(pa.binary(), shard.n_docs, [None, ends.buffers()[1], pa.py_buffer(flat.tobytes())])
             yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids, pa.int64()), pa.array(shard.starts[:-1] + start.as_py()), pa.array(n), ids], names=["doc_id", "start", "n_tokens", "ids"])

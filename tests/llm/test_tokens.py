@@ -11,18 +11,20 @@ import pytest
 from .conftest import ODD
 
 from strandlake.llm import packing, token_counts, token_store
-from strandlake.llm.pieces import PieceEncoder, load_tokenizer
+from strandlake.llm.pieces import PieceEncoder
 
 
 @pytest.fixture(scope="module")
 def whole(tokenizer):
-    tok = load_tokenizer(tokenizer)
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer)  # as the library loads it
     return lambda texts: [e.ids for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def test_pieces_equal_whole_texts(tokenizer, whole):
     rnd = random.Random(1)
-    texts = [t or "" for t in ODD] + ["".join(rnd.choice(" \n\ta'sB1.,é　") for _ in range(rnd.randint(0, 40))) for _ in range(2000)]
+    texts = [t or "" for t in ODD] + ["".join(rnd.choice([*" \n\ta'sB1.,é　", "<|endoftext|>"]) for _ in range(rnd.randint(0, 40))) for _ in range(2000)]
     enc = PieceEncoder(tokenizer, limit=500)  # so small that it is cleared on the way
     got = []
     for i in range(0, len(texts), 100):
@@ -30,6 +32,7 @@ def test_pieces_equal_whole_texts(tokenizer, whole):
         got += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
         assert enc.counts(texts[i : i + 100]).tolist() == n.tolist()
     assert got == whole(texts)
+    assert 50256 in whole(["a <|endoftext|> b"])[0]
 
 
 @pytest.mark.parametrize("bits", [1, 5, 13, 16, 17, 32])
@@ -167,3 +170,54 @@ def test_counts_by_rule_and_by_table(spark, docs, odd_docs, no_docs, tokenizer,
     got = {(r.doc_id, r.n_chars): r for r in token_counts.edited_counts(odd_docs, tokenizer, edits=edits).collect()}
     assert got[7, 9].n_tokens_edited == len(whole(["two more words"])[0]) and got[6, 4].n_tokens_edited == len(whole(["w"])[0])
     assert got[0, 0].n_tokens == 0 and token_counts.edited_counts(no_docs, tokenizer).collect() == []
+
+
+def test_kept_trees_take_further_edits(spark, tokenizer, whole):
+    """A second call starts from the kept table and encodes what it touches alone; odd edits are skipped."""
+    text = "some words of a text " * 3000
+    df = spark.createDataFrame([(1, text), (None, "no id"), (2, None), (3, "abc def")], "doc_id long, text string")
+    trees = token_counts.build_trees(df, tokenizer)
+    edits = [(1, 5, 10, "WORDS"), (1, 8, 12, "overlaps"), (1, 40_000, 40_004, None), (1, 70_000, 70_001, "out"), (1, 9, 3, "back"), (1, None, 3, ""), (None, 0, 2, "an"), (2, 0, 0, "new"), (2, 0, 0, "er"), (3, 7, 7, " end")]
+    first = token_counts.apply_edits(trees, tokenizer, edits=spark.createDataFrame(edits, "doc_id long, start long, end long, replacement string"))
+    first = token_counts.kept(first, "trees")
+    rows = {r.doc_id: r for r in first.collect()}
+    once = text[:5] + "WORDS" + text[10:40_000] + text[40_004:]
+    want = {1: once, None: "an id", 2: "ernew", 3: "abc def end"}
+    assert {k: "".join(r.parts) for k, r in rows.items()} == want
+    assert {k: r.tokens[1] for k, r in rows.items()} == {k: len(whole([t])[0]) for k, t in want.items()}
+    assert (rows[1].n_edits, rows[1].n_skipped) == (2, 4) and rows[1].n_chars_encoded < 3000
+    again = {r.doc_id: r for r in token_counts.apply_edits(first, tokenizer, rule=lambda t: [(100, 101, "?")] if len(t) > 100 else []).collect()}
+    assert again[1].tokens[1] == len(whole([once[:100] + "?" + once[101:]])[0]) and again[1].n_chars_encoded < 1500
+    assert again[1].n_tokens_before == rows[1].tokens[1] and again[3].n_chars_encoded == 0
+
+
+def test_query_digests(spark, sf_dir, docs, whole):
+    """The registered queries' columns, types and checksums against the library itself."""
+    from strandlake.llm import queries
+
+    src = docs.orderBy("doc_id").collect()
+    want = {r.doc_id: x for r, x in zip(src, whole([r.text for r in src]))}
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    one = queries.op1_token_store(spark, sf_dir)
+    assert one.dtypes == [("doc_id", "bigint"), ("start", "bigint"), ("n_tokens", "bigint"), ("ids_crc32", "bigint")]
+    at, rows = 0, {r.doc_id: r for r in one.collect()}
+    for r in src:
+        ids = [*want[r.doc_id], 0]
+        assert tuple(rows[r.doc_id]) == (r.doc_id, at, len(ids), crc(ids))
+        at += len(ids)
+    ten = queries.op10_packing(spark, sf_dir).collect()
+    for r in ten:
+        ids = [*want[r.doc_id], 1]
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == crc(ids[r.start : r.start + r.length])
+    nine = queries.op9_token_counts(spark, sf_dir).collect()
+    assert {r.doc_id: r.n_tokens for r in nine} == {k: len(v) for k, v in want.items()}
+
+
+def test_a_very_long_text(spark, tokenizer, whole):
+    text = ("lorem ipsum  dolor\nsit amet, " * 60_000)[:1_500_000] + "x" * 300_000
+    df = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    ids = whole([text])[0]
+    _, rows = stored(spark, df, tokenizer)
+    assert np.frombuffer({r.doc_id: r for r in rows}[1].ids, "<u4").tolist() == [*ids, 0]
+    assert {r.doc_id: r.n_tokens for r in token_counts.edited_counts(df, tokenizer).collect()}[1] == len(ids)
+    packed_ok(packing.pack_documents(df, tokenizer).collect(), [(1, [*ids, 1]), (2, [*whole(["short"])[0], 1])])
