@@ -8,12 +8,17 @@ order of removals.  Blank lines stay.
 1. Words are counted over all documents in 65,536 hash buckets.  Tokens are
    ordered by their bucket's count, rarest first: the order only steers the
    filters, any total order is exact.
-2. Lines with equal sets meet by a 128-bit hash of the set; the earliest of
-   them stands for all, the others go.
+2. Lines with equal sets meet by a 128-bit name of the set: two sums over its
+   words, one of a polynomial hash of all bytes, one of a hash of length, first
+   and last eight bytes (which alone tell words of up to 16 bytes apart).  The
+   earliest of them stands for all, the others go.
 3. Two sets of n and m words with similarity t share ceil(t / (1 + t) (n + m))
    words, so both have a common word among their n - ceil(t n) + 1 rarest.  Lines
-   meet by those words, as packed arrays: one for each task and receiver.
-   In a word's run equal sets count once.
+   meet by those words, as packed arrays: one for each task and receiver; there
+   are more receivers for more words.  A word whose bucket is hot is split by
+   the set's size: a set enters its band (of sizes within a factor 1 / t) and
+   the next, so that all sizes that can match still meet.  In a word's run equal
+   sets count once.
 4. Length, position and bitmap filters bound the overlap of each pair of a run.
    The bitmap has the parity of the words in each of 128 hash cells: two sets
    differ in at least as many words as their bitmaps in bits.
@@ -22,12 +27,18 @@ order of removals.  Blank lines stay.
 6. Runs over ``SHORT`` sets, as of groups of near copies, give each line's few
    most promising partners only; in runs over ``LONG`` it is first held against
    the earliest ``HEADS`` sets, and against all others if none of them passes.
-   A line whose partners all fail their verification, and that has more, is held
-   against all.  So such groups give linearly many pairs, and no match is lost.
-
-Cases: null and empty texts have no line to lose; repeated rows (equal doc_id
-and text) are one document, each copy keeps what the first keeps; a null
-doc_id comes first in the order; other columns stay as they are.
+   Such runs are written out in chunks as well.  A line whose partners all fail
+   their verification, and that has more, is joined to its runs' chunks by word
+   and held against all of them.  So such groups give linearly many pairs, no
+   match is lost, and the documents are read for words once.
+
+Cases: null and empty texts have no line to lose; a document is its doc_id and
+text: rows with both equal are one document, each copy keeps what the first
+keeps, and rows that share a doc_id (or have none) but differ in text are
+documents of their own, in the order of their texts' hashes; a null doc_id
+comes first in the order.  All columns stay as they are; the counts are in
+``n_lines`` and ``n_removed``, with underscores behind where such a column is
+there already.
 """
 
 from __future__ import annotations
@@ -36,49 +47,57 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import batches, column, kept, packed, texts_of, tuned, unpacked
+from .common import batches, column, fits, free, kept, packed, texts_of, tuned, unpacked
 
 #: Similarity as a fraction.
 UP, DOWN = 4, 5
 BUCKET_BITS = 16
-#: Tables of one row a document or line go to the texts by broadcast up to so many rows, and by exchange beyond.
-BROADCAST_ROWS = 500_000
+#: Tables of one row a document go to the texts by broadcast up to so many bytes, and by exchange beyond.
+BROADCAST_BYTES = 64 << 20
+#: Words for each receiver; a bucket of more words than ``HOT_WORDS`` is split by size.
+PART_WORDS, HOT_WORDS = 1 << 22, 1 << 22
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every word, the line that it is in, and the number of lines of each text (lines counted through)."""
+
+
+def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Two hashes of every word, the line that it is in, and the number of lines of each text (lines counted through)."""
     coded = [t.encode().lower() for t in texts]
-    data = np.frombuffer(b"\n".join(coded), np.uint8)
+    joined = b"\n".join(coded)
+    padded = np.frombuffer(b"".join([bytes(8), joined, bytes(16 + -len(joined) % 8)]), np.uint8)
+    data = padded[8 : 8 + len(joined)]
     blank = np.ones(len(data) + 2, bool)
     blank[1:-1] = _BLANK[data]
     edge = np.flatnonzero(blank[1:] != blank[:-1])
     start, end = edge[::2], edge[1::2]
     line = np.concatenate([[0], np.cumsum(data == 10, dtype=np.int64)])[start]
-    return rolling.stretches(rolling.prefix(data), start, end), line, np.array([c.count(b"\n") + 1 for c in coded], np.int64)
+    first, last = rolling.ends(padded.view(np.uint64), start + 8, end + 8)
+    second = rolling.mixed(rolling.mixed(first + (end - start).astype(np.uint64) * np.uint64(rolling.MIX)) + last)
+    return rolling.stretches(rolling.prefix(data), start, end), second, line, np.array([c.count(b"\n") + 1 for c in coded], np.int64)
 
 
 def _count(it) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     for batch in batches(it):
-        h, _, _ = tokens(texts_of(batch))
+        h, _, _, _ = tokens(texts_of(batch))
         total += np.bincount(h >> np.uint64(64 - BUCKET_BITS), minlength=len(total))
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["bucket", "n"])
 
 
-def rarity(texts: DataFrame) -> np.ndarray:
-    """Rank of every bucket by the count of its words; 65,536 numbers whatever the corpus."""
+def rarity(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of every bucket by the count of its words, and the counts; 65,536 numbers whatever the corpus."""
     rows = texts.mapInArrow(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     for r in rows:
         total[r.bucket] = r.n
     rank = np.empty(1 << BUCKET_BITS, np.uint64)
     rank[np.argsort(total, kind="stable")] = np.arange(1 << BUCKET_BITS, dtype=np.uint64)
-    return rank
+    return rank, total
 
 
 def ordered(h: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -87,69 +106,104 @@ def ordered(h: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return (rank[h >> low] << low) | (h & np.uint64((1 << (64 - BUCKET_BITS)) - 1))
 
 
-def sets(h: np.ndarray, line: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lines that have words, their sets one after another in rarity order, first entry and size of each."""
+def sets(h: np.ndarray, second: np.ndarray, line: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines that have words, their sets (and second hashes) one after another in rarity order, first entry and size of each."""
     key = ordered(h, rank)
     order = np.argsort(key)
     if len(line) and line[-1] < 1 << 16:  # then the second sort is a radix sort
         order = order[np.argsort(line[order].astype(np.uint16), kind="stable")]
     else:
         order = np.lexsort((key, line))
-    key, line = key[order], line[order]
+    key, line, second = key[order], line[order], second[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
-    key, line = key[new], line[new]
+    key, line, second = key[new], line[new], second[new]
     lines, first = np.unique(line, return_index=True)
-    return lines, key, first, np.diff(np.append(first, len(key)))
+    return lines, key, second, first, np.diff(np.append(first, len(key)))
 
 
-#: Columns of the packed arrays: a null doc_id is the least number.
-_ENTRY = np.dtype([("token", "<u8"), ("set", "<u8"), ("bitmap", "<u8"), ("bitmap2", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("n", "<i4"), ("pos", "<i4")])
-_CLASS = np.dtype([("set", "<u8"), ("second", "<u8"), ("doc", "<i8"), ("line", "<i4")])
+#: Columns of the packed arrays: a null doc_id is the least number; ``sub`` tells texts of one doc_id apart.
+_ENTRY = np.dtype([("token", "<u8"), ("set", "<u8"), ("bitmap", "<u8"), ("bitmap2", "<u8"), ("doc", "<i8"), ("sub", "<i8"), ("line", "<i4"), ("n", "<i4"), ("pos", "<i4")])
+_CLASS = np.dtype([("set", "<u8"), ("second", "<u8"), ("doc", "<i8"), ("sub", "<i8"), ("line", "<i4")])
 _NULL = np.iinfo(np.int64).min
 FLUSH = 1 << 19
 #: Runs up to ``SHORT`` sets give all pairs that pass, up to ``LONG`` each line's ``NEAREST`` partners, longer ones the best among the heads.
 SHORT, NEAREST = 32, 3
 LONG, HEADS = 2048, 64
 HOT_PIVOT = 4096
-_PAIR = "doc_id long, line_no int, e_doc long, e_line int, bits int, more boolean"
-_PAIR_NAMES = [x.split()[0] for x in _PAIR.split(", ")]
+#: Rows of a run's chunk, and wanted lines that meet it at once.
+CHUNK, WANTED = 1 << 14, 1 << 10
+COPY, PAIR, MORE, RUN = range(4)
+_FOUND = "kind int, doc_id long, sub long, line_no int, e_doc long, e_sub long, e_line int, bits int, more boolean, token long, blob binary"
+_FOUND_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary()]
+_FOUND_NAMES = [x.split()[0] for x in _FOUND.split(", ")]
+_KEY, _EARLY = ["doc_id", "sub", "line_no"], ["e_doc", "e_sub", "e_line"]
+
+
+def _rows(kind: int, n: int, **cols) -> pa.RecordBatch:
+    """Rows of a kind; columns that are not given are null, and so is the doc_id that stands for null."""
+    out = []
+    for name, t in zip(_FOUND_NAMES, _FOUND_KINDS):
+        x = np.full(n, kind, np.int32) if name == "kind" else cols.get(name)
+        if x is None:
+            out.append(pa.nulls(n, t))
+        else:
+            out.append(pa.array(x, t, mask=x == _NULL) if name in ("doc_id", "e_doc") else pa.array(x, t))
+    return pa.RecordBatch.from_arrays(out, names=_FOUND_NAMES)
 
 
-def entries(texts: list[str], doc_ids: list, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def entries(texts: list[str], doc_ids: list, subs: list, rank: np.ndarray, hot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Class rows of all lines with words, and prefix rows (a set's first of the batch only)."""
-    h, line, n_lines = tokens(texts)
+    h, second, line, n_lines = tokens(texts)
     if not len(h):
         return np.zeros(0, _CLASS), np.zeros(0, _ENTRY)
-    lines, key, first, n = sets(h, line, rank)
+    lines, key, second, first, n = sets(h, second, line, rank)
     begins = np.cumsum(n_lines) - n_lines
     at_doc = np.searchsorted(begins, lines, side="right") - 1
     doc = np.array([_NULL if d is None else d for d in doc_ids], np.int64)[at_doc]
+    sub = np.array(subs, np.int64)[at_doc]
     cls = np.empty(len(lines), _CLASS)
     cls["set"] = np.add.reduceat(rolling.mixed(key), first)
-    cls["second"] = np.add.reduceat(rolling.mixed(key * np.uint64(rolling.BASE) + np.uint64(1)), first)
-    cls["doc"], cls["line"] = doc, lines - begins[at_doc]
+    cls["second"] = np.add.reduceat(second, first)
+    cls["doc"], cls["sub"], cls["line"] = doc, sub, lines - begins[at_doc]
     cell, upper = np.uint64(1) << (key & np.uint64(63)), (key >> np.uint64(6) & np.uint64(1)).astype(bool)
-    bitmap, second = (np.bitwise_xor.reduceat(np.where(upper == u, cell, np.uint64(0)), first) for u in (False, True))
+    bitmap, bitmap2 = (np.bitwise_xor.reduceat(np.where(upper == u, cell, np.uint64(0)), first) for u in (False, True))
     size = np.where(n > 3, n + (-UP * n // DOWN) + 1, 0)  # below four words only equal sets are similar enough
     one = np.zeros(len(lines), bool)  # the batch's earliest line of each set
-    order = np.lexsort((cls["line"], doc, cls["set"]))
+    order = np.lexsort((cls["line"], sub, doc, cls["set"]))
     one[order[np.concatenate([[True], cls["set"][order][1:] != cls["set"][order][:-1]])]] = True
     size[~one] = 0
     ends = np.cumsum(size)
     of = np.repeat(np.arange(len(lines)), size)
     pos = np.arange(ends[-1]) - np.repeat(ends - size, size)
     out = np.empty(len(of), _ENTRY)
-    out["token"], out["set"], out["bitmap"], out["bitmap2"] = key[first[of] + pos], cls["set"][of], bitmap[of], second[of]
-    out["doc"], out["line"], out["n"], out["pos"] = doc[of], cls["line"][of], n[of], pos
+    out["token"], out["set"], out["bitmap"], out["bitmap2"] = key[first[of] + pos], cls["set"][of], bitmap[of], bitmap2[of]
+    out["doc"], out["sub"], out["line"], out["n"], out["pos"] = doc[of], sub[of], cls["line"][of], n[of], pos
+    if hot is not None:
+        out = _banded(out, hot)
     return cls, out
 
 
+def _banded(e: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Hot words are split by the sets' sizes: each entry goes to its band and to the next."""
+    split = hot[(e["token"] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]  # the rank leads the token
+    if not split.any():
+        return e
+    own = e[split]
+    band = (np.log(own["n"]) / np.log(DOWN / UP) + 1e-9).astype(np.uint64)
+    out = [e[~split]]
+    for k in (0, 1):
+        x = own.copy()
+        x["token"] = rolling.mixed(own["token"] + (band + np.uint64(k + 1)) * np.uint64(rolling.BASE))
+        out.append(x)
+    return np.concatenate(out)
+
+
 def _describe(shared, parts: int):
     """Packed class rows (kind 0) and prefix rows (kind 1) for each receiver."""
 
     def run(it) -> Iterator[pa.RecordBatch]:
-        rank, held, size = shared.value, ([], []), 0
+        (rank, hot), held, size = shared.value, ([], []), 0
 
         def flush() -> pa.RecordBatch:
             rows = []
@@ -164,7 +218,7 @@ def _describe(shared, parts: int):
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["kind", "part", "blob"])
 
         for batch in batches(it):
-            found = entries(texts_of(batch), column(batch, "doc_id"), rank)
+            found = entries(texts_of(batch), column(batch, "doc_id"), column(batch, "sub"), rank, hot)
             for h, x in zip(held, found):
                 h.append(x)
             size += len(found[1])
@@ -217,22 +271,14 @@ def short_runs(e: Rows, starts: np.ndarray, m: int) -> Iterator[tuple[np.ndarray
         yield (late, early, bits, np.zeros(len(late), bool)) if m <= SHORT else _best(late, early, bits, NEAREST)
 
 
-def run_pairs(e: Rows, only: np.ndarray | None = None, long: int = LONG, heads_: int = HEADS) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def run_pairs(e: Rows, long: int = LONG, heads_: int = HEADS) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(late, early, bits, more) of one run, whose rows are in the order of lines.
 
-    ``more`` says that the line may have further partners here.  With ``only``
-    all partners of the marked rows are given.
+    ``more`` says that the line may have further partners here.
     """
     m = len(e["n"])
     every = np.arange(m)
     out = []
-    if only is not None:
-        late = np.flatnonzero(only)
-        for i in range(0, len(late), 256):
-            for j in range(0, m, 4096):
-                a, b, bits = passing(e, every[j : j + 4096], late[i : i + 256])
-                out.append((a, b, bits, np.zeros(len(a), bool)))
-        return out
     if m <= long:
         return list(short_runs(e, np.zeros(1, np.int64), m))
     heads, open_ = every[:heads_], []
@@ -260,190 +306,243 @@ def _best(a: np.ndarray, b: np.ndarray, bits: np.ndarray, k: int = 1) -> tuple[n
     return a[keep], b[keep], bits[keep], np.repeat(n > k, n)[keep] if k > 1 else np.ones(int(keep.sum()), bool)
 
 
-def _met(long: int, heads: int, failed=None):
-    """Lines that copy an earlier set (without a partner), and the pairs of each receiver's runs, every pair once.
+def _sorted(e: np.ndarray) -> np.ndarray:
+    """Rows by word and in the order of lines; in a word's run equal sets count once, as their earliest line."""
+    e = e[np.lexsort((e["line"], e["sub"], e["doc"], e["token"]) if e["sub"].any() else (e["line"], e["doc"], e["token"]))]
+    name = rolling.mixed(e["token"] * np.uint64(rolling.BASE) + e["set"]) + (e["bitmap"] ^ e["bitmap2"] * np.uint64(rolling.MIX))
+    order = np.argsort(name, kind="stable")
+    new = np.ones(len(e), bool)
+    new[1:] = name[order][1:] != name[order][:-1]
+    return e[np.sort(order[new])]
 
-    With ``failed`` only all partners of those lines.
-    """
+
+def _met(long: int, heads: int):
+    """Of each receiver: copies of earlier sets, pairs of its runs, lines that have more partners, and the chunks of their runs."""
 
     def run(it) -> Iterator[pa.RecordBatch]:
         blobs: tuple[list, list] = ([], [])
         for batch in batches(it):
             for kind, blob in zip(column(batch, "kind"), column(batch, "blob")):
                 blobs[kind].append(blob)
-        if failed is None:
-            yield _copies(unpacked(blobs[0], _CLASS))
-        e = unpacked(blobs[1], _ENTRY)
+        yield _copies(unpacked(blobs[0], _CLASS))
+        blobs[0].clear()
+        rows = unpacked(blobs[1], _ENTRY)
         blobs[1].clear()
-        e = e[np.lexsort((e["line"], e["doc"], e["set"], e["token"]))]
-        new = np.ones(len(e), bool)  # equal sets of a run count once, as their earliest line
-        new[1:] = (e["token"][1:] != e["token"][:-1]) | (e["set"][1:] != e["set"][:-1])
-        e = e[new]
-        e = e[np.lexsort((e["line"], e["doc"], e["token"]))]
-        starts = np.flatnonzero(np.concatenate([[True], e["token"][1:] != e["token"][:-1]])) if len(e) else np.zeros(0, np.int64)
-        ends = np.append(starts[1:], len(e))
-        wanted = None
-        if failed is not None:
-            lines = failed.value
-            key = np.empty(len(e), lines.dtype)
-            key["doc"], key["line"] = e["doc"], e["line"]
-            wanted = np.isin(key, lines)
-        e = {f: np.ascontiguousarray(e[f]) for f in _ENTRY.names}
-        out, size = [], 0
-        for found in _all_pairs(e, starts, ends - starts, long, heads, wanted):
-            if len(found[0]):
-                out.append(found)
-                size += len(found[0])
+        rows = _sorted(rows)
+        starts = np.flatnonzero(np.concatenate([[True], rows["token"][1:] != rows["token"][:-1]])) if len(rows) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(rows))
+        e = {f: np.ascontiguousarray(rows[f]) for f in _ENTRY.names}
+        out, size, more = [], 0, []
+        for late, early, bits, has_more in _all_pairs(e, starts, ends - starts, long, heads):
+            if len(late):
+                out.append((late, early, bits, has_more))
+                size += len(late)
+                if has_more.any():
+                    more.append(np.unique(late[has_more]))
             if size > 500_000:
                 yield _pair_rows(e, out)
                 out, size = [], 0
         if out:
             yield _pair_rows(e, out)
+        if more:
+            yield from _run_rows(rows, starts, ends, np.unique(np.concatenate(more)))
 
     return run
 
 
-def _all_pairs(e: Rows, starts: np.ndarray, sizes: np.ndarray, long: int, heads: int, wanted: np.ndarray | None) -> Iterator[tuple]:
+def _run_rows(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, more: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Entries of lines that have more partners, and the chunks of their runs."""
+    for i in range(0, len(more), CHUNK):
+        x = rows[more[i : i + CHUNK]]
+        yield _rows(MORE, len(x), doc_id=x["doc"].copy(), sub=x["sub"].copy(), line_no=x["line"].copy(), token=x["token"].copy().view(np.int64), blob=[packed(x[j : j + 1]) for j in range(len(x))])
+    tokens_, blobs, size = [], [], 0
+    for r in np.unique(np.searchsorted(starts, more, side="right") - 1).tolist():
+        for a in range(int(starts[r]), int(ends[r]), CHUNK):
+            tokens_.append(int(rows["token"][starts[r]].view(np.int64)))
+            blobs.append(packed(rows[a : min(a + CHUNK, int(ends[r]))]))
+            size += len(blobs[-1])
+            if size > 8 << 20:
+                yield _rows(RUN, len(blobs), token=tokens_, blob=blobs)
+                tokens_, blobs, size = [], [], 0
+    if blobs:
+        yield _rows(RUN, len(blobs), token=tokens_, blob=blobs)
+
+
+def _all_pairs(e: Rows, starts: np.ndarray, sizes: np.ndarray, long: int, heads: int) -> Iterator[tuple]:
     for m in np.unique(sizes[sizes > 1]).tolist():
         of = starts[sizes == m]
-        if wanted is None and m <= long:
+        if m <= long:
             yield from short_runs(e, of, m)
             continue
         for a in of.tolist():
-            if wanted is None or wanted[a : a + m].any():
-                for late, early, bits, more in run_pairs({f: x[a : a + m] for f, x in e.items()}, None if wanted is None else wanted[a : a + m], long, heads):
-                    yield late + a, early + a, bits, more
+            for late, early, bits, more in run_pairs({f: x[a : a + m] for f, x in e.items()}, long, heads):
+                yield late + a, early + a, bits, more
 
 
 def _pair_rows(e: Rows, found: list) -> pa.RecordBatch:
     late, early, bits, more = (np.concatenate(x) for x in zip(*found))
-    rows = np.unique(np.rec.fromarrays([e["doc"][late], e["line"][late], e["doc"][early], e["line"][early], bits.astype(np.int32), more]))
-    null = lambda c: pa.array(c, pa.int64(), mask=c == _NULL)
+    rows = np.unique(np.rec.fromarrays([e["doc"][late], e["sub"][late], e["line"][late], e["doc"][early], e["sub"][early], e["line"][early], bits.astype(np.int32), more]))
     cols = [np.ascontiguousarray(rows[f]) for f in rows.dtype.names]
-    return pa.RecordBatch.from_arrays([null(cols[0]), pa.array(cols[1]), null(cols[2]), *map(pa.array, cols[3:])], names=_PAIR_NAMES)
+    return _rows(PAIR, len(rows), **dict(zip([*_KEY, *_EARLY, "bits", "more"], cols)))
 
 
 def _copies(e: np.ndarray) -> pa.RecordBatch:
     """Lines whose set an earlier line has."""
-    e = e[np.lexsort((e["line"], e["doc"], e["second"], e["set"]))]
+    e = e[np.lexsort((e["line"], e["sub"], e["doc"], e["second"], e["set"]) if e["sub"].any() else (e["line"], e["doc"], e["second"], e["set"]))]
     later = np.zeros(len(e), bool)
     later[1:] = (e["set"][1:] == e["set"][:-1]) & (e["second"][1:] == e["second"][:-1])
     head = np.maximum.accumulate(np.where(later, 0, np.arange(len(e))))
-    e = e[later & ((e["doc"] != e["doc"][head]) | (e["line"] != e["line"][head]))]
-    doc, n = np.ascontiguousarray(e["doc"]), len(e)
-    cols = [pa.array(doc, pa.int64(), mask=doc == _NULL), pa.array(np.ascontiguousarray(e["line"])), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(np.full(n, -1, np.int32)), pa.array(np.zeros(n, bool))]
-    return pa.RecordBatch.from_arrays(cols, names=_PAIR_NAMES)
+    e = e[later & ((e["doc"] != e["doc"][head]) | (e["sub"] != e["sub"][head]) | (e["line"] != e["line"][head]))]
+    return _rows(COPY, len(e), doc_id=e["doc"].copy(), sub=e["sub"].copy(), line_no=e["line"].copy())
 
 
-def _of_lines(texts: DataFrame, by_doc: DataFrame, how: str = "inner") -> DataFrame:
-    """``texts`` with a table of one row a document, which is broadcast while it is small."""
-    by_doc = by_doc.withColumnRenamed("doc_id", "w_id")
-    if by_doc.count() <= BROADCAST_ROWS:
-        by_doc = F.broadcast(by_doc)
-    return texts.join(by_doc, texts.doc_id.eqNullSafe(by_doc.w_id), how).drop("w_id")
+def _held_against_all(it) -> Iterator[pa.RecordBatch]:
+    """All partners of wanted lines in a chunk of their run."""
+    for batch in batches(it):
+        for blob, wanted in zip(column(batch, "blob"), column(batch, "wanted")):
+            chunk, own = unpacked([blob], _ENTRY), unpacked(wanted, _ENTRY)
+            both = np.concatenate([chunk, own])
+            order = np.lexsort((both["line"], both["sub"], both["doc"]))
+            e = {f: np.ascontiguousarray(both[f][order]) for f in _ENTRY.names}
+            late, early = np.flatnonzero(order >= len(chunk)), np.flatnonzero(order < len(chunk))
+            for i in range(0, len(late), 256):
+                for j in range(0, len(early), 4096):
+                    a, b, _ = passing(e, early[j : j + 4096], late[i : i + 256])
+                    differ = e["set"][a] != e["set"][b]
+                    a, b = a[differ], b[differ]
+                    if len(a):
+                        yield _rows(PAIR, len(a), **{k: e[f][x] for x, names in ((a, _KEY), (b, _EARLY)) for k, f in zip(names, ("doc", "sub", "line"))})
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    """Equal keys; ``names`` are the right ones, the first of which may be null."""
+    on = left["doc_id"].eqNullSafe(right[names[0]]) & (left["sub"] == right[names[1]])
+    return on & (left["line_no"] == right[names[2]]) if len(names) > 2 else on
 
 
 def _lines_out(it) -> Iterator[pa.RecordBatch]:
     """Text of each wanted line, for each pivot that it is to meet."""
     for batch in batches(it):
         rows = []
-        for doc, text, wanted in zip(column(batch, "doc_id"), texts_of(batch), column(batch, "wanted")):
+        for doc, sub, text, wanted in zip(column(batch, "doc_id"), column(batch, "sub"), texts_of(batch), column(batch, "wanted")):
             lines = text.encode().lower().split(b"\n")
-            rows += [(w["e_doc"], w["e_line"], w["salt"], w["late"], doc, w["line_no"], lines[w["line_no"]]) for w in wanted if w["line_no"] < len(lines)]
+            rows += [(w["e_doc"], w["e_sub"], w["e_line"], w["salt"], w["late"], doc, sub, w["line_no"], lines[w["line_no"]]) for w in wanted if w["line_no"] < len(lines)]
         if rows:
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["e_doc", "e_line", "salt", "late", "doc_id", "line_no", "words"])
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[*_EARLY, "salt", "late", *_KEY, "words"])
 
 
 def _similar(it) -> Iterator[pa.RecordBatch]:
     """Lines that are similar enough to their pivot, which comes before them; one pivot in memory at a time."""
     at, pivot = None, frozenset()
     for batch in batches(it):
-        docs, numbers = [], []
-        for e_doc, e_line, salt, late, doc, line, words in zip(*(c.to_pylist() for c in batch.columns)):
+        found = []
+        for e_doc, e_sub, e_line, salt, late, doc, sub, line, words in zip(*(c.to_pylist() for c in batch.columns)):
             own = frozenset(words.split())
             if not late:
-                at, pivot = (e_doc, e_line, salt), own
-            elif at == (e_doc, e_line, salt):
+                at, pivot = (e_doc, e_sub, e_line, salt), own
+            elif at == (e_doc, e_sub, e_line, salt):
                 common = len(own & pivot)
                 if DOWN * common >= UP * (len(own) + len(pivot) - common):
-                    docs.append(doc)
-                    numbers.append(line)
-        if docs:
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(numbers, pa.int32())], names=["doc_id", "line_no"])
+                    found.append((doc, sub, line))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), (pa.int64(), pa.int64(), pa.int32()))], names=_KEY)
 
 
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc_id, line_no) of the pairs' later lines that are similar enough to their earlier ones.
+    """Keys of the pairs' later lines that are similar enough to their earlier ones.
 
     A pivot with many lines is sent out once for every ``HOT_PIVOT`` of them.
     """
-    hot = pairs.groupBy("e_doc", "e_line").agg(F.count("*").alias("k")).filter(F.col("k") > HOT_PIVOT).select(F.col("e_doc").alias("h_doc"), F.col("e_line").alias("h_line"), F.ceil(F.col("k") / HOT_PIVOT).cast("int").alias("copies"))
-    p = pairs.join(hot, pairs.e_doc.eqNullSafe(F.col("h_doc")) & (pairs.e_line == F.col("h_line")), "left")
-    p = p.select("doc_id", "line_no", "e_doc", "e_line", F.coalesce(F.pmod(F.xxhash64("doc_id", "line_no"), F.col("copies")).cast("int"), F.lit(0)).alias("salt"))
-    late = p.select("doc_id", F.struct("line_no", "e_doc", "e_line", "salt", F.lit(True).alias("late")).alias("w"))
-    early = p.select("e_doc", "e_line", "salt").distinct().select(F.col("e_doc").alias("doc_id"), F.struct(F.col("e_line").alias("line_no"), "e_doc", "e_line", "salt", F.lit(False).alias("late")).alias("w"))
-    by_doc = kept(late.unionByName(early).groupBy("doc_id").agg(F.collect_list("w").alias("wanted")), "line-wanted")
-    rows = _of_lines(texts, by_doc).select("doc_id", "text", "wanted").mapInArrow(_lines_out, "e_doc long, e_line int, salt int, late boolean, doc_id long, line_no int, words binary")
-    met = rows.repartition("e_doc", "e_line", "salt").sortWithinPartitions("e_doc", "e_line", "salt", "late")
-    return met.mapInArrow(_similar, "doc_id long, line_no int").distinct()
-
-
-def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line_no) of all lines that go."""
+    hot = pairs.groupBy(*_EARLY).agg(F.count("*").alias("k")).filter(F.col("k") > HOT_PIVOT)
+    hot = hot.select(F.col("e_doc").alias("h_doc"), F.col("e_sub").alias("h_sub"), F.col("e_line").alias("h_line"), F.ceil(F.col("k") / HOT_PIVOT).cast("int").alias("copies"))
+    p = pairs.join(hot, pairs.e_doc.eqNullSafe(F.col("h_doc")) & (pairs.e_sub == F.col("h_sub")) & (pairs.e_line == F.col("h_line")), "left")
+    p = p.select(*_KEY, *_EARLY, F.coalesce(F.pmod(F.xxhash64(*_KEY), F.col("copies")).cast("int"), F.lit(0)).alias("salt"))
+    late = p.select("doc_id", "sub", F.struct("line_no", *_EARLY, "salt", F.lit(True).alias("late")).alias("w"))
+    early = p.select(*_EARLY, "salt").distinct().select(F.col("e_doc").alias("doc_id"), F.col("e_sub").alias("sub"), F.struct(F.col("e_line").alias("line_no"), *_EARLY, "salt", F.lit(False).alias("late")).alias("w"))
+    by_doc = kept(late.unionByName(early).groupBy("doc_id", "sub").agg(F.collect_list("w").alias("wanted")), "line-wanted").select(F.col("doc_id").alias("w_id"), F.col("sub").alias("w_sub"), "wanted")
+    small = F.broadcast(by_doc) if fits(by_doc, 64, "wanted", 64, BROADCAST_BYTES) else by_doc
+    rows = texts.join(small, _same(texts, by_doc, ["w_id", "w_sub"])).select("doc_id", "sub", "text", "wanted")
+    rows = rows.mapInArrow(_lines_out, "e_doc long, e_sub long, e_line int, salt int, late boolean, doc_id long, sub long, line_no int, words binary")
+    met = rows.repartition(*_EARLY, "salt").sortWithinPartitions(*_EARLY, "salt", "late")
+    return met.mapInArrow(_similar, "doc_id long, sub long, line_no int").distinct()
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> Column | None:
+    """What tells documents of one doc_id apart: the text's hash, or None while no doc_id repeats."""
+    repeats = docs.groupBy(F.col(id_col).cast("long")).agg(F.count("*").alias("k")).filter("k > 1")
+    return None if repeats.isEmpty() else F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def _sub(of: Column | None) -> Column:
+    return (F.lit(0).cast("long") if of is None else of).alias("sub")
+
+
+def later_matches(docs: DataFrame, id_col: str, text_col: str, sub: Column | None) -> DataFrame:
+    """(doc_id, sub, line_no) of all lines that go; ``sub`` as of ``keyed``."""
     spark = tuned(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rank = spark.sparkContext.broadcast(rarity(texts))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = texts.mapInArrow(_describe(rank, parts), "kind int, part int, blob binary")
-    met = met.repartition(parts, "part")
-    found = kept(met.mapInArrow(_met(LONG, HEADS), _PAIR), "lines-met")
-    key = ["doc_id", "line_no"]
-    copies = found.filter("bits < 0").select(*key)
-    pairs = found.filter("bits >= 0").groupBy(*key, "e_doc", "e_line").agg(F.min("bits").alias("bits"), F.max("more").alias("more"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), _sub(sub), F.col(text_col).cast("string").alias("text"))
+    rank, total = rarity(texts)
+    hot = np.zeros(1 << BUCKET_BITS, bool)
+    hot[rank.astype(np.int64)] = total > HOT_WORDS
+    shared = spark.sparkContext.broadcast((rank, hot))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total.sum() // PART_WORDS))
+    met = texts.mapInArrow(_describe(shared, parts), "kind int, part int, blob binary").repartition(parts, "part")
+    found = kept(met.mapInArrow(_met(LONG, HEADS), _FOUND), "lines-met")
+    copies = found.filter(F.col("kind") == COPY).select(*_KEY)
+    pairs = found.filter(F.col("kind") == PAIR).groupBy(*_KEY, *_EARLY).agg(F.min("bits").alias("bits"), F.max("more").alias("more"))
     pairs = kept(pairs, "line-pairs")
-    best = pairs.groupBy(*key).agg(F.min(F.struct("bits", "e_doc", "e_line")).alias("b"), F.count("*").alias("k"), F.max("more").alias("more"))
-    best = kept(best.select(*key, "b.e_doc", "b.e_line", "k", "more"), "line-best")
-    settled = kept(_verified(texts, best), "line-settled")
+    once = texts if sub is None else texts.dropDuplicates(["doc_id", "sub"])
+    best = pairs.groupBy(*_KEY).agg(F.min(F.struct("bits", *_EARLY)).alias("b"), F.count("*").alias("k"), F.max("more").alias("more"))
+    best = kept(best.select(*_KEY, *(f"b.{c}" for c in _EARLY), "k", "more"), "line-best")
+    settled = kept(_verified(once, best), "line-settled")
     failed = kept(_without(best, settled).filter("k > 1 OR more"), "line-failed")
-    rest = pairs.alias("p").join(failed.select(F.col("doc_id").alias("f_doc"), F.col("line_no").alias("f_line"), F.col("e_doc").alias("t_doc"), F.col("e_line").alias("t_line")).alias("f"), F.col("p.doc_id").eqNullSafe(F.col("f_doc")) & (F.col("p.line_no") == F.col("f_line")))
-    rest = rest.filter(~(F.col("e_doc").eqNullSafe(F.col("t_doc")) & (F.col("e_line") == F.col("t_line")))).select(*key, "e_doc", "e_line")
-    second = kept(_verified(texts, kept(rest, "line-rest")), "line-second")
+    f = failed.select(F.col("doc_id").alias("f_doc"), F.col("sub").alias("f_sub"), F.col("line_no").alias("f_line"), F.col("e_doc").alias("t_doc"), F.col("e_sub").alias("t_sub"), F.col("e_line").alias("t_line"))
+    rest = pairs.join(f, _same(pairs, f, ["f_doc", "f_sub", "f_line"]))
+    rest = rest.filter(~(F.col("e_doc").eqNullSafe(F.col("t_doc")) & (F.col("e_sub") == F.col("t_sub")) & (F.col("e_line") == F.col("t_line")))).select(*_KEY, *_EARLY)
+    second = kept(_verified(once, kept(rest, "line-rest")), "line-second")
+    last = kept(_without(failed.filter("more"), second).select(*_KEY), "line-last")
     gone = copies.unionByName(settled).unionByName(second)
-    last = kept(_without(failed.filter("more"), second).select(*key), "line-last")
-    for chunk in _chunks(last):
-        lines = spark.sparkContext.broadcast(chunk)
-        again = kept(met.mapInArrow(_met(LONG, HEADS, lines), _PAIR).select(*key, "e_doc", "e_line").distinct(), "line-again")
-        gone = gone.unionByName(kept(_verified(texts, again), "line-third"))
-    return gone
+    if last.isEmpty():
+        return gone
+    return gone.unionByName(_third(once, found, last))
+
+
+def _third(texts: DataFrame, found: DataFrame, last: DataFrame) -> DataFrame:
+    """Lines that are similar to any line of their runs; runs and lines meet by word, in chunks on both sides."""
+    own = found.filter(F.col("kind") == MORE).select(*_KEY, "token", "blob")
+    w = last.select(F.col("doc_id").alias("w_doc"), F.col("sub").alias("w_sub"), F.col("line_no").alias("w_line"))
+    wanted = kept(own.join(w, _same(own, w, ["w_doc", "w_sub", "w_line"]), "left_semi"), "lines-open")
+    many = wanted.groupBy("token").agg(F.ceil(F.count("*") / WANTED).alias("groups"))
+    lists = wanted.join(many, "token").withColumn("group", F.pmod(F.xxhash64(*_KEY), F.col("groups"))).groupBy("token", "group").agg(F.collect_list("blob").alias("wanted")).select("token", "wanted")
+    runs = found.filter(F.col("kind") == RUN).select("token", "blob")
+    again = runs.join(lists, "token").select("blob", "wanted").mapInArrow(_held_against_all, _FOUND).select(*_KEY, *_EARLY).distinct()
+    return kept(_verified(texts, kept(again, "line-again")), "line-third")
 
 
 def _without(lines: DataFrame, done: DataFrame) -> DataFrame:
-    d = done.select(F.col("doc_id").alias("d_doc"), F.col("line_no").alias("d_line"))
-    return lines.join(d, lines.doc_id.eqNullSafe(F.col("d_doc")) & (lines.line_no == F.col("d_line")), "left_anti")
+    d = done.select(F.col("doc_id").alias("d_doc"), F.col("sub").alias("d_sub"), F.col("line_no").alias("d_line"))
+    return lines.join(d, _same(lines, d, ["d_doc", "d_sub", "d_line"]), "left_anti")
 
 
-def _chunks(lines: DataFrame) -> Iterator[np.ndarray]:
-    """The lines as arrays of ``BROADCAST_ROWS`` at most; nothing if there are none."""
-    n = lines.count()
-    parts = -(-n // BROADCAST_ROWS)
-    for i in range(parts):
-        rows = lines.filter(F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(parts)) == i).collect() if parts > 1 else lines.collect()
-        out = np.empty(len(rows), [("doc", "<i8"), ("line", "<i4")])
-        out["doc"], out["line"] = [_NULL if r.doc_id is None else r.doc_id for r in rows], [r.line_no for r in rows]
-        yield out
+def count_names(docs: DataFrame) -> tuple[str, str]:
+    """Names of the two counts that ``dedup_lines`` adds."""
+    return free("n_lines", docs.columns), free("n_removed", docs.columns)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the lines that repeat earlier ones, and n_lines, n_removed of each document."""
-    gone = later_matches(docs, id_col, text_col)
-    by_doc = kept(gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone")).withColumnRenamed("doc_id", "_gone_id"), "lines-gone")
-    if by_doc.count() <= BROADCAST_ROWS:
-        by_doc = F.broadcast(by_doc)
-    joined = docs.join(by_doc, docs[id_col].cast("long").eqNullSafe(F.col("_gone_id")), "left").drop("_gone_id")
-    none = F.array().cast("array<int>")
-    lines = F.split(F.col(text_col), "\n", -1)
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left)
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")
-    return joined.withColumn("n_lines", n_lines).withColumn("n_removed", F.size(F.coalesce("_gone", none)).cast("long")).withColumn(text_col, text).drop("_gone")
+    """``docs`` without the lines that repeat earlier ones, and the number of lines and of removed ones (see ``count_names``)."""
+    sub = keyed(docs, id_col, text_col)
+    gone = later_matches(docs, id_col, text_col, sub)
+    by_doc = kept(gone.groupBy("doc_id", "sub").agg(F.collect_set("line_no").alias("gone")), "lines-gone").select(F.col("doc_id").alias("g_id"), F.col("sub").alias("g_sub"), "gone")
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("doc_id"), _sub(sub))
+    small = F.broadcast(by_doc) if fits(by_doc, 64, "gone", 4, BROADCAST_BYTES) else by_doc
+    joined = rows.join(small, _same(rows, by_doc, ["g_id", "g_sub"]), "left")
+    own = F.col("row").getField(text_col)
+    lines = F.split(own.cast("string"), "\n", -1)
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n")
+    text = F.when(F.col("gone").isNull(), own).otherwise(left)
+    n_lines = F.when(own.isNull(), 0).otherwise(F.size(lines)).cast("long")
+    n_removed = F.coalesce(F.size("gone"), F.lit(0)).cast("long")
+    names = count_names(docs)
+    return joined.select(*((text if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns), n_lines.alias(names[0]), F.greatest(n_removed, F.lit(0).cast("long")).alias(names[1]))

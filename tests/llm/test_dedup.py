@@ -115,9 +115,9 @@ def kept_lines(rows: list) -> Counter:
     return gone
 
 
-@pytest.mark.parametrize("long, heads, hot, broadcast", [(32, 16, 4096, 500_000), (2, 1, 2, 500_000), (2, 1, 4096, 3)])
-def test_lines(spark, monkeypatch, long, heads, hot, broadcast):
-    for k, v in (("LONG", long), ("HEADS", heads), ("HOT_PIVOT", hot), ("BROADCAST_ROWS", broadcast)):
+@pytest.mark.parametrize("long, heads, hot, broadcast, short, words", [(32, 16, 4096, 1 << 20, 32, 1 << 22), (2, 1, 2, 1 << 20, 2, 1 << 22), (2, 1, 4096, 3, 2, 3), (64, 4, 4096, 1 << 20, 2, 3)])
+def test_lines(spark, monkeypatch, long, heads, hot, broadcast, short, words):
+    for k, v in (("LONG", long), ("HEADS", heads), ("HOT_PIVOT", hot), ("BROADCAST_BYTES", broadcast), ("SHORT", short), ("NEAREST", 1 if short == 2 else 3), ("HOT_WORDS", words), ("CHUNK", 3 if short == 2 else 1 << 14), ("WANTED", 2 if short == 2 else 1024)):
         monkeypatch.setattr(lines, k, v)
     rnd = random.Random(11)
     words = [f"w{i}" for i in range(40)]
@@ -147,18 +147,33 @@ def test_lines_of_odd_rows(odd_docs, no_docs):
     assert lines.dedup_lines(no_docs).collect() == []
 
 
-def test_run_filters_lose_nothing():
+def test_lines_of_documents_that_share_an_id(spark):
+    """Texts of one id, or of none, are documents of their own; columns of the counts' names stay."""
+    rows = [(None, "aa bb cc dd\nee ff gg hh", 777, 5, "g"), (None, "ii jj kk ll\naa bb cc dd", 778, 6, "h"), (4, "one two three four\nee ff gg hh", 1, 1, None), (4, "five six seven eight\none two three four", 2, 2, None), (4, "five six seven eight\none two three four", 3, 2, None)]
+    left = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, n_lines int, n_removed int, _gone string"))
+    assert left.columns == ["doc_id", "text", "n_lines", "n_removed", "_gone", "n_lines_", "n_removed_"]
+    got = {(r.doc_id, r.n_lines): r for r in left.collect()}
+    assert len(got) == 5 and got[None, 777].n_removed == 5 and got[None, 777]._gone == "g"
+    both = sorted([got[None, 777].text, got[None, 778].text])  # the order among them is that of their hashes
+    assert both in (["aa bb cc dd\nee ff gg hh", "ii jj kk ll"], ["ee ff gg hh", "ii jj kk ll\naa bb cc dd"])
+    assert got[4, 2].text == got[4, 3].text and (got[4, 2].n_removed_, got[4, 3].n_removed_) in ((0, 0), (1, 1))
+    texts = "\n".join(r.text for k, r in got.items() if k[1] != 3).split("\n")
+    assert sorted(x for x in texts if x) == sorted(["aa bb cc dd", "ee ff gg hh", "ii jj kk ll", "one two three four", "five six seven eight"])
+
+
+def test_run_filters_lose_nothing(monkeypatch):
     """Whatever the shape of a run, each pair over the threshold passes the filters."""
     rnd = random.Random(4)
     rank = np.arange(65536, dtype=np.uint64)
     texts = [" ".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(3, 12))) for _ in range(150)]
     sets = [frozenset(t.split()) for t in texts]
-    _, e = lines.entries(["\n".join(texts)], [1], rank)
+    _, e = lines.entries(["\n".join(texts)], [1], [0], rank)
+    monkeypatch.setattr(lines, "SHORT", 1 << 20)
     found = set()
     for token in np.unique(e["token"]):
         run = e[e["token"] == token]
         run = run[np.argsort(run["line"])]
-        for late, early, _, _ in lines.run_pairs(run, np.ones(len(run), bool)):
+        for late, early, _, _ in lines.run_pairs({f: run[f] for f in run.dtype.names}) if len(run) > 1 else ():
             found |= set(zip(run["line"][late].tolist(), run["line"][early].tolist()))
     first = {s: i for i, s in reversed(list(enumerate(sets)))}
     for i, s in enumerate(sets):
