@@ -31,8 +31,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; one that had words and lost all of them goes."""
-    left = lines.dedup_lines(docs)
-    return left.filter((F.col("n_removed") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != "")).select(*docs.columns)
+    left, (_, removed) = lines.dedup_lines(docs), lines.count_names(docs)
+    return left.filter((F.col(removed) == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != "")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
