@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -85,16 +87,57 @@ def test_held_out_accuracy(docs):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
-def test_code_lengths_by_hand():
-    m = language.Model({"x": ["abab"], "y": ["bbbb"]}, symbols=4, order=2)
-    table = m.table.reshape(4, 4, 4, 2)
-    bits = np.zeros(2, np.int64)
-    s = [m.map[b] for b in b"  abab"]
-    for i in range(2, 6):
-        bits += table[s[i - 2], s[i - 1], s[i]]
-    assert (m.code_lengths("abab") == bits).all() and m.predict("abab")[0] == "x" and m.predict("bbb")[0] == "y"
-    for k in "xy":  # escapes with exclusion leave a distribution, or less
-        assert np.exp2(-m.lengths(k).reshape(-1, 4)).sum(axis=1).max() <= 1 + 1e-9
+def plain_ppm(samples: list[str], text: str, order: int) -> float:
+    """Bits of a text under a byte context tree with escapes and exclusion, symbol by symbol."""
+    seen: dict[bytes, Counter] = defaultdict(Counter)
+    for t in samples:
+        data = b" " * order + t.encode().lower()
+        for i in range(order, len(data)):
+            for k in range(order + 1):
+                seen[data[i - k : i]][data[i]] += 1
+
+    def p(context: bytes, symbol: int, top: bool = True) -> float:
+        """Probability by the tree from this context down."""
+        c = seen.get(context)
+        lower = (lambda x: p(context[1:], x)) if context else (lambda x: 1 / 256)
+        if not c:
+            return lower(symbol)
+        n, d = sum(c.values()), len(c)
+        if symbol in c:
+            return c[symbol] / (n + d)
+        return d / (n + d) * lower(symbol) / (1 - sum(lower(x) for x in c))
+
+    data, bits = b" " * order + text.encode().lower(), 0.0
+    for i in range(order, len(data)):
+        bits -= math.log2(p(data[i - order : i], data[i]))
+    return bits
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_code_lengths_equal_plain_ppm(order):
+    rnd = random.Random(order)
+    words = ["the", "café", "слово", "日本", "ing", "!?", "\n", "Él", "\U0001f600"]
+    some = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    samples = {"x": [some(40) for _ in range(4)], "y": [some(25), "", "abab" * 9], "z": ["q"]}
+    m = language.Model(samples, order=order)
+    for text in (some(30), "nothing seen zzz ÿ", "a", "слово café " * 3):
+        want = [plain_ppm(samples[k], text, order) for k in m.languages]
+        assert np.allclose(m.code_lengths(text) / language.UNIT, want, atol=1e-3 * len(text.encode()), rtol=1e-5)
+        assert (m.code_lengths(text) == m.code_lengths(text)).all()
+    texts = [some(3) for _ in range(20)] + [None, "", "12", "abab"]
+    assert m.predict_all(texts) == [m.predict(t) for t in texts]
+
+
+def test_cache_conflicts_and_many_languages(monkeypatch):
+    """Neither a tiny cache nor the number of languages changes a code length."""
+    samples = {f"l{i:02}": [f"text number {i} of some {'abcdefgh'[i % 8] * 5} words"] for i in range(20)}
+    text = "some text of words with number and bbbbb " * 5
+    want = language.Model(samples).code_lengths(text)
+    monkeypatch.setattr(language, "SLOT_BITS", 3)
+    monkeypatch.setattr(language, "CHUNK", 7)
+    m = language.Model(samples)
+    assert m.order == 3 and (m.code_lengths(text) == want).all()
+    assert m.predict_all([text, "x"]) == [m.predict(text), m.predict("x")]
 
 
 def test_language_of_odd_rows(spark, odd_docs, no_docs):
