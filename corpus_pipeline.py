@@ -25,8 +25,8 @@ CLEAR = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a clear language."""
-    found = language.judged(docs, language.learn(docs))
-    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= CLEAR)).select(*docs.columns)
+    found, (lang, score) = language.judged(docs, language.learn(docs)), language.judged_names(docs)
+    return found.filter((F.col(lang) != language.UNKNOWN) & (F.col(score) >= CLEAR)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
