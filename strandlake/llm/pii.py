@@ -3,13 +3,17 @@
 Kinds are email, ip, card and phone.  *Base* matches follow fixed patterns and
 checks and always stay.  High-recall generators also propose spans in freer
 forms (an address spelled with "at" and "dot", numbers with other separators,
-numbers without a leading plus), which may overlap.  Boosted trees score each
-proposal by its format and by the text around it; a threshold for each kind,
-set on held-out examples so that precision is kept, selects the redactions.
-Selected spans that overlap a base span or a better one give way.
-
-The trees learn from labelled examples that ``examples`` makes from a seed, so
-every run has the same model and no corpus row is read for it.
+numbers without a leading plus), which may overlap, and, as a fifth kind that
+only the method adds, secrets: values given to a token, key or password.
+Boosted trees score each proposal by its format and by the text around it; a
+threshold for each kind, set on held-out examples so that precision is kept,
+selects the redactions.  Selected spans that overlap a base span or a better
+one give way.
+
+The trees learn from examples that ``examples`` makes from a seed and, where
+``labelled`` gives them, from spans of a bounded sample of the corpus: a
+proposal that a base match confirms is personal data, any other that touches
+none is not.  Half of either sets the thresholds.
 """
 
 from __future__ import annotations
@@ -27,6 +31,10 @@ from pyspark.sql import functions as F
 from .common import batches, column, texts_of, tuned
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds of all spans, in their order.
+EVERY_KIND = (*KINDS, "secret")
+#: Documents, and bytes of each, that ``labelled`` takes proposals from at most.
+SAMPLE_DOCS, SAMPLE_BYTES = 2000, 1 << 15
 Span = tuple[str, int, int]
 
 # The base patterns.
@@ -84,7 +92,9 @@ def base_spans(text: str) -> list[Span]:
 _WIDE_EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}(?:\s?(?:@|\(at\)|\[at\]|\{at\})\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\.|\(dot\)|\[dot\])\s?[A-Za-z0-9-]{2,24}| dot [A-Za-z0-9-]{2,24}){1,4}| at [A-Za-z0-9-]{1,63}(?: dot [A-Za-z0-9-]{2,24}){1,4})", re.I)
 _WIDE_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?: ?\. ?|\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9])")
 _WIDE_CARD = re.compile(r"(?<![0-9])[0-9](?:[ ./_-]{0,2}[0-9]){12,18}(?![0-9])")
-_WIDE_PHONE = re.compile(r"(?<![0-9A-Za-z])(?:\(?[0-9]{2,4}\)?[ ./-]{1,2})(?:[0-9]{2,4}[ ./-]{1,2}){0,4}[0-9]{2,5}(?![0-9A-Za-z])")
+_WIDE_PHONE = re.compile(r"(?<![0-9A-Za-z])(?:\(?[0-9]{2,4}\)?[ ./-]{1,2})(?:[0-9]{2,6}[ ./-]{1,2}){0,4}[0-9]{2,5}(?![0-9A-Za-z])")
+_SECRET = re.compile(r"""(?<![A-Za-z0-9])(?:api|access|private|client|secret|auth)?[ _-]?(?:token|secret|password|passwd|pwd|key|bearer|credentials?)["']?\s{0,2}(?:=>|:=|=|:|\bis\b)\s{0,2}["']?([A-Za-z0-9+/_.=~!@#$%^&*-]{8,200})""", re.I)
+_KEYED = re.compile("token|secret|passw|pwd|key|bearer|credential", re.I)
 _WIDE = {"email": _WIDE_EMAIL, "ip": _WIDE_IP, "card": _WIDE_CARD, "phone": _WIDE_PHONE}
 _AT = re.compile(r"@|[(\[{]at[)\]}]| at \S{1,63} dot ", re.I)
 
@@ -94,10 +104,15 @@ CUES = {
     "ip": ("ip", "host", "server", "addr", "ping", "login", "network"),
     "card": ("card", "visa", "mastercard", "amex", "credit", "payment", "karte", "carte", "tarjeta"),
     "phone": ("phone", "tel", "call", "mobile", "cell", "fax", "sms", "telefon", "whatsapp", "number"),
+    "secret": ("token", "secret", "password", "passwd", "pwd", "key", "api", "bearer", "credential", "credentials"),
 }
+TOP_DOMAINS = ("com", "org", "net", "edu", "gov", "info", "example", "de", "fr", "es", "uk", "io", "eu", "us")
 OTHER_CUES = ("version", "isbn", "order", "invoice", "page", "chapter", "serial", "date", "total", "section", "build", "ref", "sum", "score", "year")
 _DATE = re.compile(r"(?:19|20)[0-9]{2}|[0-3]?[0-9][./-][01]?[0-9][./-](?:19|20)?[0-9]{2}\Z")
-_NAMES = ["kind", "digits", "groups", "longest group", "shortest group", "equal groups", "separator", "luhn", "parens", "first digit", "octets", "leading zero", "date", "letters", "cue", "other cue", "cue of another kind", "before", "after", "has at", "spelled", "last group", "length"]
+_NAMES = ["kind", "digits", "groups", "longest group", "shortest group", "equal groups", "separator", "luhn", "parens", "first digit", "octets", "leading zero", "date", "letters", "cue", "other cue", "cue of another kind", "before", "after", "has at", "spelled", "last group", "length", "distinct", "switches", "hex", "top domain"]
+
+
+_HEX = re.compile(r"[0-9a-fA-F]{16,}\Z")
 
 
 def _edge(c: str) -> int:
@@ -115,11 +130,12 @@ def features(text: str, span: Span) -> list[float]:
     separators = set(re.sub(r"[0-9A-Za-z]", "", s))
     separator = 0 if not separators else 1 if separators == {" "} else 2 if separators == {"-"} else 3 if separators == {"."} else 4 if separators <= set(" ()-") else 5
     return [
-        KINDS.index(kind), len(digits), len(sizes), max(sizes), min(sizes), float(len(set(sizes)) == 1), separator,
+        EVERY_KIND.index(kind), len(digits), len(sizes), max(sizes), min(sizes), float(len(set(sizes)) == 1), separator,
         float(bool(digits) and luhn(digits)), float("(" in s and ")" in s), float(digits[:1] or -1),
         float(len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups)), float(any(len(g) > 1 and g[0] == "0" for g in groups)), float(bool(_DATE.match(s.replace(" ", "")))),
-        sum(c.isalpha() for c in s), float(any(w in words for w in CUES[kind])), float(any(w in words for w in OTHER_CUES)), float(any(w in words for k in KINDS if k != kind for w in CUES[k])),
+        sum(c.isalpha() for c in s), float(any(w in words for w in CUES[kind])), float(any(w in words for w in OTHER_CUES)), float(any(w in words for k in EVERY_KIND if k != kind for w in CUES[k])),
         _edge(before[-1:]), _edge(behind[:1]), float("@" in s), float(bool(re.search(r"[(\[{]\s?(?:at|dot)\s?[)\]}]|\bat\b.*\bdot\b", s, re.I))), sizes[-1], b - a,
+        len(set(s)), sum(c.isdigit() != d.isdigit() for c, d in zip(s, s[1:])), float(bool(_HEX.match(s))), float(s.lower().rstrip().endswith(TOP_DOMAINS)),
     ]
 
 
@@ -131,6 +147,8 @@ def proposals(text: str) -> list[Span]:
     if _DIGITS.search(text):
         for kind in ("ip", "card", "phone"):
             found += [(kind, m.start(), m.end()) for m in _WIDE[kind].finditer(text) if kind != "phone" or 7 <= len(_only_digits(m[0])) <= 15]
+    if _KEYED.search(text):
+        found += [("secret", m.start(1), m.end(1)) for m in _SECRET.finditer(text)]
     return found
 
 
@@ -203,12 +221,22 @@ def examples(n: int, seed: int) -> list[tuple[str, Span, bool]]:
 
     def email() -> str:
         at, dot = rnd.choice([("(at)", "(dot)"), ("[at]", "[dot]"), (" at ", " dot "), (" @ ", "."), ("[at]", "."), ("@", " . ")])
-        return f"{word()}.{num(2)}{at}{word()}{dot}{rnd.choice(['com', 'org', 'net', 'example', 'de'])}"
+        name = rnd.choice([f"{word()}.{num(2)}", word(), f"{word()}.{word()}", f"{word().title()}.{word().title()}", f"{word()}_{num(2)}", f"{word()[0]}.{word()}"])
+        return f"{name}{at}{rnd.choice([word(), word() + '-' + word()])}{dot}{rnd.choice(TOP_DOMAINS)}"
 
     out = []
     while len(out) < n:
-        kind = rnd.choice(KINDS)
+        kind = rnd.choice(EVERY_KIND)
         good = rnd.random() < 0.5
+        if kind == "secret":
+            name = rnd.choice(["token", "api_key", "secret", "password", "access key", "TOKEN", "client_secret"])
+            some = lambda letters_, k: "".join(rnd.choice(letters_) for _ in range(k))
+            value = some(*rnd.choice([("0123456789abcdef", 40), ("0123456789ABCDEF", 32), (letters + letters.upper() + "0123456789", rnd.randint(16, 40)), (letters + "0123456789+/", 32)])) if good else rnd.choice([word() + word() + word(), word() + "_" + word() + "_" + word(), "x" * rnd.randint(8, 20), word() + "." + word() + ".", word().upper() + word()])
+            quote = rnd.choice(['"', "'", ""])
+            text = f"{word()} {word()} {name}{rnd.choice([' = ', ': ', '=', ' is '])}{quote}{value}{quote} {word()}"
+            if spans := [p for p in proposals(text) if p[0] == kind]:
+                out.append((text, spans[0], good))
+            continue
         if kind == "email":
             s = email() if good else rnd.choice([f"{word()} @ {word()}. {word().title()}", f"{word()} @{word()}, {word()}. {word()}", f"{num(2)} @ {num(2)}.{num(2)}", f"{word()} at {word()} dot {num(3)}"])
         elif kind == "ip":
@@ -230,16 +258,37 @@ def examples(n: int, seed: int) -> list[tuple[str, Span, bool]]:
     return out
 
 
+Labelled = tuple[str, Span, bool]
+
+
+def labelled(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> list[Labelled]:
+    """Proposals in a bounded sample of whole texts (of the least hash of id and text), each with what base matches say of it.
+
+    The text around a span is cut to what its features look at.
+    """
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")).filter(F.octet_length("text") <= sample_bytes)
+    out = []
+    for r in rows.orderBy("h").limit(sample_docs).collect():
+        base = base_spans(r.text)
+        for kind, a, b in proposals(r.text):
+            own = [s for s in base if s[1] < b and a < s[2]]
+            if not own or (kind, a, b) in own:
+                low = max(0, a - 60)
+                out.append((r.text[low : b + 20], (kind, a - low, b - low), bool(own)))
+    return out
+
+
 class Detector:
     """Trees and a calibrated threshold for each kind."""
 
-    def __init__(self, n: int = 4000, seed: int = 7, precision: float = 0.995) -> None:
-        learn, held = examples(n, seed), examples(n // 2, seed + 1)
+    def __init__(self, n: int = 4000, seed: int = 7, precision: float = 0.995, corpus: list[Labelled] | None = None) -> None:
+        corpus = corpus or []
+        learn, held = examples(n, seed) + corpus[::2], examples(n // 2, seed + 1) + corpus[1::2]
         table = lambda rows: (np.array([features(t, s) for t, s, _ in rows]), np.array([g for _, _, g in rows], float))
         self.trees = Trees().fit(*table(learn))
         x, y = table(held)
-        p, kinds = self.trees.probability(x), np.array([KINDS.index(s[0]) for _, s, _ in held])
-        self.thresholds = {k: self._calibrate(p[kinds == i], y[kinds == i], precision) for i, k in enumerate(KINDS)}
+        p, kinds = self.trees.probability(x), np.array([EVERY_KIND.index(s[0]) for _, s, _ in held])
+        self.thresholds = {k: self._calibrate(p[kinds == i], y[kinds == i], precision) for i, k in enumerate(EVERY_KIND)}
 
     @staticmethod
     def _calibrate(p: np.ndarray, y: np.ndarray, precision: float) -> float:
@@ -252,8 +301,8 @@ class Detector:
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """Base spans, and all selected spans, each by kind as listed and then by start."""
         base = base_spans(text)
-        order = lambda s: (KINDS.index(s[0]), s[1], s[2])
-        taken = sorted((a, b) for _, a, b in base)
+        order = lambda s: (EVERY_KIND.index(s[0]), s[1], s[2])
+        taken = _united(base)
         free = [p for p in proposals(text) if not _meets(taken, p[1], p[2])]
         if free:
             score = self.trees.probability(np.array([features(text, p) for p in free]))
@@ -266,10 +315,21 @@ class Detector:
         return base, sorted(base, key=order)
 
 
+def _united(spans: list[Span]) -> list[tuple[int, int]]:
+    """Stretches that the spans cover, in order; none meets another."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
 def _meets(taken: list[tuple[int, int]], a: int, b: int) -> bool:
-    """Whether [a, b) meets one of the taken stretches (base ones of two kinds may overlap)."""
+    """Whether [a, b) meets one of the taken stretches, which are apart: only the last that starts before b can."""
     i = bisect.bisect_left(taken, (b, -1))
-    return any(end > a for _, end in taken[max(0, i - 8) : i])
+    return i > 0 and taken[i - 1][1] > a
 
 
 def redact(text: str, spans: list[Span]) -> str:

@@ -45,9 +45,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.detect(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    found = pii.detect(docs, pii.Detector(corpus=pii.labelled(docs)))
     counts = [f"n_{k}" for k in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+    n_spans = F.when(F.col("spans") == "", 0).otherwise(F.size(F.split("spans", ","))).cast("long")
+    return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", n_spans.alias("n_spans"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
