@@ -299,11 +299,29 @@ def test_top_k_random(spark):
 
 
 def test_scan_reads_little():
-    """Scores that fall off fast are settled by the approximation for most vectors."""
+    """Scores that fall off fast are settled by the approximation for most vectors; its bounds hold."""
     rnd = np.random.default_rng(5)
     exact = np.floor(64 * rnd.normal(size=(1000, 16))).astype(np.int64)
     cells, low, high = vector_file.quantise(exact)
-    block = {"n": 1000, "dim": 16, "cells": vector_file._nibbles(cells), "low": low.tobytes(), "high": high.tobytes(), "exact": exact.tobytes(), "uids": np.arange(1000).tobytes(), "vec_ids": np.arange(1000).tobytes()}
-    best = vector_file._Best(1, 5)
-    read = vector_file.scan(exact[:1], np.array([0]), block, best)
-    assert read < 500 and sorted(-(exact[1:] @ exact[0]))[:5] == (-best.score[0]).tolist()
+    block = {"n": 1000, "dim": 16, "cells": vector_file._nibbles(cells), "low": low.tobytes(), "high": high.tobytes(), "uids": np.arange(1000).tobytes()}
+    best, lows = vector_file._Best(2, 5), np.full((2, 5), -np.inf)
+    (found,) = vector_file.bounded(exact[:2], np.array([0, 1]), block, lows)
+    assert (found["upper"] >= (exact[found["at"]] * exact[found["q"]]).sum(axis=1)).all()
+    kth = np.sort(exact[2:] @ exact[0])[-5]
+    assert lows[0].min() <= kth and len(found) < 1000
+    read = vector_file.refined(exact[:2], found, np.arange(1000), exact, best)
+    assert read < 1000 and sorted(-(exact[1:] @ exact[0]))[:5] == (-best.score[0]).tolist()
+
+
+@pytest.mark.parametrize("chunk", [8 << 20, 200])
+def test_top_k_of_huge_components(spark, monkeypatch, chunk):
+    """Components whose scores a long may not hold take no part; large ones that fit are exact."""
+    monkeypatch.setattr(vector_file, "CHUNK_BYTES", chunk)
+    rows = [(0, [1e18, 1.0]), (20, [1e7, -1e7]), (40, [1e7, 1.0]), (1, [1.0, 2.0]), (2, [-1e7, 3.0]), (60, [0.5, 0.25])]
+    got = sorted(map(tuple, vector_file.top_k(vector_file.build(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), k=2).collect()))
+    v = {i: [math.floor(64 * x) for x in e] for i, e in rows if i}
+    want = []
+    for q in (20, 40, 60):
+        best = sorted((-sum(a * b for a, b in zip(v[q], v[j])), j) for j in v if j != q)[:2]
+        want += [(q, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    assert got == sorted(want)
