@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch: whole texts travel in it, so it is kept short.
@@ -64,6 +64,26 @@ def free(name: str, *taken: list[str]) -> str:
     return name
 
 
+def sub_key(docs: DataFrame, id_col: str, text_col: str) -> Column | None:
+    """What tells documents of one id apart: the text's hash, or None while no id repeats."""
+    repeats = docs.groupBy(F.col(id_col).cast("long")).agg(F.count("*").alias("k")).filter("k > 1")
+    return None if repeats.isEmpty() else F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def sub_column(of: Column | None) -> Column:
+    """``sub_key`` as a column: zero for all where there is none."""
+    return (F.lit(0).cast("long") if of is None else of).alias("sub")
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns in one, so that no name of theirs can clash; ``unwrapped`` brings them back."""
+    return F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row")
+
+
+def unwrapped(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in columns))
+
+
 def fits(df: DataFrame, row_bytes: int, list_col: str | None = None, item_bytes: int = 0, limit: int = 64 << 20) -> bool:
     """Whether a table may be broadcast: its rows, and the items of a list column, take ``limit`` bytes at most."""
     size = F.lit(row_bytes) + (F.size(list_col) * item_bytes if list_col else 0)

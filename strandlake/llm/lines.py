@@ -8,10 +8,9 @@ order of removals.  Blank lines stay.
 1. Words are counted over all documents in 65,536 hash buckets.  Tokens are
    ordered by their bucket's count, rarest first: the order only steers the
    filters, any total order is exact.
-2. Lines with equal sets meet by a 128-bit name of the set: two sums over its
-   words, one of a polynomial hash of all bytes, one of a hash of length, first
-   and last eight bytes (which alone tell words of up to 16 bytes apart).  The
-   earliest of them stands for all, the others go.
+2. Lines with equal sets meet by a 128-bit name of the set: two sums over two
+   independent hashes of its words.  The earliest of them stands for all, the
+   others go.
 3. Two sets of n and m words with similarity t share ceil(t / (1 + t) (n + m))
    words, so both have a common word among their n - ceil(t n) + 1 rarest.  Lines
    meet by those words, as packed arrays: one for each task and receiver; there
@@ -47,11 +46,12 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import batches, column, fits, free, kept, packed, texts_of, tuned, unpacked
+from .common import batches, column, fits, free, kept, packed, sub_column, sub_key, texts_of, tuned, unpacked, whole_row
 
 #: Similarity as a fraction.
 UP, DOWN = 4, 5
@@ -64,8 +64,14 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Two hashes of every word, the line that it is in, and the number of lines of each text (lines counted through)."""
+def tokens(texts: list[str], where: bool = True) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None, np.ndarray | None]:
+    """Two hashes of every word, the line that it is in, and the number of lines of each text (lines counted through).
+
+    Without ``where`` the first hash alone.
+
+    Words of up to 16 bytes are told apart by size, first and last eight bytes,
+    which both hashes mix in ways of their own; longer ones have two XXH64.
+    """
     coded = [t.encode().lower() for t in texts]
     joined = b"\n".join(coded)
     padded = np.frombuffer(b"".join([bytes(8), joined, bytes(16 + -len(joined) % 8)]), np.uint8)
@@ -74,16 +80,26 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     blank[1:-1] = _BLANK[data]
     edge = np.flatnonzero(blank[1:] != blank[:-1])
     start, end = edge[::2], edge[1::2]
-    line = np.concatenate([[0], np.cumsum(data == 10, dtype=np.int64)])[start]
+    n = end - start
     first, last = rolling.ends(padded.view(np.uint64), start + 8, end + 8)
-    second = rolling.mixed(rolling.mixed(first + (end - start).astype(np.uint64) * np.uint64(rolling.MIX)) + last)
-    return rolling.stretches(rolling.prefix(data), start, end), second, line, np.array([c.count(b"\n") + 1 for c in coded], np.int64)
+    size = n.astype(np.uint64)
+    h = rolling.mixed(rolling.mixed(first + size * np.uint64(rolling.MIX)) + last * np.uint64(rolling.BASE))
+    long = np.flatnonzero(n > 16)
+    words = [joined[a:b] for a, b in zip(start[long].tolist(), end[long].tolist())]
+    h[long] = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    if not where:
+        return h, None, None, None
+    breaks = np.searchsorted(start, np.flatnonzero(data == 10))
+    line = np.cumsum(np.bincount(breaks, minlength=len(start) + 1)[: len(start)])
+    second = rolling.mixed(rolling.mixed(last ^ size * np.uint64(rolling.BASE)) ^ first * np.uint64(rolling.MIX))
+    second[long] = np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in words), np.uint64, len(words))
+    return h, second, line, np.array([c.count(b"\n") + 1 for c in coded], np.int64)
 
 
 def _count(it) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     for batch in batches(it):
-        h, _, _, _ = tokens(texts_of(batch))
+        h, _, _, _ = tokens(texts_of(batch), where=False)
         total += np.bincount(h >> np.uint64(64 - BUCKET_BITS), minlength=len(total))
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["bucket", "n"])
@@ -256,16 +272,23 @@ def passing(e: Rows, early: np.ndarray, late: np.ndarray) -> tuple[np.ndarray, n
 
 
 def short_runs(e: Rows, starts: np.ndarray, m: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(late, early, bits, more) of all runs of m rows, many runs at a time."""
-    i, j = np.tril_indices(m, -1)
-    step = max(1, 500_000 // len(i))
+    """(late, early, bits, more) of all runs of m rows, many runs at a time.
+
+    The first bitmap is held against a bound that is never too small for it;
+    only pairs that pass are looked at any further.
+    """
+    below = np.tri(m, m, -1, dtype=bool)
+    step = max(1, 1_000_000 // (m * m))
     for k in range(0, len(starts), step):
         rows = starts[k : k + step, None] + np.arange(m)
-        bitmap, other, n = e["bitmap"][rows], e["bitmap2"][rows], e["n"][rows]
-        bits = np.bitwise_count(bitmap[:, i] ^ bitmap[:, j])
-        bits += np.bitwise_count(other[:, i] ^ other[:, j])
-        r, x = np.nonzero(bits <= _differ(n[:, i] + n[:, j]))
-        late, early, bits = rows[r, i[x]], rows[r, j[x]], bits[r, x].astype(np.int32)
+        bitmap, n = e["bitmap"][rows], np.minimum(e["n"][rows], 1200).astype(np.uint16)  # 1200 words allow for any bits
+        near = np.bitwise_count(bitmap[:, :, None] ^ bitmap[:, None, :]) * np.uint16(DOWN + UP) <= n[:, :, None] + n[:, None, :]
+        near &= below
+        r, i, j = np.nonzero(near)
+        late, early = rows[r, i], rows[r, j]
+        bits = sum(np.bitwise_count(e[f][late] ^ e[f][early]) for f in ("bitmap", "bitmap2")).astype(np.int32)
+        ok = np.flatnonzero(bits <= _differ(e["n"][late] + e["n"][early]))
+        late, early, bits = late[ok], early[ok], bits[ok]
         ok = _passed(e, late, early, bits)
         late, early, bits = late[ok], early[ok], bits[ok]
         yield (late, early, bits, np.zeros(len(late), bool)) if m <= SHORT else _best(late, early, bits, NEAREST)
@@ -306,14 +329,33 @@ def _best(a: np.ndarray, b: np.ndarray, bits: np.ndarray, k: int = 1) -> tuple[n
     return a[keep], b[keep], bits[keep], np.repeat(n > k, n)[keep] if k > 1 else np.ones(int(keep.sum()), bool)
 
 
+def _line_order(e: np.ndarray) -> np.ndarray:
+    """Each row's rank in the order of lines."""
+    order = np.lexsort((e["line"], e["sub"], e["doc"])) if e["sub"].any() else np.lexsort((e["line"], e["doc"]))
+    rank = np.empty(len(e), np.uint64)
+    rank[order] = np.arange(len(e), dtype=np.uint64)
+    return rank
+
+
+def _grouped(name: np.ndarray) -> np.ndarray:
+    """Numbers from 0 that are equal where the names are, in the names' order."""
+    order = np.argsort(name)
+    new = np.zeros(len(name), np.uint64)
+    new[1:] = name[order][1:] != name[order][:-1]
+    out = np.empty(len(name), np.uint64)
+    out[order] = np.cumsum(new)
+    return out
+
+
 def _sorted(e: np.ndarray) -> np.ndarray:
     """Rows by word and in the order of lines; in a word's run equal sets count once, as their earliest line."""
-    e = e[np.lexsort((e["line"], e["sub"], e["doc"], e["token"]) if e["sub"].any() else (e["line"], e["doc"], e["token"]))]
-    name = rolling.mixed(e["token"] * np.uint64(rolling.BASE) + e["set"]) + (e["bitmap"] ^ e["bitmap2"] * np.uint64(rolling.MIX))
-    order = np.argsort(name, kind="stable")
+    token, rank = np.ascontiguousarray(e["token"]), _line_order(e)
+    name = rolling.mixed(token * np.uint64(rolling.BASE) + e["set"]) + (e["bitmap"] ^ e["bitmap2"] * np.uint64(rolling.MIX))
+    order = np.argsort((_grouped(name) << np.uint64(32)) | rank)  # a task has fewer than 2**32 rows
     new = np.ones(len(e), bool)
     new[1:] = name[order][1:] != name[order][:-1]
-    return e[np.sort(order[new])]
+    first = order[new]
+    return e[first[np.argsort((_grouped(token[first]) << np.uint64(32)) | rank[first])]]
 
 
 def _met(long: int, heads: int):
@@ -468,20 +510,10 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return met.mapInArrow(_similar, "doc_id long, sub long, line_no int").distinct()
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> Column | None:
-    """What tells documents of one doc_id apart: the text's hash, or None while no doc_id repeats."""
-    repeats = docs.groupBy(F.col(id_col).cast("long")).agg(F.count("*").alias("k")).filter("k > 1")
-    return None if repeats.isEmpty() else F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-
-
-def _sub(of: Column | None) -> Column:
-    return (F.lit(0).cast("long") if of is None else of).alias("sub")
-
-
 def later_matches(docs: DataFrame, id_col: str, text_col: str, sub: Column | None) -> DataFrame:
-    """(doc_id, sub, line_no) of all lines that go; ``sub`` as of ``keyed``."""
+    """(doc_id, sub, line_no) of all lines that go; ``sub`` as of ``sub_key``."""
     spark = tuned(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), _sub(sub), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), sub_column(sub), F.col(text_col).cast("string").alias("text"))
     rank, total = rarity(texts)
     hot = np.zeros(1 << BUCKET_BITS, bool)
     hot[rank.astype(np.int64)] = total > HOT_WORDS
@@ -532,10 +564,10 @@ def count_names(docs: DataFrame) -> tuple[str, str]:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines that repeat earlier ones, and the number of lines and of removed ones (see ``count_names``)."""
-    sub = keyed(docs, id_col, text_col)
+    sub = sub_key(docs, id_col, text_col)
     gone = later_matches(docs, id_col, text_col, sub)
     by_doc = kept(gone.groupBy("doc_id", "sub").agg(F.collect_set("line_no").alias("gone")), "lines-gone").select(F.col("doc_id").alias("g_id"), F.col("sub").alias("g_sub"), "gone")
-    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("doc_id"), _sub(sub))
+    rows = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("doc_id"), sub_column(sub))
     small = F.broadcast(by_doc) if fits(by_doc, 64, "gone", 4, BROADCAST_BYTES) else by_doc
     joined = rows.join(small, _same(rows, by_doc, ["g_id", "g_sub"]), "left")
     own = F.col("row").getField(text_col)

@@ -6,10 +6,12 @@ most one.  So every distinct fingerprint is entered once for each segment, and
 looked up under the 33 values of the Hamming ball of radius one around each of
 its own segments; whole distances are then verified.
 
-Groups of copies meet as one fingerprint before anything is exchanged.  A
-segment value that many fingerprints share would yield all pairs among them;
-such a bucket is instead linked from inside, see ``_bucket_links``: it yields a
-spanning set of its links, with no cap, so components lose nothing.
+Groups of copies meet as one fingerprint before anything is exchanged.  Inside
+a bucket, whose members share one segment, the method is used again on the other
+segment: two halves of 16 bits, of which one differs in at most one bit.  So
+two members are compared only if 47 of the bits that they meet by agree, and
+no group that is gathered can hold more than 2^16 fingerprints, however many
+documents share a segment.  All links are given, with no cap.
 """
 
 from __future__ import annotations
@@ -22,12 +24,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, column, kept, texts_of, tuned
+from .common import batches, fits, kept, sub_column, sub_key, texts_of, tuned, unwrapped, whole_row
 from .components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
-#: Ids of documents that go are broadcast up to so many, and exchanged beyond.
-BROADCAST_IDS = 1_000_000
+#: Keys of documents that go are broadcast up to so many bytes, and exchanged beyond.
+BROADCAST_BYTES = 64 << 20
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LANES = np.arange(8, dtype=np.int64) * 256
 
@@ -60,16 +62,16 @@ def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > len(of), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long).  A null text has no word."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sub: Column | None = None) -> DataFrame:
+    """doc_id, sub (see ``sub_key``), fp (the 64 bits as a signed long).  A null text has no word."""
 
     def run(it) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
             fp = np.array([fingerprint(t) for t in texts_of(batch)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(column(batch, "doc_id"), pa.int64()), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], names=["doc_id", "sub", "fp"])
 
     tuned(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), sub_column(sub), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, sub long, fp long")
 
 
 def segment(fp: Column, s: int) -> Column:
@@ -102,15 +104,16 @@ def _other(fp: str, seg: str) -> Column:
 def _bucket_links(members: DataFrame, radius: int) -> DataFrame:
     """Links of fingerprints that share a segment value.
 
-    They are within ``radius`` in the other 32 bits, so of its four bytes one
-    at least is equal: members meet again by (bucket, byte), and are compared
-    there.
+    They are within ``radius`` in the other 32 bits, so one of those two halves
+    differs in one bit at most: members are entered by (bucket, half), looked up
+    under the 17 values around each of their own halves, and compared there.
     """
     m = members.select("fp", "seg", "value", _other("fp", "seg").alias("o"))
-    m = m.select("fp", "seg", "value", F.posexplode(F.array(*(F.shiftrightunsigned("o", 8 * i).bitwiseAND(F.lit(255)) for i in range(4)))).alias("lane", "byte"))
-    a, b = m.withColumnRenamed("fp", "a"), m.withColumnRenamed("fp", "b")
+    m = m.select("fp", "seg", "value", F.posexplode(F.array(*(F.shiftrightunsigned("o", 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(2)))).alias("side", "half"))
+    masks = F.array(F.lit(0).cast("long"), *(F.lit(1 << b).cast("long") for b in range(16)))
+    a = m.select(F.col("fp").alias("a"), "seg", "value", "side", "half", F.explode(masks).alias("mask")).select("a", "seg", "value", "side", F.col("half").bitwiseXOR(F.col("mask")).alias("half"))
     # Sizes are estimated from before the explosion, so a broadcast could be far too large.
-    near = a.hint("merge").join(b, ["seg", "value", "lane", "byte"]).filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
+    near = a.hint("merge").join(m.withColumnRenamed("fp", "b"), ["seg", "value", "side", "half"]).filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
     return near.select("a", "b")
 
 
@@ -120,6 +123,13 @@ def _across(entries: DataFrame, radius: int) -> DataFrame:
     return found.filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b")
 
 
+def _labelled(prints: DataFrame, radius: int) -> DataFrame:
+    """fp, root (any one fingerprint of its component), first (least doc_id) of every distinct fingerprint."""
+    fps = kept(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    roots = components(links(fps.select("fp"), radius))
+    return fps.join(roots, fps.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: the least doc_id that links reach.
 
@@ -129,34 +139,36 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
     gives no row; further columns are left out.
     """
     prints = kept(fingerprints(docs, id_col, text_col), "fingerprints")
-    fps = kept(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = components(links(fps.select("fp"), radius))
-    labelled = fps.join(roots, fps.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    labelled = _labelled(prints, radius)
     ids = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     of = labelled.join(ids, "root").select("fp", "component_id")
     return prints.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def first_of_groups(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one of least id (of rows that repeat it, any one).
+    """``docs`` with one document of each group: the one of least id, a null id last.
 
-    A document whose id is null goes only if its group has another.
+    Cases: a document is its id and text, so documents that share an id, or have
+    none, are told apart by the hashes of their texts, the least of which goes
+    first; of rows that repeat both any one stays; texts without a word are one
+    group; an empty table stays empty; columns of any name stay as they are.
     """
-    labels = kept(near_duplicates(docs, radius, id_col, text_col).select("doc_id", "component_id"), "labels")
-    firsts = labels.groupBy("component_id").agg(F.min("doc_id").alias("_first"))
-    first_ids = firsts.select(F.col("_first").alias("_gone")).distinct()
-    ids = labels.select(F.col("doc_id").alias("_gone")).distinct()
-    gone = kept(_outside(ids, first_ids), "not-first")
-    out = _outside(docs.withColumn("_gone", F.col(id_col).cast("long")), F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone)
-    again = kept(labels.groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("doc_id").alias("_again")), "repeated-ids")
-    if not again.isEmpty():
-        more = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
-        marked = out.join(more, out["_gone"].eqNullSafe(F.col("_again")), "left_semi").dropDuplicates(["_gone"])
-        out = out.join(more, out["_gone"].eqNullSafe(F.col("_again")), "left_anti").unionByName(marked)
-    return out.drop("_gone")
-
-
-def _outside(rows: DataFrame, other: DataFrame) -> DataFrame:
-    """Rows whose ``_gone`` isn't in the other table; null counts as a value."""
-    other = other.withColumnRenamed("_gone", "_other")
-    return rows.join(other, rows["_gone"].eqNullSafe(F.col("_other")), "left_anti")
+    sub = sub_key(docs, id_col, text_col)
+    prints = kept(fingerprints(docs, id_col, text_col, sub), "fingerprints")
+    labels = prints.join(_labelled(prints, radius).select("fp", "root"), "fp").select("doc_id", "sub", "root")
+    labels = kept(labels.groupBy("doc_id", "sub", "root").agg(F.count("*").alias("n")), "labels")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sub")
+    firsts = labels.groupBy("root").agg(F.min(own).alias("f")).select(F.col("f.doc_id").alias("f_id"), F.col("f.sub").alias("f_sub"))
+    gone = kept(labels.join(firsts, labels.doc_id.eqNullSafe(F.col("f_id")) & (labels["sub"] == F.col("f_sub")), "left_anti").select(F.col("doc_id").alias("g_id"), F.col("sub").alias("g_sub")), "not-first")
+    rows = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("id"), sub_column(sub))
+    same = lambda t, names: rows["id"].eqNullSafe(t[names[0]]) & (rows["sub"] == t[names[1]])
+    left = rows.join(_small(gone), same(gone, ("g_id", "g_sub")), "left_anti")
+    if sub is not None:
+        again = kept(labels.filter("n > 1").select(F.col("doc_id").alias("r_id"), F.col("sub").alias("r_sub")), "repeated")
+        marked = left.join(_small(again), same(again, ("r_id", "r_sub")), "left_semi").groupBy("id", "sub").agg(F.first("row").alias("row")).select("row", "id", "sub")
+        left = left.join(_small(again), same(again, ("r_id", "r_sub")), "left_anti").unionByName(marked)
+    return unwrapped(left, docs.columns)
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if fits(keys, 48, limit=BROADCAST_BYTES) else keys
