@@ -3,7 +3,8 @@
 A *window* is ten consecutive words of a benchmark item, or a whole shorter
 item.  The windows form a hash set, broadcast behind a check of its size; each
 text's words are scanned window by window, a hash hit is verified word by word,
-and the verified spans of a document are united.  Texts are never exchanged.
+and the verified spans of a document are united.  Beyond that size positions and
+hashes are exchanged, never a text with each of its positions.
 
 Cases: a null text or item has no words; a null item_id marks words but is in
 no list; documents that repeat (same id, same text) get the same result each;
@@ -18,7 +19,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import kept, unwrapped, whole_row
 
 WINDOW = 10
 #: Broadcast the set up to so many bytes of window text, else exchange by hash.
@@ -43,9 +44,14 @@ def windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """One row for each verified occurrence of a window: the document's key, first and last word, items."""
+    """One row for each verified occurrence of a window: the document's key, first and last word, items.
+
+    While the windows fit, they are broadcast and verified on the spot.  Beyond,
+    positions and hashes alone are exchanged, and the few that meet a window's
+    hash go back to their texts, by key, to be verified.
+    """
     found = kept(windows(benchmark, width), "windows")
-    of = found.agg(F.collect_set("n").alias("lengths"), F.sum(F.length(F.array_join("w", " "))).alias("size")).first()
+    of = found.agg(F.collect_set("n").alias("lengths"), F.sum(F.length(F.array_join("w", " ")) + 8 * F.size("items") + 64).alias("size")).first()
     lengths = sorted(of.lengths)  # at most ``width`` numbers
     text = docs.select(*_key(docs), words(F.col("text")).alias("words"))
     at = text.select(*_KEY, "words", F.explode_outer(F.when(F.size("words") > 0, F.sequence(F.lit(1), F.size("words")))).alias("i"))
@@ -54,9 +60,17 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFram
     else:
         at = at.withColumn("n", F.lit(lengths[0]))
     at = at.withColumnRenamed("n", "len")
-    right = F.broadcast(found) if (of["size"] or 0) <= BROADCAST_BYTES else found
-    same = (F.xxhash64(F.slice("words", F.col("i"), F.col("len"))) == F.col("h")) & (F.col("len") == F.col("n")) & (F.slice("words", F.col("i"), F.col("len")) == F.col("w"))
-    return at.join(right, same).select(*_KEY, "i", (F.col("i") + F.col("n") - 1).alias("e"), "items")
+    window = F.slice("words", F.col("i"), F.col("len"))
+    if (of["size"] or 0) <= BROADCAST_BYTES:
+        same = (F.xxhash64(window) == F.col("h")) & (F.col("len") == F.col("n")) & (window == F.col("w"))
+        return at.join(F.broadcast(found), same).select(*_KEY, "i", (F.col("i") + F.col("n") - 1).alias("e"), "items")
+    hashed = at.select(*_KEY, "i", "len", F.xxhash64(window).alias("p"))
+    met = hashed.join(found, (F.col("p") == F.col("h")) & (F.col("len") == F.col("n")))
+    met = met.select(*(F.col(k).alias(f"m_{k}") for k in _KEY), "i", "n", "w", "items").distinct()
+    on = F.lit(True)
+    for k in _KEY:
+        on = on & F.col(k).eqNullSafe(F.col(f"m_{k}"))
+    return text.dropDuplicates(list(_KEY)).join(met, on).filter(F.slice("words", F.col("i"), F.col("n")) == F.col("w")).select(*_KEY, "i", (F.col("i") + F.col("n") - 1).alias("e"), "items")
 
 
 def _key(docs: DataFrame) -> list[Column]:
@@ -83,8 +97,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents that hold a window; all their columns stay."""
-    bad = hits(docs, benchmark, width).select(*_KEY).distinct().alias("m")
-    keyed = docs.select(*(docs[c] for c in docs.columns), F.xxhash64(docs["text"]).alias("_text_hash")).alias("d")
-    on = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d._text_hash") == F.col("m.text_hash"))
-    return keyed.join(bad, on, "left_anti").drop("_text_hash")
+    """``docs`` without the documents that hold a window; all their columns, of any name, stay."""
+    bad = hits(docs, benchmark, width).select(*_KEY).distinct()
+    text = docs["text"]
+    keyed = docs.select(whole_row(docs), docs["doc_id"].alias("id"), F.xxhash64(text).alias("h"), F.length(text).alias("size"))
+    on = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("text_hash")) & F.col("size").eqNullSafe(F.col("text_size"))
+    return unwrapped(keyed.join(bad, on, "left_anti"), docs.columns)

@@ -251,12 +251,27 @@ def test_components_of_chains(spark):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
 
 
-def test_first_of_groups(odd_docs, no_docs):
+def test_first_of_groups(spark, odd_docs, no_docs):
     left = simhash.first_of_groups(odd_docs)
     assert left.columns == odd_docs.columns
     ids = [r.doc_id for r in left.collect()]
-    assert len(ids) == len(set(ids)) and 0 in ids and 1 not in ids
+    assert 0 in ids and 1 not in ids and None in ids and ids.count(8) == 2  # two texts of one id, neither a copy
     assert simhash.first_of_groups(no_docs).collect() == []
+    rows = [(None, "alpha beta gamma delta", "a"), (None, "something else altogether here", "b"), (None, "alpha beta gamma delta", "c"), (7, "words that nobody repeats at all", "d"), (7, "alpha beta gamma delta", "e")]
+    left = simhash.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string, _gone string"))
+    got = {(r.doc_id, r.text) for r in left.collect()}
+    assert left.columns == ["doc_id", "text", "_gone"] and left.count() == 3
+    assert got == {(None, rows[1][1]), (7, rows[3][1]), (7, rows[4][1])}
+
+
+def test_crowded_bucket(spark):
+    """Many fingerprints that share a segment: the links within the radius, and no others."""
+    rnd = random.Random(9)
+    low = 0x12345678
+    fps = sorted({(rnd.getrandbits(5) << 40 | rnd.getrandbits(4) << 50) ^ low for _ in range(300)})
+    want = {(a, b) for a in fps for b in fps if a < b and bin(a ^ b).count("1") <= 3}
+    got = simhash.links(spark.createDataFrame([(x,) for x in fps], "fp long")).collect()
+    assert {(r.a, r.b) for r in got} == want and len(got) == len(want)
 
 
 # -- decontamination ---------------------------------------------------------------------------------
@@ -274,10 +289,21 @@ def test_decontamination(spark, odd_docs, no_docs):
     assert [(r.n_hit, r["items"]) for r in odd if r.doc_id == 6] == [(1, ["2"])] and [(r.n_hit, r["items"]) for r in odd if r.doc_id == 7] == [(2, [])]
     left = decontamination.decontaminate(odd_docs, bench)
     assert left.columns == odd_docs.columns and left.count() == odd_docs.count() - 2
+    clash = odd_docs.withColumnsRenamed({"seq": "_text_hash", "n": "text_hash"})
+    assert decontamination.decontaminate(clash, bench).columns == clash.columns and decontamination.decontaminate(clash, bench).count() == odd_docs.count() - 2
     assert decontamination.contamination(no_docs, bench).collect() == []
     assert not any(r.contaminated for r in decontamination.contamination(odd_docs, bench.limit(0)).collect())
 
 
+def test_windows_beyond_a_broadcast(spark, docs, sf_dir, monkeypatch):
+    """The exchange of hashes gives what the broadcast gives, and carries no words with the positions."""
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    row = lambda df: sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in df.collect())
+    want = row(decontamination.contamination(docs, bench))
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", -1)
+    assert row(decontamination.contamination(docs, bench)) == want and any(x[2] for x in want)
+
+
 # -- top-k ---------------------------------------------------------------------------------------------
 
 
