@@ -24,8 +24,11 @@ anchor which strings occur elsewhere: one that starts l bytes before it and
 ends 200 - l bytes behind its start needs another suffix in the same range of
 prefixes of 200 - l bytes whose left context agrees in l bytes.
 
-Hashes only gather what may be equal, except that equal contexts are taken as
-equal when two independent 64-bit hashes of them are (of seed and of context).
+*Equality.*  Seeds are only gathered by a hash; merged suffixes are compared as
+bytes.  Whole contexts count as equal when their 128-bit BLAKE2b digests are (no
+two texts with equal digests are known or can be made).  A seed with more than
+``HOT`` distinct contexts would be too large a group for one task's merge; its
+strings are counted one by one, by digest too, in a distributed aggregation.
 
 Cases: null and empty texts, and those under 200 bytes, lose nothing; repeated
 rows are documents of their own and so lose all from 200 bytes on; a null
@@ -44,17 +47,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import batches, column, kept, packed, tuned, unpacked
+from .common import batches, column, fits, kept, packed, tuned, unpacked
 
 WIDTH, SEED = 200, 64
 #: Strings that hold a seed start so far before it, at most.
 REACH = WIDTH - SEED
 #: Groups of more distinct contexts are not gathered but counted string by string.
 HOT = 50_000
-#: Rows that go to the texts are broadcast up to so many documents, and exchanged beyond.
-BROADCAST_ROWS = 500_000
+#: Tables that go to the texts are broadcast up to so many bytes, and exchanged beyond.
+BROADCAST_BYTES = 64 << 20
+#: Bytes of text for each receiver.
+PART_BYTES = 32 << 20
 RUN_BYTES = 64 << 20
-_SECOND = 0xC2B2AE3D27D4EB4F
 
 
 def _sliding(x: np.ndarray, width: int, best: np.ufunc, fill: int) -> np.ndarray:
@@ -80,9 +84,15 @@ def anchors(data: np.ndarray, sums: np.ndarray) -> np.ndarray:
     return np.flatnonzero(_sliding(around, width, np.maximum, 0) == seeds)
 
 
+def digests(pieces: list[bytes]) -> np.ndarray:
+    """128-bit BLAKE2b of each, as two numbers."""
+    return np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in pieces), "<i8").reshape(-1, 2)
+
+
 def described(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each anchor: position, bytes to the right (200 at most), hash of the seed, hash of the context."""
-    data = np.frombuffer(text.encode(), np.uint8)
+    """Of each anchor: position, bytes to the right (200 at most), hash of the seed, digest of the context (n x 2)."""
+    raw = text.encode()
+    data = np.frombuffer(raw, np.uint8)
     none = np.zeros(0, np.int64)
     if len(data) < WIDTH:
         return none, none, none, none
@@ -90,13 +100,12 @@ def described(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     at = anchors(data, sums)
     right = np.minimum(WIDTH, len(data) - at)
     left = np.minimum(REACH, at)
-    second = rolling.prefix(data, _SECOND)
-    context = rolling.stretches(second, at - left, at + right, _SECOND)
-    context = rolling.mixed(context + (left * 256 + right).astype(np.uint64))
-    return at, right, rolling.stretches(sums, at, at + SEED).view(np.int64), context.view(np.int64)
+    context = digests([raw[a:b] for a, b in zip((at - left).tolist(), (at + right).tolist())]).copy()
+    context[:, 0] ^= rolling.mixed((left * 256 + right).astype(np.uint64)).view(np.int64)  # where in it the seed stands
+    return at, right, rolling.stretches(sums, at, at + SEED).view(np.int64), context
 
 
-_ANCHOR = np.dtype([("seed", "<i8"), ("context", "<i8"), ("doc", "<i8"), ("hash", "<i8"), ("pos", "<i4"), ("right", "<i4"), ("done", "u1")])
+_ANCHOR = np.dtype([("seed", "<i8"), ("context", "<i8"), ("context2", "<i8"), ("doc", "<i8"), ("hash", "<i8"), ("pos", "<i4"), ("right", "<i4"), ("done", "u1")])
 _COVER = np.dtype([("doc", "<i8"), ("hash", "<i8"), ("lo", "<i8"), ("hi", "<i8")])
 #: A null doc_id in packed arrays.
 _NULL = np.iinfo(np.int64).min
@@ -105,9 +114,9 @@ FLUSH = 1 << 19
 
 def _groups(e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows by seed and context, where each pair begins, and how many rows it has."""
-    e = e[np.lexsort((e["context"], e["seed"]))]
+    e = e[np.lexsort((e["context2"], e["context"], e["seed"]))]
     new = np.ones(len(e), bool)
-    new[1:] = (e["seed"][1:] != e["seed"][:-1]) | (e["context"][1:] != e["context"][:-1])
+    new[1:] = (e["seed"][1:] != e["seed"][:-1]) | (e["context"][1:] != e["context"][:-1]) | (e["context2"][1:] != e["context2"][:-1])
     first = np.flatnonzero(new)
     return e, first, np.diff(np.append(first, len(e)))
 
@@ -155,7 +164,7 @@ def _anchor_runs(parts: int):
                 at, right, seed, context = described(text)
                 if len(at):
                     e = np.empty(len(at), _ANCHOR)
-                    e["seed"], e["context"], e["doc"], e["hash"], e["pos"], e["right"], e["done"] = seed, context, _NULL if doc is None else doc, h, at, right, 0
+                    e["seed"], e["context"], e["context2"], e["doc"], e["hash"], e["pos"], e["right"], e["done"] = seed, context[:, 0], context[:, 1], _NULL if doc is None else doc, h, at, right, 0
                     held.append(e)
                     size += len(e)
             if size > FLUSH:
@@ -415,14 +424,14 @@ def _merge(it) -> Iterator[pa.RecordBatch]:
 
 
 def _strings(it) -> Iterator[pa.RecordBatch]:
-    """Every string of the anchors in hot groups, by two hashes."""
+    """Every string of the anchors in hot groups, by its digest."""
     for batch in batches(it):
         for doc, h, text, wanted in zip(*(column(batch, c) for c in ("doc_id", "text_hash", "text", "wanted"))):
-            data = np.frombuffer(text.encode(), np.uint8)
-            one, two = rolling.windows(rolling.prefix(data), WIDTH), rolling.windows(rolling.prefix(data, _SECOND), WIDTH, _SECOND)
+            data = text.encode()
             for w in wanted:
                 p = np.arange(max(0, w["pos"] - REACH), min(w["pos"], len(data) - WIDTH) + 1)
-                yield pa.RecordBatch.from_arrays([pa.array([doc] * len(p), pa.int64()), pa.array([h] * len(p), pa.int64()), pa.array(p), pa.array(one[p].view(np.int64)), pa.array(two[p].view(np.int64))], names=["doc_id", "text_hash", "lo", "h1", "h2"])
+                d = digests([data[a : a + WIDTH] for a in p.tolist()])
+                yield pa.RecordBatch.from_arrays([pa.array([doc] * len(p), pa.int64()), pa.array([h] * len(p), pa.int64()), pa.array(p), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], names=["doc_id", "text_hash", "lo", "h1", "h2"])
 
 
 def _covered(it) -> Iterator[pa.RecordBatch]:
@@ -440,10 +449,10 @@ def _covered(it) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "spans"])
 
 
-def _to_texts(texts: DataFrame, side: DataFrame, how: str) -> DataFrame:
+def _to_texts(texts: DataFrame, side: DataFrame, how: str, items: str, item_bytes: int) -> DataFrame:
     """Join a table of one row a document to the texts, which stay where they are while it is small."""
     side = side.withColumnRenamed("doc_id", "s_id").withColumnRenamed("text_hash", "s_hash")
-    side = F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+    side = F.broadcast(side) if fits(side, 64, items, item_bytes, BROADCAST_BYTES) else side
     return texts.join(side, texts.doc_id.eqNullSafe(F.col("s_id")) & (texts.text_hash == F.col("s_hash")), how).drop("s_id", "s_hash")
 
 
@@ -451,19 +460,20 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """doc_id, text_hash, spans (start, end, start, end ... in bytes) of the documents of ``texts`` that lose any."""
     spark = texts.sparkSession
     rows = texts.select("doc_id", "text_hash", "text")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first().n or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES)
     runs = rows.mapInArrow(_anchor_runs(parts), "kind int, part int, blob binary").repartition(parts, "part")
     found = kept(runs.mapInArrow(_repeated, _FOUND), "repeated-anchors")
     wanted = found.filter("pos IS NOT NULL").select("doc_id", "text_hash", F.struct("pos", "right", "seed", "n").alias("w"), "members")
 
     by_doc = kept(wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.when(F.col("members") <= HOT, F.col("w"))).alias("wanted"), F.collect_list(F.when(F.col("members") > HOT, F.col("w"))).alias("hot")), "contexts-wanted")
-    runs = _to_texts(rows, by_doc.filter(F.size("wanted") > 0).drop("hot"), "inner").dropDuplicates(["doc_id", "text_hash"]).mapInArrow(_runs(parts), "part int, run binary")
+    runs = _to_texts(rows, by_doc.filter(F.size("wanted") > 0).drop("hot"), "inner", "wanted", 56).dropDuplicates(["doc_id", "text_hash"]).mapInArrow(_runs(parts), "part int, run binary")
     edges = runs.repartition(parts, "part").mapInArrow(_merge, "doc_id long, text_hash long, lo long, hi long")
     every = found.filter("pos IS NULL").select("doc_id", "text_hash", "lo", "hi").unionByName(edges)
 
     hot = by_doc.filter(F.size("hot") > 0).select("doc_id", "text_hash", F.col("hot").alias("wanted"))
     if not hot.isEmpty():
-        strings = kept(_to_texts(rows, hot, "inner").dropDuplicates(["doc_id", "text_hash"]).mapInArrow(_strings, "doc_id long, text_hash long, lo long, h1 long, h2 long").distinct(), "hot-strings")
+        strings = kept(_to_texts(rows, hot, "inner", "wanted", 56).dropDuplicates(["doc_id", "text_hash"]).mapInArrow(_strings, "doc_id long, text_hash long, lo long, h1 long, h2 long").distinct(), "hot-strings")
         repeated = strings.groupBy("h1", "h2").agg(F.count("*").alias("k")).filter("k > 1").select("h1", "h2")
         every = every.unionByName(strings.join(repeated, ["h1", "h2"], "left_semi").select("doc_id", "text_hash", "lo", (F.col("lo") + WIDTH).alias("hi")))
     ranges = every.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
@@ -489,4 +499,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tuned(docs.sparkSession)
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), F.coalesce(text, F.lit("")).alias("text"))
-    return _to_texts(texts, repeated_spans(texts), "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return _to_texts(texts, repeated_spans(texts), "left", "spans", 8).select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -60,10 +60,11 @@ def held_against(df, texts, ids):
     assert got == want
 
 
-@pytest.mark.parametrize("hot, broadcast", [(50_000, 500_000), (3, 500_000), (50_000, 0)])
+@pytest.mark.parametrize("hot, broadcast", [(50_000, 64 << 20), (3, 64 << 20), (50_000, 0)])
 def test_repeats(spark, monkeypatch, hot, broadcast):
     monkeypatch.setattr(suffixes, "HOT", hot)
-    monkeypatch.setattr(suffixes, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(suffixes, "BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr(suffixes, "PART_BYTES", 1000)
     texts = fixture_texts()
     ids = [None if i == 3 else 7 if i in (40, 41) else i for i in range(len(texts))]
     held_against(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string"), texts, ids)
@@ -205,11 +206,35 @@ def test_pipeline(spark, sf_dir):
 
 
 def test_stages_on_odd_rows(spark, odd_docs, no_docs, tmp_path):
+    """Each stage's rows on nulls, shared ids, repeated rows, an empty table, and columns that clash with its own."""
     import corpus_pipeline as cp
 
     spark.createDataFrame([(1, "a benchmark item of no great length")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    cols = ["doc_id", "text", "lang", "source"]
-    for df in (odd_docs.select(*cols), no_docs.select(*cols)):
-        for name, stage in cp.STAGES:
-            out = stage(spark, df, str(tmp_path))
-            assert out.count() >= 0 and (name == "pack" or out.columns == cols)
+    names = ["doc_id", "text", "lang", "source", "lang_pred", "n_lines", "n_removed", "_gone", "text_hash"]
+    prose = "the river ran past the old mill and the children watched it from the bridge"
+    rows = [
+        (1, prose + "\nfirst line of its own here", "en", "s", "x", 1, 2, 3, 4), (None, prose + "\nanother line that stands alone", "en", "s", "x", 5, 6, 7, 8), (None, "the mill was sold in spring and nobody came to see it go", "en", "s", "y", 1, 1, 1, 1),
+        (4, "we found a benchmark item of no great length in this text", "en", "s", None, None, None, None, None), (5, None, None, None, None, None, None, None, None), (6, "", "en", "s", "z", 0, 0, 0, 0), (7, prose, "en", "s", "r", 1, 1, 1, 1), (7, prose, "en", "s", "r", 1, 1, 1, 1),
+        (8, "children watched the old river run past the mill until the bridge was gone and rebuilt", "en", "t", "r", 1, 1, 1, 1),
+    ]
+    kinds = "doc_id long, text string, lang string, source string, lang_pred string, n_lines int, n_removed int, _gone int, text_hash int"
+    docs = spark.createDataFrame(rows, kinds)
+    stages = dict(cp.STAGES)
+    of = lambda df: Counter((r.doc_id, r.text, r._gone) for r in df.collect())
+    run = {n: stages[n](spark, docs, str(tmp_path)) for n in stages}
+    assert all(run[n].columns == names for n in stages if n != "pack")
+    every = of(docs)
+    letters = Counter({k: n for k, n in every.items() if k[1]})
+    assert of(run["language_id"]) == letters  # without a letter a document goes
+    lines = of(run["line_dedup"])
+    assert lines[None, rows[2][1], 1] == 1 and lines[5, None, None] == 1 and lines[6, "", 0] == 1
+    assert lines[1, "first line of its own here", 3] + lines[1, rows[0][1], 3] == 1 and not any(k[0] == 7 for k in lines)  # all of 7's lines repeat
+    assert sum((k[1] or "").count(prose) for k in lines.elements()) == 1
+    near = of(run["near_dedup"])
+    assert near[7, prose, 1] == 1 and near[5, None, None] + near[6, "", 0] == 1 and near[None, rows[1][1], 7] == near[None, rows[2][1], 1] == 1
+    assert of(run["decontaminate"]) == Counter({k: n for k, n in every.items() if k[0] != 4})
+    assert Counter(r.doc_id for r in run["pack"].collect() if r.start == 0) == Counter(r[0] for r in rows)
+    for name, stage in cp.STAGES:
+        out = stage(spark, no_docs, str(tmp_path))
+        assert out.collect() == [] and (name == "pack" or out.columns == no_docs.columns)
+        assert stage(spark, odd_docs, str(tmp_path)).count() > 0
