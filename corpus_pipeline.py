@@ -24,29 +24,53 @@ CLEAR = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a clear language."""
+    """Documents with a clear language.
+
+    Null, empty and letterless texts have none and go; rows that repeat go or
+    stay together; with no language to learn from all go; an empty table stays
+    empty; all columns stay as they are, whatever their names.
+    """
     found, (lang, score) = language.judged(docs, language.learn(docs)), language.judged_names(docs)
     return found.filter((F.col(lang) != language.UNKNOWN) & (F.col(score) >= CLEAR)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated lines; one that had words and lost all of them goes."""
+    """Documents without repeated lines; one that had words and lost all of them goes.
+
+    Null and empty texts lose nothing and stay; documents that share an id, or
+    have none, are told apart by their texts; rows that repeat both keep the
+    same lines each; an empty table stays empty; other columns stay as they are.
+    """
     left, (_, removed) = lines.dedup_lines(docs), lines.count_names(docs)
     return left.filter((F.col(removed) == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != "")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near copies."""
+    """The document of least id of each group of near copies.
+
+    Texts without a word (null, empty, blank) are one group; a null id comes
+    last; documents that share an id are told apart by their texts; of rows that
+    repeat one stays; an empty table stays empty; other columns stay as they are.
+    """
     return simhash.first_of_groups(docs).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark window."""
+    """Documents that hold no benchmark window.
+
+    Null and empty texts hold none and stay; rows that repeat go or stay
+    together; an empty benchmark takes nothing; columns stay as they are.
+    """
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their ids, sequence and offset."""
+    """Pieces of documents with their ids, sequence and offset.
+
+    A null text is empty, its document one token long; rows that repeat are
+    documents of their own; an empty table gives no piece; columns other than
+    doc_id and text are left out.
+    """
     return packing.pack_documents(docs, tokenizer_path(), end_id=1)
 
 
