@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -104,10 +105,18 @@ CACHES: list[dict] = []
 
 
 def batches(it: Iterable[pa.RecordBatch], caches: bool = False) -> Iterator[pa.RecordBatch]:
-    """Batches that have rows.  An operator that doesn't use the worker's caches frees them."""
+    """Batches that have rows.
+
+    A worker serves one task after another: what the last one has freed goes
+    back to the machine first, and an operator that doesn't use the worker's
+    caches frees them too.
+    """
     if not caches:
         for c in CACHES:
             c.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
     return (b for b in it if b.num_rows)
 
 

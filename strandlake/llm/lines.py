@@ -142,7 +142,7 @@ def sets(h: np.ndarray, second: np.ndarray, line: np.ndarray, rank: np.ndarray)
 _ENTRY = np.dtype([("token", "<u8"), ("set", "<u8"), ("bitmap", "<u8"), ("bitmap2", "<u8"), ("doc", "<i8"), ("sub", "<i8"), ("line", "<i4"), ("n", "<i4"), ("pos", "<i4")])
 _CLASS = np.dtype([("set", "<u8"), ("second", "<u8"), ("doc", "<i8"), ("sub", "<i8"), ("line", "<i4")])
 _NULL = np.iinfo(np.int64).min
-FLUSH = 1 << 19
+FLUSH = 1 << 17
 #: Runs up to ``SHORT`` sets give all pairs that pass, up to ``LONG`` each line's ``NEAREST`` partners, longer ones the best among the heads.
 SHORT, NEAREST = 32, 3
 LONG, HEADS = 2048, 64
