@@ -244,3 +244,19 @@ def total(a: Column) -> Column:
 
 def all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
+
+
+def batched(a: Column) -> Column:
+    """One more dimension in front."""
+    return F.array(a)
+
+
+def unbatched(a: Column) -> Column:
+    """Without a leading dimension of length one; others stay null."""
+    return F.when(F.size(a) == 1, F.get(a, F.lit(0)))
+
+
+def scaled_clip(a: Column, keep: Sequence[int], scaled: Sequence[int], by: float = 1000.0) -> Column:
+    """Some elements as they are, then others divided and clipped to [0, 1]."""
+    own = [F.get(a, F.lit(i)) for i in keep]
+    return F.array(*own, *(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.get(a, F.lit(i)) / by)) for i in scaled))

@@ -126,3 +126,17 @@ def zip_by_position(left: DataFrame, right: DataFrame, by: Sequence[str], on: st
     a = left.select(*by, F.row_number().over(w).alias("rn"), F.col(on).alias("a_t"), F.col(value).alias("a_value"))
     b = right.select(*by, F.row_number().over(w).alias("rn"), F.col(on).alias("b_t"), F.col(value).alias("b_value"))
     return a.join(b, [*by, "rn"]).withColumn("mean_t", (F.col("a_t") + F.col("b_t")) / 2)
+
+
+def synced_pair(targets: DataFrame, left: DataFrame, right: DataFrame, by, on, value: str, tolerance, order=(), bucket=None) -> DataFrame:
+    """Both arms' nearest rows: their mean time and greatest difference, or why there is no pair."""
+    a = asof_nearest(targets, left, by, on, [value], "l_", order=order, tolerance=tolerance, bucket=bucket)
+    both = asof_nearest(a, right, by, on, [value], "r_", order=order, tolerance=tolerance, bucket=bucket)
+    none = F.when(F.col("l_t").isNull() & F.col("r_t").isNull(), "no arm").when(F.col("l_t").isNull(), "no left arm").when(F.col("r_t").isNull(), "no right arm")
+    return both.withColumn("error", none).withColumn("mean_t", (F.col("l_t") + F.col("r_t")) / 2).withColumn("max_diff", F.greatest(F.abs(F.col("l_t") - F.col(on)), F.abs(F.col("r_t") - F.col(on))))
+
+
+def base_clock(rows: DataFrame, by, stream: str, skip: str = "depth") -> DataFrame:
+    """The stream with the fewest rows of each group, without those whose name holds ``skip``; the first by name if tied."""
+    n = rows.filter(~F.col(stream).contains(skip)).groupBy(*by, stream).agg(F.count(F.lit(1)).alias("n_rows"))
+    return n.groupBy(*by).agg(F.min(F.struct("n_rows", stream)).alias("_b")).select(*by, F.col(f"_b.{stream}").alias("base"), "_b.n_rows")

@@ -19,12 +19,13 @@ def running(df: DataFrame, value: str, order: Sequence[str], name: str, group: S
     """Sum of ``value`` over the rows before, of a table of one row an episode.
 
     The table is cut into ranges of the order, which are summed on their own;
-    only the ranges' totals are put in one line.
+    only the ranges' totals are put in one line.  The number of ranges is given,
+    so the two uses of them have the same ones.
     """
     if group:
         w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
-    ranged = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    ranged = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_p", F.spark_partition_id())
     totals = ranged.groupBy("_p").agg(F.sum(value).alias("_t"))
     line = Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
     base = totals.select("_p", F.coalesce(F.sum("_t").over(line), F.lit(0)).alias("_base"))
@@ -214,3 +215,55 @@ def totals(eps: DataFrame) -> DataFrame:
 
 def missing_workers(spark, world: int, done: DataFrame) -> DataFrame:
     return spark.range(world).withColumnRenamed("id", "rank").join(done.select("rank"), "rank", "left_anti")
+
+
+def episode_count(frames: DataFrame, episode: str = "episode_index") -> DataFrame:
+    return frames.agg(F.countDistinct(episode).alias("num_episodes"))
+
+
+def absent_episodes(wanted: DataFrame, frames: DataFrame, episode: str = "episode_index") -> DataFrame:
+    """Wanted episodes without a frame; none are left if they are a subset."""
+    return wanted.select(episode).distinct().join(frames.select(episode), episode, "left_anti")
+
+
+def overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row: how many keys both have, and whether the first are a subset of the others or apart from them."""
+    x, y = a.select(key).distinct(), b.select(key).distinct().withColumn("_there", F.lit(True))
+    n = x.join(y, key, "left").agg(F.count(F.lit(1)).alias("_n"), F.count("_there").alias("n_shared"))
+    return n.select("n_shared", (F.col("n_shared") == F.col("_n")).alias("subset"), (F.col("n_shared") == 0).alias("disjoint"))
+
+
+def info(frames: DataFrame, episode: str = "episode_index", fps: float = 30.0, task: str | None = None) -> DataFrame:
+    """One row: episodes, frames, their shortest, mean and longest episode, hours, tasks, features."""
+    n = frames.groupBy(episode).agg(F.count(F.lit(1)).alias("length"))
+    out = n.agg(F.count(F.lit(1)).alias("total_episodes"), F.sum("length").alias("total_frames"), F.min("length").alias("shortest"), F.avg("length").alias("mean_length"), F.max("length").alias("longest"))
+    tasks = frames.agg((F.countDistinct(task) if task else F.lit(0)).cast("long").alias("total_tasks"))
+    return out.crossJoin(F.broadcast(tasks)).withColumn("hours", F.col("total_frames") / float(fps) / 3600).withColumn("n_features", F.lit(len(frames.columns)))
+
+
+def source_times(sources: dict[str, DataFrame], by: Sequence[str], on: str, digits: int = 2) -> DataFrame:
+    """source, has_time, fps, same_fps: whether each source has the time column, its rate, and whether all rates agree."""
+    out = None
+    for name, s in sources.items():
+        there = on in s.columns
+        if there:
+            n = s.groupBy(*by).agg(F.min(on).alias("a"), F.max(on).alias("b"), F.count(F.lit(1)).alias("n"))
+            rate = n.agg(F.round(F.sum(F.col("n") - 1) / F.sum(F.col("b") - F.col("a")), digits).alias("fps"))
+        else:
+            rate = s.agg(F.lit(None).cast("double").alias("fps"))
+        row = rate.select(F.lit(name).alias("source"), F.lit(there).alias("has_time"), "fps")
+        out = row if out is None else out.unionByName(row)
+    return out.withColumn("same_fps", F.min("fps").over(Window.partitionBy(F.lit(0))) == F.max("fps").over(Window.partitionBy(F.lit(0))))  # a row for each source
+
+
+def length_errors(episodes_: DataFrame, images: DataFrame, videos: DataFrame, key: str = "episode_index") -> DataFrame:
+    """Episodes with why they can't be merged: no images, another number of images than of frames, a video longer than its frames."""
+    out = episodes_.join(images, key, "left").join(videos, key, "left")
+    error = F.when(F.col("n_images").isNull(), "no images").when(F.col("n_images") != F.col("length"), "images and frames differ").when(F.col("n_video") > F.col("length"), "video is longer than the frames")
+    return out.withColumn("error", error)
+
+
+def incomplete(recordings: DataFrame, counts: Sequence[str], key: str) -> DataFrame:
+    """Recordings that lack a camera, with the ones they lack.  They are reported; nothing is deleted."""
+    lacks = F.filter(F.array(*(F.when(F.coalesce(F.col(c), F.lit(0)) == 0, F.lit(c)) for c in counts)), lambda x: x.isNotNull())
+    return recordings.select(key, F.array_join(lacks, ",").alias("lacks")).filter("lacks <> ''")

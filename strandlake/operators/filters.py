@@ -102,3 +102,8 @@ def offset_major(df: DataFrame, step: str, gap: int) -> DataFrame:
 
 def common_columns(frames: Sequence[DataFrame]) -> list[str]:
     return [c for c in frames[0].columns if all(c in f.columns for f in frames)]
+
+
+def cycled(df: DataFrame, rounds: int) -> DataFrame:
+    """The rows again and again, with the number of the round."""
+    return df.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))

@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,12 +70,9 @@ def ema(df: DataFrame, by, on, value: str, alpha: float, order=(), name: str = "
 def rate_limit(df: DataFrame, by, on, value: str, limit: float, start: float | None = None, order=(), name: str = "limited") -> DataFrame:
     """Clamp to the value before +- limit.  Each row starts from the processed row before it, so behind the first all repeat it."""
 
-    def fn(p: pd.DataFrame) -> pd.DataFrame:
-        x = p[value].tolist()
-        first = x[0] if start is None else min(max(x[0], start - limit), start + limit)
-        return p.assign(**{name: np.full(len(x), first, float)})
-
-    return _fold(df, by, on, order, fn, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
+    w = Window.partitionBy(*by).orderBy(on, *order).rowsBetween(Window.unboundedPreceding, 0)
+    first = F.first(F.col(value).cast("double")).over(w)
+    return df.withColumn(name, first if start is None else F.greatest(F.lit(float(start - limit)), F.least(F.lit(float(start + limit)), first)))
 
 
 def drop_small_changes(df: DataFrame, by, on, values: dict[str, float], order=()) -> DataFrame:

@@ -373,3 +373,30 @@ def running_mean(df: DataFrame, by, on, value: str, order=()) -> DataFrame:
     """Value, sum, count and mean up to each frame."""
     w = frames(by, on, order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn("sum", F.sum(value).over(w)).withColumn("count", F.count(value).over(w)).withColumn("avg", F.avg(value).over(w))
+
+
+def mean_period(df: DataFrame, by, on) -> DataFrame:
+    """(last - first) / (n - 1) of each episode; null for a single frame."""
+    n = df.groupBy(*by).agg(F.min(on).alias("_a"), F.max(on).alias("_b"), F.count(F.lit(1)).alias("n_frames"))
+    return n.select(*by, "n_frames", F.when(F.col("n_frames") > 1, (F.col("_b") - F.col("_a")) / (F.col("n_frames") - 1)).alias("period"))
+
+
+def next_index(df: DataFrame, index: str) -> DataFrame:
+    """Greatest index of all rows, and the one to go on with; -1 and 0 without any."""
+    return df.agg(F.coalesce(F.max(index), F.lit(-1)).cast("long").alias("max_index")).withColumn("next_index", F.col("max_index") + 1)
+
+
+def around(df: DataFrame, by, on, value: str, history: int, lookahead: int, order=(), name: str = "around") -> DataFrame:
+    """Up to ``history`` values before and ``lookahead`` after each frame, as arrays in time order; at the ends there are fewer."""
+    w = frames(by, on, order)
+    back = F.collect_list(value).over(w.rowsBetween(-history, -1)) if history else F.array()
+    ahead = F.collect_list(value).over(w.rowsBetween(1, lookahead)) if lookahead else F.array()
+    return df.withColumn(f"{name}_before", back).withColumn(f"{name}_after", ahead)
+
+
+def linear(df: DataFrame, by, on, value: str, factor: int, order=()) -> DataFrame:
+    """Straight lines through the frames at unit spacing, ``factor`` points a step and the last frame."""
+    w = frames(by, on, order)
+    d = df.withColumn("_y", F.col(value).cast("double")).withColumn("_y1", F.lead(F.col(value).cast("double")).over(w)).withColumn("key_frame", F.row_number().over(w) - 1)
+    d = d.withColumn("sub", F.explode(F.when(F.col("_y1").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(factor - 1)))))
+    return d.select(*by, "key_frame", "sub", F.coalesce(F.col("_y") + (F.col("_y1") - F.col("_y")) * F.col("sub") / float(factor), F.col("_y")).alias("value"))

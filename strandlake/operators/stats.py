@@ -132,3 +132,20 @@ def with_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str] = ()) -> Dat
 def detect_mode(names: Sequence[str]) -> str:
     """Mode that the statistics at hand allow."""
     return next((m for m in ("quantiles", "quantile10", "mean_std", "min_max") if set(MODES[m]) <= set(names)), "identity")
+
+
+def with_quantiles(stats: DataFrame, frames: DataFrame, vector: str, keys: Sequence[str] = (), quantiles: dict[str, float] | None = None, exact: bool = True) -> DataFrame:
+    """The statistics as they are if they have quantiles, else all of them computed again from the frames."""
+    return stats if has_quantiles(stats.columns) else vector_stats(frames, vector, keys, quantiles, exact)
+
+
+def errors(nested_stats: DataFrame, dims: int, image: bool = False) -> DataFrame:
+    """Rows of array statistics with what is wrong: a scalar, another length than the feature's (3 for images), a count that is no single number."""
+    names = [c for c, t in nested_stats.dtypes if t.startswith("array") and c != "count"]
+    want = 3 if image else dims
+    error = F.lit(None).cast("string")
+    for c in reversed(names):
+        error = F.when(F.col(c).isNull(), f"{c}: no value").when(F.size(c) != want, f"{c}: length is not {want}").otherwise(error)
+    if "count" in nested_stats.columns and dict(nested_stats.dtypes)["count"].startswith("array"):
+        error = F.coalesce(error, F.when(F.size(F.array_distinct("count")) != 1, "count: not one number"))
+    return nested_stats.withColumn("error", error)

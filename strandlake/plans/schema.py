@@ -145,3 +145,46 @@ def safe_version(wanted: str, there: list[str]) -> str:
     if have and max(have)[0] < want[0]:
         raise ValueError(f"the data are too old for {wanted}; convert them first")
     raise ValueError(f"the data are too new for {wanted}; there are {sorted(there)}")
+
+
+def merge_features(*parts: dict[str, dict]) -> dict[str, dict]:
+    """Features of several sources as one: names of vectors of the same key are put one after another, without repeats."""
+    out: dict[str, dict] = {}
+    for part in parts:
+        for key, spec in part.items():
+            names = spec.get("names")
+            if key not in out or not isinstance(names, list) or len(spec.get("shape", ())) != 1:
+                out[key] = dict(spec)
+                continue
+            if out[key].get("dtype") != spec.get("dtype"):
+                raise ValueError(f"feature {key!r} is {out[key].get('dtype')} and {spec.get('dtype')}")
+            both = list(dict.fromkeys([*out[key]["names"], *names]))
+            out[key] = out[key] | {"names": both, "shape": (len(both),)}
+    return out
+
+
+def lists_as_sequences(features):
+    """Stored feature types with the older name of the list type put in place of the newer, at any depth."""
+    if isinstance(features, dict):
+        return {k: "Sequence" if k == "_type" and v == "List" else lists_as_sequences(v) for k, v in features.items()}
+    return [lists_as_sequences(x) for x in features] if isinstance(features, list) else features
+
+
+def camera_shapes(features: dict[str, dict]) -> tuple[dict[str, tuple], str]:
+    """Shape of every camera, and how they are stored; cameras stored in different ways are an error."""
+    cameras = {k: f for k, f in features.items() if f.get("dtype") in ("image", "video")}
+    stored = {f["dtype"] for f in cameras.values()}
+    if len(stored) != 1:
+        raise ValueError(f"cameras are stored as {sorted(stored) or 'nothing'}; one way is needed")
+    return {k: tuple(f["shape"]) for k, f in cameras.items()}, stored.pop()
+
+
+def empty(spark, features: dict[str, tuple]) -> DataFrame:
+    """A data set of the declared features, without a frame."""
+    return spark.createDataFrame([], struct(features))
+
+
+def unwrapped(df: DataFrame, *columns: str) -> DataFrame:
+    """Columns of arrays of one array without the outer one; others stay as they are."""
+    kinds_ = dict(df.dtypes)
+    return df.withColumns({c: F.flatten(c) for c in columns if kinds_[c].startswith("array<array<")})

@@ -75,11 +75,11 @@ def topic_stream(messages: DataFrame, cutoff_ns: int) -> DataFrame:
     return messages.withColumn("ts_ns", F.when(F.col("stamp_ns") > cutoff_ns, F.col("stamp_ns")).otherwise(F.col("recv_ns")))
 
 
-def frame_table(spark: SparkSession, path: str, episodes: Sequence[int] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+def frame_table(spark: SparkSession, path: str, episodes: Sequence[int] | None = None, columns: Sequence[str] | None = None, episode: str = "episode_index") -> DataFrame:
     """Nested Parquet files; the episode filter and the columns reach the scan."""
     df = spark.read.option("recursiveFileLookup", "true").parquet(path)
     if episodes is not None:
-        df = df.filter(F.col("episode_index").isin(list(episodes)))
+        df = df.filter(F.col(episode).isin(list(episodes)))
     return df.select(*columns) if columns else df
 
 
@@ -132,7 +132,10 @@ def trajectories_to_frames(df: DataFrame, steps: str) -> DataFrame:
 
 
 def zip_entries(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, name, content) of every file in the archives; each archive is opened by one task, on its bytes."""
+    """(archive, name, content) of every file in the archives; each archive is opened by one task, on its bytes.
+
+    Spark holds a file's bytes in one value, so an archive has less than 2 GB.
+    """
     import io
     import zipfile
 
@@ -175,3 +178,16 @@ def fake_rows(spark: SparkSession, spec: dict[str, int], rows: int, seed: int =
     """Seeded random vectors in [-1, 1) by a spec of name to length."""
     cols = [F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i, name=name: F.pmod(F.xxhash64(F.lit(seed), F.lit(name), F.col("id"), i), F.lit(1 << 30)) / float(1 << 29) - 1).alias(name) for name, n in spec.items()]
     return spark.range(rows).select("id", *cols)
+
+
+def parquet_bytes(spark: SparkSession, path: str) -> int:
+    """Uncompressed bytes of all row groups of a Parquet path, from its footers alone, in any file system that Spark reads."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    size = 0
+    for file in spark.read.parquet(path).inputFiles():
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf))
+        try:
+            size += sum(group.getTotalByteSize() for group in reader.getRowGroups())
+        finally:
+            reader.close()
+    return size

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ..operators import edit
 
 
-def frame_table(df: DataFrame, path: str, rows_per_file: int = 500_000, episode: str = "episode_index") -> None:
-    """Parquet files in episode order, of bounded length."""
+def frame_table(df: DataFrame, path: str, rows_per_file: int = 500_000, episode: str = "episode_index", file_bytes: int | None = None, row_bytes: int | None = None) -> None:
+    """Parquet files in episode order, of bounded length, or of bounded uncompressed bytes where a row's are known (``readers.parquet_bytes``)."""
+    if file_bytes and row_bytes:
+        rows_per_file = max(1, min(rows_per_file, file_bytes // row_bytes))
     df.repartitionByRange(episode).sortWithinPartitions(episode, "frame_index").write.option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 

@@ -60,9 +60,36 @@ def test_pipeline(spark):
         pipeline.register("pad")(pipeline.Pad)
 
 
-def test_group_outputs_are_prepended():
-    g = pipeline.Group((1,), (2,)).push([3], [4])
-    assert g.inputs == (1, 3) and g.outputs == (4, 2)
+def test_layers_are_left_in_reverse():
+    g = pipeline.Layers(((1,), (2,))).inside([3], [4])
+    assert g.way_in() == [1, 3] and g.way_out() == [4, 2]
+
+
+def test_model_steps_dataset_and_loader(spark):
+    df = spark.createDataFrame([(1, 0, "Do It", [0.0, 1.0]), (2, 1, None, [0.5, -1.0])], "episode_index int, frame_index int, prompt string, state array<double>")
+    rows = {k: pipeline.Pipeline(pipeline.model_steps(k, "todo", 4))(df).orderBy("frame_index").collect() for k in ("flow", "flow_text", "tokens")}
+    assert rows["flow"][0].state == [0.0, 1.0, 0.0, 0.0] and rows["flow"][1].prompt == "todo"
+    assert rows["tokens"][1].prompt == "Task: todo, State: 192 0;\n" and len(rows["tokens"][0].state) == 2
+    with pytest.raises(ValueError):
+        pipeline.model_steps("other")
+    frames, stats = pipeline.dataset(df, df.select("episode_index"), [1], override={"mean": 0.5})
+    assert frames.count() == 1 and stats.first().mean == 0.5
+    assert pipeline.loader("fake", fake=lambda: df).count() == 2
+    with pytest.raises(ValueError):
+        pipeline.loader("rlds", fake=lambda: df)
+
+
+def test_feature_dicts():
+    a = {"state": {"dtype": "float32", "shape": (2,), "names": ["x", "y"]}, "cam": {"dtype": "image", "shape": (4, 4, 3), "names": None}}
+    b = {"state": {"dtype": "float32", "shape": (2,), "names": ["y", "z"]}}
+    merged = schema.merge_features(a, b)
+    assert merged["state"] == {"dtype": "float32", "shape": (3,), "names": ["x", "y", "z"]} and merged["cam"] == a["cam"]
+    with pytest.raises(ValueError):
+        schema.merge_features(a, {"state": {"dtype": "int64", "shape": (1,), "names": ["q"]}})
+    assert schema.camera_shapes(a) == ({"cam": (4, 4, 3)}, "image")
+    with pytest.raises(ValueError):
+        schema.camera_shapes(a | {"c2": {"dtype": "video", "shape": (1,)}})
+    assert schema.lists_as_sequences({"a": {"_type": "List", "f": [{"_type": "List"}, {"_type": "Value"}]}}) == {"a": {"_type": "Sequence", "f": [{"_type": "Sequence"}, {"_type": "Value"}]}}
 
 
 def test_text_logs(spark, tmp_path):
