@@ -146,7 +146,7 @@ FLUSH = 1 << 17
 #: Runs up to ``SHORT`` sets give all pairs that pass, up to ``LONG`` each line's ``NEAREST`` partners, longer ones the best among the heads.
 SHORT, NEAREST = 32, 3
 LONG, HEADS = 2048, 64
-HOT_PIVOT = 4096
+HOT_PIVOT = 256
 #: Rows of a run's chunk, and wanted lines that meet it at once.
 CHUNK, WANTED = 1 << 14, 1 << 10
 COPY, PAIR, MORE, RUN = range(4)

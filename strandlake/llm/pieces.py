@@ -109,7 +109,7 @@ class _Table:
 class PieceEncoder:
     """Encodes batches of texts.  The cache holds ``limit`` pieces at most, besides those of the batch at hand."""
 
-    def __init__(self, path: str, limit: int = 1_500_000) -> None:
+    def __init__(self, path: str, limit: int = 1_000_000) -> None:
         self.tok = load_tokenizer(path)
         self.vocab = self.tok.get_vocab_size()
         self.n_bytes = np.zeros(self.vocab, np.int64)  # a byte-level token has a character for each byte

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from strandlake.llm import components, decontamination, language, pii, queries, simhash, vector_file
+from strandlake.llm import components, decontamination, language, lines, pii, queries, simhash, suffixes, vector_file
 from tests.conftest import same_rows
 
 from .conftest import ODD
@@ -351,3 +351,36 @@ def test_top_k_of_huge_components(spark, monkeypatch, chunk):
         best = sorted((-sum(a * b for a, b in zip(v[q], v[j])), j) for j in v if j != q)[:2]
         want += [(q, r + 1, j, -s) for r, (s, j) in enumerate(best)]
     assert got == sorted(want)
+
+
+# -- very long texts -----------------------------------------------------------------------------------
+
+
+def test_very_long_texts(spark, detector):
+    """A text of over a megabyte, a word of a megabyte, and short ones beside them: whole texts count everywhere."""
+    rnd = random.Random(8)
+    prose = " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(200_000))
+    item = "the tenth window of this benchmark item stands at the far end"
+    long = prose + "\n" + item + "\nmail me@far.example.org or 10.20.30.40"
+    rows = [(1, long, "en"), (2, "x" * 1_000_000, "en"), (3, item, "fr"), (4, long, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in pii.detect(df, detector).collect()}
+    assert (found[1].n_email, found[1].n_ip, found[2].n_email) == (1, 1, 0) and found[1].base.startswith(f"email:{long.index('me@far')}:")
+    prints = {r.doc_id: r for r in simhash.near_duplicates(df).collect()}
+    assert prints[1].fingerprint == f"{print_of(long):016x}" and prints[4].component_id == 1
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    hit = {r.doc_id: (r.n_words, r.n_hit) for r in decontamination.contamination(df, bench).collect()}
+    assert hit[1] == (len(re.findall("[A-Za-z0-9]+", long)), 12) and hit[2] == (1, 0) and hit[3] == (12, 12)
+    model = language.Model({"en": [prose[:30_000]], "fr": ["le la les des une " * 50]})
+    assert {r.doc_id: r.lang_pred for r in language.identify(df, model).collect()}[1] == "en"
+    assert model.code_lengths(long).tolist() == pytest.approx([plain_units(model, long, k) for k in range(2)])
+    left = {r.doc_id: r for r in lines.dedup_lines(df).collect()}
+    assert (left[1].n_removed, left[3].n_removed, left[4].n_removed) == (0, 1, 3) and left[4].text == ""
+    cut = {r.doc_id: r for r in suffixes.remove_repeats(df).collect()}
+    assert cut[1].n_removed == len(long) and cut[2].n_removed == 1_000_000 and cut[3].n_removed == 0
+
+
+def plain_units(model: language.Model, text: str, k: int) -> float:
+    """Units of the text in one language, without the cache."""
+    grams = language._grams(text.encode().lower(), model.order)
+    return float(np.rint(model.trees[k].bits(grams) * language.UNIT).sum())
