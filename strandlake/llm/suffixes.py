@@ -47,15 +47,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import batches, column, fits, kept, packed, tuned, unpacked
+from .common import batches, column, kept, packed, tuned, unpacked
 
 WIDTH, SEED = 200, 64
 #: Strings that hold a seed start so far before it, at most.
 REACH = WIDTH - SEED
 #: Groups of more distinct contexts are not gathered but counted string by string.
 HOT = 50_000
-#: Tables that go to the texts are broadcast up to so many bytes, and exchanged beyond.
-BROADCAST_BYTES = 64 << 20
 #: Bytes of text for each receiver.
 PART_BYTES = 32 << 20
 RUN_BYTES = 64 << 20
@@ -449,11 +447,10 @@ def _covered(it) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "spans"])
 
 
-def _to_texts(texts: DataFrame, side: DataFrame, how: str, items: str, item_bytes: int) -> DataFrame:
-    """Join a table of one row a document to the texts, which stay where they are while it is small."""
+def _to_texts(texts: DataFrame, side: DataFrame, how: str) -> DataFrame:
+    """Join a table of one row a document to the texts, by exchange at every size: its rows carry lists that grow with the corpus."""
     side = side.withColumnRenamed("doc_id", "s_id").withColumnRenamed("text_hash", "s_hash")
-    side = F.broadcast(side) if fits(side, 64, items, item_bytes, BROADCAST_BYTES) else side
-    return texts.join(side, texts.doc_id.eqNullSafe(F.col("s_id")) & (texts.text_hash == F.col("s_hash")), how).drop("s_id", "s_hash")
+    return texts.join(side.hint("merge"), texts.doc_id.eqNullSafe(F.col("s_id")) & (texts.text_hash == F.col("s_hash")), how).drop("s_id", "s_hash")
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -467,13 +464,13 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     wanted = found.filter("pos IS NOT NULL").select("doc_id", "text_hash", F.struct("pos", "right", "seed", "n").alias("w"), "members")
 
     by_doc = kept(wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.when(F.col("members") <= HOT, F.col("w"))).alias("wanted"), F.collect_list(F.when(F.col("members") > HOT, F.col("w"))).alias("hot")), "contexts-wanted")
-    runs = _to_texts(rows, by_doc.filter(F.size("wanted") > 0).drop("hot"), "inner", "wanted", 56).dropDuplicates(["doc_id", "text_hash"]).mapInArrow(_runs(parts), "part int, run binary")
+    runs = _to_texts(rows, by_doc.filter(F.size("wanted") > 0).drop("hot"), "inner").dropDuplicates(["doc_id", "text_hash"]).mapInArrow(_runs(parts), "part int, run binary")
     edges = runs.repartition(parts, "part").mapInArrow(_merge, "doc_id long, text_hash long, lo long, hi long")
     every = found.filter("pos IS NULL").select("doc_id", "text_hash", "lo", "hi").unionByName(edges)
 
     hot = by_doc.filter(F.size("hot") > 0).select("doc_id", "text_hash", F.col("hot").alias("wanted"))
     if not hot.isEmpty():
-        strings = kept(_to_texts(rows, hot, "inner", "wanted", 56).dropDuplicates(["doc_id", "text_hash"]).mapInArrow(_strings, "doc_id long, text_hash long, lo long, h1 long, h2 long").distinct(), "hot-strings")
+        strings = kept(_to_texts(rows, hot, "inner").dropDuplicates(["doc_id", "text_hash"]).mapInArrow(_strings, "doc_id long, text_hash long, lo long, h1 long, h2 long").distinct(), "hot-strings")
         repeated = strings.groupBy("h1", "h2").agg(F.count("*").alias("k")).filter("k > 1").select("h1", "h2")
         every = every.unionByName(strings.join(repeated, ["h1", "h2"], "left_semi").select("doc_id", "text_hash", "lo", (F.col("lo") + WIDTH).alias("hi")))
     ranges = every.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
@@ -499,4 +496,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tuned(docs.sparkSession)
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), F.coalesce(text, F.lit("")).alias("text"))
-    return _to_texts(texts, repeated_spans(texts), "left", "spans", 8).select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return _to_texts(texts, repeated_spans(texts), "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

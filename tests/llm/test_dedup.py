@@ -60,10 +60,9 @@ def held_against(df, texts, ids):
     assert got == want
 
 
-@pytest.mark.parametrize("hot, broadcast", [(50_000, 64 << 20), (3, 64 << 20), (50_000, 0)])
-def test_repeats(spark, monkeypatch, hot, broadcast):
+@pytest.mark.parametrize("hot", [50_000, 3])
+def test_repeats(spark, monkeypatch, hot):
     monkeypatch.setattr(suffixes, "HOT", hot)
-    monkeypatch.setattr(suffixes, "BROADCAST_BYTES", broadcast)
     monkeypatch.setattr(suffixes, "PART_BYTES", 1000)
     texts = fixture_texts()
     ids = [None if i == 3 else 7 if i in (40, 41) else i for i in range(len(texts))]
