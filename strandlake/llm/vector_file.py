@@ -1,9 +1,9 @@
 """Exact top-k by inner product over a vector-approximation file.
 
 Vectors are integers: floor(64 x) of every component.  The file has two tables
-of blocks.  In the *approximation* every dimension of a block is cut into 16
-cells at the quantiles of the block's own values; a vector is its cells, four
-bits a dimension, and a cell keeps the least and greatest value in it.  The
+of blocks.  In the *approximation* every dimension of a block is cut into 64
+cells at the quantiles of the block's own values; a vector is its cells, a byte
+a dimension, and a cell keeps the least and greatest value in it.  The
 other table holds the *exact* vectors.
 
 A search first scans the approximation alone: the cells bound every score from
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import batches, kept
 
-SCALE, CELLS, BLOCK = 64, 16, 2048
+SCALE, CELLS, BLOCK = 64, 64, 2048
 #: Bytes of queries that are broadcast at once, and queries that are held against a block at once.
 CHUNK_BYTES, AT_ONCE = 8 << 20, 256
 _FILE = "block long, dim int, n int, uids binary, vec_ids binary, cells binary, low binary, high binary, exact binary"
@@ -45,7 +45,7 @@ _NAMES = [x.split()[0] for x in _FILE.split(", ")]
 
 
 def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cells (n x dim), and the least and greatest value of each cell (dim x 16)."""
+    """Cells (n x dim), and the least and greatest value of each cell (dim x 64)."""
     n, dim = vectors.shape
     cells = np.empty((n, dim), np.uint8)
     low, high = np.zeros((dim, CELLS), np.int64), np.zeros((dim, CELLS), np.int64)
@@ -59,15 +59,8 @@ def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return cells, low, high
 
 
-def _nibbles(cells: np.ndarray) -> bytes:
-    flat = cells.ravel()
-    flat = np.append(flat, np.uint8(0)) if len(flat) % 2 else flat
-    return (flat[::2] | (flat[1::2] << 4)).tobytes()
-
-
 def _cells(data: bytes, n: int, dim: int) -> np.ndarray:
-    b = np.frombuffer(data, np.uint8)
-    return np.stack([b & 15, b >> 4], axis=1).ravel()[: n * dim].reshape(n, dim)
+    return np.frombuffer(data, np.uint8).reshape(n, dim)
 
 
 def _build(it) -> Iterator[pa.RecordBatch]:
@@ -80,7 +73,7 @@ def _build(it) -> Iterator[pa.RecordBatch]:
         rows = waiting.pop(dim)
         exact = np.floor(np.array([v for _, _, v in rows], np.float64) * SCALE).astype(np.int64)
         cells, low, high = quantise(exact)
-        of = [np.array([u for u, _, _ in rows], np.int64).tobytes(), np.array([v for _, v, _ in rows], np.int64).tobytes(), _nibbles(cells), low.tobytes(), high.tobytes(), exact.tobytes()]
+        of = [np.array([u for u, _, _ in rows], np.int64).tobytes(), np.array([v for _, v, _ in rows], np.int64).tobytes(), cells.tobytes(), low.tobytes(), high.tobytes(), exact.tobytes()]
         return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([dim], pa.int32()), pa.array([len(rows)], pa.int32()), *(pa.array([x], pa.binary()) for x in of)], names=_NAMES)
 
     for batch in batches(it):
@@ -125,7 +118,7 @@ class _Best:
         self.score[q], self.id[q] = score[order], ids[order]
 
 
-_CANDIDATE = np.dtype([("q", "<i4"), ("at", "<i4"), ("upper", "<f8"), ("known", "<f8")])
+_CANDIDATE = np.dtype([("q", "<i4"), ("at", "<u2"), ("upper", "<f4")])
 
 
 def bounded(queries: np.ndarray, uids: np.ndarray, block: dict, lows: np.ndarray) -> Iterator[np.ndarray]:
@@ -150,7 +143,8 @@ def bounded(queries: np.ndarray, uids: np.ndarray, block: dict, lows: np.ndarray
         known = lows[i : i + AT_ONCE].min(axis=1)
         q, at = np.nonzero((upper >= known[:, None]) & (upper > -np.inf))
         out = np.empty(len(q), _CANDIDATE)
-        out["q"], out["at"], out["upper"], out["known"] = q + i, at, upper[q, at], known[q]
+        out["q"], out["at"] = q + i, at
+        out["upper"] = np.nextafter(upper[q, at].astype(np.float32), np.float32(np.inf))  # rounded up
         if len(out):
             yield out[np.lexsort((-out["upper"], out["q"]))]
 
@@ -166,7 +160,7 @@ def refined(queries: np.ndarray, candidates: np.ndarray, ids: np.ndarray, exact:
             if upper[i] < best.score[q, -1]:
                 break
             some = at[i : i + step]
-            best.add(q, exact[some] @ queries[q], ids[some])
+            best.add(q, exact[some.astype(np.int64)] @ queries[q], ids[some])
             read += len(some)
     return read
 
