@@ -12,39 +12,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import kept
+
 REQUIRED = ("timestamp", "frame_index", "episode_index", "index", "task_index")
 
 
-def running(df: DataFrame, value: str, order: Sequence[str], name: str, group: Sequence[str] = ()) -> DataFrame:
-    """Sum of ``value`` over the rows before, of a table of one row an episode.
+def running(df: DataFrame, sums: dict[str, str], order: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    """For each ``value: name`` the sum of ``value`` over the rows before, of a table of one row an episode.
 
     The table is cut into ranges of the order, which are summed on their own;
-    only the ranges' totals are put in one line.  The number of ranges is given,
-    so the two uses of them have the same ones.
+    only the ranges' totals are put in one line.  Ranges come from a sample that
+    every use of the plan draws anew, so the cut table is written once, and both
+    uses read it.
     """
     if group:
         w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
-    ranged = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_p", F.spark_partition_id())
-    totals = ranged.groupBy("_p").agg(F.sum(value).alias("_t"))
+        return df.withColumns({name: F.coalesce(F.sum(value).over(w), F.lit(0)) for value, name in sums.items()})
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = kept(df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()), "ranges")
+    totals = ranged.groupBy("_p").agg(*(F.sum(value).alias(f"_t_{value}") for value in sums))
     line = Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
-    base = totals.select("_p", F.coalesce(F.sum("_t").over(line), F.lit(0)).alias("_base"))
+    base = totals.select("_p", *(F.coalesce(F.sum(f"_t_{value}").over(line), F.lit(0)).alias(f"_base_{value}") for value in sums))
     own = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = ranged.withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0))).join(F.broadcast(base), "_p")
-    return out.withColumn(name, (F.col("_base") + F.col("_own")).cast("long")).drop("_p", "_base", "_own")
+    before = {name: (F.col(f"_base_{value}") + F.coalesce(F.sum(value).over(own), F.lit(0))).cast("long") for value, name in sums.items()}
+    return ranged.join(F.broadcast(base), "_p").withColumns(before).drop("_p", *(f"_base_{value}" for value in sums))
 
 
 def episodes(frames: DataFrame, episode: str = "episode_index") -> DataFrame:
     """episode, length, dataset_from_index, dataset_to_index (exclusive)."""
     n = frames.groupBy(episode).agg(F.count(F.lit(1)).alias("length"))
-    out = running(n, "length", [episode], "dataset_from_index")
+    out = running(n, {"length": "dataset_from_index"}, [episode])
     return out.withColumn("dataset_to_index", F.col("dataset_from_index") + F.col("length"))
 
 
 def reindex(frames: DataFrame, order: Sequence[str], episode: str = "episode_index") -> DataFrame:
     """Dense episode numbers, frame numbers from 0 in each, and a gapless global index."""
     n = frames.groupBy(episode).agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
-    e = running(running(n, "_n", [episode], "_from"), "_one", [episode], "_new").select(episode, "_from", "_new")
+    e = running(n, {"_n": "_from", "_one": "_new"}, [episode]).select(episode, "_from", "_new")
     out = frames.join(e, episode).withColumn("frame_index", (F.row_number().over(Window.partitionBy(episode).orderBy(*order)) - 1).cast("long"))
     return out.withColumn("index", F.col("_from") + F.col("frame_index")).withColumn(episode, F.col("_new")).drop("_from", "_new")
 
@@ -84,7 +88,7 @@ def split(frames: DataFrame, total: int, fractions: dict[str, float], episode: s
 def tasks_of(frames: DataFrame, task: str = "task", first_seen: Sequence[str] | None = None) -> DataFrame:
     """Dense task ids, sorted by text or by where a task is first seen."""
     seen = frames.groupBy(task).agg((F.min(F.struct(*first_seen)) if first_seen else F.lit(0)).alias("_f")).withColumn("_one", F.lit(1))
-    return running(seen, "_one", ["_f", task], "task_index").select(task, "task_index")
+    return running(seen, {"_one": "task_index"}, ["_f", task]).select(task, "task_index")
 
 
 def with_tasks(frames: DataFrame, tasks: DataFrame, task: str = "task") -> DataFrame:
@@ -125,7 +129,7 @@ def merge(sources: Sequence[DataFrame], order: Sequence[str], task: str | None =
         both = s if both is None else both.unionByName(s)
     n = both.groupBy("dataset_index", episode).agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
     key = ["dataset_index", episode]
-    e = running(running(n, "_n", key, "_from"), "_one", key, "_new").select(*key, "_from", "_new")
+    e = running(n, {"_n": "_from", "_one": "_new"}, key).select(*key, "_from", "_new")
     out = both.join(e, key).withColumn("frame_index", (F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1).cast("long"))
     out = out.withColumn("index", F.col("_from") + F.col("frame_index")).withColumn(episode, F.col("_new")).drop("_from", "_new")
     return with_tasks(out, tasks_of(out, task, ["dataset_index", "index"]), task) if task and task in common else out
@@ -157,7 +161,7 @@ def remap_files(meta: DataFrame, mapping: DataFrame, keys: Sequence[str], defaul
 
 def video_offsets(eps: DataFrame, fps: float, file: Sequence[str], episode: str = "episode_index") -> DataFrame:
     """from and to time of each episode in its packed file."""
-    out = running(eps, "length", [episode], "_before", group=file)
+    out = running(eps, {"length": "_before"}, [episode], file)
     return out.withColumn("from_timestamp", F.col("_before") / float(fps)).withColumn("to_timestamp", (F.col("_before") + F.col("length")) / float(fps)).drop("_before")
 
 

@@ -6,23 +6,11 @@ folder that the cluster shares, where it names one.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-_LOCAL: dict[str, str] = {}
-
-
-def folder(spark: SparkSession | None = None) -> str:
-    spark = spark or SparkSession.active()
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _LOCAL["path"] = _LOCAL.get("path") or tempfile.mkdtemp(prefix="strandlake-")
-    return f"{base.rstrip('/')}/strandlake/stream-{uuid.uuid4().hex[:12]}"
+from ..sources.shared import folder
 
 
 def name(kind: str) -> str:

@@ -136,6 +136,22 @@ def test_adaptive_downsampling_keeps_changes_and_the_end(spark):
     assert [r.t for r in got.orderBy("t").collect()] == [0, 1, 2, 3, 5, 6]
 
 
+def test_running_sums_when_ranges_are_sampled_badly(spark):
+    """More rows than the sample of the ranges sees, and a column that only one use of them reads."""
+    spark.conf.set("spark.sql.execution.rangeExchange.sampleSizePerPartition", "2")
+    try:
+        df = spark.range(0, 5000, 1, 8).select(F.col("id").alias("e"), (F.col("id") % 7).alias("n"), F.lit(1).alias("one"), F.col("id").cast("string").alias("x"))
+        got = [(r.e, r.x, r.before, r.at) for r in edit.running(df, {"n": "before", "one": "at"}, ["e"]).orderBy("e").collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.rangeExchange.sampleSizePerPartition")
+    total, want = 0, []
+    for e in range(5000):
+        want.append((e, str(e), total, e))
+        total += e % 7
+    assert got == want
+    assert edit.running(df.limit(0), {"n": "before"}, ["e"]).count() == 0
+
+
 def test_split_sizes():
     assert edit.split_sizes(10, {"a": 0.5, "b": 0.2}) == {"a": (0, 5), "b": (5, 10)}
     with pytest.raises(ValueError):
