@@ -1,70 +1,117 @@
 """Folds whose step needs what the step before decided.
 
-Each runs over one episode in an Arrow-fed grouped map, which holds a single
-episode (thousands of frames); there is no closed form for them.
+There is no closed form for them, so the rows of a partition, sorted by episode
+and time, go by in Arrow batches and a step takes its state from batch to batch:
+a worker holds two batches, however long an episode is.  Columns that a step
+doesn't read pass through as they are.  Nulls come last in an episode's order.
+``nearest_monotone`` alone looks at a whole episode, whose right side it searches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: (columns read, state: None at an episode's start, whether the episode ends here) -> (kept rows or None, new columns, state)
+Step = Callable[[list[pa.Array], Any, bool], tuple[list[bool] | None, dict[str, np.ndarray], Any]]
 
-def _fold(df: DataFrame, by: Sequence[str], on: str, order: Sequence[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | None = None) -> DataFrame:
-    keys = [on, *order]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return fn(pdf.sort_values(keys, kind="stable").reset_index(drop=True))
+def _starts(batch: pa.RecordBatch, by: Sequence[str]) -> list[int]:
+    """Rows of a batch at which another episode starts, the first one included, and the batch's end."""
+    new = np.zeros(batch.num_rows, bool)
+    new[0] = True
+    for c in by:
+        codes = batch.column(c).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return [*np.flatnonzero(new).tolist(), batch.num_rows]
 
-    return df.groupBy(*by).applyInPandas(run, schema or df.schema)
 
+def _episode(batch: pa.RecordBatch, row: int, by: Sequence[str]) -> str:
+    return repr([batch.column(c)[row].as_py() for c in by])
 
-def kept_mask(t: np.ndarray, least: np.ndarray | float) -> np.ndarray:
-    """Frames at least ``least`` behind the last kept one."""
-    keep, last = np.zeros(len(t), bool), None
-    gap = np.broadcast_to(least, len(t))
-    for i, x in enumerate(t.tolist()):
-        if last is None or x - last >= gap[i]:
-            keep[i], last = True, x
-    return keep
+
+def _fold(df: DataFrame, by: Sequence[str], on: str, order: Sequence[str], reads: Sequence[str], step: Step, new: dict[str, T.DataType] | None = None) -> DataFrame:
+    """``step`` over the stretches of each episode, one shuffle and one sort; rows it doesn't keep go, its new columns come last."""
+    by, new = list(by), new or {}
+    kinds = {T.DoubleType(): pa.float64(), T.LongType(): pa.int64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = (b for b in batches if b.num_rows)
+        batch, episode, state = next(full, None), None, None
+        while batch is not None:
+            follows, at = next(full, None), _starts(batch, by)
+            mask, made = [], {c: [] for c in new}
+            for a, b in zip(at, at[1:]):
+                if a or _episode(batch, 0, by) != episode:
+                    state = None
+                ends = b < batch.num_rows or follows is None or _episode(follows, 0, by) != _episode(batch, a, by)
+                keep, columns, state = step([batch.column(c).slice(a, b - a) for c in reads], state, ends)
+                mask += keep or [True] * (b - a)
+                for c in new:
+                    made[c].append(columns[c])
+            episode = _episode(batch, batch.num_rows - 1, by)
+            out = pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.concatenate(made[c]), kinds[t]) for c, t in new.items())], names=[*batch.schema.names, *new])
+            yield out if all(mask) else out.filter(pa.array(mask, pa.bool_()))
+            batch = follows
+
+    rows = df.repartition(*by) if by else df.coalesce(1)
+    rows = rows.sortWithinPartitions(*by, *(F.col(c).asc_nulls_last() for c in (on, *order)))
+    return rows.mapInArrow(run, T.StructType([*df.schema.fields, *(T.StructField(c, t) for c, t in new.items())]))
+
+
+def _values(column: pa.Array) -> list:
+    """Numbers of a column; a null is not a number."""
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def debounce(df: DataFrame, by, on, gap: float, order=()) -> DataFrame:
     """Drop frames closer than ``gap`` to the last kept one."""
-    return _fold(df, by, on, order, lambda p: p[kept_mask(p[on].to_numpy(), gap)])
+
+    def step(columns, last, ends):
+        keep = []
+        for t in _values(columns[0]):
+            k = last is None or t - last >= gap
+            keep.append(k)
+            last = t if k else last
+        return keep, {}, last
+
+    return _fold(df, by, on, order, [on], step)
 
 
 def downsample_adaptive(df: DataFrame, by, on, rate: Column, unit: float, order=()) -> DataFrame:
     """Each frame has a rate: kept at a change of rate, else when 1 / rate has passed since the last kept; the last stays."""
 
-    def fn(p: pd.DataFrame) -> pd.DataFrame:
-        t, r = p[on].tolist(), p["_rate"].tolist()
-        keep, last = [], None
-        for i in range(len(t)):
-            k = last is None or r[i] != r[i - 1] or t[i] - last >= unit / r[i] or i == len(t) - 1
+    def step(columns, state, ends):
+        last, before = state or (None, None)
+        keep = []
+        for t, r in zip(_values(columns[0]), _values(columns[1])):
+            k = last is None or r != before or t - last >= unit / r
             keep.append(k)
-            last = t[i] if k else last
-        return p[np.array(keep, bool)].drop(columns="_rate")
+            last, before = t if k else last, r
+        keep[-1] |= ends
+        return keep, {}, (last, before)
 
-    return _fold(df.withColumn("_rate", rate.cast("double")), by, on, order, fn, df.schema)
+    return _fold(df.withColumn("_rate", rate.cast("double")), by, on, order, [on, "_rate"], step).drop("_rate")
 
 
 def ema(df: DataFrame, by, on, value: str, alpha: float, order=(), name: str = "ema") -> DataFrame:
     """alpha x + (1 - alpha) previous, from the first value on."""
 
-    def fn(p: pd.DataFrame) -> pd.DataFrame:
-        out, last = [], None
-        for x in p[value].tolist():
+    def step(columns, last, ends):
+        out = []
+        for x in _values(columns[0]):
             last = x if last is None else alpha * x + (1 - alpha) * last
             out.append(last)
-        return p.assign(**{name: np.array(out, float)})
+        return None, {name: np.array(out, float)}, last
 
-    return _fold(df, by, on, order, fn, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
+    return _fold(df, by, on, order, [value], step, {name: T.DoubleType()})
 
 
 def rate_limit(df: DataFrame, by, on, value: str, limit: float, start: float | None = None, order=(), name: str = "limited") -> DataFrame:
@@ -79,46 +126,48 @@ def drop_small_changes(df: DataFrame, by, on, values: dict[str, float], order=()
     """Drop frames within every threshold of the last kept one."""
     limits = np.array(list(values.values()))
 
-    def fn(p: pd.DataFrame) -> pd.DataFrame:
-        keep, last = [], None
-        for row in p[list(values)].to_numpy(float):
+    def step(columns, last, ends):
+        keep = []
+        for row in np.column_stack([np.array(_values(c), float) for c in columns]):
             k = last is None or bool((np.abs(row - last) > limits).any())
             keep.append(k)
             last = row if k else last
-        return p[np.array(keep, bool)]
+        return keep, {}, last
 
-    return _fold(df, by, on, order, fn)
+    return _fold(df, by, on, order, list(values), step)
 
 
 def rotate_files(df: DataFrame, by, on, size: str, limit: float, files_per_chunk: int = 1000, order=()) -> DataFrame:
     """(chunk, file) by greedy filling: a row that would overfill its file opens the next."""
 
-    def fn(p: pd.DataFrame) -> pd.DataFrame:
-        file, used, out = 0, 0.0, []
-        for x in p[size].tolist():
+    def step(columns, state, ends):
+        file, used = state or (0, 0.0)
+        out = []
+        for x in _values(columns[0]):
             if used and used + x >= limit:
                 file, used = file + 1, 0.0
             used += x
             out.append(file)
         n = np.array(out, np.int64)
-        return p.assign(chunk_index=n // files_per_chunk, file_index=n % files_per_chunk)
+        return None, {"chunk_index": n // files_per_chunk, "file_index": n % files_per_chunk}, (file, used)
 
-    return _fold(df, by, on, order, fn, T.StructType([*df.schema.fields, T.StructField("chunk_index", T.LongType()), T.StructField("file_index", T.LongType())]))
+    return _fold(df, by, on, order, [size], step, {"chunk_index": T.LongType(), "file_index": T.LongType()})
 
 
 def pack_batches(df: DataFrame, by, on, frames: str, mb_per_frame: float, limit_mb: float, max_episodes: int, max_frames: int, order=()) -> DataFrame:
     """Batch number of each episode: a new one when size, episodes or frames would pass their limit."""
 
-    def fn(p: pd.DataFrame) -> pd.DataFrame:
-        batch, mb, count, total, out = 0, 0.0, 0, 0, []
-        for n in p[frames].tolist():
+    def step(columns, state, ends):
+        batch, mb, count, total = state or (0, 0.0, 0, 0)
+        out = []
+        for n in _values(columns[0]):
             if count and (mb + n * mb_per_frame > limit_mb or count + 1 > max_episodes or total + n > max_frames):
                 batch, mb, count, total = batch + 1, 0.0, 0, 0
             mb, count, total = mb + n * mb_per_frame, count + 1, total + n
             out.append(batch)
-        return p.assign(batch=np.array(out, np.int64))
+        return None, {"batch": np.array(out, np.int64)}, (batch, mb, count, total)
 
-    return _fold(df, by, on, order, fn, T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())]))
+    return _fold(df, by, on, order, [frames], step, {"batch": T.LongType()})
 
 
 def nearest_monotone(left: DataFrame, right: DataFrame, by, on, value: str, order=()) -> DataFrame:
@@ -143,14 +192,14 @@ def nearest_monotone(left: DataFrame, right: DataFrame, by, on, value: str, orde
 def skip_similar(df: DataFrame, by, on, vector: str, atol: float = 1.0, must: str | None = None, order=()) -> DataFrame:
     """Drop a row whose vector is within ``atol`` (L2) of the last kept one, unless it is marked."""
 
-    def fn(p: pd.DataFrame) -> pd.DataFrame:
-        keep, last = [], None
-        forced = p[must].fillna(False).tolist() if must else [False] * len(p)
-        for v, f in zip(p[vector], forced):
-            v = np.asarray(v, float)
+    def step(columns, last, ends):
+        keep = []
+        forced = columns[1].to_pylist() if must else [False] * len(columns[0])
+        for x, f in zip(columns[0].to_pylist(), forced):
+            v = np.asarray(x, float)
             k = last is None or bool(f) or float(np.linalg.norm(v - last)) >= atol
             keep.append(k)
             last = v if k else last
-        return p[np.array(keep, bool)]
+        return keep, {}, last
 
-    return _fold(df, by, on, order, fn)
+    return _fold(df, by, on, order, [vector, *([must] if must else [])], step)

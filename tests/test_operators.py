@@ -117,6 +117,45 @@ def test_delta_rules_differ(spark):
     assert column(sequence.delta_windows_last_seen(df, ["ep"], "t", "v", [-3]), "v_m3") == [10, 11, 12, 10]
 
 
+def test_folds_take_their_state_from_batch_to_batch(spark):
+    """Episodes that span many batches, batches that hold many episodes, a null episode, and a null time, which comes last."""
+    rnd = random.Random(7)
+    rows = [(e, i * 10 + rnd.randrange(9), rnd.uniform(0, 10)) for e, n in ((1, 23), (2, 1), (3, 4), (4, 40), (None, 9)) for i in range(n)]
+    df = spark.createDataFrame([*rows, (3, None, 1.0)], "ep long, t long, v double").repartition(3)
+    fast = F.when(F.col("v") > 5, 0.1).otherwise(0.02)
+    folded = {
+        "debounce": lambda d: folds.debounce(d, ["ep"], "t", 25),
+        "adaptive": lambda d: folds.downsample_adaptive(d, ["ep"], "t", fast, 1.0),
+        "ema": lambda d: folds.ema(d, ["ep"], "t", "v", 0.3),
+        "small": lambda d: folds.drop_small_changes(d, ["ep"], "t", {"v": 2.0}),
+        "rotate": lambda d: folds.rotate_files(d, ["ep"], "t", "v", 20.0, 2),
+        "pack": lambda d: folds.pack_batches(d, ["ep"], "t", "v", 1.0, 20.0, 3, 1000),
+        "similar": lambda d: folds.skip_similar(d.withColumn("w", F.array("v")), ["ep"], "t", "w", 2.0),
+    }
+    whole = {k: sorted(map(repr, f(df).collect())) for k, f in folded.items()}
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for n in (1, 3, 8):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
+            for k, f in folded.items():
+                assert sorted(map(repr, f(df).collect())) == whole[k], (k, n)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    for ep in (1, 2, 4, None):
+        mine = sorted((t, v) for e, t, v in rows if e == ep)
+        want, last, before = [], None, None
+        for i, (t, v) in enumerate(mine):
+            r = 0.1 if v > 5 else 0.02
+            if last is None or r != before or t - last >= 1 / r or i == len(mine) - 1:
+                want.append(t)
+                last = t
+            before = r
+        got = folds.downsample_adaptive(df, ["ep"], "t", fast, 1.0).filter(F.col("ep").eqNullSafe(F.lit(ep)))
+        assert [x.t for x in got.orderBy("t").collect()] == want
+    assert folds.ema(df.limit(0), ["ep"], "t", "v", 0.3).columns == ["ep", "t", "v", "ema"]
+    assert folds.debounce(df.limit(0), ["ep"], "t", 1).count() == 0
+
+
 def test_delta_indices():
     assert sequence.delta_indices([-0.1, 0, 0.2], 10) == [-1, 0, 2]
     with pytest.raises(ValueError):
