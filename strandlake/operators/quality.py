@@ -37,18 +37,21 @@ def gap_ratio(df: DataFrame, by, on, most: float, order=()) -> DataFrame:
     return df.select(*by, step.alias("_s")).groupBy(*by).agg(F.count("_s").alias("n_steps"), F.avg((F.col("_s") <= most).cast("double")).alias("ok_ratio"))
 
 
-def gripper_errors(df: DataFrame, by, on, action: str, width: str, eps_width: float = 5.0, eps_action: float = 1.0, top: float = 70.0, order=()) -> DataFrame:
-    """First row of each episode whose gripper is wrong: action not 0 or 1, width out of range, or moving against its action."""
+def gripper_errors(df: DataFrame, by, on, action: str, width: str, eps_close: float = 5.0, eps_open: float = 1.0, top: float = 70.0, order=()) -> DataFrame:
+    """First check that an episode's gripper fails, and the time of its first row: action not 0 (close) or 1 (open),
+    width out of range, closing while the width grows, opening while it shrinks.  A check is made on all rows before the next."""
     w = Window.partitionBy(*by).orderBy(on, *order)
-    d = df.withColumn("_dw", F.col(width) - F.lag(width).over(w))
-    error = (
-        F.when(~F.col(action).isin(0, 1), "action is neither 0 nor 1")
-        .when((F.col(width) < 0) | (F.col(width) > top), "width out of range")
-        .when((F.col(action) == 1) & (F.col("_dw") > eps_width), "closing, but the width grows")
-        .when((F.col(action) == 0) & (F.col("_dw") < -eps_width) & (F.col(width) > eps_action), "opening, but the width shrinks")
-    )
-    bad = d.withColumn("error", error).filter("error IS NOT NULL")
-    return bad.groupBy(*by).agg(F.min_by("error", F.struct(on, *order)).alias("error"), F.min(on).alias("at"))
+    d = df.withColumn("_before", F.lag(width).over(w))
+    checks = [
+        (~F.col(action).isin(0, 1), "action is neither 0 nor 1"),
+        ((F.col(width) < 0) | (F.col(width) > top), "width out of range"),
+        ((F.col(action) == 0) & (F.col("_before") + eps_close < F.col(width)), "closing, but the width grows"),
+        ((F.col(action) == 1) & (F.col("_before") - eps_open > F.col(width)), "opening, but the width shrinks"),
+    ]
+    failed = F.coalesce(*(F.when(bad, F.struct(F.lit(i).alias("check"), F.lit(text).alias("error"))) for i, (bad, text) in enumerate(checks)))
+    bad = d.withColumn("_f", failed).filter("_f IS NOT NULL")
+    first = F.struct("_f.check", on, *order)
+    return bad.groupBy(*by).agg(F.min_by("_f.error", first).alias("error"), F.min_by(on, first).alias("at"))
 
 
 def strict_line_errors(lines: DataFrame, text: str, dims: int = 16) -> DataFrame:

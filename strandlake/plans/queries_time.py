@@ -468,9 +468,10 @@ def monotonic_check(spark, sf):
     return sequence.backward_steps(e, BY, ON, "arrival").select("event_id", "t", "before")
 
 
-@query("""WITH $EVENTS, d AS (SELECT *, value - lag(value) OVER (PARTITION BY user_id ORDER BY t, event_id) AS dw, CAST(event_type IN ('click', 'view') AS INT) AS act FROM e),
-x AS (SELECT user_id, t, event_id, CASE WHEN value > 70 THEN 'width out of range' WHEN act = 1 AND dw > 5 THEN 'closing, but the width grows' WHEN act = 0 AND dw < -5 AND value > 1 THEN 'opening, but the width shrinks' END AS error FROM d)
-SELECT user_id, arg_min(error, (t, event_id)) AS error, min(t) AS at FROM x WHERE error IS NOT NULL GROUP BY user_id""")
+@query("""WITH $EVENTS, d AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY t, event_id) AS before, CAST(event_type IN ('click', 'view') AS INT) AS act FROM e),
+x AS (SELECT user_id, t, event_id, CASE WHEN value < 0 OR value > 70 THEN 'width out of range' WHEN act = 0 AND before + 5 < value THEN 'closing, but the width grows' WHEN act = 1 AND before - 1 > value THEN 'opening, but the width shrinks' END AS error FROM d),
+f AS (SELECT *, CASE error WHEN 'width out of range' THEN 1 WHEN 'closing, but the width grows' THEN 2 ELSE 3 END AS chk FROM x WHERE error IS NOT NULL)
+SELECT user_id, error, t AS at FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY chk, t, event_id) AS n FROM f) WHERE n = 1""")
 def qc_gripper(spark, sf):
     e = events(spark, sf).withColumn("act", F.col("event_type").isin("click", "view").cast("int"))
     return quality.gripper_errors(e, BY, ON, "act", "value", order=ORDER)
