@@ -1,7 +1,7 @@
 """Decoded images: struct of height, width, channels and row-major uint8 data.
 
 Every function is a vectorised pandas UDF on a batch of such structs.  Encoded
-files stay opaque bytes until a decoder is plugged in with ``decoded``.
+files stay opaque bytes until a decoder is plugged in with ``decoded``; that of PNG is ``png.decode``.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import png
+
 IMAGE = "height int, width int, channels int, data binary"
 
 
@@ -45,6 +47,32 @@ def decoded(decode: Callable[[bytes], np.ndarray]):
     return run
 
 
+def decoded_or_null(decode: Callable[[bytes], np.ndarray]):
+    """As ``decoded``; null for a null and for bytes that the decoder rejects by a ValueError."""
+
+    @F.pandas_udf(IMAGE)
+    def run(files: pd.Series) -> pd.DataFrame:
+        out = []
+        for b in files:
+            try:
+                out.append(dict.fromkeys(("height", "width", "channels", "data")) if b is None else _struct(decode(bytes(b))))
+            except ValueError:
+                out.append(dict.fromkeys(("height", "width", "channels", "data")))
+        return pd.DataFrame(out, columns=["height", "width", "channels", "data"])
+
+    return run
+
+
+def encoded(images: Column, level: int = 1) -> Column:
+    """PNG files of images; null stays null."""
+
+    @F.pandas_udf("binary")
+    def run(im: pd.DataFrame) -> pd.Series:
+        return pd.Series([None if r["data"] is None else png.encode(_array(r), level) for r in im.to_dict("records")], dtype=object)
+
+    return run(images)
+
+
 def from_vector(v: Column, height: int, width: int, channels: int = 1) -> Column:
     """Floats in [0, 1] as an image."""
 

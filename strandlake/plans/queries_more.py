@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import rotation, scalar
+from ..functions import chunk, image, png, rotation, scalar
 from ..functions import vector as V
 from ..operators import asof, edit, filters, quality, queues, records, sequence, stats
 from ..sources import readers, writers
@@ -766,3 +766,63 @@ SELECT event_id, CASE WHEN a IS NULL AND b IS NULL THEN 'no arm' WHEN a IS NULL
 def two_arm_sync(spark, sf):
     d = asof.synced_pair(topic(spark, sf, "click"), topic(spark, sf, "view"), topic(spark, sf, "signup"), BY, ON, "value", 120 * MINUTE, ORDER)
     return d.select("event_id", "error", "max_diff")
+
+
+# -- forms of action chunks: 16 steps of 4 values, the last of which is held ------------------------
+
+_C = f"{_V}, c AS (SELECT vec_id, v, unnest(range(16)) AS s FROM v), d AS (SELECT vec_id, v, s, unnest(range(4)) AS dim FROM c)"
+
+
+def _chunk():
+    return F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.slice("v", i * 4 + 1, 4))
+
+
+def _steps(df, col):
+    rows = df.select("vec_id", F.posexplode(col).alias("step", "row")).select("vec_id", F.col("step").cast("long").alias("step"), F.posexplode("row").alias("dim", "value"))
+    return rows.select("vec_id", "step", F.col("dim").cast("long").alias("dim"), r6("value").alias("value"))
+
+
+@query(f"WITH {_C} SELECT vec_id, CAST(CASE s WHEN 15 THEN 3 ELSE s / 5 END AS BIGINT) AS step, dim, round(v[s * 4 + dim + 1], 6) AS value FROM d WHERE s % 5 = 0")
+def chunk_thinned(spark, sf):
+    return _steps(_vectors(spark, sf), chunk.thinned(_chunk()))
+
+
+@query(f"""WITH {_C}, o AS (SELECT vec_id, s AS step, dim, v[CASE dim WHEN 3 THEN 0 ELSE s END * 4 + dim + 1] AS x FROM d
+UNION ALL SELECT vec_id, 15 + s, dim, v[CASE dim WHEN 3 THEN s ELSE 15 END * 4 + dim + 1] FROM d WHERE s > 0) SELECT vec_id, step, dim, round(x, 6) AS value FROM o""")
+def chunk_moved_then_held(spark, sf):
+    return _steps(_vectors(spark, sf), chunk.moved_then_held(_chunk(), [3]))
+
+
+@query(f"""WITH {_C}, o AS (SELECT vec_id, 2 * s AS step, dim, v[CASE dim WHEN 3 THEN greatest(0, s - 1) ELSE s END * 4 + dim + 1] AS x FROM d
+UNION ALL SELECT vec_id, 2 * s + 1, dim, v[s * 4 + dim + 1] FROM d) SELECT vec_id, step, dim, round(x, 6) AS value FROM o""")
+def chunk_interleaved(spark, sf):
+    return _steps(_vectors(spark, sf), chunk.interleaved(_chunk(), [3]))
+
+
+@query(f"""WITH {_C}, w AS (SELECT *, v[s * 4 + dim + 1] AS x, v[60 + dim + 1] AS z, CASE WHEN s < 6 THEN 3 * (s / 5) * (s / 5) - 2 * (s / 5) * (s / 5) * (s / 5) ELSE 1 END AS a FROM d)
+SELECT vec_id, s AS step, dim, round(CASE WHEN dim = 3 THEN CASE WHEN a >= 0.5 THEN x ELSE z END ELSE (1 - a) * z + a * x END, 6) AS value FROM w""")
+def chunk_blended_head(spark, sf):
+    return _steps(_vectors(spark, sf), chunk.blended_head(_chunk(), F.slice("v", 61, 4), 6, [3]))
+
+
+@query(f"""WITH {_V}, g AS (SELECT vec_id, v, j, j / 39 * 15 AS u, unnest(range(4)) AS dim FROM (SELECT *, unnest(range(40)) AS j FROM v)),
+h AS (SELECT *, CAST(least(floor(u), 14) AS INT) AS i FROM g) SELECT vec_id, j AS step, dim, round(v[i * 4 + dim + 1] + (v[i * 4 + dim + 5] - v[i * 4 + dim + 1]) * (u - i), 6) AS value FROM h""")
+def chunk_linear(spark, sf):
+    return _steps(_vectors(spark, sf), chunk.resampled(_chunk(), 2.5, "linear"))
+
+
+@query()
+def chunk_natural_spline(spark, sf):
+    """The natural cubic through the steps; tested against a dense system of equations."""
+    return _steps(_vectors(spark, sf), chunk.resampled(_chunk(), 2.5, "natural"))
+
+
+@query("""SELECT vec_id, 8 AS height, 8 AS width, CAST(list_sum(list_transform(embedding, lambda v: greatest(0, least(255, round_even(CAST(v AS DOUBLE) * 255, 0))))) AS BIGINT) AS total FROM embeddings""")
+def image_files(spark, sf):
+    """Pictures written as PNG files, listed, read and decoded again."""
+    path = folder(spark, "pictures")
+    pictures = _vectors(spark, sf).select(F.format_string("%d/%d.png", F.col("vec_id") % 10, "vec_id").alias("name"), image.encoded(image.from_vector(F.col("v"), 8, 8)).alias("bytes"))
+    writers.image_files(pictures, path)
+    back = readers.images(spark, path, "*.png").select(F.regexp_extract("path", r"(\d+)\.png$", 1).cast("long").alias("vec_id"), image.decoded_or_null(png.decode)(F.col("bytes")).alias("im"))
+    total = F.aggregate(F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.conv(F.hex(F.substring(F.col("im.data"), i, F.lit(1))), 16, 10).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
+    return back.select("vec_id", "im.height", "im.width", total.alias("total"))

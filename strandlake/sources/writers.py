@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import json
+import os
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import edit
+from .shared import kept
 
 
 def frame_table(df: DataFrame, path: str, rows_per_file: int = 500_000, episode: str = "episode_index", file_bytes: int | None = None, row_bytes: int | None = None) -> None:
@@ -71,3 +76,28 @@ def arm_text(df: DataFrame, path: str, ts: str = "ts_ns", values: str = "values"
 def episodes_of_stream(df: DataFrame, path: str, checkpoint: str, episode: str = "episode"):
     """Each batch of a stream goes to its episodes' folders."""
     return df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda batch, _: batch.write.mode("append").partitionBy(episode).parquet(path)).start()
+
+
+def image_files(df: DataFrame, folder: str, name: str = "name", data: str = "bytes") -> DataFrame:
+    """Each row's bytes as the file ``name`` under ``folder``, which all executors share; (name, size) of the files written.
+
+    A file is written aside and put in its place whole, so a task that runs
+    again does no harm.  Rows without bytes write nothing; names must be unique.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, sizes = [], []
+            for n, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                path = os.path.join(folder, n)
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                aside = f"{path}.{uuid.uuid4().hex}"
+                with open(aside, "wb") as f:
+                    f.write(b)
+                os.replace(aside, path)
+                names.append(n)
+                sizes.append(len(b))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int64())], names=["name", "size"])
+
+    rows = df.select(F.col(name).cast("string"), F.col(data)).filter(F.col(data).isNotNull() & F.col(name).isNotNull())
+    return kept(rows.mapInArrow(run, "name string, size long"), "images")

@@ -154,7 +154,105 @@ def test_faulty_recordings(spark):
     assert failed == {1, 6, 8, 10, 11, 12, 13, 14, 15, 16}, got
     assert got[12][1] == "bad timestamp" and got[10][1] == "left: no joint data"
     more = {r.sub_task_id for r in quality.inspect(rows, faults.CAMERAS, "head_color", "head_color", "head_depth", gripper=True).collect() if r.result == "failed"}
-    assert more == failed | {20, 21}
+    assert more == failed | {20, 21, 22, 23}
+
+
+def test_gripper_checks_go_one_after_another(spark):
+    """The first check that any row fails is reported, at its first row; both directions, each beside its limit."""
+    from strandlake.operators import quality
+
+    cases = {
+        1: ([(0, 10.0), (0, 15.0), (1, 14.0)], None),  # within both limits
+        2: ([(0, 10.0), (0, 15.1)], ("closing, but the width grows", 1)),
+        3: ([(1, 50.0), (1, 48.9)], ("opening, but the width shrinks", 1)),
+        4: ([(0, 50.0), (0, 10.0), (1, 60.0)], None),  # closing shrinks, opening grows
+        5: ([(1, 50.0), (1, 10.0), (0, 71.0)], ("width out of range", 2)),
+        6: ([(0, -1.0), (0, 20.0), (0.5, 20.0)], ("action is neither 0 nor 1", 2)),
+        7: ([(1, 50.0), (1, 40.0), (0, 60.0)], ("closing, but the width grows", 2)),
+    }
+    df = spark.createDataFrame([(k, t, float(a), w) for k, (rows, _) in cases.items() for t, (a, w) in enumerate(rows)], "k long, t long, a double, w double")
+    got = {r.k: (r.error, r["at"]) for r in quality.gripper_errors(df, ["k"], "t", "a", "w").collect()}
+    assert got == {k: v for k, (_, v) in cases.items() if v}
+
+
+def test_faulty_pictures(spark):
+    from strandlake.functions import image, png
+    from strandlake.sources import faults
+
+    p = faults.pictures(spark).withColumn("im", image.decoded_or_null(png.decode)(F.col("bytes")))
+    head = {r.episode: r for r in p.filter("stream = 'head_color'").select("episode", "im", image.empty()(F.col("im")).alias("e")).filter("im.data IS NOT NULL").collect()}
+    assert set(head) == {0, 3, 4, 5, 9} and [head[k].e for k in (0, 3, 4, 5, 9)] == [None, "black", "white", None, None]
+    assert {k for k, r in head.items() if (r.im.height, r.im.width) != faults.SIZE} == {5}
+    depth = p.filter("stream = 'head_depth'").select("episode", image.empty()(F.col("im")).alias("e")).filter("e IS NOT NULL").collect()
+    assert [(r.episode, r.e) for r in depth] == [(9, "black")]
+
+
+def test_png_files():
+    import struct
+    import zlib
+
+    import numpy as np
+
+    from strandlake.functions import png
+
+    rnd = np.random.default_rng(3)
+    for shape in ((5, 7, 1), (1, 1, 3), (4, 6, 2), (9, 3, 4)):
+        a = rnd.integers(0, 256, shape).astype(np.uint8)
+        assert (png.decode(png.encode(a)) == a).all()
+    a = rnd.integers(0, 256, (5, 6, 3)).astype(int)
+    raw = b""
+    for y in range(5):  # each line by another filter, as the format defines them
+        line = [y]
+        for x in range(6):
+            for c in range(3):
+                left, up = (a[y, x - 1, c] if x else 0), (a[y - 1, x, c] if y else 0)
+                corner = a[y - 1, x - 1, c] if x and y else 0
+                guess = left + up - corner
+                paeth = left if abs(guess - left) <= min(abs(guess - up), abs(guess - corner)) else up if abs(guess - up) <= abs(guess - corner) else corner
+                line.append((a[y, x, c] - [0, left, up, (left + up) // 2, paeth][y]) % 256)
+        raw += bytes(int(v) for v in line)
+    part = lambda n, d: struct.pack(">I", len(d)) + n + d + struct.pack(">I", zlib.crc32(n + d))
+    data = png.SIGNATURE + part(b"IHDR", struct.pack(">IIBBBBB", 6, 5, 8, 2, 0, 0, 0)) + part(b"IDAT", zlib.compress(raw)) + part(b"IEND", b"")
+    assert (png.decode(data) == a).all()
+    for bad in (b"", b"GIF89a", data[:-20], data[:50] + b"x" + data[51:], data.replace(b"IEND", b"IEMD")):
+        with pytest.raises(ValueError):
+            png.decode(bad)
+
+
+def test_action_chunks(spark):
+    import numpy as np
+
+    from strandlake.functions import chunk
+
+    rnd = np.random.default_rng(5)
+    y = rnd.normal(size=(9, 3))
+    n = len(y)
+    a, b = np.zeros((n, n)), np.zeros((n, 3))  # second derivatives of the natural cubic, as dense equations
+    a[0, 0] = a[-1, -1] = 1
+    for i in range(1, n - 1):
+        a[i, i - 1 : i + 2] = 1, 4, 1
+        b[i] = 6 * (y[i - 1] - 2 * y[i] + y[i + 1])
+    m = np.linalg.solve(a, b)
+    u = np.linspace(0, 1, 23) * (n - 1)
+    i = np.minimum(u.astype(int), n - 2)
+    t = (u - i)[:, None]
+    want = (1 - t) * y[i] + t * y[i + 1] + (((1 - t) ** 3 - (1 - t)) * m[i] + (t**3 - t) * m[i + 1]) / 6
+    assert np.allclose(chunk.curve(y, 23, "natural"), want)
+    flat = chunk.curve(np.array([[0.0], [0.0], [1.0], [1.0], [0.5]]), 41, "pchip")
+    assert flat.min() >= 0 and flat.max() <= 1 and np.allclose(flat[::10, 0], [0, 0, 1, 1, 0.5])
+    for kind in ("linear", "pchip", "natural"):
+        assert np.allclose(chunk.curve(np.array([[0.0], [2.0]]), 5, kind)[:, 0], [0, 0.5, 1, 1.5, 2])
+        assert chunk.curve(y[:1], 3, kind).tolist() == [y[0].tolist()] * 3
+    df = spark.createDataFrame([(1, [[1.0, 5.0], [2.0, 6.0], [3.0, 7.0]], [0.0, 9.0]), (2, [[1.0, 5.0]], None), (3, [], [1.0, 1.0]), (4, None, [1.0, 1.0])], "k long, c array<array<double>>, s array<double>")
+    c = F.col("c")
+    got = df.select("k", chunk.moved_then_held(c, [1]).alias("a"), chunk.interleaved(c, [1]).alias("b"), chunk.blended_head(c, F.col("s"), 2, [1]).alias("d"), chunk.thinned(c, 2).alias("e"), chunk.resampled(c, 2.0, "linear").alias("f")).orderBy("k").collect()
+    assert got[0].a == [[1, 5], [2, 5], [3, 5], [3, 6], [3, 7]]
+    assert got[0].b == [[1, 5], [1, 5], [2, 5], [2, 6], [3, 6], [3, 7]]
+    assert got[0].d == [[0, 9], [2, 6], [3, 7]] and got[0].e == [[1, 5], [3, 7]] and len(got[0].f) == 6
+    assert [got[1][x] for x in "abdef"] == [[[1, 5]], [[1, 5], [1, 5]], [[1, 5]], [[1, 5]], [[1, 5], [1, 5]]]
+    assert [got[2][x] for x in "abdef"] == [[]] * 5 and [got[3][x] for x in "abdef"] == [None] * 5
+    with pytest.raises(ValueError):
+        chunk.resampled(c, 2.0, "spline")
 
 
 def test_images(spark):
