@@ -9,6 +9,7 @@ doesn't read pass through as they are.  Nulls come last in an episode's order.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
@@ -86,13 +87,21 @@ def debounce(df: DataFrame, by, on, gap: float, order=()) -> DataFrame:
 
 
 def downsample_adaptive(df: DataFrame, by, on, rate: Column, unit: float, order=()) -> DataFrame:
-    """Each frame has a rate: kept at a change of rate, else when 1 / rate has passed since the last kept; the last stays."""
+    """Each frame has a rate: kept at a change of rate, else when 1 / rate has passed since the last kept; the last stays.
+
+    Where time is a whole number so is the interval, rounded half to even; at a
+    rate of 0 no interval ends.
+    """
+    whole = isinstance(df.schema[on].dataType, T.IntegralType)
+
+    def interval(r: float) -> float:
+        return math.inf if not r else round(unit / r) if whole else unit / r
 
     def step(columns, state, ends):
         last, before = state or (None, None)
         keep = []
         for t, r in zip(_values(columns[0]), _values(columns[1])):
-            k = last is None or r != before or t - last >= unit / r
+            k = last is None or r != before or t - last >= interval(r)
             keep.append(k)
             last, before = t if k else last, r
         keep[-1] |= ends
@@ -154,14 +163,15 @@ def rotate_files(df: DataFrame, by, on, size: str, limit: float, files_per_chunk
     return _fold(df, by, on, order, [size], step, {"chunk_index": T.LongType(), "file_index": T.LongType()})
 
 
-def pack_batches(df: DataFrame, by, on, frames: str, mb_per_frame: float, limit_mb: float, max_episodes: int, max_frames: int, order=()) -> DataFrame:
-    """Batch number of each episode: a new one when size, episodes or frames would pass their limit."""
+def pack_batches(df: DataFrame, by, on, frames: str, mb_per_frame: float, limit_mb: float, max_episodes: int | None, max_frames: int | None, order=()) -> DataFrame:
+    """Batch number of each episode: a new one when the size would reach its limit, or episodes or frames would pass theirs (None: no limit)."""
 
     def step(columns, state, ends):
         batch, mb, count, total = state or (0, 0.0, 0, 0)
         out = []
         for n in _values(columns[0]):
-            if count and (mb + n * mb_per_frame > limit_mb or count + 1 > max_episodes or total + n > max_frames):
+            full = mb > 0 and mb + n * mb_per_frame >= limit_mb or max_episodes is not None and count >= max_episodes or max_frames is not None and total + n > max_frames
+            if count and full:
                 batch, mb, count, total = batch + 1, 0.0, 0, 0
             mb, count, total = mb + n * mb_per_frame, count + 1, total + n
             out.append(batch)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import vector as V
 
@@ -310,7 +311,7 @@ def two_end_trim(df: DataFrame, by, on, values: dict[str, float], order=(), leas
 # -- downsampling ----------------------------------------------------------------------------
 
 
-def downsample_by_time(df: DataFrame, by, on, interval: int, order=()) -> DataFrame:
+def downsample_by_time(df: DataFrame, by, on, interval: float, order=()) -> DataFrame:
     """First frame of each interval since the episode's first, and its last frame."""
     w = frames(by, on, order)
     bucket = F.floor((F.col(on) - F.min(on).over(whole(by))) / interval)
@@ -340,7 +341,8 @@ def downsample(df: DataFrame, by, on, mode: str, source_fps: float, target_fps:
         raise ValueError(f"unknown mode {mode!r}")
     if target_fps >= source_fps:
         return df
-    return downsample_by_time(df, by, on, int(unit / target_fps), order) if mode == "timestamp" else downsample_by_stride(df, by, on, source_fps, target_fps, order)
+    interval = round(unit / target_fps) if isinstance(df.schema[on].dataType, T.IntegralType) else unit / target_fps
+    return downsample_by_time(df, by, on, interval, order) if mode == "timestamp" else downsample_by_stride(df, by, on, source_fps, target_fps, order)
 
 
 # -- checks ------------------------------------------------------------------------------------

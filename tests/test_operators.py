@@ -191,6 +191,23 @@ def test_running_sums_when_ranges_are_sampled_badly(spark):
     assert edit.running(df.limit(0), {"n": "before"}, ["e"]).count() == 0
 
 
+def test_intervals_of_whole_times_and_limits_of_batches(spark):
+    """At 30 frames a second 33,333,333 ns are an interval; a batch that would reach its size is full, no limit is none."""
+    df = frames(spark, [1, 1, 1, 1, 1], [0, 33_333_333, 66_666_665, 66_666_666, 66_666_667])
+    got = folds.downsample_adaptive(df, ["ep"], "t", F.lit(30.0), 1e9)
+    assert [r.t for r in got.orderBy("t").collect()] == [0, 33_333_333, 66_666_666, 66_666_667]
+    assert [r.t for r in folds.downsample_adaptive(df, ["ep"], "t", F.lit(0.0), 1e9).orderBy("t").collect()] == [0, 66_666_667]
+    at15 = frames(spark, [1] * 4, [0, 66_666_666, 66_666_667, 66_666_668])
+    assert [r.t for r in sequence.downsample(at15, ["ep"], "t", "timestamp", 30, 15, 1e9).orderBy("t").collect()] == [0, 66_666_667, 66_666_668]
+    seconds = at15.withColumn("t", F.col("t") / 1e9)
+    assert sequence.downsample(seconds, ["ep"], "t", "timestamp", 30, 15, 1.0).count() == 3
+    eps = frames(spark, [4, 6, 5, 1, 20])
+    batches = lambda *limits: [r.batch for r in folds.pack_batches(eps, ["ep"], "t", "v", 1.0, *limits).orderBy("t").collect()]
+    assert batches(10.0, None, None) == [0, 1, 2, 2, 3]
+    assert batches(1000.0, 2, None) == [0, 0, 1, 1, 2]
+    assert batches(1000.0, None, 10) == [0, 0, 1, 1, 2]
+
+
 def test_split_sizes():
     assert edit.split_sizes(10, {"a": 0.5, "b": 0.2}) == {"a": (0, 5), "b": (5, 10)}
     with pytest.raises(ValueError):
