@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions import rotation, scalar
 from strandlake.functions import vector as V
-from strandlake.operators import asof, edit, filters, folds, quality, queues, sequence, stats
+from strandlake.operators import asof, edit, filters, folds, quality, queues, sequence, stats, weights
 
 
 def frames(spark, values, ts=None):
@@ -208,6 +208,18 @@ def test_intervals_of_whole_times_and_limits_of_batches(spark):
     assert batches(1000.0, None, 10) == [0, 0, 1, 1, 2]
 
 
+def test_weights_of_nothing_and_of_empty_episodes(spark):
+    df = spark.createDataFrame([("a", 1, t) for t in range(3)] + [("b", 2, t) for t in range(2)], "s string, ep long, t long")
+    get = lambda ratios, drop: [round(r.weight, 6) for r in weights.sampler_weights(df, "s", ["ep"], "t", ratios, drop).orderBy("s", "t").collect()]
+    assert get({"a": 0.25, "b": 0.75}, 1) == [0.125, 0.125, 0, 0.75, 0]
+    assert get({"a": 0.25, "b": 0.75}, 2) == [1, 0, 0, 0, 0]
+    assert get({"a": 0.25, "b": 0.75}, 5) == get({"a": 0, "b": 0}, 0) == [0.2] * 5
+    tasks = spark.createDataFrame([(1, "x", 3, 0), (1, "y", 1, 1), (2, "x", 0, 0), (3, "x", 2, 0), (3, "x", 1, 1), (3, "y", 1, 2)], "ep long, name string, d long, o long")
+    got = {r.name: r.proportion for r in weights.temporal_proportions(tasks, "ep", "name", "d", "o").collect()}
+    x, y = (3 / 4 + 1 / 4) / 2, (1 / 4 + 1 / 4) / 2
+    assert np.allclose([got["x"], got["y"]], [x / (x + y), y / (x + y)]) and len(got) == 2
+
+
 def test_split_sizes():
     assert edit.split_sizes(10, {"a": 0.5, "b": 0.2}) == {"a": (0, 5), "b": (5, 10)}
     with pytest.raises(ValueError):
