@@ -160,15 +160,22 @@ def to_float():
     return run
 
 
-def empty(share: float = 0.99, dark: int = 10, bright: int = 245):
-    """``black`` or ``white`` if nearly all pixels are so, else null."""
+def empty(share: float = 0.99, dark: int = 20, bright: int | None = 230):
+    """``black`` or ``white`` if more than ``share`` of the pixels are so in all channels, else null.
+
+    Depth has its own ``dark`` and no white: ``bright`` is None.  Without an image null.
+    """
 
     @F.pandas_udf("string")
     def run(images: pd.DataFrame) -> pd.Series:
         out = []
         for r in images.to_dict("records"):
-            a = np.frombuffer(r["data"], np.uint8)
-            out.append("black" if (a <= dark).mean() > share else "white" if (a >= bright).mean() > share else None)
+            if r["data"] is None:
+                out.append(None)
+                continue
+            a = _array(r)
+            black, white = (a.max(axis=2) <= dark).mean(), 0.0 if bright is None else (a.min(axis=2) >= bright).mean()
+            out.append("black" if black > share else "white" if white > share else None)
         return pd.Series(out, dtype=object)
 
     return run

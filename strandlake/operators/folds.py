@@ -132,13 +132,13 @@ def rate_limit(df: DataFrame, by, on, value: str, limit: float, start: float | N
 
 
 def drop_small_changes(df: DataFrame, by, on, values: dict[str, float], order=()) -> DataFrame:
-    """Drop frames within every threshold of the last kept one."""
+    """Drop frames nearer than every threshold to the last kept one."""
     limits = np.array(list(values.values()))
 
     def step(columns, last, ends):
         keep = []
         for row in np.column_stack([np.array(_values(c), float) for c in columns]):
-            k = last is None or bool((np.abs(row - last) > limits).any())
+            k = last is None or not bool((np.abs(row - last) < limits).all())
             keep.append(k)
             last = row if k else last
         return keep, {}, last

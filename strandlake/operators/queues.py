@@ -35,16 +35,18 @@ def merge_by_step(old: DataFrame, new: DataFrame, key: list[str], step: str, val
 
 
 def merge_smoothstep(old: DataFrame, new: DataFrame, key: list[str], step: str, value: str, now: int, alpha: float = 1.0) -> DataFrame:
-    """Steps from ``now`` on; over the overlap the new plan's weight rises as alpha (3u^2 - 2u^3); the old plan's own steps stay."""
+    """Steps from ``now`` on; the new plan's weight rises as alpha (3u^2 - 2u^3) from its first step to where the shorter plan ends.
+
+    A step of one plan alone stays as it is; an overlap of one step weighs alpha.
+    """
     o = old.select(*key, step, F.col(value).alias("_old")).filter(F.col(step) >= now)
     n = new.select(*key, step, F.col(value).alias("_new")).filter(F.col(step) >= now)
-    both = o.join(n, [*key, step], "full")
-    shared = F.col("_old").isNotNull() & F.col("_new").isNotNull()
-    w = Window.partitionBy(*key, "_shared").orderBy(step)
-    both = both.withColumn("_shared", shared).withColumn("_i", F.row_number().over(w) - 1).withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy(*key, "_shared")))
-    u = F.col("_i") / F.greatest(F.lit(1), F.col("_k") - 1)
-    weight = F.when(F.col("_k") <= 1, F.lit(alpha)).otherwise(alpha * (3 * u * u - 2 * u * u * u))
-    merged = F.when(F.col("_shared"), (1 - weight) * F.col("_old") + weight * F.col("_new")).otherwise(F.coalesce("_new", "_old"))
+    w = Window.partitionBy(*key)
+    steps = lambda c: F.when(F.col(c).isNotNull(), F.col(step))
+    both = o.join(n, [*key, step], "full").withColumn("_lo", F.min(steps("_new")).over(w)).withColumn("_hi", F.least(F.max(steps("_old")).over(w), F.max(steps("_new")).over(w)))
+    u = (F.col(step) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    weight = F.when(F.col("_hi") <= F.col("_lo"), F.lit(alpha)).otherwise(alpha * (3 * u * u - 2 * u * u * u))
+    merged = F.when(F.col("_old").isNotNull() & F.col("_new").isNotNull(), (1 - weight) * F.col("_old") + weight * F.col("_new")).otherwise(F.coalesce("_new", "_old"))
     return both.select(*key, step, merged.alias(value))
 
 

@@ -418,7 +418,7 @@ def delayed_gripper(spark, sf):
 
 
 @query("""WITH p AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(greatest(0, least(255, round_even(CAST(v AS DOUBLE) * 255 * 4, 0))) AS INTEGER)) AS p FROM embeddings)
-SELECT vec_id, CASE WHEN len(list_filter(p, lambda x: x <= 10)) / 64.0 > 0.5 THEN 'black' WHEN len(list_filter(p, lambda x: x >= 245)) / 64.0 > 0.5 THEN 'white' END AS empty FROM p""")
+SELECT vec_id, CASE WHEN len(list_filter(p, lambda x: x <= 20)) / 64.0 > 0.5 THEN 'black' WHEN len(list_filter(p, lambda x: x >= 230)) / 64.0 > 0.5 THEN 'white' END AS empty FROM p""")
 def image_empty(spark, sf):
     from ..functions import image
 

@@ -347,7 +347,7 @@ def rate_limit(spark, sf):
 
 
 @query(f"""WITH RECURSIVE $EVENTS, {_NUMBERED}, f AS (SELECT user_id, rn, event_id, value AS lv, k AS lk, true AS keep FROM n WHERE rn = 1
-UNION ALL SELECT n.user_id, n.rn, n.event_id, CASE WHEN abs(n.value - lv) > 20 OR abs(n.k - lk) > 30 THEN n.value ELSE lv END, CASE WHEN abs(n.value - lv) > 20 OR abs(n.k - lk) > 30 THEN n.k ELSE lk END, abs(n.value - lv) > 20 OR abs(n.k - lk) > 30 FROM f JOIN n ON n.user_id = f.user_id AND n.rn = f.rn + 1)
+UNION ALL SELECT n.user_id, n.rn, n.event_id, CASE WHEN abs(n.value - lv) >= 20 OR abs(n.k - lk) >= 30 THEN n.value ELSE lv END, CASE WHEN abs(n.value - lv) >= 20 OR abs(n.k - lk) >= 30 THEN n.k ELSE lk END, abs(n.value - lv) >= 20 OR abs(n.k - lk) >= 30 FROM f JOIN n ON n.user_id = f.user_id AND n.rn = f.rn + 1)
 SELECT event_id FROM f WHERE keep""")
 def small_change(spark, sf):
     return folds.drop_small_changes(events(spark, sf), BY, ON, {"value": 20.0, "k": 30.0}, ORDER).select("event_id")
@@ -397,9 +397,9 @@ def queue_merge_latest(spark, sf):
 
 
 @query(f"""WITH $EVENTS, {_PLANS}, j AS (SELECT user_id, step, o.value AS a, w.value AS b FROM (SELECT * FROM o WHERE step >= 3) o FULL JOIN (SELECT * FROM w WHERE step >= 3) w USING (user_id, step)),
-k AS (SELECT *, (row_number() OVER (PARTITION BY user_id, a IS NOT NULL AND b IS NOT NULL ORDER BY step) - 1)::DOUBLE AS i, count(*) OVER (PARTITION BY user_id, a IS NOT NULL AND b IS NOT NULL) AS n FROM j),
-u AS (SELECT *, i / greatest(1, n - 1) AS u FROM k)
-SELECT user_id, step, round(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN (1 - x) * a + x * b ELSE coalesce(b, a) END, 6) AS value FROM (SELECT *, CASE WHEN n <= 1 THEN 0.8 ELSE 0.8 * (3 * u * u - 2 * u * u * u) END AS x FROM u)""")
+k AS (SELECT *, min(CASE WHEN b IS NOT NULL THEN step END) OVER p AS lo, least(max(CASE WHEN a IS NOT NULL THEN step END) OVER p, max(CASE WHEN b IS NOT NULL THEN step END) OVER p) AS hi FROM j WINDOW p AS (PARTITION BY user_id)),
+u AS (SELECT *, CASE WHEN hi > lo THEN (step - lo) / (hi - lo) END AS u FROM k)
+SELECT user_id, step, round(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN (1 - x) * a + x * b ELSE coalesce(b, a) END, 6) AS value FROM (SELECT *, CASE WHEN hi <= lo THEN 0.8 ELSE 0.8 * (3 * u * u - 2 * u * u * u) END AS x FROM u)""")
 def queue_merge_smoothstep(spark, sf):
     old, new = _plans(spark, sf)
     return queues.merge_smoothstep(old, new, ["user_id"], "step", "value", 3, 0.8).withColumn("value", r6("value"))

@@ -220,6 +220,17 @@ def test_weights_of_nothing_and_of_empty_episodes(spark):
     assert np.allclose([got["x"], got["y"]], [x / (x + y), y / (x + y)]) and len(got) == 2
 
 
+def test_limits_and_gaps_of_chunks(spark):
+    """A change of just the threshold is kept; a plan with gaps weighs by its steps, not by their number."""
+    df = frames(spark, [0, 1, 2, 2.9, 4])
+    assert column(folds.drop_small_changes(df, ["ep"], "t", {"v": 2.0})) == [0, 2, 4]
+    plan = lambda steps, v: spark.createDataFrame([(1, s, v) for s in steps], "k long, step long, v double")
+    got = {r.step: r.v for r in queues.merge_smoothstep(plan([1, 2, 6, 8], 0.0), plan(range(4, 14), 1.0), ["k"], "step", "v", 2, 0.5).collect()}
+    w = lambda u: 0.5 * (3 * u * u - 2 * u * u * u)
+    assert got == {2: 0.0, 4: 1.0, 5: 1.0, 6: w(0.5), 7: 1.0, 8: w(1.0), **{s: 1.0 for s in range(9, 14)}}
+    assert {r.step: r.v for r in queues.merge_smoothstep(plan([2], 0.0), plan([2, 3], 1.0), ["k"], "step", "v", 2, 0.5).collect()} == {2: 0.5, 3: 1.0}
+
+
 def test_split_sizes():
     assert edit.split_sizes(10, {"a": 0.5, "b": 0.2}) == {"a": (0, 5), "b": (5, 10)}
     with pytest.raises(ValueError):

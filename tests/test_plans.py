@@ -183,8 +183,13 @@ def test_faulty_pictures(spark):
     head = {r.episode: r for r in p.filter("stream = 'head_color'").select("episode", "im", image.empty()(F.col("im")).alias("e")).filter("im.data IS NOT NULL").collect()}
     assert set(head) == {0, 3, 4, 5, 9} and [head[k].e for k in (0, 3, 4, 5, 9)] == [None, "black", "white", None, None]
     assert {k for k, r in head.items() if (r.im.height, r.im.width) != faults.SIZE} == {5}
-    depth = p.filter("stream = 'head_depth'").select("episode", image.empty()(F.col("im")).alias("e")).filter("e IS NOT NULL").collect()
+    depth = p.filter("stream = 'head_depth'").select("episode", image.empty(dark=10, bright=None)(F.col("im")).alias("e")).filter("e IS NOT NULL").collect()
     assert [(r.episode, r.e) for r in depth] == [(9, "black")]
+    blue = bytearray(b"\x00\x00\xff" * 200)  # dark in two channels is not black, bright in one is not white
+    nearly = bytearray(b"\x14\x14\x14" * 199 + b"\x15\x00\x00")
+    white = bytearray(b"\xe6\xff\xff" * 200)
+    df = spark.createDataFrame([(1, (10, 20, 3, blue)), (2, (10, 20, 3, nearly)), (3, (10, 20, 3, white)), (4, None)], "k int, im struct<height:int,width:int,channels:int,data:binary>")
+    assert [r.e for r in df.select("k", image.empty()(F.col("im")).alias("e")).orderBy("k").collect()] == [None, "black", "white", None]
 
 
 def test_png_files():
