@@ -215,22 +215,11 @@ def time_chunk(start: Column, dt: float, first_step: Column, chunk: Column) -> C
     return F.transform(chunk, lambda a, i: F.struct((start + i * dt).alias("timestamp"), (first_step + i).alias("timestep"), a.alias("action")))
 
 
-def smoothstep_head(seq: Column, start: Column, n: int, switches: Sequence[int] = ()) -> Column:
-    """Blend the first n rows from ``start``: weight 3u^2 - 2u^3 with u = (i + 1) / n; switched elements jump at 0.5."""
-
-    def row(r: Column, i: Column) -> Column:
-        alpha = smoothstep(F.least(F.lit(1.0), (i + 1) / float(n)))
-        jump = F.array(*(F.lit(s) for s in switches)) if switches else F.array().cast("array<int>")
-        one = lambda x, j: F.when(F.array_contains(jump, j), F.when(alpha >= 0.5, x).otherwise(F.get(start, j))).otherwise(F.get(start, j) * (1 - alpha) + x * alpha)
-        return F.when(i < n, F.transform(r, one)).otherwise(r)
-
-    return F.transform(seq, row)
-
-
 def gripper_penalty(action: Column, position: Column, penalty: float = -0.01, top: float = 100.0) -> Column:
-    """``penalty`` for closing what is closed or opening what is open."""
-    p = position / top
-    return F.when(((p < 0.5) & (action > 0.5)) | ((p > 0.75) & (action < 0.5)), F.lit(penalty)).otherwise(F.lit(0.0))
+    """``penalty`` for closing what is closed or opening what is open; both are on the scale that ends at ``top``.  Null without one of them."""
+    p, a = position / top, action / top
+    penal = F.when(((p < 0.5) & (a > 0.5)) | ((p > 0.75) & (a < 0.5)), F.lit(penalty)).otherwise(F.lit(0.0))
+    return F.when(position.isNotNull() & action.isNotNull(), penal)
 
 
 def delta_to_action(delta: Column, position_scale: float = 1.0, threshold: float = 1e-3) -> tuple[Column, Column]:
@@ -238,6 +227,11 @@ def delta_to_action(delta: Column, position_scale: float = 1.0, threshold: float
     return norm(delta) > threshold, scale(delta, position_scale)
 
 
+def spread(i: Column, n: Column, k: Column) -> Column:
+    """Position i of k that are spread evenly over 0 .. n - 1, both ends included: i times the step as a double, the last one exact."""
+    return F.when((i == k - 1) & (k > 1), (n - 1).cast("double")).otherwise(i * ((n - 1) / F.greatest(k - 1, F.lit(1))))
+
+
 def total(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
 

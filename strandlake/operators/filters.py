@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import vector as V
+
 
 def drop_edges(df: DataFrame, by, on, first: int, last: int, order=(), whole_if_short: bool = False) -> DataFrame:
     """Without the first and last frames of each episode; ``whole_if_short`` drops episodes that have no more than those."""
@@ -38,10 +40,12 @@ def first_episodes(eps: DataFrame, n: int, source: Sequence[str], episode: str)
 
 
 def uniform_episodes(eps: DataFrame, n: int, source: Sequence[str], episode: str) -> DataFrame:
-    """About n episodes of each source, spread evenly, both ends included."""
+    """About n episodes of each source, spread evenly, both ends included; none for n of 0."""
+    if n < 1:
+        return eps.limit(0)
     w = Window.partitionBy(*source).orderBy(episode)
     d = eps.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*source)))
-    spots = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.floor(i * (F.col("_n") - 1) / max(1, n - 1)))
+    spots = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.floor(V.spread(i, F.col("_n"), F.lit(n))))
     return d.filter((F.col("_n") <= n) | F.array_contains(spots, F.col("_i").cast("long"))).drop("_i", "_n")
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import vector as V
+
 
 def stream_counts(df: DataFrame, by: Sequence[str], stream: str, names: Sequence[str]) -> DataFrame:
     """One column a stream with its rows, and the total."""
@@ -110,7 +112,7 @@ def sampled_frames(df: DataFrame, by, on, ratio: float = 0.05, least: int = 5, o
     n = F.count(F.lit(1)).over(every)
     k = F.least(n, F.greatest(F.lit(least), F.ceil(n * ratio)))
     d = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", n).withColumn("_k", k)
-    at = F.when(F.col("_k") <= 1, F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1), lambda i: F.floor(i * (F.col("_n") - 1) / (F.col("_k") - 1))))
+    at = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1), lambda i: F.floor(V.spread(i, F.col("_n"), F.col("_k"))))
     return d.filter(F.array_contains(at, F.col("_i").cast("long"))).drop("_i", "_n", "_k")
 
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import vector as V
+
 QUANTILES = {"q01": 0.01, "q10": 0.10, "q50": 0.50, "q90": 0.90, "q99": 0.99}
 
 
@@ -86,7 +88,7 @@ def sample_size(n: int, least: int = 100, most: int = 10_000, power: float = 0.7
 def sample_positions(n: Column, k: Column) -> Column:
     """k positions spread evenly over 0 .. n - 1, both ends included, rounded half to even."""
     one = F.array(F.lit(0))
-    return F.when(k <= 1, one).otherwise(F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.bround(i * (n - 1) / (k - 1)).cast("int")))
+    return F.when(k <= 1, one).otherwise(F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.rint(V.spread(i, n, k)).cast("int")))
 
 
 def max_and_near(df: DataFrame, keys: Sequence[str], value: str, atol: float = 10.0) -> DataFrame:

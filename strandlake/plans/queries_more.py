@@ -265,11 +265,11 @@ def linear_interpolation(spark, sf):
     return _long(rows.withColumn("step", F.col("step").cast("long")), F.col("row"), "vec_id", "step")
 
 
-@query(f"""WITH {_V}, a AS (SELECT *, least(1, (r + 1) / 2.0) AS u FROM v, (SELECT unnest(range(3)) AS r), (SELECT unnest(range(4)) AS i)), s AS (SELECT *, 3 * u * u - 2 * u * u * u AS w, v[4 * r + i + 1] AS x, v[13 + i] AS y FROM a)
-SELECT vec_id, r AS step, i AS dim, round(CASE WHEN r >= 2 THEN x WHEN i = 3 THEN CASE WHEN w >= 0.5 THEN x ELSE y END ELSE y * (1 - w) + x * w END, 6) AS value FROM s""")
+@query(f"""WITH {_V}, a AS (SELECT *, r / 2 AS u FROM v, (SELECT unnest(range(3)) AS r), (SELECT unnest(range(4)) AS i)), s AS (SELECT *, 3 * u * u - 2 * u * u * u AS w, v[4 * r + i + 1] AS x, v[13 + i] AS y FROM a)
+SELECT vec_id, r AS step, i AS dim, round(CASE WHEN i = 3 THEN CASE WHEN w >= 0.5 THEN x ELSE y END ELSE y * (1 - w) + x * w END, 6) AS value FROM s""")
 def smoothstep_head(spark, sf):
-    chunk = F.array(_part(1, 4), _part(5, 4), _part(9, 4))
-    rows = _vectors(spark, sf).select("vec_id", F.posexplode(V.smoothstep_head(chunk, _part(13, 4), 2, [3])).alias("step", "row"))
+    seq = F.array(_part(1, 4), _part(5, 4), _part(9, 4))
+    rows = _vectors(spark, sf).select("vec_id", F.posexplode(chunk.blended_head(seq, _part(13, 4), 3, [3])).alias("step", "row"))
     return _long(rows.withColumn("step", F.col("step").cast("long")), F.col("row"), "vec_id", "step")
 
 
@@ -316,10 +316,10 @@ def vector_to_columns(spark, sf):
 _ABS = "least(100, abs(v[1]) * 400)"
 
 
-@query(f"WITH {_V} SELECT vec_id, CASE WHEN ({_ABS} < 50 AND v[2] + 0.5 > 0.5) OR ({_ABS} > 75 AND v[2] + 0.5 < 0.5) THEN -0.01 ELSE 0 END AS penalty FROM v".replace("-0.01 ELSE 0", "CAST(-0.01 AS DOUBLE) ELSE CAST(0 AS DOUBLE)"))
+@query(f"WITH {_V} SELECT vec_id, CASE WHEN ({_ABS} < 50 AND v[2] * 100 + 50 > 50) OR ({_ABS} > 75 AND v[2] * 100 + 50 < 50) THEN -0.01 ELSE 0 END AS penalty FROM v".replace("-0.01 ELSE 0", "CAST(-0.01 AS DOUBLE) ELSE CAST(0 AS DOUBLE)"))
 def gripper_penalty(spark, sf):
     position = F.least(F.lit(100.0), F.abs(_at(1)) * 400)
-    return _vectors(spark, sf).select("vec_id", V.gripper_penalty(_at(2) + 0.5, position).alias("penalty"))
+    return _vectors(spark, sf).select("vec_id", V.gripper_penalty(_at(2) * 100 + 50, position).alias("penalty"))
 
 
 @query(f"WITH {_V} SELECT vec_id, round(greatest(0, least(70, (v[1] * 100 + 5) * 70 / 40)), 6) AS gripper FROM v")
@@ -558,7 +558,7 @@ def mask_frames(spark, sf):
 
 
 @query("""WITH n AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id), k AS (SELECT *, least(n, 7) AS k FROM n)
-SELECT user_id, CAST(j AS INT) AS i, CAST(CASE WHEN k <= 1 THEN 0 ELSE round_even(j * (n - 1) / CAST(k - 1 AS DOUBLE), 0) END AS INT) AS position FROM k, (SELECT unnest(range(7)) AS j) WHERE j < k""")
+SELECT user_id, CAST(j AS INT) AS i, CAST(CASE WHEN k <= 1 THEN 0 WHEN j = k - 1 THEN n - 1 ELSE round_even(j * ((n - 1) / (k - 1)), 0) END AS INT) AS position FROM k, (SELECT unnest(range(7)) AS j) WHERE j < k""")
 def stats_sample_positions(spark, sf):
     n = table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
     return n.select("user_id", F.posexplode(stats.sample_positions(F.col("n"), F.least(F.col("n"), F.lit(7)))).alias("i", "position"))

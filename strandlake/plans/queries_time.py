@@ -479,7 +479,7 @@ def qc_gripper(spark, sf):
 
 @query("""WITH $EVENTS, n AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM e),
 k AS (SELECT *, least(n, greatest(5, ceil(n * 0.05)))::BIGINT AS k FROM n)
-SELECT event_id FROM k WHERE CASE WHEN k <= 1 THEN i = 0 ELSE list_contains(list_transform(range(k), lambda j: j * (n - 1) // (k - 1)), i) END""")
+SELECT event_id FROM k WHERE CASE WHEN k <= 1 THEN i = 0 ELSE list_contains(list_transform(range(k), lambda j: CASE WHEN j = k - 1 THEN n - 1 ELSE CAST(floor(j * ((n - 1) / (k - 1))) AS BIGINT) END), i) END""")
 def sampled_frames(spark, sf):
     return quality.sampled_frames(events(spark, sf), BY, ON, order=ORDER).select("event_id")
 
@@ -500,7 +500,7 @@ def drop_edges(spark, sf):
 
 
 @query("""WITH $EVENTS, u AS (SELECT DISTINCT user_id, user_id % 5 AS source FROM e), n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY user_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM u)
-SELECT user_id, source FROM n WHERE n <= 7 OR list_contains(list_transform(range(7), lambda j: j * (n - 1) // 6), i)""")
+SELECT user_id, source FROM n WHERE n <= 7 OR list_contains(list_transform(range(7), lambda j: CASE WHEN j = 6 THEN n - 1 ELSE CAST(floor(j * ((n - 1) / 6)) AS BIGINT) END), i)""")
 def select_uniform(spark, sf):
     u = events(spark, sf).select("user_id", (F.col("user_id") % 5).alias("source")).distinct()
     return filters.uniform_episodes(u, 7, ["source"], "user_id")

@@ -231,6 +231,17 @@ def test_limits_and_gaps_of_chunks(spark):
     assert {r.step: r.v for r in queues.merge_smoothstep(plan([2], 0.0), plan([2, 3], 1.0), ["k"], "step", "v", 2, 0.5).collect()} == {2: 0.5, 3: 1.0}
 
 
+def test_even_spread_is_that_of_numpy(spark):
+    df = spark.createDataFrame([(n, k) for n in (1, 2, 7, 30, 59, 88, 117, 291) for k in (1, 2, 5, 26, 51, 101) if k <= n], "n int, k int")
+    seq = F.sequence(F.lit(0), F.col("k") - 1)
+    for r in df.select("*", F.transform(seq, lambda i: F.floor(V.spread(i, F.col("n"), F.col("k")))).alias("low"), stats.sample_positions(F.col("n"), F.col("k")).alias("near")).collect():
+        assert r.low == np.linspace(0, r.n - 1, r.k, dtype=int).tolist() and r.near == np.round(np.linspace(0, r.n - 1, r.k)).astype(int).tolist()
+    eps = spark.range(30).select(F.lit("s").alias("s"), F.col("id").alias("e"))
+    for n in (0, 1, 2, 26, 30, 40):
+        want = list(range(30)) if n >= 30 else sorted(set(np.linspace(0, 29, n, dtype=int).tolist()))
+        assert [r.e for r in filters.uniform_episodes(eps, n, ["s"], "e").orderBy("e").collect()] == want
+
+
 def test_split_sizes():
     assert edit.split_sizes(10, {"a": 0.5, "b": 0.2}) == {"a": (0, 5), "b": (5, 10)}
     with pytest.raises(ValueError):

@@ -175,6 +175,14 @@ def test_gripper_checks_go_one_after_another(spark):
     assert got == {k: v for k, (_, v) in cases.items() if v}
 
 
+def test_gripper_penalty_is_on_the_position_scale(spark):
+    from strandlake.functions import vector as V
+
+    df = spark.createDataFrame([(0, 10.0, 60.0), (1, 10.0, 0.6), (2, 80.0, 40.0), (3, 80.0, 60.0), (4, 60.0, 40.0), (5, None, 60.0)], "k int, p double, a double")
+    got = [r.x for r in df.select("k", V.gripper_penalty(F.col("a"), F.col("p")).alias("x")).orderBy("k").collect()]
+    assert got == [-0.01, 0, -0.01, 0, 0, None]
+
+
 def test_faulty_pictures(spark):
     from strandlake.functions import image, png
     from strandlake.sources import faults
