@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vector as V
+from . import histograms
 
 QUANTILES = {"q01": 0.01, "q10": 0.10, "q50": 0.50, "q90": 0.90, "q99": 0.99}
 
@@ -21,14 +22,23 @@ def long_form(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
     return df.select(*keys, F.posexplode(F.col(vector).cast("array<double>")).alias("dim", "x"))
 
 
-def vector_stats(df: DataFrame, vector: str, keys: Sequence[str] = (), quantiles: dict[str, float] | None = None, exact: bool = True) -> DataFrame:
+def vector_stats(df: DataFrame, vector: str, keys: Sequence[str] = (), quantiles: dict[str, float] | None = None, method: str | None = None) -> DataFrame:
     """min, max, mean, std, count and quantiles of every element, for each group of ``keys``.
 
-    Exact quantiles interpolate between ranks; with ``exact=False`` they come
-    from a sketch of bounded size, for tables where a group's values are many.
+    ``method`` is ``histogram`` (bounded summaries that merge in any order,
+    quantiles off by a bin at most; the default where there is no group, since
+    then one element's values are as many as the rows), ``exact`` (interpolated
+    between ranks; the default for groups such as an episode, whose values fit a
+    task), or ``sketch``.  With histograms, elements that are null, NaN or infinite
+    don't count.
     """
     q = QUANTILES if quantiles is None else quantiles
-    of = (lambda p: F.percentile("x", F.lit(p))) if exact else (lambda p: F.percentile_approx("x", F.lit(p), F.lit(10_000)))
+    method = method or ("exact" if keys else "histogram")
+    if method == "histogram":
+        return histograms.statistics(histograms.merged(histograms.summaries(df, vector, keys), keys), q, keys)
+    if method not in ("exact", "sketch"):
+        raise ValueError(f"no method {method!r}")
+    of = (lambda p: F.percentile("x", F.lit(p))) if method == "exact" else (lambda p: F.percentile_approx("x", F.lit(p), F.lit(10_000)))
     out = long_form(df, keys, vector).groupBy(*keys, "dim").agg(F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.count("x").alias("count"), *(of(p).alias(n) for n, p in q.items()))
     few = F.col("count") < 2
     return out.withColumn("std", F.when(few, F.lit(0.0)).otherwise(F.col("std"))).select(*keys, "dim", "min", "max", "mean", "std", "count", *(F.when(few, F.col("mean")).otherwise(F.col(n)).alias(n) for n in q))
@@ -60,14 +70,15 @@ def histogram(df: DataFrame, vector: str, bins: int, keys: Sequence[str] = ()) -
 
 
 def histogram_quantile(hist: DataFrame, q: float, keys: Sequence[str] = (), interpolate: bool = True) -> DataFrame:
-    """Quantile of a histogram: linear in its bin, or the bin's lower edge."""
+    """Quantile of a histogram: linear in its bin, or the bin's lower edge; in the first bin that edge in any case."""
     from pyspark.sql import Window
 
     w = Window.partitionBy(*keys, "dim").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     c = hist.withColumn("_c", F.sum("n").over(w)).withColumn("_t", F.sum("n").over(Window.partitionBy(*keys, "dim")) * q)
     hit = c.filter(F.col("_c") >= F.col("_t")).groupBy(*keys, "dim").agg(F.min_by(F.struct("low", "high", "n", "_c", "_t"), "bin").alias("b"))
     inner = F.col("b.low") + (F.col("b._t") - (F.col("b._c") - F.col("b.n"))) / F.col("b.n") * (F.col("b.high") - F.col("b.low"))
-    return hit.select(*keys, "dim", (inner if interpolate else F.col("b.low")).alias("quantile"))
+    first = F.col("b._c") == F.col("b.n")  # nothing lies below
+    return hit.select(*keys, "dim", F.when(first | F.lit(not interpolate), F.col("b.low")).otherwise(inner).alias("quantile"))
 
 
 def nested(stats: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -136,9 +147,9 @@ def detect_mode(names: Sequence[str]) -> str:
     return next((m for m in ("quantiles", "quantile10", "mean_std", "min_max") if set(MODES[m]) <= set(names)), "identity")
 
 
-def with_quantiles(stats: DataFrame, frames: DataFrame, vector: str, keys: Sequence[str] = (), quantiles: dict[str, float] | None = None, exact: bool = True) -> DataFrame:
+def with_quantiles(stats: DataFrame, frames: DataFrame, vector: str, keys: Sequence[str] = (), quantiles: dict[str, float] | None = None, method: str | None = None) -> DataFrame:
     """The statistics as they are if they have quantiles, else all of them computed again from the frames."""
-    return stats if has_quantiles(stats.columns) else vector_stats(frames, vector, keys, quantiles, exact)
+    return stats if has_quantiles(stats.columns) else vector_stats(frames, vector, keys, quantiles, method)
 
 
 def errors(nested_stats: DataFrame, dims: int, image: bool = False) -> DataFrame:

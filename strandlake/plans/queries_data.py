@@ -6,12 +6,22 @@ from pyspark.sql import functions as F
 
 from ..functions import rotation, scalar
 from ..functions import vector as V
-from ..operators import edit, filters, stats
+from ..operators import edit, filters, histograms, stats
 from .catalogue import events, query, r6, table
 
 _X = "x AS (SELECT vec_id, label, unnest(range(len(embedding))) AS dim, unnest(list_transform(embedding, lambda v: CAST(v AS DOUBLE))) AS x FROM embeddings)"
 _STAT_COLS = ("min", "max", "mean", "std", "q01", "q10", "q50", "q90", "q99")
 _STATS = "min(x) AS min, max(x) AS max, avg(x) AS mean, stddev_pop(x) AS std, count(*) AS count, quantile_cont(x, 0.01) AS q01, quantile_cont(x, 0.1) AS q10, quantile_cont(x, 0.5) AS q50, quantile_cont(x, 0.9) AS q90, quantile_cont(x, 0.99) AS q99"
+#: The same statistics by bins of a width that is a power of two, at most 10,000 of them.
+_MOST = "greatest(abs(lo), abs(hi))"
+_BIN_QUANTILES = ", ".join(f"arg_min(CASE WHEN bin = f THEN lo ELSE low + (CAST({q} AS DOUBLE) * n - (c - m)) / m * (high - low) END, bin) FILTER (WHERE c >= CAST({q} AS DOUBLE) * n) AS {name}" for name, q in stats.QUANTILES.items())
+_BIN_STATS = f"""e0 AS (SELECT dim, min(x) AS lo, max(x) AS hi, avg(x) AS mean, stddev_pop(x) AS std, count(*) AS n FROM x GROUP BY dim),
+e1 AS (SELECT *, CAST(greatest(-1000, CASE WHEN hi > lo THEN floor(log2((hi - lo) / 10000)) - 1 ELSE -1000 END, CASE WHEN {_MOST} > 0 THEN floor(log2({_MOST})) - 53 ELSE -1000 END) AS INTEGER) AS k FROM e0),
+e2 AS (SELECT *, pow(2.0, list_filter(range(k, k + 5), lambda j: floor(hi / pow(2.0, j)) - floor(lo / pow(2.0, j)) < 10000 AND {_MOST} / pow(2.0, j) < 4503599627370496)[1]) AS w FROM e1),
+e3 AS (SELECT x.dim, w, lo, hi, n, floor(x / w) AS bin, count(*) AS m FROM x JOIN e2 USING (dim) GROUP BY ALL),
+e4 AS (SELECT *, sum(m) OVER (PARTITION BY dim ORDER BY bin) AS c, min(bin) OVER (PARTITION BY dim) AS f, greatest(bin * w, lo) AS low, least((bin + 1) * w, hi) AS high FROM e3),
+e5 AS (SELECT dim, {_BIN_QUANTILES} FROM e4 GROUP BY dim),
+s AS (SELECT dim, lo AS min, hi AS max, mean, std, n AS count, q01, q10, q50, q90, q99 FROM e0 JOIN e5 USING (dim))"""
 _ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in _STAT_COLS)
 
 
@@ -31,11 +41,29 @@ def _long(df, col, *keys):
 # -- statistics ---------------------------------------------------------------------------------
 
 
-@query(f"WITH {_X}, s AS (SELECT dim, {_STATS} FROM x GROUP BY dim) SELECT dim, count, {_ROUNDED} FROM s")
+@query(f"WITH {_X}, {_BIN_STATS} SELECT dim, count, {_ROUNDED} FROM s")
 def vector_stats(spark, sf):
     return _rounded(stats.vector_stats(_vectors(spark, sf), "v"))
 
 
+@query(f"WITH {_X}, s AS (SELECT dim, {_STATS} FROM x GROUP BY dim) SELECT dim, count, {_ROUNDED} FROM s")
+def exact_vector_stats(spark, sf):
+    return _rounded(stats.vector_stats(_vectors(spark, sf), "v", method="exact"))
+
+
+@query(f"WITH {_X}, {_BIN_STATS} SELECT dim, count, {_ROUNDED} FROM s")
+def merged_summaries(spark, sf):
+    """Summaries of each label, merged to one of all: the same as a summary of all rows."""
+    by_label = histograms.merged(histograms.summaries(_vectors(spark, sf), "v", ["label"]), ["label"])
+    return _rounded(histograms.statistics(histograms.merged(by_label.drop("label")), stats.QUANTILES))
+
+
+@query(f"""WITH {_X}, {_BIN_STATS.rpartition("e5 AS")[0].rstrip().rstrip(",")} SELECT dim, CAST(bin AS BIGINT) AS bin, CAST(m AS BIGINT) AS n, w AS width FROM e4""")
+def summary_bins(spark, sf):
+    s = histograms.merged(histograms.summaries(_vectors(spark, sf), "v"))
+    return s.select(F.col("dim").cast("long").alias("dim"), F.inline("bins"), F.expr("pow(2D, scale)").alias("width"))
+
+
 @query(f"WITH {_X}, s AS (SELECT label, dim, {_STATS} FROM x GROUP BY label, dim) SELECT label, dim, count, {_ROUNDED} FROM s")
 def episode_stats(spark, sf):
     return _rounded(stats.vector_stats(_vectors(spark, sf), "v", ["label"]), "label")
@@ -65,19 +93,26 @@ def vector_histogram(spark, sf):
 
 @query(f"""WITH {_X}, l AS (SELECT dim, min(x) AS lo, max(x) AS hi FROM x GROUP BY dim), b AS (SELECT dim, least(9, floor((x - lo) / ((hi - lo) / 10))) AS bin, lo, (hi - lo) / 10 AS st FROM x JOIN l USING (dim)),
 h AS (SELECT dim, bin, lo + bin * st AS low, st, count(*) AS n FROM b GROUP BY ALL), c AS (SELECT *, sum(n) OVER (PARTITION BY dim ORDER BY bin) AS c, sum(n) OVER (PARTITION BY dim) * 0.5 AS target FROM h)
-SELECT dim, round(low + (target - (c - n)) / n * st, 6) AS quantile FROM c WHERE c >= target QUALIFY row_number() OVER (PARTITION BY dim ORDER BY bin) = 1""")
+SELECT dim, round(CASE WHEN c = n THEN low ELSE low + (target - (c - n)) / n * st END, 6) AS quantile FROM c WHERE c >= target QUALIFY row_number() OVER (PARTITION BY dim ORDER BY bin) = 1""")
 def histogram_quantile(spark, sf):
     h = stats.histogram(_vectors(spark, sf), "v", 10)
     return stats.histogram_quantile(h, 0.5).select(F.col("dim").cast("long").alias("dim"), r6("quantile").alias("quantile"))
 
 
+@query(f"WITH {_X} SELECT dim, round(min(x), 6) AS quantile FROM x GROUP BY dim")
+def histogram_quantile_of_first_bin(spark, sf):
+    """A quantile that the first bin reaches is its edge."""
+    h = stats.histogram(_vectors(spark, sf), "v", 4)
+    return stats.histogram_quantile(h, 0.0001).select(F.col("dim").cast("long").alias("dim"), r6("quantile").alias("quantile"))
+
+
 @query("""SELECT user_id, t.max_value, count(*) AS n_near FROM events JOIN (SELECT user_id, max(value) AS max_value FROM events GROUP BY user_id) t USING (user_id) WHERE abs(value - max_value) <= 10 GROUP BY ALL""")
 def max_and_count(spark, sf):
     return stats.max_and_near(events(spark, sf), ["user_id"], "value", 10.0)
 
 
 def _norm_sql(a: str, b: str, expr: str) -> str:
-    return f"WITH {_X}, s AS (SELECT dim, {_STATS} FROM x GROUP BY dim), n AS (SELECT vec_id, dim, x, {a} AS a, {b} AS b FROM x JOIN s USING (dim)) SELECT vec_id, dim, round({expr}, 6) AS value FROM n"
+    return f"WITH {_X}, {_BIN_STATS}, n AS (SELECT vec_id, dim, x, {a} AS a, {b} AS b FROM x JOIN s USING (dim)) SELECT vec_id, dim, round({expr}, 6) AS value FROM n"
 
 
 def _normalised(spark, sf, mode):

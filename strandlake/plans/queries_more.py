@@ -10,6 +10,7 @@ from ..operators import asof, edit, filters, quality, queues, records, sequence,
 from ..sources import readers, writers
 from ..streaming.local import folder
 from . import pipeline, schema
+from .queries_data import _BIN_STATS, _X
 from .catalogue import BY, MINUTE, ON, ORDER, events, query, r6, table, topic
 
 _V = "v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)"
@@ -725,7 +726,7 @@ def degenerate_stats(spark, sf):
     return s.select("vec_id", F.col("dim").cast("long").alias("dim"), r6("mean").alias("mean"), "std", r6("q01").alias("q01"), "count")
 
 
-@query(f"WITH {_V}, x AS (SELECT i, v[i + 1] AS x FROM v, (SELECT unnest(range(64)) AS i)) SELECT i AS dim, round(quantile_cont(x, 0.5), 6) AS q50 FROM x GROUP BY i")
+@query(f"WITH {_X}, {_BIN_STATS} SELECT dim, round(q50, 6) AS q50 FROM s")
 def quantile_augmentation(spark, sf):
     v = _vectors(spark, sf)
     plain = stats.vector_stats(v, "v", quantiles={})
