@@ -20,6 +20,7 @@ many terms occur how often in it, those of both from the postings that meet.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 from operator import itemgetter
@@ -28,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, column, kept, tuned
+from .common import CACHES, batches, column, kept, tuned
 
 #: Documents that must hold a kept term, and terms that are listed for a group.
 LEAST, TOP = 10, 10
-#: Bytes of the terms of one automaton, and entries that a task gathers before it passes them on.
-SLICE_BYTES, ENTRIES = 4 << 20, 1 << 18
+#: Bytes of the terms of a slice, and entries that a task gathers before it passes them on.
+SLICE_BYTES, ENTRIES = 16 << 20, 1 << 18
 #: Bytes of a text that the automaton walks at once (more where a term is longer).
 STRETCH = 1 << 20
 SCALE = 1_000_000_000
@@ -88,6 +89,17 @@ def stretches(text: bytes) -> Iterator[str]:
         a = b
 
 
+#: A worker's automata, of the slice that it met last.
+_BUILT: dict = {}
+CACHES.append(_BUILT)
+
+
+def _built(name: str) -> dict:
+    if name not in _BUILT:
+        _BUILT.clear()
+    return _BUILT.setdefault(name, {})
+
+
 def _automaton(terms: list[tuple[int, str]]):
     import ahocorasick
 
@@ -111,13 +123,13 @@ def recount(rows: DataFrame, terms: DataFrame, slice_bytes: int = SLICE_BYTES) -
             by_lang.setdefault(r.lang, []).append((i, r.term))
         shared = spark.sparkContext.broadcast(by_lang)
 
-        def run(it, shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(it, shared=shared, name=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
             held: dict[tuple, Counter] = {}
-            known: dict = {}
+            known = _built(name)
             names = {i: t for own in shared.value.values() for i, t in own}
             size = 0
 
-            for batch in batches(it):
+            for batch in batches(it, caches=True):
                 for lang, source, text in zip(column(batch, "lang"), column(batch, "source"), column(batch, "text")):
                     if lang not in shared.value:
                         continue
