@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import json
-import os
-import uuid
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import edit
+from . import files
 from .shared import kept
 
 
@@ -24,7 +24,7 @@ def frame_table(df: DataFrame, path: str, rows_per_file: int = 500_000, episode:
 
 def save_episodes(frames: DataFrame, path: str, order, fps: float, task: str = "task") -> DataFrame:
     """Number, time and index new frames, unify their tasks, write all three tables; returns the episode table."""
-    f = edit.reindex(edit.add_frames(frames, order, fps), order)
+    f = kept(edit.reindex(edit.add_frames(frames, order, fps), order), "frames")
     tasks = edit.tasks_of(f, task, ["index"])
     f = edit.with_tasks(f, tasks, task)
     frame_table(f.drop(task), f"{path}/data")
@@ -74,30 +74,34 @@ def arm_text(df: DataFrame, path: str, ts: str = "ts_ns", values: str = "values"
 
 
 def episodes_of_stream(df: DataFrame, path: str, checkpoint: str, episode: str = "episode"):
-    """Each batch of a stream goes to its episodes' folders."""
-    return df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda batch, _: batch.write.mode("append").partitionBy(episode).parquet(path)).start()
+    """Each batch of a stream goes to its episodes' folders.
+
+    A batch has folders of its own under its number, which are written anew when
+    the batch is replayed after a restart; so no row is there twice.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").partitionBy(episode).parquet(f"{path}/batch={number}")
+
+    return df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(run).start()
 
 
 def image_files(df: DataFrame, folder: str, name: str = "name", data: str = "bytes") -> DataFrame:
-    """Each row's bytes as the file ``name`` under ``folder``, which all executors share; (name, size) of the files written.
+    """Each row's bytes as the file ``name`` under ``folder``; (name, size) of the files written.
 
-    A file is written aside and put in its place whole, so a task that runs
-    again does no harm.  Rows without bytes write nothing; names must be unique.
+    The folder is on the cluster's file system, or on any that its scheme names;
+    with ``file:`` it must be one that all executors share.  A file is written
+    aside and put in its place whole, so a task that runs again does no harm.
+    Rows without bytes write nothing; names must be unique.
     """
+    base = files.qualified(df.sparkSession, folder).rstrip("/")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, sizes = [], []
-            for n, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                path = os.path.join(folder, n)
-                os.makedirs(os.path.dirname(path), exist_ok=True)
-                aside = f"{path}.{uuid.uuid4().hex}"
-                with open(aside, "wb") as f:
-                    f.write(b)
-                os.replace(aside, path)
-                names.append(n)
-                sizes.append(len(b))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int64())], names=["name", "size"])
+            names, blobs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for n, b in zip(names, blobs):
+                files.put(f"{base}/{quote(n)}", b)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([len(b) for b in blobs], pa.int64())], names=["name", "size"])
 
     rows = df.select(F.col(name).cast("string"), F.col(data)).filter(F.col(data).isNotNull() & F.col(name).isNotNull())
     return kept(rows.mapInArrow(run, "name string, size long"), "images")
