@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import messages
 from ..functions import vector as V
-from ..sources import commits
+from ..sources import bags, commits
 from ..streaming.local import folder
 from .catalogue import events, query, r6, table
 
@@ -46,3 +47,45 @@ def committed_episodes(spark, sf):
 SELECT part AS commit, 'part-' || part AS batch, CAST(sum(e) OVER (ORDER BY part) AS BIGINT) AS episodes, CAST(sum(n) OVER (ORDER BY part) AS BIGINT) AS frames, CAST((SELECT count(DISTINCT t) FROM f WHERE label % 3 <= part) AS BIGINT) AS tasks FROM b""")
 def commit_log(spark, sf):
     return commits.commits(spark, _recording(spark, sf)).drop("attempt")
+
+
+# -- bag files ----------------------------------------------------------------------------------
+
+
+def _bag(spark, sf):
+    """Events as joint-state messages of a topic for each type; stamps of odd event ids are before the cutoff."""
+    e = events(spark, sf).withColumn("ns", F.when(F.col("event_id") % 2 == 1, F.lit(7).cast("long")).otherwise(F.col("t") * 1000))
+    position = F.array(F.coalesce("value", F.lit(-1.0)), F.coalesce("k", F.lit(-1.0)))
+    data = messages.joint_state_message("ns", F.concat(F.lit("u"), F.col("user_id").cast("string")), F.array(F.lit("value"), F.lit("k")), position)
+    path = folder(spark, "bag")
+    bags.write(e.select(F.concat(F.lit("/"), "event_type").alias("topic"), F.lit("sensor_msgs/msg/JointState").alias("type"), (F.col("t") * 1000).alias("log_time"), F.col("event_id").alias("sequence"), data.alias("data")), path, chunk_bytes=1 << 16)
+    return path
+
+
+def _joints(rows):
+    m = F.col("m")
+    out = rows.withColumn("m", messages.joint_state("data")).withColumn("ts_ns", messages.stamp_ns(m, F.col("log_time"), 1.0))
+    return out.select("topic", "ts_ns", F.col("sequence").alias("event_id"), m.frame_id.alias("frame_id"), F.array_join(m["name"], ",").alias("names"), r6(m.position[0]).alias("value"), r6(m.position[1]).alias("k"))
+
+
+_JOINTS = "SELECT '/' || event_type AS topic, t * 1000 AS ts_ns, event_id, 'u' || user_id AS frame_id, 'value,k' AS names, round(coalesce(value, -1), 6) AS value, round(coalesce(k, -1), 6) AS k FROM e"
+
+
+@query(f"WITH $EVENTS {_JOINTS}")
+def bag_round_trip(spark, sf):
+    """Messages written as MCAP files, read and decoded."""
+    return _joints(bags.read(spark, _bag(spark, sf)))
+
+
+@query(f"WITH $EVENTS, m AS (SELECT quantile_disc(t, 0.25) AS a, quantile_disc(t, 0.5) AS b FROM e) SELECT x.* FROM ({_JOINTS}) x, m WHERE topic IN ('/click', '/view') AND ts_ns >= a * 1000 AND ts_ns < b * 1000")
+def bag_topics_and_times(spark, sf):
+    """Two topics and a stretch of time; both filters reach the chunk index."""
+    a, b = events(spark, sf).agg(F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY t)"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY t)")).first()
+    rows = bags.read(spark, _bag(spark, sf))
+    return _joints(rows.filter(F.col("topic").isin("/click", "/view") & (F.col("log_time") >= int(a) * 1000) & (F.col("log_time") < int(b) * 1000)))
+
+
+@query("SELECT '/' || event_type AS topic, count(*) AS n, min(epoch_us(ts)) * 1000 AS first_ns, max(epoch_us(ts)) * 1000 AS last_ns FROM events GROUP BY event_type")
+def bag_topics(spark, sf):
+    rows = bags.read(spark, _bag(spark, sf))
+    return rows.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.min("log_time").alias("first_ns"), F.max("log_time").alias("last_ns"))

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import quote, urlsplit
 
 from pyspark.sql import SparkSession
 
 
 def qualified(spark: SparkSession, path: str) -> str:
-    """The path with its scheme and host, those of the default file system where it names none."""
+    """The path as a URI with scheme and host, those of the default file system where it names none."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    out = p.getFileSystem(conf).makeQualified(p).toString()
+    out = p.getFileSystem(conf).makeQualified(p).toUri().toASCIIString()
     return "file://" + out.removeprefix("file:") if out.startswith("file:/") and not out.startswith("file://") else out
 
 
@@ -66,3 +67,38 @@ def put(uri: str, data: bytes) -> None:
     with system.open_output_stream(aside) as f:
         f.write(data)
     system.move(aside, path)
+
+
+def listed(uri: str, suffixes: tuple[str, ...]) -> list[str]:
+    """URIs of the files under a folder (or of the file itself) with one of the suffixes, from any process."""
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri)
+    parts = urlsplit(uri)
+    head = f"{parts.scheme}://{parts.netloc if path.startswith('/') else ''}"
+    if system.get_file_info(path).type == fs.FileType.File:
+        return [uri]
+    found = system.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
+    return sorted(head + quote(f.path) for f in found if f.type == fs.FileType.File and f.path.endswith(suffixes) and not f.base_name.startswith((".", "_")))
+
+
+class Ranges:
+    """Byte ranges of a file on any file system."""
+
+    def __init__(self, uri: str) -> None:
+        from pyarrow import fs
+
+        system, path = fs.FileSystem.from_uri(uri)
+        self._file = system.open_input_file(path)
+        self.size = self._file.size()
+
+    def read(self, at: int, n: int) -> bytes:
+        if at < 0 or n < 0 or at + n > self.size:
+            raise EOFError(f"bytes {at} to {at + n} of {self.size}")
+        return self._file.read_at(n, at)
+
+    def __enter__(self) -> "Ranges":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._file.close()
