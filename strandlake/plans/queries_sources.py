@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import messages
 from ..functions import vector as V
-from ..sources import bags, commits
+from ..sources import bags, commits, trajectories
 from ..streaming.local import folder
 from .catalogue import events, query, r6, table
 
@@ -89,3 +89,34 @@ def bag_topics_and_times(spark, sf):
 def bag_topics(spark, sf):
     rows = bags.read(spark, _bag(spark, sf))
     return rows.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.min("log_time").alias("first_ns"), F.max("log_time").alias("last_ns"))
+
+
+# -- trajectory records -------------------------------------------------------------------------
+
+
+def _trajectories(spark, sf):
+    """Fifty vectors of a label are a trajectory: ids and vectors of its steps, and its name."""
+    v = _vectors(spark, sf).withColumn("part", F.expr("vec_id div 50"))
+    one = v.groupBy("label", "part").agg(F.array_sort(F.collect_list(F.struct("vec_id", "v"))).alias("s"))
+    path = folder(spark, "trajectories")
+    floats = F.flatten(F.col("s.v"))
+    trajectories.write(one, {"steps/vec_id": F.col("s.vec_id"), "steps/v": floats, "name": F.format_string("label %d", "label"), "part": F.col("part")}, path)
+    return path
+
+
+@query("SELECT label, vec_id // 50 AS part, vec_id, i AS dim, round(CAST(CAST(embedding[i + 1] AS FLOAT) AS DOUBLE), 5) AS value FROM embeddings, (SELECT unnest(range(64)) AS i)")
+def trajectory_records(spark, sf):
+    """Trajectories written as records, read, and cut into steps again."""
+    rows = trajectories.read(spark, _trajectories(spark, sf)).drop("path", "offset", "error")
+    ids = trajectories.feature("steps/vec_id", "ints")
+    frames = trajectories.steps(rows, F.size(ids), {"vec_id": (ids, 1), "v": (trajectories.feature("steps/v", "floats"), 64)})
+    label = F.substring_index(F.decode(trajectories.feature("name", "bytes")[0], "utf-8"), " ", -1).cast("int")
+    out = frames.select(label.alias("label"), trajectories.feature("part", "ints")[0].alias("part"), F.col("vec_id")[0].alias("vec_id"), F.posexplode("v").alias("dim", "value"))
+    return out.withColumn("dim", F.col("dim").cast("long")).withColumn("value", F.round(F.col("value").cast("double"), 5))
+
+
+@query("SELECT label, count(DISTINCT vec_id // 50) AS records, count(*) AS steps FROM embeddings GROUP BY label")
+def trajectory_lengths(spark, sf):
+    rows = trajectories.read(spark, _trajectories(spark, sf), damaged="keep").filter("error is null")
+    label = F.substring_index(F.decode(trajectories.feature("name", "bytes")[0], "utf-8"), " ", -1).cast("int")
+    return rows.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("records"), F.sum(F.size(trajectories.feature("steps/vec_id", "ints"))).alias("steps"))
