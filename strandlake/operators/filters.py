@@ -73,11 +73,6 @@ def shuffled(df: DataFrame, seed: int, key: Sequence[str]) -> DataFrame:
     return df.orderBy(F.xxhash64(F.lit(seed), *key), *key)
 
 
-def buffer_shuffled(df: DataFrame, seed: int) -> DataFrame:
-    """Shuffle inside each partition only, without an exchange."""
-    return df.sortWithinPartitions(F.rand(seed))
-
-
 def sample_with_replacement(df: DataFrame, index: str, total: int, n: int, seed: int) -> DataFrame:
     """n rows at seeded uniform indexes."""
     spark = df.sparkSession
@@ -85,10 +80,6 @@ def sample_with_replacement(df: DataFrame, index: str, total: int, n: int, seed:
     return picks.join(df, index)
 
 
-def mixed(online: DataFrame, offline: DataFrame) -> DataFrame:
-    return online.unionByName(offline, allowMissingColumns=True)
-
-
 def pick_one(options: Sequence[Column], key: Sequence[str], seed: int) -> Column:
     """One of the options, fixed by a seeded hash of the key."""
     return F.get(F.array(*options), F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(len(options))).cast("int"))

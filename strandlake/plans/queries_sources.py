@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import messages
 from ..functions import vector as V
+from ..operators import shuffling
+from ..operators.edit import running
 from ..sources import bags, commits, trajectories
 from ..streaming.local import folder
 from .catalogue import events, query, r6, table
@@ -120,3 +122,52 @@ def trajectory_lengths(spark, sf):
     rows = trajectories.read(spark, _trajectories(spark, sf), damaged="keep").filter("error is null")
     label = F.substring_index(F.decode(trajectories.feature("name", "bytes")[0], "utf-8"), " ", -1).cast("int")
     return rows.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("records"), F.sum(F.size(trajectories.feature("steps/vec_id", "ints"))).alias("steps"))
+
+
+# -- shuffled and mixed reading -----------------------------------------------------------------
+
+
+def _draw(of: str) -> str:
+    return f"CAST('0x' || substr(md5({of}), 1, 13) AS BIGINT)"
+
+
+#: A row of place s that entered at t leaves at the next t that draws s; one that never does is read at the end.
+_SHUFFLED = f"""i AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) - 1 AS i, {_draw("'7:stream:' || user_id")} % 3 AS stream FROM e),
+g AS (SELECT *, sum(CAST(round(-ln(({_draw("'7:1:gap:' || user_id || ':' || i")} + 1) / 4503599627370496.0) * 1e6) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY i) AS arrival FROM i),
+o AS (SELECT *, row_number() OVER (PARTITION BY stream ORDER BY arrival, user_id, t, event_id) - 1 AS j, count(*) OVER (PARTITION BY stream) AS n FROM g),
+p AS (SELECT *, CASE WHEN j < 64 THEN j ELSE {_draw("'7:1:slot:' || stream || ':' || j")} % 64 END AS place FROM o),
+l AS (SELECT *, lead(j) OVER (PARTITION BY stream, place ORDER BY j) AS leaves FROM p)
+SELECT CAST(stream AS INTEGER) AS stream, event_id, CAST(CASE WHEN leaves IS NOT NULL THEN leaves - 64 ELSE greatest(n - 64, 0) + row_number() OVER (PARTITION BY stream, leaves IS NULL ORDER BY {_draw("'7:1:end:' || stream || ':' || j")}, j) - 1 END AS BIGINT) AS position FROM l"""
+
+
+@query(f"WITH $EVENTS, {_SHUFFLED}")
+def shuffle_buffer_order(spark, sf):
+    """The order itself: users are shards of three streams, each read through a buffer of 64 rows."""
+    out = shuffling.buffer_shuffled(events(spark, sf), "user_id", ["t", "event_id"], 64, seed=7, streams=3, epoch=1)
+    return out.select("stream", "event_id", "position")
+
+
+_MIXED = f"""a AS (SELECT o_orderkey AS k, o_totalprice AS x, row_number() OVER (ORDER BY {_draw("'5:large:' || o_orderkey")}, o_orderkey) - 1 AS pos, count(*) OVER () // 12 AS b FROM orders),
+s AS (SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS i, count(*) OVER () AS n FROM customer),
+d AS (SELECT r // 4 AS batch, CAST(r % 4 + 12 AS INTEGER) AS slot, {_draw("'5:small:' || r")} AS draw FROM (SELECT unnest(range(0, (SELECT any_value(b) FROM a) * 4)) AS r)),
+m AS (SELECT pos // 12 AS batch, CAST(pos % 12 AS INTEGER) AS slot, 0 AS source, k, x FROM a WHERE pos < b * 12
+UNION ALL SELECT batch, slot, 1, c_custkey, c_acctbal FROM d JOIN s ON s.i = d.draw % n)"""
+
+
+def _mix(spark, sf):
+    """Twelve orders and four customers a batch."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("x"))
+    some = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("x"), F.lit(1).alias("_one"))
+    customers = running(some, {"_one": "i"}, ["k"]).drop("_one")
+    return shuffling.mixed_batches(orders, customers, ["k"], "i", customers.count(), 16, 4, seed=5)
+
+
+@query(f"WITH {_MIXED} SELECT * FROM m")
+def mixed_batch_rows(spark, sf):
+    return _mix(spark, sf)
+
+
+@query(f"WITH {_MIXED} SELECT batch, CAST(12 AS BIGINT) AS large, CAST(4 AS BIGINT) AS small FROM m GROUP BY batch")
+def mixed_batch_quota(spark, sf):
+    """Every batch has its quota of both sources."""
+    return _mix(spark, sf).groupBy("batch").agg(F.sum((F.col("source") == 0).cast("int")).alias("large"), F.sum("source").alias("small"))
