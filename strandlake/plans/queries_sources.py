@@ -9,7 +9,8 @@ from ..functions import vector as V
 from ..operators import shuffling
 from ..operators.edit import running
 from ..sources import bags, commits, trajectories
-from ..streaming.local import folder
+from ..streaming import buffers, live
+from ..streaming.local import as_stream, folder, name
 from .catalogue import events, query, r6, table
 
 
@@ -171,3 +172,18 @@ def mixed_batch_rows(spark, sf):
 def mixed_batch_quota(spark, sf):
     """Every batch has its quota of both sources."""
     return _mix(spark, sf).groupBy("batch").agg(F.sum((F.col("source") == 0).cast("int")).alias("large"), F.sum("source").alias("small"))
+
+
+# -- streams ------------------------------------------------------------------------------------
+
+
+@query("""WITH e AS (SELECT user_id, event_id, value, epoch_us(ts) AS t FROM events WHERE value IS NOT NULL),
+b AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t DESC, event_id DESC, value DESC) AS r FROM e)
+SELECT user_id, count(*) FILTER (WHERE fresh) AS n, coalesce(string_agg(CAST(t AS VARCHAR), ',' ORDER BY t, event_id, value) FILTER (WHERE fresh), '') AS times, round(coalesce(sum(value) FILTER (WHERE fresh), 0), 4) AS total
+FROM (SELECT *, r <= 8 AND t // 1000 + 86400000 >= (SELECT max(t) // 1000 FROM e) AS fresh FROM b) GROUP BY user_id""")
+def expiring_buffers(spark, sf):
+    """The newest eight values of each user, none older than a day, after a stream of all events in four files."""
+    e = table(spark, sf, "events").filter("value is not null").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    changes = buffers.expiring(as_stream(spark, e, 4, by="ts"), "user_id", "ts", "value", 8, 86_400_000, order="event_id")
+    last = buffers.last_of(live.run_once(changes, name("expiring"), "update", folder(spark), buffers.NEEDS), "user_id")
+    return last.select("user_id", F.size("buffer").cast("long").alias("n"), F.array_join(F.col("times").cast("array<string>"), ",").alias("times"), F.round(F.aggregate("buffer", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))

@@ -1,7 +1,10 @@
 """Structured Streaming forms: aggregates, stateful buffers and folds.
 
 State is kept by episode key.  A stateful operator gets the rows of a key in
-whatever batches they come and orders them by time itself.
+whatever batches they come and orders them by time itself.  With ``idle_ms`` the
+state of a key that has had no row for so long (by the clock) is dropped; such a
+stream goes on running batches without rows, so it never ends by itself.
+Buffers whose rows expire by event time are in ``buffers``.
 """
 
 from __future__ import annotations
@@ -47,16 +50,22 @@ def aligned(left: DataFrame, right: DataFrame, key: str, tolerance: str, late: s
     return a.join(b, on).drop("_k")
 
 
+def _timeout(idle_ms: int | None) -> str:
+    return GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+
+
 def _by_time(batches: Iterator[pd.DataFrame], on: Sequence[str]) -> pd.DataFrame:
     rows = pd.concat(list(batches), ignore_index=True)
     return rows.sort_values(list(on), kind="stable").reset_index(drop=True)
 
 
-def skip_similar(stream: DataFrame, key: str, on: Sequence[str], values: Sequence[str], atol: float = 1.0, stale: bool = True) -> DataFrame:
+def skip_similar(stream: DataFrame, key: str, on: Sequence[str], values: Sequence[str], atol: float = 1.0, stale: bool = True, idle_ms: int | None = None) -> DataFrame:
     """Drop rows within ``atol`` (L2) of the last kept row of their key, and rows older than it."""
     names, first = list(values), on[0]
 
     def run(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            return state.remove()
         rows = _by_time(batches, on)
         last, at = (np.array(state.get[0]), state.get[1]) if state.exists else (None, None)
         keep = []
@@ -68,43 +77,61 @@ def skip_similar(stream: DataFrame, key: str, on: Sequence[str], values: Sequenc
                 last, at = v, t
         if last is not None:
             state.update((last.tolist(), at))
+            if idle_ms:
+                state.setTimeoutDuration(idle_ms)
         yield rows[np.array(keep, bool)]
 
-    return stream.groupBy(key).applyInPandasWithState(run, stream.schema, "last array<double>, at long", "append", GroupStateTimeout.NoTimeout)
+    return stream.groupBy(key).applyInPandasWithState(run, stream.schema, "last array<double>, at long", "append", _timeout(idle_ms))
 
 
-def newest(stream: DataFrame, key: str, on: str, value: str, size: int) -> DataFrame:
+def newest(stream: DataFrame, key: str, on: str, value: str, size: int, idle_ms: int | None = None) -> DataFrame:
     """Bounded buffer: after each batch the newest ``size`` values of a key, oldest first."""
 
     def run(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            return state.remove()
         ts, vs = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
         rows = _by_time(batches, [on])
         pairs = sorted([*zip(ts, vs), *zip(rows[on].tolist(), rows[value].tolist())])[-size:]
         state.update(([p[0] for p in pairs], [p[1] for p in pairs]))
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({key: [k[0]], "buffer": [[p[1] for p in pairs]]})
 
-    return stream.groupBy(key).applyInPandasWithState(run, f"{key} long, buffer array<double>", "ts array<long>, vs array<double>", "update", GroupStateTimeout.NoTimeout)
+    return stream.groupBy(key).applyInPandasWithState(run, f"{key} long, buffer array<double>", "ts array<long>, vs array<double>", "update", _timeout(idle_ms))
 
 
-def hold_last(stream: DataFrame, key: str, on: str, value: str) -> DataFrame:
+def hold_last(stream: DataFrame, key: str, on: str, value: str, idle_ms: int | None = None) -> DataFrame:
     """Each row with the last value that was there, carried over batches."""
     from pyspark.sql import types as T
 
     def run(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            return state.remove()
         rows = _by_time(batches, [on])
         last, held = state.get[0] if state.exists else None, []
         for v in rows[value].tolist():
             last = last if v is None or v != v else v
             held.append(last)
         state.update((last,))
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield rows.assign(held=pd.array(held, "Float64"))
 
     schema = T.StructType([*stream.schema.fields, T.StructField("held", T.DoubleType())])
-    return stream.groupBy(key).applyInPandasWithState(run, schema, "last double", "append", GroupStateTimeout.NoTimeout)
-
-
-def run_once(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Process what is there into a memory table, and return it."""
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
+    return stream.groupBy(key).applyInPandasWithState(run, schema, "last double", "append", _timeout(idle_ms))
+
+
+def run_once(stream: DataFrame, name: str, mode: str, checkpoint: str, settings: dict[str, str] | None = None) -> DataFrame:
+    """Process what is there into a memory table, and return it; the settings hold for this stream alone."""
+    conf = stream.sparkSession.conf
+    old = {k: conf.get(k, None) for k in settings or {}}
+    try:
+        for k, v in (settings or {}).items():
+            conf.set(k, v)
+        q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        for k, v in old.items():
+            conf.unset(k) if v is None else conf.set(k, v)
     return stream.sparkSession.table(name)
