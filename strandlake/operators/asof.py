@@ -80,6 +80,27 @@ def asof_nearest(left, right, by, on, values, prefix="r_", order=(), tolerance=N
     return _spread(n, "_near", left.columns, values, prefix)
 
 
+def nearest_monotone(left, right, by, on, value, arrival=None, order=(), expire=None, prefix="r_", bucket=None) -> DataFrame:
+    """Nearest right row (ties: the earliest) that is never before the one taken last.
+
+    Left rows are taken in the order of ``arrival`` (columns; their time and
+    ``order`` by default), in which times may go back.  Behind the row taken last
+    the nearest one is either the nearest of all or that row itself, so what is
+    taken is the greatest nearest row so far: a running maximum, and no search.
+    With ``expire`` right rows that much older than the left one don't count; a
+    left row for which none is left gets nulls.
+    """
+    by, arrival = list(by), list(arrival or [on, *(c for c in order if c in left.columns)])
+    first = right.groupBy(*by, on).agg(F.min(F.struct(*(F.col(c).alias(f"o_{c}") for c in order), F.col(value).alias(value))).alias("_v")).select(*by, on, F.col(f"_v.{value}").alias(value))
+    n = neighbours(left, first, by, on, [value], bucket=bucket)
+    ok = F.col("_prev").isNotNull() if expire is None else F.col("_prev.t") >= F.col(on) - expire
+    use_prev = ok & (F.col("_next").isNull() | (F.col(on) - F.col("_prev.t") <= F.col("_next.t") - F.col(on)))
+    n = n.withColumn("_near", F.when(use_prev, F.col("_prev")).otherwise(F.col("_next")))
+    so_far = Window.partitionBy(*by).orderBy(*arrival).rowsBetween(Window.unboundedPreceding, 0)
+    n = n.withColumn("_near", F.when(F.col("_near").isNotNull(), F.max("_near").over(so_far)))
+    return _spread(n, "_near", left.columns, [value], prefix)
+
+
 def align_streams(base: DataFrame, near: dict[str, DataFrame], after: dict[str, DataFrame], by: Sequence[str], on: str, value: str, tolerance: int, order: Sequence[str] = (), bucket: int | None = None) -> DataFrame:
     """Frames of one clock: to each base row the nearest row of every ``near`` stream
     within the tolerance, then the next row of every ``after`` stream past the

@@ -4,7 +4,6 @@ There is no closed form for them, so the rows of a partition, sorted by episode
 and time, go by in Arrow batches and a step takes its state from batch to batch:
 a worker holds two batches, however long an episode is.  Columns that a step
 doesn't read pass through as they are.  Nulls come last in an episode's order.
-``nearest_monotone`` alone looks at a whole episode, whose right side it searches.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -180,25 +178,6 @@ def pack_batches(df: DataFrame, by, on, frames: str, mb_per_frame: float, limit_
     return _fold(df, by, on, order, [frames], step, {"batch": T.LongType()})
 
 
-def nearest_monotone(left: DataFrame, right: DataFrame, by, on, value: str, order=()) -> DataFrame:
-    """Nearest right row (ties: the earliest) that is never before the one taken last."""
-    by, name = list(by), f"r_{value}"
-    schema = T.StructType([*left.schema.fields, T.StructField("r_t", T.LongType()), T.StructField(name, right.schema[value].dataType)])
-
-    def fn(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values([on, *order]), b.sort_values([on, *order])
-        t, v, low, got = b[on].to_numpy(), b[value].tolist(), 0, []
-        for x in a[on].tolist():
-            if low < len(t):
-                low += int(np.argmin(np.abs(t[low:] - x)))
-                got.append((int(t[low]), v[low]))
-            else:
-                got.append((None, None))
-        return a.assign(r_t=pd.array([g[0] for g in got], "Int64"), **{name: [g[1] for g in got]})
-
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(fn, schema)
-
-
 def skip_similar(df: DataFrame, by, on, vector: str, atol: float = 1.0, must: str | None = None, order=()) -> DataFrame:
     """Drop a row whose vector is within ``atol`` (L2) of the last kept one, unless it is marked."""
 

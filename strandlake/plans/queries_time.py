@@ -89,10 +89,23 @@ def positional_zip(spark, sf):
     return asof.zip_by_position(_view(spark, sf), _view(spark, sf, "click"), BY, ON, "value", ORDER)
 
 
-@query()
+_NEAREST_FIRST = """n AS (SELECT c.*, r.t AS near_t, r.value AS near_value, row_number() OVER (PARTITION BY c.event_id ORDER BY abs(r.t - c.t), r.t, r.event_id) AS rn
+FROM (SELECT * FROM e WHERE event_type = 'click') c LEFT JOIN (SELECT * FROM e WHERE event_type = 'view') r ON c.user_id = r.user_id $EXPIRE),
+f AS (SELECT *, max(near_t) OVER (PARTITION BY user_id ORDER BY $ARRIVAL ROWS UNBOUNDED PRECEDING) AS m FROM n WHERE rn = 1)
+SELECT f.event_id, f.user_id, f.t, CASE WHEN near_t IS NOT NULL THEN m END AS r_t, CASE WHEN near_t IS NOT NULL THEN (SELECT arg_min(v.value, v.event_id) FROM e v WHERE v.event_type = 'view' AND v.user_id = f.user_id AND v.t = f.m) END AS r_value FROM f"""
+
+
+@query("WITH $EVENTS, " + _NEAREST_FIRST.replace("$EXPIRE", "").replace("$ARRIVAL", "t, event_id"))
 def asof_monotone(spark, sf):
-    """Nearest that never goes back: a fold, tested against brute force."""
-    return folds.nearest_monotone(_click(spark, sf), _view(spark, sf), BY, ON, "value", ORDER)
+    """Nearest that never goes back, in the order of time."""
+    return asof.nearest_monotone(_click(spark, sf), _view(spark, sf), BY, ON, "value", order=ORDER)
+
+
+@query("WITH $EVENTS, " + _NEAREST_FIRST.replace("$EXPIRE", f"AND r.t >= c.t - {600 * MINUTE}").replace("$ARRIVAL", f"t + event_id % 7 * {300 * MINUTE}, event_id"))
+def asof_monotone_by_arrival(spark, sf):
+    """The same for rows that come late, with right rows that expire after ten hours."""
+    clicks = _click(spark, sf).withColumn("came", F.col("t") + F.col("event_id") % 7 * (300 * MINUTE))
+    return asof.nearest_monotone(clicks, _view(spark, sf), BY, ON, "value", ["came", "event_id"], ORDER, 600 * MINUTE).drop("came")
 
 
 # -- look-back and look-ahead ---------------------------------------------------------------

@@ -50,10 +50,31 @@ def test_asof_random_against_loop(spark):
 def test_monotone_asof_never_goes_back(spark):
     left = spark.createDataFrame([(1, t) for t in (10, 11, 30)], "k long, t long")
     right = spark.createDataFrame([(1, 12, 1.0), (1, 9, 2.0), (1, 50, 3.0)], "k long, t long, v double")
-    got = [r.r_v for r in folds.nearest_monotone(left, right, ["k"], "t", "v").orderBy("t").collect()]
+    got = [r.r_v for r in asof.nearest_monotone(left, right, ["k"], "t", "v").orderBy("t").collect()]
     assert got == [2.0, 1.0, 1.0]
 
 
+@pytest.mark.parametrize("expire, bucket", [(None, None), (None, 40), (12, None), (12, 25)])
+def test_monotone_asof_against_a_loop(spark, expire, bucket):
+    """Left rows that come in any order, right rows of equal times, and rows that expire."""
+    rnd = random.Random(8)
+    right = sorted((k, rnd.randint(0, 200), i) for k in range(3) for i in range(25))
+    left = [(k if k < 3 else 9, i, rnd.randint(-20, 220)) for k in range(4) for i in range(30)]
+    want = {}
+    for k, i, x in left:  # the cache by its rule: the last used place is where the next search begins
+        rows, low = [r for r in right if r[0] == k], want.get(("low", k), 0)
+        fresh = [j for j in range(len(rows)) if j >= low and (expire is None or rows[j][1] >= x - expire)]
+        if not [r for r in rows if expire is None or r[1] >= x - expire]:
+            want[k, i] = None
+            continue
+        best = min(fresh or [len(rows) - 1], key=lambda j: (abs(rows[j][1] - x), j))
+        want["low", k], want[k, i] = best, rows[best][2]
+    l = spark.createDataFrame(left, "k long, i long, t long")
+    r = spark.createDataFrame(right, "k long, t long, id long")
+    found = asof.nearest_monotone(l, r, ["k"], "t", "id", ["i"], ["id"], expire, bucket=bucket)
+    assert {(x.k, x.i): x.r_id for x in found.collect()} == {k: v for k, v in want.items() if k[0] != "low"}
+
+
 def test_folds_against_loops(spark):
     rnd = random.Random(1)
     t = sorted(rnd.sample(range(1000), 80))
