@@ -8,7 +8,7 @@ from ..functions import messages
 from ..functions import vector as V
 from ..operators import shuffling
 from ..operators.edit import running
-from ..sources import bags, commits, trajectories
+from ..sources import archives, bags, commits, trajectories
 from ..streaming import buffers, live
 from ..streaming.local import as_stream, folder, name
 from .catalogue import events, query, r6, table
@@ -187,3 +187,28 @@ def expiring_buffers(spark, sf):
     changes = buffers.expiring(as_stream(spark, e, 4, by="ts"), "user_id", "ts", "value", 8, 86_400_000, order="event_id")
     last = buffers.last_of(live.run_once(changes, name("expiring"), "update", folder(spark), buffers.NEEDS), "user_id")
     return last.select("user_id", F.size("buffer").cast("long").alias("n"), F.array_join(F.col("times").cast("array<string>"), ",").alias("times"), F.round(F.aggregate("buffer", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
+
+
+# -- archives -----------------------------------------------------------------------------------
+
+
+def _archives(spark, sf):
+    """Documents as entries of an archive for each source."""
+    path = folder(spark, "archives")
+    d = table(spark, sf, "documents")
+    archives.write(d.select(F.coalesce("source", F.lit("none")).alias("archive"), F.format_string("%d/%d.txt", F.col("doc_id") % 10, "doc_id").alias("name"), F.coalesce("text", F.lit("")).cast("binary").alias("content")), path)
+    return path
+
+
+@query("SELECT coalesce(source, 'none') AS archive, (doc_id % 10) || '/' || doc_id || '.txt' AS name, md5(coalesce(text, '')) AS digest, CAST(strlen(coalesce(text, '')) AS BIGINT) AS size FROM documents")
+def archive_round_trip(spark, sf):
+    """Entries written, then read by ranges of the archives."""
+    rows = archives.read(archives.entries(spark, _archives(spark, sf)))
+    return rows.select(F.regexp_extract("archive", r"([^/]+)\.zip$", 1).alias("archive"), "name", F.md5("content").alias("digest"), F.octet_length("content").cast("long").alias("size"))
+
+
+@query("SELECT coalesce(source, 'none') AS archive, count(*) AS entries, CAST(sum(strlen(coalesce(text, ''))) AS BIGINT) AS bytes FROM documents WHERE doc_id % 10 = 3 GROUP BY 1")
+def archive_directories(spark, sf):
+    """Sizes of a folder of each archive, from the directories alone."""
+    rows = archives.entries(spark, _archives(spark, sf)).filter(F.col("name").startswith("3/"))
+    return rows.groupBy(F.regexp_extract("archive", r"([^/]+)\.zip$", 1).alias("archive")).agg(F.count(F.lit(1)).alias("entries"), F.sum("size").alias("bytes"))

@@ -102,3 +102,31 @@ class Ranges:
 
     def __exit__(self, *_) -> None:
         self._file.close()
+
+
+def arrow_uri(path: str) -> str:
+    """The URI, as Arrow wants it, of a path as Spark names it (with a scheme, and nothing escaped)."""
+    scheme, _, rest = path.partition(":")
+    host, at = "", rest
+    if rest.startswith("//"):
+        host, slash, at = rest[2:].partition("/")
+        at = slash + at
+    return f"{scheme}://{host}{quote(at)}"
+
+
+class Put:
+    """A file that is written aside by ``wrap``'s writer and put in its place on exit."""
+
+    def __init__(self, uri: str, wrap) -> None:
+        from pyarrow import fs
+
+        self._system, self._path = fs.FileSystem.from_uri(uri)
+        self._system.create_dir(self._path.rpartition("/")[0], recursive=True)
+        self._aside = f"{self._path}.{uuid.uuid4().hex}"
+        self._out = self._system.open_output_stream(self._aside)
+        self.file = wrap(self._out)
+
+    def __exit__(self, *_) -> None:
+        self.file.close()
+        self._out.close()
+        self._system.move(self._aside, self._path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import strict_line_errors
+from . import archives
 
 
 def _text(spark: SparkSession, path: str | Sequence[str], missing_ok: bool) -> DataFrame:
@@ -132,24 +133,8 @@ def trajectories_to_frames(df: DataFrame, steps: str) -> DataFrame:
 
 
 def zip_entries(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, name, content) of every file in the archives; each archive is opened by one task, on its bytes.
-
-    Spark holds a file's bytes in one value, so an archive has less than 2 GB.
-    """
-    import io
-    import zipfile
-
-    import pandas as pd
-
-    def run(it):
-        for pdf in it:
-            for archive, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for n in z.namelist():
-                        if not n.endswith("/"):
-                            yield pd.DataFrame({"archive": [archive], "name": [n], "content": [z.read(n)]})
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, name string, content binary")
+    """(archive, name, content) of every file in the archives; entries are read by ranges, by many tasks (see ``archives``)."""
+    return archives.read(archives.entries(spark, path)).drop("error")
 
 
 def stream(spark: SparkSession, path: str, schema: T.StructType, per_trigger: int | None = None) -> DataFrame:
