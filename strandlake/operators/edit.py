@@ -66,14 +66,19 @@ def delete_episodes(frames: DataFrame, gone: DataFrame | Sequence[int], order: S
 
 
 def split_sizes(n: int, fractions: dict[str, float]) -> dict[str, tuple[int, int]]:
-    """[start, end) of each split; the last takes what is left."""
-    if any(f <= 0 for f in fractions.values()) or sum(fractions.values()) > 1 + 1e-9:
-        raise ValueError("fractions must be positive and add up to 1 at most")
+    """[start, end) of each split.
+
+    A split whose share comes to no episode is left out; the last one that is
+    named takes what is left, unless its own share comes to none.
+    """
+    if any(f < 0 for f in fractions.values()) or sum(fractions.values()) > 1:
+        raise ValueError("fractions must not be negative and add up to 1 at most")
     out, at = {}, 0
     for i, (name, f) in enumerate(fractions.items()):
-        end = n if i == len(fractions) - 1 else at + int(n * f)
-        out[name] = (at, end)
-        at = end
+        if size := int(n * f):
+            end = n if i == len(fractions) - 1 else at + size
+            out[name] = (at, end)
+            at = end
     return out
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shuffling import draw
+
 from ..functions import vector as V
 
 
@@ -68,9 +70,14 @@ def rank_rows(df: DataFrame, index: str, rank: int, world: int, total: int) -> D
     return df.filter((F.pmod(F.col(index), F.lit(world)) == rank) & (F.col(index) < total // world * world))
 
 
+def shuffle_key(seed: int, key: Sequence[str]) -> Column:
+    """What rows are put in order by, to be shuffled: a draw for the seed and the row's key."""
+    return draw(F.lit(seed), F.lit("order"), *(F.col(c) for c in key))
+
+
 def shuffled(df: DataFrame, seed: int, key: Sequence[str]) -> DataFrame:
-    """A fixed random order: by a seeded hash of the key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *key), *key)
+    """A fixed random order: that of the rows' draws."""
+    return df.orderBy(shuffle_key(seed, key), *key)
 
 
 def sample_with_replacement(df: DataFrame, index: str, total: int, n: int, seed: int) -> DataFrame:

@@ -96,6 +96,11 @@ def sample_size(n: int, least: int = 100, most: int = 10_000, power: float = 0.7
     return n if n < least else max(least, min(most, int(n**power)))
 
 
+def sample_size_of(n: Column, least: int = 100, most: int = 10_000, power: float = 0.75) -> Column:
+    """The same of a column."""
+    return F.when(n < least, n).otherwise(F.greatest(F.lit(least), F.least(F.lit(most), F.floor(F.pow(n, F.lit(power)))))).cast("long")
+
+
 def sample_positions(n: Column, k: Column) -> Column:
     """k positions spread evenly over 0 .. n - 1, both ends included, rounded half to even."""
     one = F.array(F.lit(0))

@@ -193,22 +193,22 @@ def legacy_vectors(spark, sf):
     return _long(readers.legacy_vectors(v, ["label"], ["state"]), F.col("state"), "vec_id")
 
 
-@query("SELECT 16 AS n_values, CAST(500 AS BIGINT) AS n_rows, true AS inside, true AS steps_ok")
+@query("SELECT event_id, 16 AS n_values, true AS inside FROM events")
 def mock_arm_walk(spark, sf):
-    """Generated walks stay inside their limits and their steps within bounds."""
-    m = readers.mock_arms(spark, 500, 16, seed=3)
-    s = m.withColumn("x", F.get("position", F.lit(0)))
-    from pyspark.sql import Window
-
-    s = s.withColumn("d", F.abs(F.col("x") - F.lag("x").over(Window.partitionBy(F.lit(0)).orderBy("ts_ns"))))
-    return s.agg(F.max(F.size("position")).alias("n_values"), F.count(F.lit(1)).alias("n_rows"), (F.max(F.array_max("position")) <= 3.14 + 1e-9).alias("inside"), (F.max("d") <= 0.02 + 1e-9).alias("steps_ok"))
+    """A generated walk beside each event; it stays inside its limits."""
+    e = table(spark, sf, "events").select("event_id")
+    walk = readers.mock_arms(spark, e.agg(F.max("event_id")).first()[0] + 1, 16, hz=1.0, seed=3).withColumn("event_id", F.expr("ts_ns div 1000000000"))
+    inside = F.forall("position", lambda x: F.abs(x) <= 3.14 + 1e-9)
+    return e.join(walk, "event_id").select("event_id", F.size("position").alias("n_values"), inside.alias("inside"))
 
 
-@query("SELECT CAST(200 AS BIGINT) AS n_rows, 5 AS n_state, 3 AS n_actions, true AS inside")
+@query("SELECT vec_id, label, 5 AS n_state, 3 AS n_actions, true AS inside FROM embeddings")
 def fake_vectors(spark, sf):
-    f = readers.fake_rows(spark, {"state": 5, "actions": 3}, 200)
+    """A generated row beside each vector."""
+    v = table(spark, sf, "embeddings").select("vec_id", "label")
+    f = readers.fake_rows(spark, {"state": 5, "actions": 3}, v.agg(F.max("vec_id")).first()[0] + 1)
     inside = F.forall("state", lambda x: (x >= -1) & (x < 1)) & F.forall("actions", lambda x: (x >= -1) & (x < 1))
-    return f.agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.size("state")).alias("n_state"), F.max(F.size("actions")).alias("n_actions"), F.min(inside.cast("int")).cast("boolean").alias("inside"))
+    return v.join(f, v.vec_id == f.id).select("vec_id", "label", F.size("state").alias("n_state"), F.size("actions").alias("n_actions"), inside.alias("inside"))
 
 
 # -- vectors ---------------------------------------------------------------------------------------
@@ -292,9 +292,11 @@ def tokens_with_mask(spark, sf):
     return rows.select("vec_id", F.col("dim").cast("long").alias("dim"), F.col("z.token").alias("token"), F.col("z.real").alias("real"))
 
 
-@query("SELECT i, i < 3 OR i >= 5 AS keep FROM (SELECT unnest(range(7)) AS i)")
+@query(_each("CASE WHEN i < 3 OR i >= 5 THEN v[i + 1] ELSE 0 END", 7))
 def bool_mask(spark, sf):
-    return _list(spark, list(enumerate(V.bool_mask(3, -2, 2))), "i long, keep boolean")
+    """Vectors with zeros where a mask built from run lengths is false."""
+    keep = F.array(*map(F.lit, V.bool_mask(3, -2, 2)))
+    return _long(_vectors(spark, sf), F.zip_with(_part(1, 7), keep, lambda x, k: F.when(k, x).otherwise(0.0)), "vec_id")
 
 
 @query(_each("CASE WHEN i IN (1, 3) THEN -v[i + 1] ELSE v[i + 1] END", 6))
@@ -443,10 +445,13 @@ def motor_faults(spark, sf):
     return _vectors(spark, sf).select("vec_id", codes.alias("codes")).select("vec_id", any_.alias("fault"), text.alias("faults"))
 
 
-@query("SELECT row_number() OVER () - 1 AS i, * FROM (VALUES ('v2.1', 'v2.1'), ('v2.4', 'v2.1'), ('v3.0', 'v3.0'), ('v3.5', 'v3.2')) t(wanted, found)")
+@query("""SELECT o_orderkey, 'v2.' || (o_orderkey % 5) AS wanted, 'v2.' || CASE WHEN o_orderkey % 5 >= 3 THEN 3 WHEN o_orderkey % 5 >= 1 THEN 1 ELSE 0 END AS found FROM orders""")
 def safe_versions(spark, sf):
-    there = ["v2.0", "v2.1", "v3.0", "v3.2"]
-    return _list(spark, [(i, w, schema.safe_version(w, there)) for i, w in enumerate(["v2.1", "v2.4", "v3.0", "v3.5"])], "i long, wanted string, found string")
+    """The version that each row's wanted one resolves to."""
+    found = {w: schema.safe_version(w, ["v1.9", "v2.0", "v2.1", "v2.3", "v3.0"]) for w in (f"v2.{i}" for i in range(5))}
+    wanted = F.concat(F.lit("v2."), (F.col("o_orderkey") % 5).cast("string"))
+    lookup = F.create_map(*(F.lit(x) for pair in found.items() for x in pair))
+    return table(spark, sf, "orders").select("o_orderkey", wanted.alias("wanted")).withColumn("found", lookup[F.col("wanted")])
 
 
 # -- schemas ---------------------------------------------------------------------------------------
@@ -504,10 +509,15 @@ def typed_frames(spark, sf):
     return d.select("index", F.round(F.col("timestamp").cast("double"), 5).alias("timestamp"))
 
 
-@query("SELECT * FROM (VALUES ('action', 'action'), ('cam', 'visual'), ('observation.environment_state', 'environment'), ('observation.state', 'state'), ('speed', 'other')) t(name, kind)")
+@query("""WITH f AS (SELECT unnest(['action', 'observation.environment_state', 'observation.state', 'speed']) AS name, unnest(['action', 'environment', 'state', 'other']) AS kind, unnest([7, 3, 6, 1]) AS n)
+SELECT name, kind, count(*) AS frames, CAST(count(*) * any_value(n) AS BIGINT) AS elements FROM embeddings, f GROUP BY name, kind""")
 def feature_kinds(spark, sf):
-    s = schema.struct({"action": ("float32", (7,)), "cam": ("image", (4, 4, 3)), "observation.environment_state": ("float32", (3,)), "observation.state": ("float32", (7,)), "speed": ("float32", (1,))})
-    return _list(spark, sorted((k, v) for k, v in schema.kinds(s).items() if k not in schema.BASE), "name string, kind string")
+    """Kinds of a frame table's features, with what the table holds of each."""
+    sizes = {"action": 7, "observation.environment_state": 3, "observation.state": 6, "speed": 1}
+    kinds = schema.kinds(schema.struct({k: ("float32", (n,)) for k, n in sizes.items()}))
+    frames = _vectors(spark, sf).select(*(_part(1, n).alias(k) for k, n in sizes.items()))
+    rows = frames.select(F.explode(F.array(*(F.struct(F.lit(k).alias("name"), F.lit(kinds[k]).alias("kind"), F.size(f"`{k}`").alias("n")) for k in sizes))).alias("f"))
+    return rows.groupBy("f.name", "f.kind").agg(F.count(F.lit(1)).alias("frames"), F.sum("f.n").alias("elements"))
 
 
 @query("SELECT * FROM (VALUES ('column c_name: string, expected int'), ('extra column c_mktsegment'), ('missing column c_phone')) t(error)")
@@ -565,9 +575,15 @@ def stats_sample_positions(spark, sf):
     return n.select("user_id", F.posexplode(stats.sample_positions(F.col("n"), F.least(F.col("n"), F.lit(7)))).alias("i", "position"))
 
 
-@query("SELECT * FROM (VALUES (50, 50), (100, 100), (200, 100), (10000, 1000), (100000000, 10000)) t(n, k)")
+@query("""WITH n AS (SELECT 'type ' || event_type AS of, count(*) AS n FROM events GROUP BY event_type UNION ALL SELECT 'all events', count(*) FROM events UNION ALL SELECT 'label ' || label, count(*) FROM embeddings GROUP BY label)
+SELECT of, n, CASE WHEN n < 100 THEN n ELSE greatest(100, least(10000, CAST(floor(pow(n, 0.75)) AS BIGINT))) END AS k FROM n""")
 def stats_sample_sizes(spark, sf):
-    return _list(spark, [(n, stats.sample_size(n)) for n in (50, 100, 200, 10_000, 100_000_000)], "n int, k int")
+    """How many frames of groups of any size the statistics look at."""
+    e = table(spark, sf, "events")
+    n = F.count(F.lit(1)).alias("n")
+    groups = e.groupBy(F.concat(F.lit("type "), "event_type").alias("of")).agg(n).unionByName(e.select(F.lit("all events").alias("of")).groupBy("of").agg(n))
+    groups = groups.unionByName(table(spark, sf, "embeddings").groupBy(F.concat(F.lit("label "), F.col("label").cast("string")).alias("of")).agg(n))
+    return groups.withColumn("k", stats.sample_size_of(F.col("n")))
 
 
 @query("SELECT event_id FROM events WHERE event_id % 4 = 1")
@@ -578,15 +594,15 @@ def shard_rows(spark, sf):
 @query("SELECT event_id, row_number() OVER (ORDER BY event_id % 10, event_id) - 1 AS place FROM events")
 def offset_major(spark, sf):
     """The order itself, as the rows' places in it."""
-    from pyspark.sql import Window
+    e = filters.offset_major(table(spark, sf, "events").select("event_id"), "event_id", 10).withColumn("offset", F.col("event_id") % 10).withColumn("one", F.lit(1))
+    return edit.running(e, {"one": "place"}, ["offset", "event_id"]).select("event_id", "place")
 
-    e = filters.offset_major(table(spark, sf, "events").select("event_id"), "event_id", 10)
-    return e.withColumn("place", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("event_id") % 10, "event_id")) - 1).cast("long"))
 
-
-@query("SELECT event_id FROM events")
+@query("SELECT event_id, row_number() OVER (ORDER BY CAST('0x' || substr(md5('7:order:' || event_id), 1, 13) AS BIGINT), event_id) - 1 AS place FROM events")
 def shuffled_rows(spark, sf):
-    return filters.shuffled(table(spark, sf, "events"), 7, ["event_id"]).select("event_id")
+    """The shuffled order itself, as the rows' places in it."""
+    e = table(spark, sf, "events").select("event_id").withColumn("draw", filters.shuffle_key(7, ["event_id"])).withColumn("one", F.lit(1))
+    return edit.running(e, {"one": "place"}, ["draw", "event_id"]).select("event_id", "place")
 
 
 @query("SELECT n_nationkey, r AS round FROM nation, (SELECT unnest(range(3))::INT AS r)")
@@ -741,16 +757,27 @@ def stats_errors(spark, sf):
     return stats.errors(cut, 64).select("label", "error")
 
 
-@query("SELECT * FROM (VALUES ('q01,q99,mean', 'quantiles'), ('q10,q90', 'quantile10'), ('mean,std,min', 'mean_std'), ('min,max', 'min_max'), ('count', 'identity')) t(names, mode)")
+@query(f"""WITH {_X}, {_BIN_STATS} SELECT 'mean,std,min' AS names, vec_id, round((x - mean) / (std + 0.000001), 6) AS value FROM x JOIN s USING (dim) WHERE dim = 0
+UNION ALL SELECT 'min,max', vec_id, round(2 * (x - min) / (max - min) - 1, 6) FROM x JOIN s USING (dim) WHERE dim = 0
+UNION ALL SELECT 'q01,q99,mean', vec_id, round(2 * (x - q01) / (q99 - q01) - 1, 6) FROM x JOIN s USING (dim) WHERE dim = 0
+UNION ALL SELECT 'q10,q90', vec_id, round(2 * (x - q10) / (q90 - q10) - 1, 6) FROM x JOIN s USING (dim) WHERE dim = 0""")
 def normalisation_modes(spark, sf):
-    return _list(spark, [(n, stats.detect_mode(n.split(","))) for n in ("q01,q99,mean", "q10,q90", "mean,std,min", "min,max", "count")], "names string, mode string")
-
-
-@query("SELECT true AS found")
+    """A value normalised by the mode that the statistics at hand allow."""
+    v = _vectors(spark, sf).withColumn("v", _part(1, 1))
+    joined, out = stats.with_stats(v, stats.vector_stats(v, "v")), None
+    for names in ("mean,std,min", "min,max", "q01,q99,mean", "q10,q90"):
+        mode = stats.detect_mode(names.split(","))
+        a, b = stats.MODES[mode]
+        rows = joined.select(F.lit(names).alias("names"), "vec_id", r6(stats.normalise(F.col("v"), F.col(a), F.col(b), mode)[0]).alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("SELECT count(*) AS n_rows, true AS found FROM embeddings")
 def parquet_size(spark, sf):
-    """The footers' sizes are at least the bytes of the values that every row must hold."""
-    n = readers.parquet_bytes(spark, f"{sf}/embeddings.parquet")
-    return _list(spark, [(n > 4 * 64 * table(spark, sf, "embeddings").count() // 2,)], "found boolean")
+    """Rows by the footers, whose sizes are at least the bytes of the values that every row must hold."""
+    f = readers.parquet_footers(spark, f"{sf}/embeddings.parquet")
+    return f.agg(F.sum("n_rows").alias("n_rows"), (F.sum("bytes") > F.sum("n_rows") * 4 * 64 / 2).alias("found"))
 
 
 @query("SELECT vec_id, 'todo' AS prompt, CAST(32 AS INT) AS n FROM embeddings")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import strict_line_errors
-from . import archives
+from . import archives, files
 
 
 def _text(spark: SparkSession, path: str | Sequence[str], missing_ok: bool) -> DataFrame:
@@ -165,14 +165,27 @@ def fake_rows(spark: SparkSession, spec: dict[str, int], rows: int, seed: int =
     return spark.range(rows).select("id", *cols)
 
 
+def parquet_footers(spark: SparkSession, path: str) -> DataFrame:
+    """path, row_groups, n_rows and uncompressed bytes of each Parquet file, from its footer, which a task reads."""
+    import pyarrow as pa
+
+    def run(batches):
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for p in batch.column(0).to_pylist():
+                system, at = fs.FileSystem.from_uri(files.arrow_uri(p))
+                m = pq.read_metadata(at, filesystem=system)
+                rows.append((p, m.num_row_groups, m.num_rows, sum(m.row_group(i).total_byte_size for i in range(m.num_row_groups))))
+            cols = list(zip(*rows))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["path", "row_groups", "n_rows", "bytes"])
+
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+    return found.select("path").mapInArrow(run, "path string, row_groups long, n_rows long, bytes long")
+
+
 def parquet_bytes(spark: SparkSession, path: str) -> int:
-    """Uncompressed bytes of all row groups of a Parquet path, from its footers alone, in any file system that Spark reads."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    size = 0
-    for file in spark.read.parquet(path).inputFiles():
-        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf))
-        try:
-            size += sum(group.getTotalByteSize() for group in reader.getRowGroups())
-        finally:
-            reader.close()
-    return size
+    """Uncompressed bytes of all row groups of a Parquet path, from its footers alone."""
+    return parquet_footers(spark, path).agg(F.sum("bytes")).first()[0] or 0

@@ -267,6 +267,11 @@ def test_split_sizes():
     assert edit.split_sizes(10, {"a": 0.5, "b": 0.2}) == {"a": (0, 5), "b": (5, 10)}
     with pytest.raises(ValueError):
         edit.split_sizes(10, {"a": 0.9, "b": 0.2})
+    with pytest.raises(ValueError):
+        edit.split_sizes(10, {"a": -0.1})
+    assert edit.split_sizes(10, {"a": 0.05, "b": 0.5, "c": 0.0}) == {"b": (0, 5)}
+    assert edit.split_sizes(10, {"a": 0.8, "b": 0.19}) == {"a": (0, 8), "b": (8, 10)}
+    assert edit.split_sizes(3, {"a": 0.9, "b": 0.1}) == {"a": (0, 2)}
 
 
 def test_modify_features_protects_required(spark):
