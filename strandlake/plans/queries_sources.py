@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import messages
+from ..functions import action_tokens, messages
 from ..functions import vector as V
 from ..operators import shuffling
 from ..operators.edit import running
@@ -212,3 +212,31 @@ def archive_directories(spark, sf):
     """Sizes of a folder of each archive, from the directories alone."""
     rows = archives.entries(spark, _archives(spark, sf)).filter(F.col("name").startswith("3/"))
     return rows.groupBy(F.regexp_extract("archive", r"([^/]+)\.zip$", 1).alias("archive")).agg(F.count(F.lit(1)).alias("entries"), F.sum("size").alias("bytes"))
+
+
+# -- action tokens ------------------------------------------------------------------------------
+
+_COSINE = "sqrt(CASE WHEN k = 0 THEN 1.0 ELSE 2.0 END / 8) * cos(pi() * (2 * t + 1) * k / 16)"
+_COEFFICIENTS = f"""x AS (SELECT vec_id, t, d, CAST(embedding[t * 8 + d + 1] AS DOUBLE) AS x FROM embeddings, (SELECT unnest(range(8)) AS t), (SELECT unnest(range(8)) AS d)),
+q AS (SELECT vec_id, k, d, CAST(round_even(50 * sum(x * {_COSINE}), 0) AS BIGINT) AS q FROM x, (SELECT unnest(range(8)) AS k) GROUP BY ALL)"""
+
+
+def _quantised(spark, sf):
+    """Vectors as chunks of eight actions of eight elements."""
+    chunk = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda t: F.slice("v", t * 8 + 1, F.lit(8)))
+    return _vectors(spark, sf).select("vec_id", action_tokens.quantised(chunk, 8, 8, 50.0).alias("q"))
+
+
+@query(f"WITH {_COEFFICIENTS} SELECT vec_id, k * 8 + d AS i, q FROM q")
+def action_coefficients(spark, sf):
+    rows = _quantised(spark, sf).select("vec_id", F.posexplode("q").alias("i", "q"))
+    return rows.withColumn("i", F.col("i").cast("long"))
+
+
+@query(f"WITH {_COEFFICIENTS} SELECT vec_id, t * 8 + d AS dim, round(sum(q / 50.0 * {_COSINE}), 6) AS value FROM q, (SELECT unnest(range(8)) AS t) GROUP BY ALL")
+def action_token_round_trip(spark, sf):
+    """Through ids with merges, to integers and actions again."""
+    merges = action_tokens.Merges(-64, 128, [(64, 64), (128, 128), (129, 64), (65, 63), (63, 65)])
+    rows = action_tokens.decoded(action_tokens.encoded(_quantised(spark, sf), "q", merges), "ids", merges)
+    back = rows.select("vec_id", action_tokens.dequantised(F.col("numbers"), 8, 8, 50.0).alias("a"))
+    return back.select("vec_id", F.posexplode(F.flatten("a")).alias("dim", "value")).withColumn("dim", F.col("dim").cast("long")).withColumn("value", r6("value"))
