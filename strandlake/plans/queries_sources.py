@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import action_tokens, messages
 from ..functions import vector as V
 from ..operators import shuffling
 from ..operators.edit import running
-from ..sources import archives, bags, commits, trajectories
+from ..sources import aggregates, archives, bags, commits, trajectories
 from ..streaming import buffers, live
 from ..streaming.local import as_stream, folder, name
 from .catalogue import events, query, r6, table
@@ -240,3 +241,39 @@ def action_token_round_trip(spark, sf):
     rows = action_tokens.decoded(action_tokens.encoded(_quantised(spark, sf), "q", merges), "ids", merges)
     back = rows.select("vec_id", action_tokens.dequantised(F.col("numbers"), 8, 8, 50.0).alias("a"))
     return back.select("vec_id", F.posexplode(F.flatten("a")).alias("dim", "value")).withColumn("dim", F.col("dim").cast("long")).withColumn("value", r6("value"))
+
+
+# -- aggregates of files ------------------------------------------------------------------------
+
+
+def _aggregate(spark, sf):
+    """Three datasets, a file for each label, joined: two at first, the third taken in later; a file may reach 2.5 times the mean file's rows."""
+    path, v = folder(spark, "aggregate"), _vectors(spark, sf)
+    w = Window.partitionBy("source").orderBy("label")
+    n = v.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumn("source", F.col("label") % 3)
+    n = n.withColumn("episode_index", F.row_number().over(w).cast("long") - 1).withColumn("_from", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    frames = v.join(F.broadcast(n), "label").withColumn("frame_index", F.row_number().over(Window.partitionBy("label").orderBy("vec_id")).cast("long") - 1)
+    frames = frames.withColumn("index", F.col("_from") + F.col("frame_index")).withColumn("file", F.format_string("%03d", "episode_index"))
+    for i in range(3):
+        frames.filter(F.col("source") == i).select("vec_id", "label", "episode_index", "index", "file").repartition("file").write.partitionBy("file").parquet(f"{path}/in-{i}/chunk-000")
+    limit = v.count() * 5 // (2 * n.count())
+    aggregates.aggregate(spark, [f"{path}/in-0", f"{path}/in-1"], f"{path}/out", limit, size="n_rows")
+    aggregates.aggregate(spark, [f"{path}/in-2"], f"{path}/out", limit, size="n_rows")
+    return f"{path}/out"
+
+
+_FILES = """n AS (SELECT label, label % 3 AS source, count(*) AS n, row_number() OVER (PARTITION BY label % 3 ORDER BY label) - 1 AS file, row_number() OVER (ORDER BY label % 3, label) AS r FROM embeddings GROUP BY label),
+l AS (SELECT sum(n) * 5 // (2 * count(*)) AS lim FROM n),
+g AS (SELECT r, n AS held, 0 AS target FROM n WHERE r = 1
+UNION ALL SELECT n.r, CASE WHEN held + n.n >= lim THEN n.n ELSE held + n.n END, CASE WHEN held + n.n >= lim THEN target + 1 ELSE target END FROM g JOIN n ON n.r = g.r + 1, l)"""
+
+
+@query(f"WITH RECURSIVE {_FILES} SELECT CAST(source AS INTEGER) AS source, CAST(file AS BIGINT) AS src_file, CAST(0 AS BIGINT) AS dst_chunk, CAST(target AS BIGINT) AS dst_file, count(*) OVER (PARTITION BY target) = 1 AS carried FROM n JOIN g USING (r)")
+def aggregated_file_map(spark, sf):
+    """Where each file went, and which are carried over as they are."""
+    return aggregates.file_map(spark, _aggregate(spark, sf)).drop("src_chunk")
+
+
+@query("SELECT vec_id, label, dense_rank() OVER (ORDER BY label % 3, label) - 1 AS episode_index, row_number() OVER (ORDER BY label % 3, label, vec_id) - 1 AS index FROM embeddings")
+def aggregated_frames(spark, sf):
+    return aggregates.read(spark, _aggregate(spark, sf)).select("vec_id", "label", "episode_index", "index")

@@ -130,3 +130,11 @@ class Put:
         self.file.close()
         self._out.close()
         self._system.move(self._aside, self._path)
+
+
+def move(spark: SparkSession, old: str, new: str) -> bool:
+    """Give a folder its name unless there is one of that name; False if there is."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(old), jvm.org.apache.hadoop.fs.Path(new)
+    fs = a.getFileSystem(conf)
+    return not fs.exists(b) and fs.rename(a, b)

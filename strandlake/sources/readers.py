@@ -166,7 +166,10 @@ def fake_rows(spark: SparkSession, spec: dict[str, int], rows: int, seed: int =
 
 
 def parquet_footers(spark: SparkSession, path: str) -> DataFrame:
-    """path, row_groups, n_rows and uncompressed bytes of each Parquet file, from its footer, which a task reads."""
+    """path, uri, length, row_groups, n_rows and uncompressed bytes of each Parquet file, from its footer, which a task reads.
+
+    ``uri`` is the path as ``_metadata.file_path`` has it.
+    """
     import pyarrow as pa
 
     def run(batches):
@@ -180,10 +183,10 @@ def parquet_footers(spark: SparkSession, path: str) -> DataFrame:
                 m = pq.read_metadata(at, filesystem=system)
                 rows.append((p, m.num_row_groups, m.num_rows, sum(m.row_group(i).total_byte_size for i in range(m.num_row_groups))))
             cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["path", "row_groups", "n_rows", "bytes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in cols[1:])], names=["path", "uri", "length", "row_groups", "n_rows", "bytes"])
 
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
-    return found.select("path").mapInArrow(run, "path string, row_groups long, n_rows long, bytes long")
+    return found.select("path", F.col("_metadata.file_path").alias("uri"), "length").mapInArrow(run, "path string, uri string, length long, row_groups long, n_rows long, bytes long")
 
 
 def parquet_bytes(spark: SparkSession, path: str) -> int:
