@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import action_tokens, messages
 from ..functions import vector as V
-from ..operators import shuffling
+from ..operators import records, sequence, shuffling
 from ..operators.edit import running
-from ..sources import aggregates, archives, bags, commits, trajectories
+from ..sources import aggregates, archives, bags, commits, readers, trajectories
 from ..streaming import buffers, live
 from ..streaming.local import as_stream, folder, name
+from . import pipeline
 from .catalogue import events, query, r6, table
 
 
@@ -277,3 +278,74 @@ def aggregated_file_map(spark, sf):
 @query("SELECT vec_id, label, dense_rank() OVER (ORDER BY label % 3, label) - 1 AS episode_index, row_number() OVER (ORDER BY label % 3, label, vec_id) - 1 AS index FROM embeddings")
 def aggregated_frames(spark, sf):
     return aggregates.read(spark, _aggregate(spark, sf)).select("vec_id", "label", "episode_index", "index")
+
+
+# -- JSON that isn't quite lines, steps and look-ups ----------------------------------------------
+
+
+@query("SELECT c_custkey, c_name, round(c_acctbal, 2) AS c_acctbal FROM customer")
+def json_array_files(spark, sf):
+    """A JSON file for each nation: an array, or the objects between commas, or lines."""
+    c = table(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_name", "c_acctbal")
+    objects = F.collect_list(F.to_json(F.struct("c_custkey", "c_name", "c_acctbal")))
+    form = F.col("c_nationkey") % 3
+    text = F.when(form == 0, F.concat(F.lit("[\n"), F.array_join("o", ",\n"), F.lit("\n]\n"))).when(form == 1, F.array_join("o", ",\n")).otherwise(F.array_join("o", "\n"))
+    path = folder(spark, "json")
+    c.groupBy("c_nationkey").agg(objects.alias("o")).select(text.alias("value"), F.format_string("%02d", "c_nationkey").alias("nation")).write.partitionBy("nation").text(path)
+    rows = readers.json_arrays(spark, f"{path}/*/*.txt", "c_custkey: bigint, c_name: string, c_acctbal: double")
+    return rows.withColumn("c_acctbal", F.round("c_acctbal", 2))
+
+
+@query("SELECT event_id, user_id FROM events WHERE event_id % 7 <> 0")
+def json_lines_with_bad_ones(spark, sf):
+    """Every seventh line is cut off; the others are read."""
+    line = F.to_json(F.struct("event_id", "user_id"))
+    path = folder(spark, "json")
+    table(spark, sf, "events").select(F.when(F.col("event_id") % 7 == 0, F.substring(line, 1, 9)).otherwise(line).alias("value")).write.text(path)
+    return readers.json_lines(spark, path, "event_id long, user_id long")
+
+
+@query("""WITH $EVENTS SELECT event_id, round(CASE WHEN event_type = 'click' AND k >= 20 THEN k ELSE value END, 6) AS action, CASE WHEN event_type = 'purchase' THEN 1.0::DOUBLE ELSE 0 END AS reward, event_type IN ('error', 'purchase') AS done FROM e WHERE value IS NOT NULL""")
+def intervened_steps(spark, sf):
+    """A click is a person's action (if there is one), a purchase a success, an error the end."""
+    e = events(spark, sf).filter("value is not null")
+    is_a = lambda kind: F.col("event_type") == kind
+    rows = e.select("event_id", F.col("value").alias("action"), F.when(F.col("k") >= 20, F.col("k")).alias("teleop_action"), is_a("click").alias("is_intervention"), is_a("purchase").alias("success"), is_a("error").alias("terminate"))
+    out = pipeline.Pipeline([pipeline.Intervention()])(rows)
+    return out.select("event_id", r6("action").alias("action"), "reward", "done")
+
+
+@query("""WITH $EVENTS, q AS (SELECT event_id, user_id, t + 7 AS t FROM e WHERE event_type = 'view')
+SELECT q.event_id, q.user_id, q.t, r.t AS r_t, r.value AS r_value FROM q JOIN e r ON r.user_id = q.user_id AND r.event_type = 'view' QUALIFY row_number() OVER (PARTITION BY q.event_id ORDER BY abs(r.t - q.t), r.t DESC) = 1""")
+def frames_near_queries(spark, sf):
+    """The frame nearest to each time asked for, which must be nearer than 8 us: none is missing here."""
+    v = events(spark, sf).filter("event_type = 'view'")
+    asked = v.select("event_id", "user_id", (F.col("t") + 7).alias("t"))
+    return records.nearest_or_error(asked, v.select("user_id", "t", "value"), ["user_id"], "t", "value", 8)
+
+
+@query("""WITH v AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+s AS (SELECT min(x) AS a, max(x) AS b FROM v), h AS (SELECT min(y) AS a, max(y) AS b FROM v)
+SELECT vec_id, round(2 * (x - s.a) / (s.b - s.a) - 1, 6) AS own, round(2 * (x - h.a) / (h.b - h.a) - 1, 6) AS other FROM v, s, h""")
+def swapped_stats(spark, sf):
+    """A pipeline's normalisation with its own statistics, and with another's in their place."""
+    v = _vectors(spark, sf).select("vec_id", F.slice("v", 1, 1).alias("x"), F.col("v")[1].alias("y"))
+    a, b, c, d = v.agg(F.min(F.col("x")[0]), F.max(F.col("x")[0]), F.min("y"), F.max("y")).first()
+    own = pipeline.Pipeline([pipeline.Normalise("x", [a], [b], "min_max")])
+    other = own.with_stats({"x": {"min": [c], "max": [d]}})
+    return own(v).select("vec_id", r6(F.col("x")[0]).alias("own")).join(other(v).select("vec_id", r6(F.col("x")[0]).alias("other")), "vec_id")
+
+
+@query("""WITH $EVENTS, f AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM e)
+SELECT a.event_id, d AS delta, b.event_id AS found, a.i + d < 0 OR a.i + d >= a.n AS is_pad FROM f a, (SELECT unnest([-3, 0, 2]) AS d) JOIN f b ON b.user_id = a.user_id AND b.i = greatest(0, least(a.n - 1, a.i + d))""")
+def delta_times_as_offsets(spark, sf):
+    """Times of -0.3, 0 and 0.2 s at ten frames a second are offsets of -3, 0 and 2 frames."""
+    offsets = sequence.delta_indices([-0.3, 0.0, 0.2], 10.0)
+    e = events(spark, sf).select("user_id", "event_id", "t")
+    w = Window.partitionBy("user_id").orderBy("t", "event_id")
+    f = e.withColumn("i", F.row_number().over(w) - 1).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("user_id")))
+    asked = f.select("user_id", "event_id", "i", "n", F.explode(F.array(*map(F.lit, offsets))).alias("delta"))
+    at = F.greatest(F.lit(0), F.least(F.col("n") - 1, F.col("i") + F.col("delta")))
+    found = f.select("user_id", F.col("i").alias("at"), F.col("event_id").alias("found"))
+    pad = (F.col("i") + F.col("delta") < 0) | (F.col("i") + F.col("delta") >= F.col("n"))
+    return asked.withColumn("at", at).join(found, ["user_id", "at"]).select("event_id", "delta", "found", pad.alias("is_pad"))

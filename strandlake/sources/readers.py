@@ -113,6 +113,24 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType | str | None
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def json_arrays(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Rows of files that are one JSON array each, or objects between commas without its brackets, or JSON lines.
+
+    The first reading that holds for a whole file is taken; as lines, those that
+    are malformed are left out.  A file is one value, so it has less than 2 GB.
+    """
+    kind = schema if isinstance(schema, str) else schema.simpleString().removeprefix("struct<").removesuffix(">")
+    text = F.regexp_replace("value", r"^\s+|\s+$", "")
+    files_ = spark.read.text(path, wholetext=True).select(text.alias("value"))
+    many = f"array<struct<{kind}>>"
+    whole = F.when(F.col("value").startswith("[") & F.col("value").endswith("]"), F.from_json("value", many, {"mode": "PERMISSIVE"}))
+    joined = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), many)
+    sound = lambda rows: F.when(F.size(F.filter(rows, lambda r: r.isNull())) == 0, rows)
+    lines = F.transform(F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != ""), lambda x: F.from_json(x, f"struct<{kind}>", {"mode": "PERMISSIVE"}))
+    full = F.filter(lines, lambda r: r.isNotNull() & (F.to_json(r) != "{}"))
+    return files_.select(F.inline(F.coalesce(sound(whole), F.when(~F.col("value").startswith("["), sound(joined)), full)))
+
+
 def legacy_vectors(df: DataFrame, by: Sequence[str], columns: Sequence[str] = ("state", "actions")) -> DataFrame:
     """32 elements [7 L, 7 R, 9 LG, 9 RG] as 16 [7 L, LG, 7 R, RG]; openings over 1000 where an episode has any above 2."""
     from pyspark.sql import Window

@@ -292,3 +292,20 @@ def test_records(spark):
     t = spark.createDataFrame([(1, [1.0], True), (2, [float("nan")], True), (3, [2.0], False)], "i long, s array<double>, human boolean")
     ok, human = records.split_transitions(t, ["s"], "human")
     assert ok.count() == 2 and human.count() == 1
+
+
+def test_json_files_of_any_form(spark, tmp_path):
+    forms = {"array": '\n [{"a": 1, "b": "x"},\n {"a": 2, "b": "]"}]\n', "bare": '{"a": 3, "b": "y"},\n{"a": 4, "b": null}', "lines": '{"a": 5, "b": "z"}\n\nnot json\n{"a": 6, "b": "[w]"}\n', "cut": '[{"a": 7', "none": ""}
+    for name, text in forms.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    found = lambda n: sorted((r.a, r.b) for r in readers.json_arrays(spark, str(tmp_path / f"{n}.json"), "a: int, b: string").collect())
+    assert found("array") == [(1, "x"), (2, "]")] and found("bare") == [(3, "y"), (4, None)]
+    assert found("lines") == [(5, "z"), (6, "[w]")] and found("cut") == [] and found("none") == []
+
+
+def test_a_person_without_an_action_changes_nothing(spark):
+    df = spark.createDataFrame([(1.0, 2.0, True, False, False), (1.0, None, True, True, False), (1.0, 2.0, False, False, True)], "action double, teleop_action double, is_intervention boolean, success boolean, terminate boolean")
+    out = pipeline.Intervention()
+    assert [(r.action, r.reward, r.done) for r in out.apply(df).collect()] == [(2.0, 0.0, False), (1.0, 1.0, True), (1.0, 0.0, True)]
+    out.terminate_on_success = False
+    assert [r.done for r in out.apply(df).collect()] == [False, False, True]
