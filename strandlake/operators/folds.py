@@ -145,18 +145,22 @@ def drop_small_changes(df: DataFrame, by, on, values: dict[str, float], order=()
 
 
 def rotate_files(df: DataFrame, by, on, size: str, limit: float, files_per_chunk: int = 1000, order=()) -> DataFrame:
-    """(chunk, file) by greedy filling: a row that would overfill its file opens the next."""
+    """(chunk, file) by greedy filling: a row that would overfill its file opens the next, also where the file's rows have size 0.
+
+    NaN is beyond any limit; a file with a null size is never known to be full.
+    """
 
     def step(columns, state, ends):
-        file, used = state or (0, 0.0)
+        file, used, empty = state or (0, 0.0, True)
         out = []
-        for x in _values(columns[0]):
-            if used and used + x >= limit:
-                file, used = file + 1, 0.0
-            used += x
+        for x in columns[0].to_pylist():
+            total = None if used is None or x is None else used + x
+            if not empty and total is not None and not total < limit:
+                file, total = file + 1, x
+            used, empty = total, False
             out.append(file)
         n = np.array(out, np.int64)
-        return None, {"chunk_index": n // files_per_chunk, "file_index": n % files_per_chunk}, (file, used)
+        return None, {"chunk_index": n // files_per_chunk, "file_index": n % files_per_chunk}, (file, used, empty)
 
     return _fold(df, by, on, order, [size], step, {"chunk_index": T.LongType(), "file_index": T.LongType()})
 

@@ -177,6 +177,17 @@ def test_folds_take_their_state_from_batch_to_batch(spark):
     assert folds.debounce(df.limit(0), ["ep"], "t", 1).count() == 0
 
 
+def test_files_that_begin_with_size_zero(spark):
+    """A file that holds a row is closed by a row that overfills it, also if its rows have size 0; NaN overfills; null leaves it open."""
+    nan, inf = float("nan"), float("inf")
+    sizes = {1: [0.0, 120.0, 3.0], 2: [-5.0, 5.0, 100.0, 1.0], 3: [1.0, None, 100.0, 100.0], 4: [nan, 2.0, 1.0], 5: [1.0, nan, 2.0, 1.0], 6: [inf, -inf, 5.0], 7: [500.0, 0.0, 100.0]}
+    rows = [(u, i, x) for u, own in sizes.items() for i, x in enumerate(own)]
+    df = spark.createDataFrame(rows, "u long, i long, v double").repartition(3)
+    found = {(r.u, r.i): 2 * r.chunk_index + r.file_index for r in folds.rotate_files(df, ["u"], "i", "v", 100.0, 2).collect()}
+    files = {u: [found[u, i] for i in range(len(own))] for u, own in sizes.items()}
+    assert files == {1: [0, 1, 2], 2: [0, 0, 1, 2], 3: [0, 0, 0, 0], 4: [0, 1, 1], 5: [0, 1, 2, 2], 6: [0, 1, 1], 7: [0, 1, 2]}
+
+
 def test_delta_indices():
     assert sequence.delta_indices([-0.1, 0, 0.2], 10) == [-1, 0, 2]
     with pytest.raises(ValueError):
