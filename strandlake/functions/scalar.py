@@ -49,8 +49,9 @@ def manifest_time(s: Column, zone: str | None = None, add_seconds: Column | None
 
 
 def human_size(n: Column) -> Column:
-    gb = n / float(1 << 30)
-    return F.when(gb >= 1, F.format_string("%.1fG", gb)).otherwise(F.format_string("%.1fMB", n / float(1 << 20)))
+    """Bytes in G or MB to a tenth, ties to the even one as C's printf has them (Java's takes the greater one); null stays null."""
+    gb, mb = n / float(1 << 30), n / float(1 << 20)
+    return F.when(gb >= 1, F.format_string("%.1fG", half_even(gb, 1))).when(n.isNotNull(), F.format_string("%.1fMB", half_even(mb, 1)))
 
 
 def chunk_name(episode: Column, size: int = 1000) -> Column:

@@ -337,6 +337,13 @@ def test_scalars(spark):
     assert r.a == "1.000000005" and r.b == 125 and r.c == "3.0G" and r.d == "chunk-002" and r.e == "2024-01-01T02:00:00.000Z" and r.f == "pick up cup"
 
 
+def test_sizes_between_two_tenths(spark):
+    """Ties go to the even tenth; no size, no text."""
+    sizes = {781_25 << 20: "76.3G", 819_200_000: "781.2MB", 786_432: "0.8MB", 262_144: "0.2MB", 5 << 28: "1.2G", 7 << 28: "1.8G", 0: "0.0MB", -500_000: "-0.5MB", None: None}
+    df = spark.createDataFrame([(n,) for n in sizes], "n long")
+    assert {r.n: r.s for r in df.select("n", scalar.human_size(F.col("n")).alias("s")).collect()} == sizes
+
+
 def test_queue_merge_rejects_unknown():
     with pytest.raises(ValueError):
         queues.merge_named("best")
