@@ -223,7 +223,9 @@ def totals(eps: DataFrame) -> DataFrame:
 
 
 def missing_workers(spark, world: int, done: DataFrame) -> DataFrame:
-    return spark.range(world).withColumnRenamed("id", "rank").join(done.select("rank"), "rank", "left_anti")
+    """Ranks below ``world`` that aren't done.  Each rank done is met once, however often it is told, so the join is small."""
+    told = done.select("rank").filter((F.col("rank") >= 0) & (F.col("rank") < world)).distinct()
+    return spark.range(world).withColumnRenamed("id", "rank").join(told, "rank", "left_anti")
 
 
 def episode_count(frames: DataFrame, episode: str = "episode_index") -> DataFrame:
@@ -232,7 +234,7 @@ def episode_count(frames: DataFrame, episode: str = "episode_index") -> DataFram
 
 def absent_episodes(wanted: DataFrame, frames: DataFrame, episode: str = "episode_index") -> DataFrame:
     """Wanted episodes without a frame; none are left if they are a subset."""
-    return wanted.select(episode).distinct().join(frames.select(episode), episode, "left_anti")
+    return wanted.select(episode).distinct().join(frames.select(episode).distinct(), episode, "left_anti")
 
 
 def overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

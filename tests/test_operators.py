@@ -344,6 +344,17 @@ def test_sizes_between_two_tenths(spark):
     assert {r.n: r.s for r in df.select("n", scalar.human_size(F.col("n")).alias("s")).collect()} == sizes
 
 
+def test_ranks_are_met_once_however_often_they_are_told(spark):
+    """The side of the join that grows with the table is reduced to its keys first."""
+    done = spark.createDataFrame([(r,) for r in [0, 2, 2, 2, 7, -1, None] * 20], "rank long")
+    missing = edit.missing_workers(spark, 5, done)
+    assert sorted(r["rank"] for r in missing.collect()) == [1, 3, 4]
+    absent = edit.absent_episodes(spark.range(4).withColumnRenamed("id", "rank"), done, "rank")
+    assert sorted(r["rank"] for r in absent.collect()) == [1, 3]
+    for df, n in ((missing, 1), (absent, 2)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == n
+
+
 def test_queue_merge_rejects_unknown():
     with pytest.raises(ValueError):
         queues.merge_named("best")
