@@ -108,3 +108,37 @@ def test_no_exact_percentile_without_groups(spark):
     df = table(spark, [("a", [1.0]), ("a", [2.0])], 1)
     plan = stats.vector_stats(df, "v")._jdf.queryExecution().toString()
     assert "percentile" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_exact_quantiles_by_rank(spark, parts, monkeypatch):
+    """Between ranks as numpy has it: wide ranges with most values in one bin, ties, few values, null and infinite ones."""
+    rnd = np.random.default_rng(6)
+    x = np.stack([rnd.normal(size=3000), np.append(rnd.normal(size=2999) * 1e-6, 1e9), rnd.integers(0, 3, 3000), np.full(3000, 7.0), rnd.standard_cauchy(3000)], 1)
+    rows = [("a", [*r.tolist(), *([float(i), np.inf][: max(0, 2 - i // 2)]), *([None] if i < 2 else [])]) for i, r in enumerate(x)]
+    df = table(spark, rows, parts)
+    monkeypatch.setattr(stats, "NEAR", 0.02)
+    for accuracy in (10_000, 1000):  # all values are counted, or those near the ranks
+        monkeypatch.setattr(stats, "ACCURACY", accuracy)
+        found = {r.dim: r for r in stats.vector_stats(df, "v", method="exact").collect()}
+        assert sorted(found) == list(range(8))
+        for d in range(5):
+            assert found[d]["count"] == 3000
+            for name, q in stats.QUANTILES.items():
+                assert np.isclose(found[d][name], np.quantile(x[:, d], q), rtol=1e-12, atol=1e-15), (d, name)
+        assert (found[5].q50, found[5].q10) == (1.5, 0.30000000000000004) and found[6].q01 == np.inf and found[7].q50 is None
+    assert stats.vector_stats(df.limit(0), "v", method="exact").count() == 0
+
+
+def test_exact_quantiles_hold_no_element(spark):
+    df = table(spark, [("a", [1.0]), ("a", [2.0])], 1)
+    plan = stats.vector_stats(df, "v", method="exact")._jdf.queryExecution().toString()
+    assert "percentile(" not in plan
+
+
+def test_queries_of_quantiles_are_of_ranks():
+    """Their SQL takes quantiles between ranks, not of bins."""
+    from strandlake.plans import queries
+
+    for q in ("vector_stats", "exact_vector_stats"):
+        assert "quantile_cont" in queries.ORACLE_SQL[q] and "bin" not in queries.ORACLE_SQL[q]
