@@ -140,5 +140,5 @@ def test_queries_of_quantiles_are_of_ranks():
     """Their SQL takes quantiles between ranks, not of bins."""
     from strandlake.plans import queries
 
-    for q in ("vector_stats", "exact_vector_stats", "normalize_q01_q99", "normalize_q10_q90"):
+    for q in ("vector_stats", "exact_vector_stats", "normalize_q01_q99", "normalize_q10_q90", "quantile_augmentation"):
         assert "quantile_cont" in queries.ORACLE_SQL[q] and "bin" not in queries.ORACLE_SQL[q]
