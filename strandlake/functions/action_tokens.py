@@ -13,36 +13,60 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _basis(horizon: int) -> Column:
+def _basis(horizon: int) -> np.ndarray:
     """Rows of the orthonormal cosine transform (of the second kind)."""
     norm = lambda k: math.sqrt((1 if k == 0 else 2) / horizon)
-    return F.array(*(F.array(*(F.lit(norm(k) * math.cos(math.pi * (2 * t + 1) * k / (2 * horizon))) for t in range(horizon))) for k in range(horizon)))
-
-
-def _product(of, n: int) -> Column:
-    return F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), F.lit(0.0), lambda a, i: a + of(i))
+    return np.array([[norm(k) * math.cos(math.pi * (2 * t + 1) * k / (2 * horizon)) for t in range(horizon)] for k in range(horizon)])
 
 
 def _numbers(n: int) -> Column:
     return F.sequence(F.lit(0), F.lit(n - 1))
 
 
+def _products(chunks: pa.Array, matrix: np.ndarray, dim: int) -> pa.Array:
+    """``matrix`` times each chunk of a batch, terms added in their order; null where a chunk has another form, and where a term is null."""
+    n = len(matrix)
+    length = pc.fill_null(pc.list_value_length(chunks), -1).to_numpy(zero_copy_only=False)
+    vectors = chunks.flatten()
+    odd = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False) != dim
+    row = np.repeat(np.arange(len(chunks)), np.maximum(length, 0))
+    good = (length == n) & (np.bincount(row, odd, len(chunks)) == 0)
+    flat = vectors.filter(pa.array(good[row], pa.bool_())).flatten()
+    x = flat.to_numpy(zero_copy_only=False).astype(float).reshape(-1, n, dim)
+    null = flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, n, dim).any(1, keepdims=True)
+    out = np.zeros_like(x)
+    for j in range(n):
+        out += matrix[:, j, None] * x[:, j, None]
+    values = pa.array(out.ravel(), mask=np.broadcast_to(null, out.shape).ravel())
+    inner = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, dim), pa.int32()), values)
+    ends = np.concatenate([[0], np.cumsum(good * n)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), inner, mask=pa.array(~good))
+
+
+def _times(matrix: np.ndarray, chunk: Column, dim: int) -> Column:
+    @F.arrow_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+    def times(chunks: pa.Array) -> pa.Array:
+        return _products(chunks, matrix, dim)
+
+    return times(chunk.cast("array<array<double>>"))
+
+
 def transformed(chunk: Column, horizon: int, dim: int) -> Column:
     """Coefficients, by frequency and then element, of ``horizon`` vectors of ``dim``."""
-    c = _basis(horizon)
-    return F.transform(_numbers(horizon), lambda k: F.transform(_numbers(dim), lambda d: _product(lambda t: F.get(F.get(c, k), t) * F.get(F.get(chunk, t), d), horizon)))
+    return _times(_basis(horizon), chunk, dim)
 
 
 def restored(coefficients: Column, horizon: int, dim: int) -> Column:
     """The vectors of coefficients."""
-    c = _basis(horizon)
-    return F.transform(_numbers(horizon), lambda t: F.transform(_numbers(dim), lambda d: _product(lambda k: F.get(F.get(c, k), t) * F.get(F.get(coefficients, k), d), horizon)))
+    return _times(_basis(horizon).T, coefficients, dim)
 
 
 def quantised(chunk: Column, horizon: int, dim: int, scale: float = 10.0) -> Column:

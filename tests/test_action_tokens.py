@@ -72,3 +72,19 @@ def test_odd_sequences(spark):
     ids = spark.createDataFrame([([0, 5],)], "i array<int>")
     placed = A.placed(F.col("i"), 1000)
     assert ids.select(placed).first()[0] == [871, 866] and ids.select(A.placed(placed, 1000)).first()[0] == [0, 5]
+
+
+def test_products_are_made_by_batches(spark):
+    """The transform goes over a batch of chunks at once, whatever chunks of another form lie between; no product is interpreted value by value."""
+    rnd = np.random.default_rng(3)
+    chunks = [rnd.normal(size=(4, 3)).tolist() if i % 4 else [None, [], [[1.0]], [[1.0, 2.0, 3.0]] * 3 + [None]][i // 4 % 4] for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(chunks)), "i int, c array<array<double>>").coalesce(2)
+    out = df.select("i", A.transformed(F.col("c"), 4, 3).alias("t"), A.quantised(F.col("c"), 4, 3).alias("q"))
+    assert "aggregate(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    for r in out.collect():
+        if r.i % 4:
+            assert np.allclose(r.t, basis(4) @ np.array(chunks[r.i]), atol=1e-12) and r.q == np.rint(10 * np.array(r.t)).ravel().tolist()
+        else:
+            assert r.t is None and r.q is None
+    back = spark.createDataFrame([([1, 2, None, 4],), ([1, 2, 3, 4],)], "q array<long>").select(A.dequantised(F.col("q"), 2, 2)).collect()
+    assert [[x is None for x in v] for v in back[0][0]] == [[True, False]] * 2 and back[1][0] is not None
