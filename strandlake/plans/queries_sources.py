@@ -187,8 +187,8 @@ FROM (SELECT *, r <= 8 AND t // 1000 + 86400000 >= (SELECT max(t) // 1000 FROM e
 def expiring_buffers(spark, sf):
     """The newest eight values of each user, none older than a day, after a stream of all events in four files."""
     e = table(spark, sf, "events").filter("value is not null").select("user_id", "event_id", F.timestamp_micros(micros(F.col("ts"))).alias("ts"), "value")
-    changes = buffers.expiring(as_stream(spark, e, 4, by="ts"), "user_id", "ts", "value", 8, 86_400_000, order="event_id")
-    last = buffers.last_of(live.run_once(changes, name("expiring"), "update", folder(spark), buffers.NEEDS), "user_id")
+    changes = buffers.expiring(as_stream(spark, e, 4, by="ts"), "user_id", "ts", "value", 8, 86_400_000, order="event_id", mode="append")
+    last = buffers.last_of(live.run_once(changes, name("expiring"), "append", folder(spark), buffers.NEEDS), "user_id")
     return last.select("user_id", F.size("buffer").cast("long").alias("n"), F.array_join(F.col("times").cast("array<string>"), ",").alias("times"), F.round(F.aggregate("buffer", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
 
 

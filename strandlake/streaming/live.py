@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..sources.shared import folder
+
 
 def stats(stream: DataFrame, vector: str, keys: Sequence[str] = ()) -> DataFrame:
     """Incremental min, max, mean, std and count of every element; for complete or update mode."""
@@ -123,15 +125,22 @@ def hold_last(stream: DataFrame, key: str, on: str, value: str, idle_ms: int | N
 
 
 def run_once(stream: DataFrame, name: str, mode: str, checkpoint: str, settings: dict[str, str] | None = None) -> DataFrame:
-    """Process what is there into a memory table, and return it; the settings hold for this stream alone."""
-    conf = stream.sparkSession.conf
+    """Process what is there, and return it; the settings hold for this stream alone.
+
+    In append mode tasks write the rows to the folder that the cluster shares, so
+    none pass through the driver.  Other modes fill a memory table, which the
+    driver holds: for results of few rows.
+    """
+    spark = stream.sparkSession
+    conf, path = spark.conf, folder(spark, name) if mode == "append" else None
     old = {k: conf.get(k, None) for k in settings or {}}
     try:
         for k, v in (settings or {}).items():
             conf.set(k, v)
-        q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        to = stream.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        q = to.format("parquet").start(path) if path else to.format("memory").start()
         q.awaitTermination()
     finally:
         for k, v in old.items():
             conf.unset(k) if v is None else conf.set(k, v)
-    return stream.sparkSession.table(name)
+    return spark.read.schema(stream.schema).parquet(path) if path else spark.table(name)

@@ -68,6 +68,43 @@ def test_random_streams_end_as_the_rule_says(spark, tmp_path):
     assert any(len(v) < 3 for v in last.values())
 
 
+def test_changes_go_to_files(spark, sf_dir):
+    """No change passes through the driver: the query leaves no memory table, and what it returns is read from files."""
+    from strandlake.plans import queries
+
+    out = queries.QUERIES["expiring_buffers"](spark, sf_dir)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("expiring_")]
+    assert out.inputFiles()
+
+
+def test_keys_of_a_bucket_are_apart(spark, tmp_path):
+    """Whether keys share a bucket or not, and in both modes, each is told of as if it were alone; null is a key too."""
+    rnd, t, batches = random.Random(2), 0, []
+    for _ in range(4):
+        batch = []
+        for i in range(20):
+            t += rnd.randint(1, 900_000)
+            batch.append((rnd.choice(["a", "b", None]), t, i, float(rnd.randint(0, 9))))
+        batches.append(batch)
+    told = []
+    for n, (keys, kw) in enumerate([("all", {}), ("all", {"buckets": 1}), ("a", {}), ("b", {}), (None, {})]):
+        clock = [[("clock", max(r[1] for r in b), 0, 0.0)] for b in batches]  # the same watermark for each key alone
+        own = [c + [r for r in b if keys == "all" or r[0] == keys] for b, c in zip(batches, clock)]
+        found = changes(spark, tmp_path / str(n), own, timeout_ms=4000, **kw).collect()
+        told.append(sorted((str(r.k), r.now_ms, r.seen, r.expired, r.times, r.buffer) for r in found if r.k != "clock"))
+    assert told[0] == told[1] == sorted(r for own in told[2:] for r in own)
+    assert any(r[3] for r in told[0]) and any(r[0] == "None" for r in told[0])
+
+
+def test_appended_are_the_same_changes(spark, tmp_path):
+    batches = [[("a", SECOND, 0, 1.0), ("b", 2 * SECOND, 0, 5.0)], [("b", 20 * SECOND, 0, 6.0)], [("b", 21 * SECOND, 0, 7.0)]]
+    want = sorted(map(tuple, changes(spark, tmp_path / "update", batches).collect()))
+    stream = spark.readStream.schema("k string, us long, i long, v double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "update" / "in")).withColumn("ts", F.timestamp_micros("us"))
+    out = buffers.expiring(stream, "k", "ts", "v", order="i", size=3, timeout_ms=10_000, mode="append")
+    found = live.run_once(out, local.name("appended"), "append", str(tmp_path / "check"), buffers.NEEDS)
+    assert sorted(map(tuple, found.collect())) == want and found.inputFiles()
+
+
 def test_settings_are_put_back(spark, tmp_path):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     changes(spark, tmp_path, [[("a", SECOND, 0, 1.0)]])
